@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import mixing, piece_encoding, quality_rules
 from .common import table
 
 
@@ -16,5 +16,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_quality_rules": op8_quality_rules}
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = piece_encoding.encode_documents(docs, ids="token_ids", decoded="round_trip")
+    return encoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+QUERIES = {
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
+}
 ORACLES: dict[str, str] = {}
