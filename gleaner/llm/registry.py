@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, piece_encoding, quality_rules
-from .common import table
+from . import mixing, nearest, piece_encoding, preference, quality_rules, toxicity
+from .common import fold, table
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = nearest.usable(table(spark, sf_dir, "embeddings"))
+    return nearest.search(vectors, vectors.where(F.pmod("vec_id", F.lit(20)) == 0))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +21,30 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, fitted)
+    held_out = fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT_FOLD
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
+    text = lambda c: F.array_join(F.transform(c, lambda s: s["text"]), "")
+    return pairs.select(
+        "pair_id",
+        "chosen_id",
+        "rejected_id",
+        "prompt_turns",
+        "prompt",
+        text("chosen").alias("chosen_text"),
+        text("rejected").alias("rejected_text"),
+        preference.trained_text(F.col("chosen")).alias("chosen_trained"),
+        preference.trained_text(F.col("rejected")).alias("rejected_trained"),
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = piece_encoding.encode_documents(docs, ids="token_ids", decoded="round_trip")
@@ -28,8 +57,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op5_preference_format": op5_preference_format,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_nearest": op7_nearest,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_preference_format": preference.ORACLE_SQL}
