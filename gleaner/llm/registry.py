@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, nearest, piece_encoding, preference, quality_rules, toxicity
+from . import compression_score, mixing, nearest, ngram_join, piece_encoding, preference, quality_rules, toxicity, warc
 from .common import fold, table
 
 
@@ -21,6 +21,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("record_id"), "url", F.col("html").cast("binary").alias("payload"))
+    manifest = warc.write_packages(warc.plan_revisits(pages))
+    records = warc.read_records(manifest, with_payload=False)
+    number = lambda c: F.nullif(F.col(c), F.lit("")).cast("long")
+    return records.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"), F.col("target_uri").alias("url")
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -29,6 +39,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_score.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.format_pairs(preference.neighbours(table(spark, sf_dir, "conversations")))
     text = lambda c: F.array_join(F.transform(c, lambda s: s["text"]), "")
@@ -56,12 +70,28 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_toxicity": op3_toxicity,
+    "op4_ppm_score": op4_ppm_score,
     "op5_preference_format": op5_preference_format,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_nearest": op7_nearest,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_ngram_join": op10_ngram_join,
 }
-ORACLES: dict[str, str] = {"op5_preference_format": preference.ORACLE_SQL}
+OP1_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+d AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS kept FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to, url
+FROM d
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op5_preference_format": preference.ORACLE_SQL}
