@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_score, mixing, nearest, ngram_join, piece_encoding, preference, quality_rules, toxicity, warc
+from . import compression_score, mixing, nearest, ngram_join, piece_encoding, preference, quality_rules, toxicity, warc, weak_labels
 from .common import fold, table
 
 
@@ -31,6 +31,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = weak_labels.classify(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "n_votes", "posterior", "score", F.col("good").alias("kept"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -74,8 +79,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_ppm_score": op4_ppm_score,
     "op5_preference_format": op5_preference_format,
@@ -84,6 +96,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "pipeline": pipeline,
 }
 OP1_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
