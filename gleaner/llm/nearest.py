@@ -3,12 +3,12 @@
 Vectors are cut into two halves, each quantised by its own small codebook (k-means over a bounded sample). A pair of
 centroids is a cell; every vector is indexed in its cell. A query walks the cells by the sum of its two centroid
 products, best first, with a heap over the two sorted lists, until the cells passed hold `fraction` of all vectors
-(`least` at least). Cells are cut into blocks of bounded size, a block meets the queries that visit its cell in one
-task, and candidates are reranked by the exact product of the original vectors in double precision.
+(`least` at least). The cells of one first centroid form a group, cut into blocks of bounded size; a block meets the
+queries that visit one of its cells in one task, and candidates are reranked by the exact product of the original vectors
+in double precision. A block gives at most top + 1 rows for a query.
 
 Equal vectors tie on every query, so of a group of equal vectors only the top + 1 smallest ids can be in a result: the
-index keeps those, which is exact, and equal query vectors are searched once. Each query carries a floor, the
-`floor_rank`-th best product within the sample, below which candidates are not passed on.
+index keeps those, which is exact, and equal query vectors are searched once.
 
 Defined results: vectors that are null, empty, zero, hold a null or non-finite component, or differ in length from the
 most common length take no part; rows without an id neither. Repeated (id, vector) rows count once. Fewer candidates
@@ -37,8 +37,7 @@ class Settings:
     sample: int = 4096
     fraction: float = 0.7
     least: int = 400
-    floor_rank: int = 64
-    block_rows: int = 2048
+    block_rows: int = 65536
     rounds: int = 12
 
 
@@ -46,7 +45,6 @@ class Settings:
 class Books:
     first: np.ndarray
     second: np.ndarray
-    sample: np.ndarray
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         half = self.first.shape[1]
@@ -96,11 +94,10 @@ def _walk(books: Books, held: np.ndarray, q: np.ndarray, wanted: float) -> list[
     return cells
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, floor: float, top: int) -> np.ndarray:
-    """Positions of the best scores of at least `floor`, ties to smaller ids."""
-    if len(scores) > top:
-        floor = max(floor, np.partition(scores, len(scores) - top)[len(scores) - top])
-    at = np.flatnonzero(scores >= floor)
+def _best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+    """Positions of the best finite scores, ties to smaller ids."""
+    floor = np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) > top else -np.inf
+    at = np.flatnonzero((scores >= floor) & np.isfinite(scores))
     return at[np.lexsort((ids[at], -scores[at]))][:top]
 
 
@@ -117,7 +114,7 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
     sample = _matrix(drawn["x"])
     half = max(1, sample.shape[1] // 2)
     first, second = (_k_means(part, s.centroids, s.rounds) if part.shape[1] else np.zeros((1, 0)) for part in (sample[:, :half], sample[:, half:]))
-    books = spark.sparkContext.broadcast(Books(first, second, sample))  # bounded by the settings
+    books = spark.sparkContext.broadcast(Books(first, second))  # bounded by the settings
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -128,40 +125,47 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
     counts = cells.groupBy("cell").count().toPandas()  # a row for each cell
     held = np.zeros(len(first) * len(second), dtype=np.int64)
     held[counts["cell"]] = counts["count"]
-    blocks = np.maximum(1, -(-held // s.block_rows))
+    width = len(second)
+    blocks = np.maximum(1, -(-held.reshape(-1, width).sum(axis=1) // s.block_rows))
     wanted = max(s.least, s.fraction * held.sum())
     plan = spark.sparkContext.broadcast((held, blocks))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
-                continue
-            q = _matrix(pdf["x"])
-            dots = q @ books.value.sample.T
-            rank = min(s.floor_rank, dots.shape[1])
-            floors = np.partition(dots, dots.shape[1] - rank, axis=1)[:, dots.shape[1] - rank] - 1e-9
             held, blocks = plan.value
-            for row, (key, x) in enumerate(zip(pdf["key"], pdf["x"], strict=True)):
-                to = [(c, b) for c in _walk(books.value, held, q[row], wanted) for b in range(blocks[c])]
-                yield pd.DataFrame({"cell": [c for c, _ in to], "block": [b for _, b in to], "key": key, "floor": floors[row], "q": [x] * len(to)})
-
-    asking = asked.mapInPandas(visits, "cell int, block int, key long, floor double, q array<float>")
-    block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    placed = cells.withColumn("block", F.pmod(F.xxhash64("vec_id"), block_of).cast("int"))
+            out = {"part": [], "block": [], "key": [], "cells": [], "q": []}
+            for key, x, q in zip(pdf["key"], pdf["x"], _matrix(pdf["x"]), strict=True):
+                by_part: dict[int, list[int]] = {}
+                for cell in _walk(books.value, held, q, wanted):
+                    by_part.setdefault(cell // width, []).append(cell % width)
+                for part, cells in by_part.items():
+                    for block in range(blocks[part]):
+                        for name, value in zip(out, (part, block, key, cells, x), strict=True):
+                            out[name].append(value)
+            yield pd.DataFrame(out)
+
+    asking = asked.mapInPandas(visits, "part int, block int, key long, cells array<int>, q array<float>")
+    part = F.floor(F.col("cell") / width).cast("int")
+    block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), part + 1)
+    placed = cells.select(part.alias("part"), F.pmod(F.xxhash64("vec_id"), block_of).cast("int").alias("block"), "vec_id", "x", (F.col("cell") % width).alias("at"))
 
     def rerank(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(queries) and len(block):
-            ids = block["vec_id"].to_numpy()
-            for begin in range(0, len(queries), 512):
-                part = queries.iloc[begin : begin + 512]
-                scores = _matrix(part["q"]) @ _matrix(block["x"]).T
-                for key, floor, row in zip(part["key"], part["floor"], scores, strict=True):
-                    at = _best(row, ids, floor, keep)
-                    out.append(pd.DataFrame({"key": key, "vec_id": ids[at], "score": row[at]}))
+            ids, x, at = block["vec_id"].to_numpy(), _matrix(block["x"]), block["at"].to_numpy()
+            step = max(1, 4_000_000 // len(block))
+            for begin in range(0, len(queries), step):
+                some = queries.iloc[begin : begin + step]
+                scores = _matrix(some["q"]) @ x.T
+                for key, visited, row in zip(some["key"], some["cells"], scores, strict=True):
+                    open_ = np.zeros(width, dtype=bool)
+                    open_[np.asarray(visited)] = True
+                    row = np.where(open_[at], row, -np.inf)
+                    best = _best(row, ids, keep)
+                    out.append(pd.DataFrame({"key": key, "vec_id": ids[best], "score": row[best]}))
         return pd.concat(out) if out else pd.DataFrame({"key": [], "vec_id": [], "score": []})
 
-    found = asking.groupBy("cell", "block").cogroup(placed.groupBy("cell", "block")).applyInPandas(rerank, "key long, vec_id long, score double")
+    found = asking.groupBy("part", "block").cogroup(placed.groupBy("part", "block")).applyInPandas(rerank, "key long, vec_id long, score double")
     order = [F.desc("score"), F.asc("vec_id")]
     best = found.withColumn("_n", F.row_number().over(W.partitionBy("key").orderBy(*order))).where(F.col("_n") <= keep).drop("_n")
     members = queries.join(asked, "x").select(F.col("vec_id").alias("query_id"), "key")
