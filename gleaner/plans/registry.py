@@ -1,6 +1,8 @@
-"""All queries of the library and their SQL twins, collected from the plan modules."""
+"""All queries of the library and their SQL twins."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import streams, text_rules, warehouse  # noqa: F401  (they register themselves)
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
