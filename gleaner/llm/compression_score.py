@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
@@ -31,8 +32,8 @@ from .common import fold, stored
 
 ORDER = 5
 END = 256
-BATCH_BYTES = 32_000_000
-CHUNK_BYTES = 2_000_000
+BATCH_BYTES = 20_000_000
+CHUNK_BYTES = 1_000_000
 FOLDS, HELD_OUT = 10, 0
 SMOOTH = 0.1
 DEALT = 8  # groups of context suffixes for each shuffle partition
@@ -44,19 +45,25 @@ def _prepare(text: str | None) -> bytes:
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The (ORDER + 1)-grams of the texts, flat, and where each text begins. A gram is context << 9 | symbol."""
+    pad = b"\0" * ORDER
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     begins = np.cumsum(sizes) - sizes
-    symbol = np.zeros(int(sizes.sum()), dtype=np.int64)
-    inside = np.ones(len(symbol), dtype=bool)
-    inside[begins + sizes - 1] = False
-    symbol[inside] = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    padded = np.concatenate((np.zeros(ORDER, dtype=np.int64), np.where(inside, symbol, 0)))
-    place = np.arange(len(symbol)) - np.repeat(begins, sizes)
-    context = np.zeros(len(symbol), dtype=np.int64)
-    for back in range(ORDER, 0, -1):
-        byte = padded[ORDER - back : len(padded) - back]
-        context = (context << 8) | np.where(place >= back, byte, 0)
-    return (context << 9) | np.where(inside, symbol, END), begins
+    if not len(texts):
+        return np.zeros(0, dtype=np.int64), begins
+    raw = np.frombuffer(b"".join([pad + t + b"\0" for t in texts]), dtype=np.uint8).astype(np.int64)
+    n = len(raw) - ORDER
+    gram = raw[:n].copy()
+    for k in range(1, ORDER):
+        gram <<= 8
+        gram |= raw[k : k + n]
+    gram <<= 9
+    symbol = raw[ORDER:].copy()
+    first = begins + ORDER * np.arange(len(texts))
+    symbol[first + sizes - 1] = END
+    gram |= symbol
+    keep = np.ones(n, dtype=bool)
+    keep[(first[1:, None] - ORDER + np.arange(ORDER)[None, :]).reshape(-1)] = False
+    return gram[keep], begins
 
 
 class Levels:
@@ -146,22 +153,18 @@ ASKED = pa.schema([("batch", pa.int32()), ("word", pa.binary()), ("gram", pa.int
 
 def list_batch(rows: pa.Table) -> pa.Table:
     """The distinct words and grams of a batch, with their counts in its training documents."""
-    texts = [_prepare(t) for t in rows.column("text").to_pylist()]
-    trains = np.array(rows.column("trains").to_pylist(), dtype=bool)
     words: Counter = Counter()
     others: set = set()
-    for text, trained in zip(texts, trains.tolist(), strict=True):
-        words.update(text.split()) if trained else others.update(text.split())
-    listed = list(words) + [w for w in others if w not in words]
     keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for begin, end in _chunks(texts):
-        found, begins = grams(texts[begin:end])
-        sizes = np.diff(np.append(begins, len(found)))
-        known, back, n = np.unique(found, return_inverse=True, return_counts=True)
-        if not trains[begin:end].all():
-            n = np.bincount(back, weights=np.repeat(trains[begin:end], sizes), minlength=len(known)).astype(np.int64)
-        keys.append(known)
-        counts.append(n)
+    for trained in (True, False):
+        texts = [_prepare(t.as_py()) for t in rows.filter(pa.compute.equal(rows.column("trains"), trained)).column("text")]
+        for text in texts:
+            (words if trained else others).update(text.split())
+        for begin, end in _chunks(texts):
+            known, n = np.unique(grams(texts[begin:end])[0], return_counts=True)
+            keys.append(known)
+            counts.append(n if trained else np.zeros_like(n))
+    listed = list(words) + [w for w in others if w not in words]
     known, n = add_up(np.concatenate(keys), np.concatenate(counts))
     batch = rows.column("batch")[0].as_py()
     return pa.Table.from_arrays(
@@ -198,13 +201,12 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("trains", pa.bool_()), ("n_tokens",
 
 def score_batch(rows: pa.Table, answers: pa.Table, end_count: int) -> pa.Table:
     """Scores of a batch's documents; base_sum is the sum of log10(c + SMOOTH) over the tokens."""
-    texts = [_prepare(t) for t in rows.column("text").to_pylist()]
+    texts = [_prepare(t.as_py()) for t in rows.column("text")]
     is_word = answers.column("word").is_valid()
     for_words, for_grams = answers.filter(is_word), answers.filter(pa.compute.invert(is_word))
     count = dict(zip(for_words.column("word").to_pylist(), for_words.column("c").to_pylist(), strict=True))
     gram, logp = for_grams.column("gram").to_numpy(), for_grams.column("logp").to_numpy()
-    order = np.argsort(gram)
-    gram, logp = gram[order], logp[order]
+    places = pd.Index(gram)
     n_tokens, n_known, base, score = [], [], [], []
     for text in texts:
         c = np.array([count[w] for w in text.split()] + [end_count], dtype=np.float64)
@@ -213,7 +215,7 @@ def score_batch(rows: pa.Table, answers: pa.Table, end_count: int) -> pa.Table:
         base.append(float(np.log10(c + SMOOTH).sum()))
     for begin, end in _chunks(texts):
         found, begins = grams(texts[begin:end])
-        score.append(np.add.reduceat(logp[np.searchsorted(gram, found)], begins))
+        score.append(np.add.reduceat(logp[places.get_indexer(found)], begins))
     return pa.Table.from_arrays(
         [rows.column("doc_id"), rows.column("trains"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score))],
         schema=SCORED,
