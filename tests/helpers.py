@@ -6,6 +6,7 @@ import math
 from collections import Counter
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -19,7 +20,7 @@ def database(sf_dir: str):
 
 
 def cell(value):
-    if value is None or value != value:
+    if value is None or value is pd.NA or value != value:
         return None
     if isinstance(value, bool):
         return str(value)
