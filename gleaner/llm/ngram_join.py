@@ -12,7 +12,7 @@ load). A bucket holds at least what its shingles hold, so a rare key has at most
 bounded. The bit table is of fixed size, so it may be broadcast. A crowded bucket only makes shingles frequent; no class
 is ever wrong for the result.
 
-Candidates are checked exactly: first by parity bits (the distance of two parity strings bounds the symmetric difference
+Candidates are checked exactly: first by how many keys they share, then by parity bits (the distance of two parity strings bounds the symmetric difference
 from below), then by intersecting the full sets. Keys of the frequent class may be shared by very many sets. There each
 set meets the key's pivot; only sets that are not in the component of most of the key's sets then meet, in blocks, those
 of other components. Links inside one component change nothing, so no component is lost. Exact copies (equal sets) are one
@@ -158,6 +158,10 @@ def frequent_buckets(described: DataFrame) -> np.ndarray:
     return bits.reshape(-1)
 
 
+def _prefix(n: int) -> int:
+    return n - -(-80 * n // 100) + 1
+
+
 def index_keys(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rare keys, frequent keys) of a set; `frequent` marks its shingles of the frequent class."""
     n = len(s)
@@ -176,27 +180,30 @@ def index_keys(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def index_rows(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(key, frequent, sig, n), each set once a task."""
+    """(key, frequent, sig, n, whole), each set once a task; whole: the set's prefix is rare shingles alone."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen, marks = Shingler(), set(), np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            keys, often, sig, size = [], [], [], []
+            keys, often, sig, size, whole = [], [], [], [], []
             for text in batch.column("text"):
                 s = shingler.of(text.as_py())
                 f = fingerprint(s)
                 if len(s) and f not in seen:
                     seen.add(f)
-                    for kind, k in enumerate(index_keys(s, marks[_bucket(s)])):
+                    found = index_keys(s, marks[_bucket(s)])
+                    full = len(found[1]) == 0 and len(found[0]) == _prefix(len(s))
+                    for kind, k in enumerate(found):
                         keys.append(k.astype(np.int64))
+                        whole.append(np.full(len(k), full))
                         often.append(np.full(len(k), bool(kind)))
                         sig.append(np.full(len(k), f))
                         size.append(np.full(len(k), len(s), dtype=np.int32))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size)], names=["key", "frequent", "sig", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size, whole)], names=["key", "frequent", "sig", "n", "whole"])
 
-    return docs.select("text").mapInArrow(run, "key long, frequent boolean, sig long, n int")
+    return docs.select("text").mapInArrow(run, "key long, frequent boolean, sig long, n int, whole boolean")
 
 
 def _similar_sizes() -> F.Column:
@@ -204,13 +211,20 @@ def _similar_sizes() -> F.Column:
 
 
 def rare_pairs(groups: DataFrame) -> DataFrame:
-    """All (a, na, b, nb) of the rare keys; a group has at most as many sets as a rare bucket."""
+    """All (a, na, b, nb) of the rare keys that can be similar; a group has at most as many sets as a rare bucket.
+
+    If both prefixes are rare shingles alone, the keys that two sets share are all that their prefixes share. Of the two,
+    the one whose prefix ends earlier shares no other shingle of its prefix, so the shared total is at most that number
+    and the larger rest; pairs that can't reach the total they need are dropped here.
+    """
     both = groups.where("NOT frequent").select("sets", F.explode("sets").alias("x"))
     other = F.filter("sets", lambda y: y["sig"] > F.col("x")["sig"])
     pairs = both.select("x", F.explode(other).alias("y")).select(
-        F.col("x.sig").alias("a"), F.col("x.n").alias("na"), F.col("y.sig").alias("b"), F.col("y.n").alias("nb")
+        F.col("x.sig").alias("a"), F.col("x.n").alias("na"), F.col("y.sig").alias("b"), F.col("y.n").alias("nb"), (F.col("x.whole") & F.col("y.whole")).alias("whole")
     )
-    return pairs.where(_similar_sizes()).distinct()
+    counted = pairs.where(_similar_sizes()).groupBy("a", "na", "b", "nb", "whole").agg(F.count(F.lit(1)).alias("shared"))
+    rest = F.ceil(F.greatest("na", "nb") * 80 / 100) - 1
+    return counted.where(~F.col("whole") | (180 * (F.col("shared") + rest) >= 80 * (F.col("na") + F.col("nb")))).select("a", "na", "b", "nb")
 
 
 def pivot_pairs(often: DataFrame) -> DataFrame:
@@ -235,7 +249,7 @@ def near_parity(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 
 
 def needed_sets(docs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(sig, shingles) of the given sets; a bit table of fixed size spares the others the shuffle."""
+    """(sig, shingles) of the given sets, and of the few others that share their bits in a table of fixed size."""
     spark = docs.sparkSession
     width = (1 << NEED_BITS) // CHUNKS
 
@@ -265,7 +279,7 @@ def needed_sets(docs: DataFrame, sigs: DataFrame) -> DataFrame:
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sig, type=pa.int64()), pa.array(sets, type=pa.binary())], names=["sig", "shingles"])
 
-    found = docs.select("text").mapInArrow(run, "sig long, shingles binary").join(sigs.distinct(), "sig")
+    found = docs.select("text").mapInArrow(run, "sig long, shingles binary")
     return stored(found.groupBy("sig").agg(F.first("shingles").alias("shingles")), "join-sets")
 
 
@@ -335,7 +349,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     slim = described.where("sig IS NOT NULL").select("doc_id", "n", "sig", "bits")
     bits = stored(slim.where("bits IS NOT NULL").groupBy("sig").agg(F.first("bits").alias("bits")), "join-bits")
     rows = index_rows(docs, frequent_buckets(described))
-    one = F.struct("sig", "n")
+    one = F.struct("sig", "n", "whole")
     groups = rows.groupBy("key", F.when(F.col("frequent"), F.col("sig")).otherwise(F.lit(0)).alias("own"), "frequent").agg(F.collect_set(one).alias("sets"))
     groups = stored(groups.where(F.col("frequent") | (F.size("sets") > 1)), "join-groups")
     often = groups.where("frequent").select("key", F.explode("sets").alias("x")).select("key", "x.sig", "x.n")
