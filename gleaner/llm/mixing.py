@@ -143,7 +143,7 @@ def cube_sample(units: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         blocks = per.select("rank", F.ceil(F.col("k") / block_rows).alias("blocks"))
         most = blocks.agg(F.max("blocks")).first()[0] or 0
         last = most <= 1
-        dealt = fractional.join(blocks, "rank").withColumn("block", F.pmod(F.xxhash64("h", F.lit(most)), F.col("blocks")))
+        dealt = fractional.join(blocks, "rank").withColumn("block", F.pmod(F.xxhash64("h", F.lit(most)), F.col("blocks"))).repartition("rank", "block")
         moved = stored(dealt.groupBy("rank", "block").applyInPandas(_landing if last else _block, STATE), "mix-flight")
         settled = F.col("p").isin(0.0, 1.0)
         done.append(moved.where(settled).select("uid", "p"))
