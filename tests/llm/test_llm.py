@@ -129,7 +129,9 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([(found[i] >= toxicity.THRESHOLD) == bool(y) for i, y in held]) > 0.97
 
 
-def test_kneser_ney_sums_to_one(spark):
+def test_kneser_ney_sums_to_one(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_CONTEXTS", 1)
+    monkeypatch.setattr(toxicity, "LEAST_BIGRAM", 1)
     rows_ = spark.createDataFrame([("a b a b c", 0, 0), ("a c c d", 0, 1), ("x a b x y", 1, 0), ("x y x a", 1, 1)] * 6, "text string, toxic int, half int")
     words_, pairs = toxicity.collect_counts(toxicity.count_bigrams(rows_))
     model = toxicity.build_model(words_, pairs, "ab")
