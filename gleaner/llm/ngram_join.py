@@ -332,7 +332,7 @@ def rest_pairs(often: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFram
         if len(z) and len(x):
             sig, n, label, p = x["sig"].to_numpy(), x["n"].to_numpy().astype(np.int64), x["label"].to_numpy(), np.array(x["bits"].tolist(), dtype=np.int64)
             for s, m, own, q in zip(z["sig"], z["n"], z["label"], z["bits"], strict=True):
-                far = np.bitwise_count(p ^ np.asarray(q, dtype=np.int64)[None, :]).sum(axis=1, dtype=np.int64)
+                far = np.bitwise_count((p ^ np.asarray(q, dtype=np.int64)[None, :]).view(np.uint64)).sum(axis=1, dtype=np.int64)
                 at = np.flatnonzero((label != own) & (9 * far <= n + m) & (100 * np.minimum(n, m) >= 80 * np.maximum(n, m)))
                 out["a"] += np.minimum(sig[at], s).tolist()
                 out["b"] += np.maximum(sig[at], s).tolist()
