@@ -6,7 +6,7 @@ set whose first n - o + 1 shingles are all rare is indexed by those. A set with
 extended: it is indexed by all its rare shingles, and, for the frequent ones, by pairs (k = 2) if it is small and by
 single shingles (k = 1) if it is large; sizes between are indexed both ways, so any similar two share a key.
 
-The classes come from counters over all documents: each task counts shingles into a table of BUCKETS saturating bytes,
+The classes come from counters over all documents: each task counts shingles into a table of saturating counters,
 the tables are summed by Spark, and a shingle is frequent if its bucket holds more than RARE_MOST (or four times the mean
 load). A bucket holds at least what its shingles hold, so a rare key has at most that many sets, and its pairs are
 bounded. The bit table is of fixed size, so it may be broadcast. A crowded bucket only makes shingles frequent; no class
@@ -25,12 +25,14 @@ other. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle sets of texts; remembers word hashes up to a bound."""
 
-    def __init__(self, most_words: int = 400_000) -> None:
+    def __init__(self, most_words: int = 150_000) -> None:
         self.hashes: dict[bytes, int] = {}
         self.most = most_words
 
@@ -96,13 +98,14 @@ def _bucket(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
-DESCRIBED = "doc_id long, n int, sig long, bits array<long>, chunk int, counts binary"
+DESCRIBED = "doc_id long, n int, sig long, bits array<long>, chunk int, part int, counts binary"
+TABLES = 64
 
 
 def describe(docs: DataFrame) -> DataFrame:
     """A row for each document (doc_id, n, sig; bits with the first of equal sets in a task), and CHUNKS rows of counters a task."""
-    names = ["doc_id", "n", "sig", "bits", "chunk", "counts"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = ["doc_id", "n", "sig", "bits", "chunk", "part", "counts"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, dtype=np.uint16), set()
@@ -125,33 +128,48 @@ def describe(docs: DataFrame) -> DataFrame:
                 bits.append(parity(s).tolist() if first else None)
             _count(counts, fresh)
             none = [None] * len(n)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip((ids, n, sig, bits, none, none), types, strict=True)], names=names)
-        parts = np.minimum(counts, 255).astype(np.uint8).reshape(CHUNKS, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip((ids, n, sig, bits, none, none, none), types, strict=True)], names=names)
+        parts, part = counts.reshape(CHUNKS, -1), TaskContext.get().partitionId() // TABLES
         for k in range(CHUNKS):
             if parts[k].any():
-                yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip((None, None, None, None, k, parts[k].tobytes()), types, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip((None, None, None, None, k, part, _pack(parts[k])), types, strict=True)], names=names)
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, DESCRIBED), "join-described")
 
 
 def _count(counts: np.ndarray, buckets: list[np.ndarray]) -> None:
     if buckets:
-        add = np.bincount(np.concatenate(buckets), minlength=0)
-        counts[: len(add)] = np.minimum(counts[: len(add)] + add, 60000)
+        at, n = np.unique(np.concatenate(buckets), return_counts=True)
+        counts[at] = np.minimum(counts[at] + n, 60000)
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    return zlib.compress(np.minimum(counts, 60000).astype(np.uint16).tobytes(), 1)
+
+
+def _total(tables: pd.Series) -> np.ndarray:
+    total = np.zeros((1 << BUCKET_BITS) // CHUNKS, dtype=np.int64)
+    for raw in tables:
+        total += np.frombuffer(zlib.decompress(raw), dtype=np.uint16)
+    return total
+
+
+def _sum_some(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "counts": [_pack(_total(pdf["counts"]))]})
 
 
 def frequent_buckets(described: DataFrame) -> np.ndarray:
-    """One bit for each bucket: whether its shingles are of the frequent class. 2 ** BUCKET_BITS bits at any input size."""
+    """One bit for each bucket: whether its shingles are of the frequent class. 2 ** BUCKET_BITS bits at any input size.
+
+    Tables are packed, summed TABLES at a time, and the sums again, so no group holds the tables of all tasks."""
     total = described.where("sig IS NOT NULL").agg(F.sum("n")).first()[0] or 0
     most = max(RARE_MOST, 4 * total // (1 << BUCKET_BITS))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((1 << BUCKET_BITS) // CHUNKS, dtype=np.int64)
-        for raw in pdf["counts"]:
-            total += np.frombuffer(raw, dtype=np.uint8)
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [np.packbits(total > most).tobytes()]})
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [np.packbits(_total(pdf["counts"]) > most).tobytes()]})
 
-    rows = described.where("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInPandas(run, "chunk int, bits binary").collect()
+    some = described.where("chunk IS NOT NULL").select("chunk", "part", "counts").groupBy("chunk", "part").applyInPandas(_sum_some, "chunk int, counts binary")
+    rows = some.groupBy("chunk").applyInPandas(mark, "chunk int, bits binary").collect()
     bits = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS // 8), dtype=np.uint8)
     for row in rows:
         bits[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint8)
