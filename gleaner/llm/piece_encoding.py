@@ -33,7 +33,7 @@ UNITS = re.compile(f"{BAR}+[^{BAR}]+|{BAR}+")
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of new units that are indexed at once, entries of the unit memo, slots of the pair memo.
 INDEX_CHARS = 1_500_000
-MEMO_UNITS = 400_000
+MEMO_UNITS = 200_000
 MEMO_PAIRS = 1 << 21
 NEVER = np.int64(1 << 40)
 
