@@ -18,6 +18,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Iterator
 
@@ -137,6 +138,14 @@ def lookup(keys: np.ndarray, values: np.ndarray, want: np.ndarray) -> np.ndarray
     return np.where(keys[at] == want, values[at], 0)
 
 
+def _give_back() -> None:
+    """Freed memory back to the system: a worker that has met a large batch lives on beside the next ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     begin, size = 0, 0
     for k, t in enumerate(texts):
@@ -167,6 +176,8 @@ def list_batch(rows: pa.Table) -> pa.Table:
     listed = list(words) + [w for w in others if w not in words]
     known, n = add_up(np.concatenate(keys), np.concatenate(counts))
     batch = rows.column("batch")[0].as_py()
+    del texts
+    _give_back()
     return pa.Table.from_arrays(
         [
             pa.array(np.full(len(listed) + len(known), batch), type=pa.int32()),
@@ -216,6 +227,8 @@ def score_batch(rows: pa.Table, answers: pa.Table, end_count: int) -> pa.Table:
     for begin, end in _chunks(texts):
         found, begins = grams(texts[begin:end])
         score.append(np.add.reduceat(logp[places.get_indexer(found)], begins))
+    del texts, count, places, gram, logp
+    _give_back()
     return pa.Table.from_arrays(
         [rows.column("doc_id"), rows.column("trains"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score))],
         schema=SCORED,
