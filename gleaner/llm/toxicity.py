@@ -1,10 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary text, are counted from labelled documents. Both discount their
-counts and back off: bigrams to the class's continuation counts (in how many different contexts a word follows),
-and those to continuation counts pooled over both classes, so a rare expression costs either model about the same.
+Two bigram models, one of toxic and one of ordinary text, are counted from labelled documents; every word and bigram
+counts. Both discount their counts (by the counts of counts) and back off: bigrams to bigrams pooled over both classes,
+then to the class's continuation counts (in how many different contexts a word follows), and those to continuation counts
+pooled over both classes. After a context both classes leave the same mass to the backoff, the larger of what either
+would leave. So a rare expression costs either model about the same.
 A text is measured by the length-normalised difference of its two log-likelihoods, over the whole text and over its
-most toxic stretch of 1, 2 and 4 words. A logistic curve over these four numbers is the score; the threshold 0.3
+most toxic stretch of 1, 2 and 4 words, and by its most toxic word out of context (continuation probabilities alone). A
+logistic curve over these five numbers is the score; the threshold 0.3
 is put where F1 is best. Curve and threshold come from documents that the scoring model had not counted (two halves,
 each scored by the other half's model).
 
@@ -16,6 +19,7 @@ ways counts as toxic; repeated rows score alike; without labelled documents of b
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +36,8 @@ from .common import fold, stored
 
 FIT_TOXIC, FIT_ORDINARY = 4000, 12000
 DISCOUNT = 0.75
-#: Words that follow fewer contexts, and bigrams that are rarer, are left to the backoff (count cutoffs).
-LEAST_CONTEXTS, LEAST_BIGRAM = 5, 20
+#: Words that follow fewer contexts, and bigrams that are rarer, would be left to the backoff; at 1 everything counts.
+LEAST_CONTEXTS, LEAST_BIGRAM = 1, 1
 SPANS = (1, 2, 4)
 THRESHOLD = 0.3
 HELD_OUT_FOLD, FOLDS = 2, 4
@@ -84,7 +89,20 @@ class KneserNey:
     total: np.ndarray  # (2, V + 1) tokens after a context
     rest: np.ndarray  # (2, V + 1) mass that a context leaves to the backoff
     pairs: np.ndarray  # sorted v * (V + 1) + w
-    kept: np.ndarray  # (2, pairs) discounted counts
+    kept: np.ndarray  # (2, pairs) discounted counts, in single precision
+    pool: np.ndarray  # (pairs) discounted counts of both classes together
+    pool_total: np.ndarray  # (V + 1) as total and rest, of both classes together
+    pool_rest: np.ndarray
+
+    def __getstate__(self) -> dict:
+        """The arrays by pairs packed: a broadcast is a file in every executor."""
+        packed = {"pairs": np.diff(self.pairs, prepend=np.int64(0)), "kept": self.kept, "pool": self.pool}
+        return self.__dict__ | {k: (zlib.compress(np.ascontiguousarray(x), 1), x.dtype.str, x.shape) for k, x in packed.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.pairs, self.kept, self.pool = (np.frombuffer(zlib.decompress(x), dtype).reshape(shape) for x, dtype, shape in (state[k] for k in ("pairs", "kept", "pool")))
+        self.pairs = np.cumsum(self.pairs)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get, unlisted = self.words.get, len(self.words)
@@ -98,21 +116,41 @@ class KneserNey:
         key = before * size + number
         at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
         hit = self.pairs[at] == key if len(self.pairs) else np.zeros(len(key), dtype=bool)
+        of = lambda x: np.where(hit, x[at], 0.0) if len(x) else 0.0
+        pooled, left = of(self.pool) / np.maximum(self.pool_total[before], 1), np.where(self.pool_total[before] > 0, self.pool_rest[before], 1.0)
+        rest = [np.where(self.total[c][before] > 0, self.rest[c][before], 1.0) for c in (0, 1)]
+        shared = np.maximum(*rest)
         both = []
         for c in (0, 1):
-            seen = np.where(hit, self.kept[c][at], 0.0) if len(self.pairs) else 0.0
-            total = self.total[c][before]
-            both.append(np.where(total > 0, seen / np.maximum(total, 1) + self.rest[c][before] * self.p[c][number], self.p[c][number]))
+            own = 1 - rest[c]
+            seen = of(self.kept[c]) / np.maximum(self.total[c][before], 1) / np.where(own > 0, own, 1)
+            both.append((1 - shared) * seen + shared * (pooled + left * self.p[c][number]))
         return np.log(both[1]) - np.log(both[0])
 
 
-def build_model(words: pd.DataFrame, pairs: pd.DataFrame, halves: str) -> KneserNey | None:
+def discounted(counts: np.ndarray) -> np.ndarray:
+    """Counts less the discounts of modified Kneser-Ney, one each for the counts 1, 2 and more; DISCOUNT where the counts of
+    counts don't tell."""
+    of = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6).astype(float)
+    less = np.array([0, DISCOUNT, DISCOUNT, DISCOUNT])
+    if of[1:5].all():
+        y = of[1] / (of[1] + 2 * of[2])
+        less[1:] = [np.clip(k - (k + 1) * y * of[k + 1] / of[k], 0.1, k) for k in (1, 2, 3)]
+    return (counts - less[np.minimum(counts, 3).astype(np.int64)]).astype(np.float32)
+
+
+def number_words(words: pd.DataFrame) -> dict[bytes, int]:
+    return {w: i for i, w in enumerate(words["w"])}
+
+
+def build_model(words: pd.DataFrame, pairs: pd.DataFrame, halves: str, order: dict[bytes, int] | None = None) -> KneserNey | None:
     """A model of the counts of `halves` ('a', 'b' or 'ab'). None if a class has no words.
 
     words: w, then per half and class n_* (contexts it follows, of all kept words), t_* (tokens after it), and the
-    same for the halves together (n_ab0, ...); pairs: v, w and counts.
+    same for the halves together (n_ab0, ...); pairs: v, w (row numbers of words) and counts; order: number_words, where
+    models share it.
     """
-    order = {w: i for i, w in enumerate(words["w"])}
+    order = number_words(words) if order is None else order
     if START not in order:
         return None
     size = len(order) + 1
@@ -120,22 +158,23 @@ def build_model(words: pd.DataFrame, pairs: pd.DataFrame, halves: str) -> Kneser
     if not (n.sum(axis=1) > 0).all():
         return None
     pooled = n.sum(axis=0)
-    back = np.append(np.maximum(pooled - DISCOUNT, 0) / pooled.sum(), 0.0)
+    back = np.append(discounted(pooled).astype(float) / pooled.sum(), 0.0)
     back += (1 - back.sum()) / size
     p = np.zeros((2, size))
     for c in (0, 1):
-        own = np.append(np.maximum(n[c] - DISCOUNT, 0) / n[c].sum(), 0.0)
+        own = np.append(discounted(n[c]).astype(float) / n[c].sum(), 0.0)
         p[c] = own + (1 - own.sum()) * back
-    v, w = pairs["v"].map(order), pairs["w"].map(order)
-    known = (v.notna() & w.notna()).to_numpy()
-    v, w = v[known].to_numpy(dtype=np.int64), w[known].to_numpy(dtype=np.int64)
-    key = v * size + w
+    counts = np.stack([sum(pairs[f"{h}{c}"].to_numpy() for h in halves) for c in (0, 1)])
+    seen = np.flatnonzero(counts.any(axis=0))
+    v, key = pairs["v"].to_numpy()[seen], pairs["v"].to_numpy()[seen].astype(np.int64) * size + pairs["w"].to_numpy()[seen]
     by = np.argsort(key)
-    counts = np.stack([sum(pairs[f"{h}{c}"].to_numpy(dtype=float)[known] for h in halves) for c in (0, 1)])
-    kept = np.maximum(counts - DISCOUNT, 0)
+    key, v, counts = key[by], v[by], counts[:, seen[by]]
+    del seen, by
+    kept, pool = np.stack([discounted(counts[c]) for c in (0, 1)]), discounted(counts.sum(axis=0))
     total = np.stack([np.append(sum(words[f"t_{h}{c}"].to_numpy(dtype=float) for h in halves), 0.0) for c in (0, 1)])
-    rest = np.stack([1 - np.bincount(v, weights=kept[c], minlength=size) / np.maximum(total[c], 1) for c in (0, 1)])
-    return KneserNey(order, p, total, rest, key[by], kept[:, by])
+    left = lambda kept, total: 1 - np.bincount(v, weights=kept, minlength=size) / np.maximum(total, 1)
+    rest = np.stack([left(kept[c], total[c]) for c in (0, 1)])
+    return KneserNey(order, p, total, rest, key, kept, pool, total.sum(axis=0), left(pool, total.sum(axis=0)))
 
 
 def collect_counts(bigrams: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
@@ -145,19 +184,24 @@ def collect_counts(bigrams: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     follows = bigrams.groupBy("w").agg(*[one(c).alias(f"n_{c}") for c in COUNTS], *[one(f"a{c}", f"b{c}").alias(f"n_ab{c}") for c in (0, 1)])
     listed = follows.where(F.col("n_ab0") + F.col("n_ab1") >= LEAST_CONTEXTS)
     begin = after.where(F.col("w") == F.lit(bytearray(START))).select("w")
-    words = listed.select("w").unionByName(begin).join(follows, "w", "left").join(after, "w", "left").na.fill(0).toPandas()
-    pairs = bigrams.where(F.col("a0") + F.col("a1") + F.col("b0") + F.col("b1") >= LEAST_BIGRAM).toPandas()
-    for df, cols in ((words, ["w"]), (pairs, ["v", "w"])):
-        for c in cols:
-            df[c] = df[c].map(bytes)
-    return words.drop_duplicates("w", ignore_index=True), pairs
+    words = listed.select("w").unionByName(begin).distinct().join(follows, "w", "left").join(after, "w", "left").na.fill(0).toArrow()
+    listing = bigrams.sparkSession.sparkContext.broadcast(words["w"].combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = (pc.index_in(batch.column(c), value_set=listing.value) for c in ("v", "w"))
+            counts = [batch.column(c).cast(pa.int32()) for c in COUNTS]
+            yield pa.RecordBatch.from_arrays([v, w, *counts], names=["v", "w", *COUNTS]).filter(pc.and_(pc.is_valid(v), pc.is_valid(w)))
+
+    numbered = bigrams.where(F.col("a0") + F.col("a1") + F.col("b0") + F.col("b1") >= LEAST_BIGRAM).mapInArrow(run, ", ".join(f"{c} int" for c in ("v", "w", *COUNTS)))
+    return words.to_pandas(), numbered.toArrow().to_pandas(split_blocks=True, self_destruct=True)
 
 
 def measures(model: KneserNey, texts: list[str | None]) -> np.ndarray:
-    """(texts, 4): best mean ratio over stretches of SPANS words, and the mean over the text."""
+    """(texts, 5): best mean ratio over stretches of SPANS words, best of a word out of context, and the mean over the text."""
     split = [split_words(t) for t in texts]
     sizes = np.array([len(x) for x in split], dtype=np.int64)
-    out = np.zeros((len(texts), len(SPANS) + 1))
+    out = np.zeros((len(texts), len(SPANS) + 2))
     live = np.flatnonzero(sizes > 0)
     if not len(live):
         return out
@@ -176,6 +220,7 @@ def measures(model: KneserNey, texts: list[str | None]) -> np.ndarray:
         short = np.repeat(sizes[live] < k, sizes[live])
         mean = np.where((at + k <= text_end) | (short & (at == np.repeat(begins, sizes[live]))), mean, -np.inf)
         out[live, j] = np.maximum.reduceat(mean, begins)
+    out[live, -2] = np.maximum.reduceat(np.log(model.p[1][number]) - np.log(model.p[0][number]), begins)
     out[live, -1] = (sums[ends] - sums[begins]) / sizes[live]
     return out
 
@@ -215,11 +260,12 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
     words, pairs = collect_counts(count_bigrams(training))
     if not len(words):
         return None
-    model, a, b = (build_model(words, pairs, h) for h in ("ab", "a", "b"))
-    if model is None or a is None or b is None:
+    order = number_words(words)
+    a, b = (build_model(words, pairs, h, order) for h in ("a", "b"))
+    if a is None or b is None:
         return None
-    sc = docs.sparkSession.sparkContext
-    unseen = sc.broadcast((b, a))  # the model that has not counted half 0, half 1
+    unseen = docs.sparkSession.sparkContext.broadcast((b, a))  # the model that has not counted half 0, half 1
+    del a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,13 +273,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
             for h in (0, 1):
                 rows = np.flatnonzero(half == h)
                 x = measures(unseen.value[h], batch.column("text").take(pa.array(rows)).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows].astype(np.int64))], names=["m0", "m1", "m2", "m3", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows].astype(np.int64))], names=["m0", "m1", "m2", "m3", "m4", "y"])
 
-    seen = training.mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, y long").toPandas()
+    seen = training.mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, m4 double, y long").toPandas()
     y = seen.pop("y").to_numpy(dtype=float)
     if len(set(y)) < 2:
         return None
-    return model, fit_curve(seen.to_numpy(), y)
+    unseen.unpersist()
+    return build_model(words, pairs, "ab", order), fit_curve(seen.to_numpy(), y)
 
 
 def score_documents(docs: DataFrame, fitted: tuple[KneserNey, Curve] | None, text: str = "text", score: str = "score") -> DataFrame:

@@ -144,6 +144,35 @@ def test_kneser_ney_sums_to_one(spark, monkeypatch):
                 assert math.isclose(kept + model.rest[c][v], 1, abs_tol=1e-9)
 
 
+def test_toxicity_of_a_phrase_whose_word_has_one_context(spark):
+    rng = random.Random(4)
+    plain = [f"w{k}" for k in range(300)]
+    data, labels = [], []
+    for i in range(800):
+        bad = i % 5 == 0
+        text = [rng.choice(plain) for _ in range(rng.randint(20, 60))]
+        for phrase in ("quiet storm" if bad else "quiet river", "calm sea"):
+            text.insert(rng.randrange(len(text)), phrase)
+        text += ["w1", "w2"] if bad and i % 50 == 0 else []
+        data.append((i, " ".join(text)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    model, curve = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for v, w in ((b"quiet", b"storm"), (b"w1", b"w2")):
+        assert model.words[v] * model.p.shape[1] + model.words[w] in model.pairs
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, (model, curve)).collect()}
+    held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(found[i] >= toxicity.THRESHOLD) == bool(y) for i, y in held]) > 0.97
+
+
+def test_toxicity_counts_every_word_and_bigram(spark):
+    rows_ = spark.createDataFrame([("a b a b c", 0, 0), ("a c c d", 0, 1), ("x a b x y", 1, 0), ("x y x a", 1, 1)], "text string, toxic int, half int")
+    words_, pairs = toxicity.collect_counts(toxicity.count_bigrams(rows_))
+    assert set(words_["w"]) == {b"", b"a", b"b", b"c", b"d", b"x", b"y"}
+    found = {(words_["w"][v], words_["w"][w]): n for v, w, *n in pairs[["v", "w", *toxicity.COUNTS]].itertuples(index=False)}
+    assert len(found) == 12 and found[(b"a", b"b")] == [2, 1, 0, 0] and found[(b"c", b"d")] == [0, 0, 1, 0]
+
+
 def test_toxicity_on_odd_rows(spark, odd):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.fit(odd, none) is None
