@@ -50,14 +50,25 @@ SAMPLE_ROLES = {"Role of": ("of the", "of"), "Role und": ("und die", "und"), **d
            SELECT doc_id, CASE WHEN contains(f, ' of the ') THEN 'of the' WHEN contains(f, ' of ') THEN 'of' END AS of_keyword,
              CASE WHEN contains(f, ' und die ') THEN 'und die' WHEN contains(f, ' und ') THEN 'und' END AS und_keyword FROM a""")
 def role_gate(spark, d):
-    matches = gate.role_matches(F.substring("text", 1, 200), SAMPLE_ROLES)
+    return _picked(t(spark, d, "documents"), F.substring("text", 1, 200))
+
+
+def _picked(documents, text):
+    matches = gate.role_matches(text, SAMPLE_ROLES)
     pick = lambda role: F.get(F.filter(matches, lambda m: m["role"] == role), 0)["keyword"]
-    return t(spark, d, "documents").select("doc_id", pick("Role of").alias("of_keyword"), pick("Role und").alias("und_keyword"))
+    return documents.select("doc_id", pick("Role of").alias("of_keyword"), pick("Role und").alias("und_keyword"))
+
+
+@query(None)
+def role_gate_whole(spark, d):
+    """role_gate over whole texts; the SQL of role_gate sees 200 characters."""
+    return _picked(t(spark, d, "documents"), F.col("text"))
 
 
 @query(None)
 def gate_reasons(spark, d):
-    return gate.gate(t(spark, d, "documents").withColumn("title", F.substring("text", 1, 200)), "title", "text", SAMPLE_ROLES).groupBy("reason", "language").agg(F.count(F.lit(1)).alias("n"))
+    documents = t(spark, d, "documents").withColumn("body", F.lit(None).cast("string"))  # the role text is the whole text
+    return gate.gate(documents, "text", "body", SAMPLE_ROLES).groupBy("reason", "language").agg(F.count(F.lit(1)).alias("n"))
 
 
 COLOURS = {"red": "Red", "blue": "Blue", "green": "Green", "ivory": "Ivory", "small": "Small"}
