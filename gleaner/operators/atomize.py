@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import json_digest, label_key
+from ..functions import dictionaries
+from ..functions.text import fold, json_digest, label_key
 
 SEPARATORS = r"\s*[,;|/\n]\s*|\s+&\s+|\s+and\s+"
 
@@ -51,9 +52,14 @@ def canonical_skills(values: Column, aliases: dict[str, tuple[str, ...]]) -> Col
     return F.array_distinct(F.flatten(F.transform(values, lambda v: F.coalesce(table[label_key(v)], F.array(v)))))
 
 
-def category(name: Column, groups: dict[str, tuple[str, ...]], default: str = "other") -> Column:
+def category(name: Column, groups: dict[str, tuple[str, ...]], default: str | Column = "other", key=label_key) -> Column:
     """The first group that lists a name."""
     out = F.lit(default)
     for group, names in reversed(groups.items()):
-        out = F.when(label_key(name).isin(*names), F.lit(group)).otherwise(out)
+        out = F.when(key(name).isin(*names), F.lit(group)).otherwise(out)
     return out
+
+
+def skill_category(name: Column) -> Column:
+    """The category of a core skill, else the group of a skill."""
+    return category(name, dictionaries.CORE_SKILLS, category(name, dictionaries.SKILL_GROUPS, key=fold))
