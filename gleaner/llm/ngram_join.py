@@ -333,17 +333,25 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def rest_pairs(often: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
-    """Near (by parity) pairs of frequent keys across components: sets outside a key's main component meet all other
-    components of the key, block by block."""
+def rest_blocks(often: DataFrame, labels: DataFrame, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, part, block, sig, n, label, bits) of the sets outside a key's main component and of all sets of the key. Both
+    sides are cut: a (key, part, block) holds about BLOCK_ROWS of either."""
     rows = often.join(labels, "sig", "left").select("key", "sig", "n", F.coalesce("label", "sig").alias("label"))
     rows = stored(rows, "join-often")
     sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("rows"))
-    mixed = sizes.where("labels > 1").select("key", F.col("m.label").alias("main"), F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
+    mixed = sizes.where("labels > 1").select("key", F.col("m.label").alias("main"), F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil((F.col("rows") - F.col("m.k")) / BLOCK_ROWS).cast("int").alias("parts"))
     placed = rows.join(mixed, "key").join(bits, "sig")
-    every = placed.withColumn("block", F.pmod("sig", F.col("blocks")).cast("int")).select("key", "block", "sig", "n", "label", "bits")
-    minor = placed.where("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    minor = minor.select(*[F.col(c).alias(c) for c in ("key", "block", "sig", "n", "label", "bits")])
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = [F.col(c).alias(c) for c in ("key", "part", "block", "sig", "n", "label", "bits")]
+    every = placed.withColumn("block", F.pmod("sig", F.col("blocks")).cast("int")).withColumn("part", each("parts")).select(*columns)
+    minor = placed.where("label <> main").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")).withColumn("block", each("blocks")).select(*columns)
+    return minor, every
+
+
+def rest_pairs(often: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
+    """Near (by parity) pairs of frequent keys across components: sets outside a key's main component meet all other
+    components of the key, block by block."""
+    minor, every = rest_blocks(often, labels, bits)
 
     def run(z: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = {"a": [], "na": [], "b": [], "nb": []}
@@ -358,7 +366,7 @@ def rest_pairs(often: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFram
                 out["nb"] += np.where(sig[at] < s, m, n[at]).tolist()
         return pd.DataFrame(out)
 
-    return minor.groupBy("key", "block").cogroup(every.groupBy("key", "block")).applyInPandas(run, "a long, na int, b long, nb int").distinct()
+    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "a long, na int, b long, nb int").distinct()
 
 
 def join_documents(docs: DataFrame) -> DataFrame:

@@ -422,6 +422,26 @@ def test_join_equals_brute_force(spark, monkeypatch, rare_most, seed):
     assert found == brute_components(texts)
 
 
+def test_join_in_small_blocks_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "RARE_MOST", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 4)
+    texts = near_copies(3, 12, 12, 4)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_documents(frame).collect()}
+    assert found == brute_components(texts)
+
+
+def test_frequent_keys_are_cut_on_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 32)
+    often = spark.range(1000).select(F.lit(7).cast("long").alias("key"), F.xxhash64("id").alias("sig"), F.lit(20).alias("n"))
+    bits = often.select("sig", F.array(F.lit(0).cast("long")).alias("bits"))
+    minor, every = ngram_join.rest_blocks(often, spark.createDataFrame([], "sig long, label long"), bits)
+    for side in (minor, every):
+        assert side.groupBy("key", "part", "block").count().agg(F.max("count")).first()[0] <= 3 * 32
+    met = minor.join(every.select("key", "part", "block", F.col("sig").alias("other")), ["key", "part", "block"]).select("sig", "other")
+    assert met.distinct().count() == met.count() == 999 * 1000
+
+
 def test_join_keeps_one_of_each_group(spark, odd):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
