@@ -3,8 +3,8 @@
 Vectors are cut into two halves, each quantised by its own small codebook (k-means over a bounded sample). A pair of
 centroids is a cell; every vector is indexed in its cell. A query walks the cells by the sum of its two centroid
 products, best first, with a heap over the two sorted lists, until the cells passed hold `fraction` of all vectors
-(`least` at least). The cells of one first centroid form a group, cut into blocks of bounded size; a block meets the
-queries that visit one of its cells in one task, and candidates are reranked by the exact product of the original vectors
+(`least` at least). The cells of one first centroid form a group, cut into blocks of bounded size; queries are cut into
+blocks too, and a block meets those queries of a query block that visit its group in one task, and candidates are reranked by the exact product of the original vectors
 in double precision. A block gives at most top + 1 rows for a query.
 
 Equal vectors tie on every query, so of a group of equal vectors only the top + 1 smallest ids can be in a result: the
@@ -38,6 +38,7 @@ class Settings:
     fraction: float = 0.7
     least: int = 400
     block_rows: int = 65536
+    query_rows: int = 16384
     rounds: int = 12
 
 
@@ -129,6 +130,7 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
     blocks = np.maximum(1, -(-held.reshape(-1, width).sum(axis=1) // s.block_rows))
     wanted = max(s.least, s.fraction * held.sum())
     plan = spark.sparkContext.broadcast((held, blocks))
+    asked_blocks = max(1, -(-asked.count() // s.query_rows))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -144,10 +146,11 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
                             out[name].append(value)
             yield pd.DataFrame(out)
 
-    asking = asked.mapInPandas(visits, "part int, block int, key long, cells array<int>, q array<float>")
+    asking = asked.mapInPandas(visits, "part int, block int, key long, cells array<int>, q array<float>").withColumn("asked", F.pmod(F.xxhash64("key"), F.lit(asked_blocks)).cast("int"))
     part = F.floor(F.col("cell") / width).cast("int")
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), part + 1)
     placed = cells.select(part.alias("part"), F.pmod(F.xxhash64("vec_id"), block_of).cast("int").alias("block"), "vec_id", "x", (F.col("cell") % width).alias("at"))
+    placed = placed.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
 
     def rerank(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -165,7 +168,7 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
                     out.append(pd.DataFrame({"key": key, "vec_id": ids[best], "score": row[best]}))
         return pd.concat(out) if out else pd.DataFrame({"key": [], "vec_id": [], "score": []})
 
-    found = asking.groupBy("part", "block").cogroup(placed.groupBy("part", "block")).applyInPandas(rerank, "key long, vec_id long, score double")
+    found = asking.groupBy("part", "block", "asked").cogroup(placed.groupBy("part", "block", "asked")).applyInPandas(rerank, "key long, vec_id long, score double")
     order = [F.desc("score"), F.asc("vec_id")]
     best = found.withColumn("_n", F.row_number().over(W.partitionBy("key").orderBy(*order))).where(F.col("_n") <= keep).drop("_n")
     members = queries.join(asked, "x").select(F.col("vec_id").alias("query_id"), "key")

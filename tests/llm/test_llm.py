@@ -303,6 +303,15 @@ def test_nearest_with_ties_and_bad_vectors(spark):
     assert nearest.search(none, none).count() == 0
 
 
+def test_nearest_in_query_blocks(spark):
+    rng = np.random.default_rng(6)
+    data = [(i, [float(v) for v in x]) for i, x in enumerate(rng.normal(size=(1200, 8)).astype(np.float32))]
+    vectors = nearest.usable(spark.createDataFrame(data, "vec_id long, embedding array<float>"))
+    found = nearest.search(vectors, vectors.where("vec_id % 20 = 0"), nearest.Settings(least=1200, block_rows=50, query_rows=7)).toPandas()
+    for q, best in brute_nearest({i: np.array(x) for i, x in data}, 20).items():
+        assert found[found["query_id"] == q].sort_values("rank")["vec_id"].tolist() == [i for _, i in best]
+
+
 # -- quality rules -------------------------------------------------------------------------------------------------
 def brute_metrics(text):
     import re
