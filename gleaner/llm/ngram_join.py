@@ -1,26 +1,34 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Prefix filtering with token combinations. Shingles are ordered rare class first, then by hash. If two sets of sizes n and m
-are similar, each shares at least o = ceil(0.8 n) of its shingles, so their first n - o + k shingles share k or more. A
-set whose first n - o + 1 shingles are all rare is indexed by those. A set with fewer rare shingles has its prefix
-extended: it is indexed by all its rare shingles, and, for the frequent ones, by pairs (k = 2) if it is small and by
-single shingles (k = 1) if it is large; sizes between are indexed both ways, so any similar two share a key.
-
-The classes come from counters over all documents: each task counts shingles into a table of saturating counters,
-the tables are summed by Spark, and a shingle is frequent if its bucket holds more than RARE_MOST (or four times the mean
-load). A bucket holds at least what its shingles hold, so a rare key has at most that many sets, and its pairs are
-bounded. The bit table is of fixed size, so it may be broadcast. A crowded bucket only makes shingles frequent; no class
-is ever wrong for the result.
-
-Candidates are checked exactly: first by how many keys they share, then by parity bits (the distance of two parity strings bounds the symmetric difference
-from below), then by intersecting the full sets. Keys of the frequent class may be shared by very many sets. There each
-set meets the key's pivot; only sets that are not in the component of most of the key's sets then meet, in blocks, those
-of other components. Links inside one component change nothing, so no component is lost. Exact copies (equal sets) are one
-set throughout, known by a 64-bit fingerprint of all shingles and their number.
+Prefix filtering with token combinations. Shingles are ordered by class, rare first, then by hash. If two sets of sizes n
+and m are similar, each shares at least o = ceil(0.8 n) of its shingles, so their first n - o + 1 shingles share one. A
+set whose first n - o + 1 shingles are all rare is indexed by those, one by one. A set with r rare shingles, fewer than
+that, has its prefix extended: it is indexed by its rare shingles and by k-combinations of frequent ones. Not all
+combinations are needed: similar sets differ by at most one shingle for each four that they share, so if they share no
+rare shingle, k shingles that both hold stand side by side in the order of both (four sets of three divided by four
+differences hold thirteen shingles at most); `reach` bounds how far into the frequent part the first such run can end.
+So a set has less than n combinations, at any size. Sets of up to PAIRS_UPTO shingles use k = 2, larger ones k = LONG_K,
+and those from LONG_FROM on both, so that similar sets always have a k in common.
+
+The classes come from counters over all documents: each task counts shingles into a table of counters, Spark sums the
+tables, and a shingle's class is the logarithm of its bucket's count; it is rare if the bucket holds at most
+2 ** RARE_CLASS sets. A bucket holds at least what its shingles hold, so a rare key has at most that many sets at any
+size of the input, and its pairs are bounded. The class table is of fixed size, so it may be broadcast. A crowded bucket
+only makes shingles frequent; no class is ever wrong for the result.
+
+Candidates of rare keys are checked exactly: first by how many keys they share, then by parity bits (the distance of two
+parity strings bounds the symmetric difference from below), then by intersecting the full sets. Keys of combinations may
+be shared by very many sets. There each set meets the key's pivot (for every second key the set with the least share of
+rare shingles, which is what edited copies have in common). Links inside one component change nothing, so afterwards only
+sets outside the component of most of the key's sets are still to be joined: in blocks, first by parity alone, to find the
+sets that have a possible partner at all, then those by their full sets. A block gives a spanning forest of its links,
+never all pairs. Exact copies (equal sets) are one set throughout, known by a 64-bit fingerprint of all shingles and
+their number. Texts are shingled once; the sets are stored.
 
 Defined results: words split at blank and U+0009 to U+000D, A-Z lower-cased; fewer than five words form one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; repeated rows are copies; a null id is larger than any
-other. An empty table gives an empty result.
+other; a text of any length is one set. Columns other than doc_id and text don't enter; keep_one keeps them, whatever
+their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,11 +49,12 @@ from .common import stored
 WIDTH = 5
 BUCKET_BITS = 24
 CHUNKS = 64
-RARE_MOST = 32
-PAIRS_UPTO, SINGLES_FROM = 128, 102  # sizes indexed by pairs, by single shingles; SINGLES_FROM <= 0.8 * PAIRS_UPTO
+RARE_CLASS = 5  # rare: at most 32 sets in the bucket
+PAIRS_UPTO, LONG_FROM, LONG_K = 40, 32, 4  # LONG_FROM <= 0.8 * PAIRS_UPTO
 PARITY_WORDS = 16
 NEED_BITS = 26
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,41 +107,43 @@ def _bucket(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
-DESCRIBED = "doc_id long, n int, sig long, bits array<long>, chunk int, part int, counts binary"
+DESCRIBED = "doc_id long, n int, sig long, bits array<long>, shingles binary, chunk int, part int, counts binary"
 TABLES = 64
+BATCH_ROWS = 1000
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """A row for each document (doc_id, n, sig; bits with the first of equal sets in a task), and CHUNKS rows of counters a task."""
-    names = ["doc_id", "n", "sig", "bits", "chunk", "part", "counts"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary()]
+    """A row for each document (doc_id, n, sig; bits and shingles with the first of equal sets in a task), and CHUNKS rows of
+    counters a task."""
+    types = {"doc_id": pa.int64(), "n": pa.int32(), "sig": pa.int64(), "bits": pa.list_(pa.int64()), "shingles": pa.binary(), "chunk": pa.int32(), "part": pa.int32(), "counts": pa.binary()}
+
+    def made(**columns: list) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * size), type=t) for c, t in types.items()], names=list(types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, dtype=np.uint16), set()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            n, sig, bits, fresh, size = [], [], [], [], 0
-            for text in batch.column("text"):
-                s = shingler.of(text.as_py())
-                f = fingerprint(s)
-                first = len(s) > 0 and f not in seen
-                if first:
-                    seen.add(f)
-                    fresh.append(_bucket(s))
-                    size += len(s)
-                    if size > 1_000_000:
-                        _count(counts, fresh)
-                        fresh, size = [], 0
-                n.append(len(s))
-                sig.append(f)
-                bits.append(parity(s).tolist() if first else None)
-            _count(counts, fresh)
-            none = [None] * len(n)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip((ids, n, sig, bits, none, none, none), types, strict=True)], names=names)
+            for begin in range(0, len(ids), BATCH_ROWS):
+                n, sig, bits, sets, fresh = [], [], [], [], []
+                for text in batch.column("text").slice(begin, BATCH_ROWS):
+                    s = shingler.of(text.as_py())
+                    f = fingerprint(s)
+                    first = len(s) > 0 and f not in seen
+                    if first:
+                        seen.add(f)
+                        fresh.append(_bucket(s))
+                    n.append(len(s))
+                    sig.append(f)
+                    bits.append(parity(s).tolist() if first else None)
+                    sets.append(s.tobytes() if first else None)
+                _count(counts, fresh)
+                yield made(doc_id=ids[begin : begin + BATCH_ROWS], n=n, sig=sig, bits=bits, shingles=sets)
         parts, part = counts.reshape(CHUNKS, -1), TaskContext.get().partitionId() // TABLES
         for k in range(CHUNKS):
             if parts[k].any():
-                yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip((None, None, None, None, k, part, _pack(parts[k])), types, strict=True)], names=names)
+                yield made(chunk=[k], part=[part], counts=[_pack(parts[k])])
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, DESCRIBED), "join-described")
 
@@ -158,76 +169,85 @@ def _sum_some(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "counts": [_pack(_total(pdf["counts"]))]})
 
 
-def frequent_buckets(described: DataFrame) -> np.ndarray:
-    """One bit for each bucket: whether its shingles are of the frequent class. 2 ** BUCKET_BITS bits at any input size.
+def _mark(pdf: pd.DataFrame) -> pd.DataFrame:
+    classes = np.ceil(np.log2(np.maximum(_total(pdf["counts"]), 1))).astype(np.uint8)
+    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "classes": [zlib.compress(classes.tobytes(), 1)]})
 
-    Tables are packed, summed TABLES at a time, and the sums again, so no group holds the tables of all tasks."""
-    total = described.where("sig IS NOT NULL").agg(F.sum("n")).first()[0] or 0
-    most = max(RARE_MOST, 4 * total // (1 << BUCKET_BITS))
 
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [np.packbits(_total(pdf["counts"]) > most).tobytes()]})
+def shingle_classes(described: DataFrame) -> np.ndarray:
+    """The class of each bucket: ceil(log2(sets in it)). 2 ** BUCKET_BITS bytes at any input size.
 
+    Tables are packed, summed TABLES at a time, and the sums again, so no group holds the tables of all tasks."""
     some = described.where("chunk IS NOT NULL").select("chunk", "part", "counts").groupBy("chunk", "part").applyInPandas(_sum_some, "chunk int, counts binary")
-    rows = some.groupBy("chunk").applyInPandas(mark, "chunk int, bits binary").collect()
-    bits = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS // 8), dtype=np.uint8)
-    for row in rows:
-        bits[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return bits.reshape(-1)
+    classes = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), dtype=np.uint8)
+    for row in some.groupBy("chunk").applyInPandas(_mark, "chunk int, classes binary").collect():  # CHUNKS rows
+        classes[row["chunk"]] = np.frombuffer(zlib.decompress(row["classes"]), dtype=np.uint8)
+    return classes.reshape(-1)
 
 
 def _prefix(n: int) -> int:
     return n - -(-80 * n // 100) + 1
 
 
-def index_keys(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rare keys, frequent keys) of a set; `frequent` marks its shingles of the frequent class."""
-    n = len(s)
-    o = -(-80 * n // 100)
-    rare, often = s[~frequent], s[frequent]
-    if len(rare) >= n - o + 1:
-        return rare[: n - o + 1], often[:0]
+def reach(n: int, rare: int, k: int) -> int:
+    """How many frequent shingles of a set of n, `rare` of them rare, must be indexed by k in a row.
+
+    Let a similar set share none of the rare ones. Of n, x >= rare are not shared; the n - x shared ones allow at most
+    (n - x) // 4 differences on both sides together, so at most (n - x) // 4 - rare among the frequent ones. Before the first k shared
+    ones in a row end, each difference closes at most k - 1 shared ones."""
+    x = np.arange(rare, n // 5 + 1)
+    return int((x - rare + (k - 1) * ((n - x) // 4 - rare)).max()) + k
+
+
+def index_keys(s: np.ndarray, classes: np.ndarray, rare_class: int = RARE_CLASS) -> tuple[np.ndarray, np.ndarray, int]:
+    """(rare keys, keys of combinations, number of rare shingles) of a set with the classes of its shingles."""
+    n, order = len(s), np.lexsort((s, classes))
+    s, rare = s[order], int((classes <= rare_class).sum())
+    if rare >= _prefix(n):
+        return s[: _prefix(n)], s[:0], rare
     keys = []
-    if n <= PAIRS_UPTO:
-        part = often[: n - o + 2 - len(rare)]
-        a, b = np.triu_indices(len(part), 1)
-        keys.append(_mix(part[a] * _STEP + part[b]))
-    if n >= SINGLES_FROM or n - o + 2 > n:  # too small for pairs: one or two shingles have no second to share
-        keys.append(often[: n - o + 1 - len(rare)])
-    return rare, np.concatenate(keys) if keys else often[:0]
+    for k in [2] * (n <= PAIRS_UPTO) + [LONG_K] * (n >= LONG_FROM):
+        part = s[rare : rare + reach(n, rare, k)]
+        key = np.full(max(len(part) - k + 1, 0), k, dtype=np.uint64)
+        for j in range(k):
+            key = key * _STEP + part[j : j + len(key)]
+        keys.append(_mix(key))
+    return s[:rare], np.concatenate(keys), rare
 
 
-def index_rows(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(key, frequent, sig, n, whole), each set once a task; whole: the set's prefix is rare shingles alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+def index_rows(described: DataFrame, classes: np.ndarray, rare_class: int) -> DataFrame:
+    """(key, frequent, sig, n, rare), each set once a task."""
+    shared = described.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen, marks = Shingler(), set(), np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            keys, often, sig, size, whole = [], [], [], [], []
-            for text in batch.column("text"):
-                s = shingler.of(text.as_py())
-                f = fingerprint(s)
-                if len(s) and f not in seen:
-                    seen.add(f)
-                    found = index_keys(s, marks[_bucket(s)])
-                    full = len(found[1]) == 0 and len(found[0]) == _prefix(len(s))
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(begin, BATCH_ROWS)
+                keys, often, sig, size, rare = [], [], [], [], []
+                for f, raw in zip(part.column("sig").to_pylist(), part.column("shingles"), strict=True):
+                    s = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                    *found, r = index_keys(s, shared.value[_bucket(s)], rare_class)
                     for kind, k in enumerate(found):
                         keys.append(k.astype(np.int64))
-                        whole.append(np.full(len(k), full))
                         often.append(np.full(len(k), bool(kind)))
                         sig.append(np.full(len(k), f))
                         size.append(np.full(len(k), len(s), dtype=np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size, whole)], names=["key", "frequent", "sig", "n", "whole"])
+                        rare.append(np.full(len(k), r, dtype=np.int32))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size, rare)], names=["key", "frequent", "sig", "n", "rare"])
 
-    return docs.select("text").mapInArrow(run, "key long, frequent boolean, sig long, n int, whole boolean")
+    return described.where("shingles IS NOT NULL").select("sig", "shingles").mapInArrow(run, "key long, frequent boolean, sig long, n int, rare int")
 
 
 def _similar_sizes() -> F.Column:
     return (F.lit(100) * F.least("na", "nb")) >= (F.lit(80) * F.greatest("na", "nb"))
 
 
+def _all_rare(x: F.Column) -> F.Column:
+    """Whether the prefix of a set is rare shingles alone."""
+    return x["rare"] > x["n"] - F.ceil(x["n"] * 80 / 100)
+
+
 def rare_pairs(groups: DataFrame) -> DataFrame:
     """All (a, na, b, nb) of the rare keys that can be similar; a group has at most as many sets as a rare bucket.
 
@@ -238,7 +258,7 @@ def rare_pairs(groups: DataFrame) -> DataFrame:
     both = groups.where("NOT frequent").select("sets", F.explode("sets").alias("x"))
     other = F.filter("sets", lambda y: y["sig"] > F.col("x")["sig"])
     pairs = both.select("x", F.explode(other).alias("y")).select(
-        F.col("x.sig").alias("a"), F.col("x.n").alias("na"), F.col("y.sig").alias("b"), F.col("y.n").alias("nb"), (F.col("x.whole") & F.col("y.whole")).alias("whole")
+        F.col("x.sig").alias("a"), F.col("x.n").alias("na"), F.col("y.sig").alias("b"), F.col("y.n").alias("nb"), (_all_rare(F.col("x")) & _all_rare(F.col("y"))).alias("whole")
     )
     counted = pairs.where(_similar_sizes()).groupBy("a", "na", "b", "nb", "whole").agg(F.count(F.lit(1)).alias("shared"))
     rest = F.ceil(F.greatest("na", "nb") * 80 / 100) - 1
@@ -246,16 +266,19 @@ def rare_pairs(groups: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(often: DataFrame) -> DataFrame:
-    """Each set of a frequent key with the key's pivot; pivots differ by key."""
-    order = F.struct(F.xxhash64(F.pmod("key", F.lit(8)), "sig").alias("h"), F.col("sig").alias("a"), F.col("n").alias("na"))
-    pivots = often.groupBy("key").agg(F.min(order).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "p.a", "p.na")
-    pairs = often.join(pivots, "key").where("a <> sig")
+    """Each set of a key of combinations with the key's pivot; pivots differ by key. Pairs that could be similar only by
+    sharing rare shingles are left to the rare keys."""
+    by_rare = F.when(F.pmod("key", F.lit(2)) == 0, F.col("rare") / F.col("n")).otherwise(0.0)
+    order = F.struct(by_rare.alias("q"), F.xxhash64(F.pmod("key", F.lit(8)), "sig").alias("h"), F.col("sig").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra"))
+    pivots = often.groupBy("key").agg(F.min(order).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "p.a", "p.na", "p.ra")
+    within = F.least(F.col("n") - F.col("rare"), F.col("na") - F.col("ra"))
+    pairs = often.join(pivots, "key").where((F.col("a") != F.col("sig")) & (180 * within >= 80 * (F.col("n") + F.col("na"))))
     return pairs.select(
         F.least("a", "sig").alias("a"),
         F.when(F.col("a") < F.col("sig"), F.col("na")).otherwise(F.col("n")).alias("na"),
         F.greatest("a", "sig").alias("b"),
         F.when(F.col("a") < F.col("sig"), F.col("n")).otherwise(F.col("na")).alias("nb"),
-    ).where(_similar_sizes()).distinct()
+    ).distinct()
 
 
 def near_parity(pairs: DataFrame, bits: DataFrame) -> DataFrame:
@@ -266,9 +289,9 @@ def near_parity(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(9 * far <= F.col("na") + F.col("nb")).select("a", "na", "b", "nb")
 
 
-def needed_sets(docs: DataFrame, sigs: DataFrame) -> DataFrame:
+def needed_sets(described: DataFrame, sigs: DataFrame) -> DataFrame:
     """(sig, shingles) of the given sets, and of the few others that share their bits in a table of fixed size."""
-    spark = docs.sparkSession
+    spark = described.sparkSession
     width = (1 << NEED_BITS) // CHUNKS
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -279,28 +302,24 @@ def needed_sets(docs: DataFrame, sigs: DataFrame) -> DataFrame:
     bucket = F.pmod("sig", F.lit(1 << NEED_BITS))
     marked = sigs.select(bucket.alias("bucket")).distinct().withColumn("chunk", F.floor(F.col("bucket") / width).cast("int"))
     table = np.zeros((CHUNKS, width // 8), dtype=np.uint8)
-    for row in marked.groupBy("chunk").applyInPandas(pack, "chunk int, bits binary").collect():
+    for row in marked.groupBy("chunk").applyInPandas(pack, "chunk int, bits binary").collect():  # CHUNKS rows
         table[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint8)
     shared = spark.sparkContext.broadcast(table.reshape(-1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen, marks = Shingler(), set(), shared.value
         for batch in batches:
-            sig, sets = [], []
-            for text in batch.column("text"):
-                s = shingler.of(text.as_py())
-                f = fingerprint(s)
-                at = f % (1 << NEED_BITS)
-                if len(s) and f not in seen and marks[at >> 3] >> (7 - (at & 7)) & 1:
-                    seen.add(f)
-                    sig.append(f)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sig, type=pa.int64()), pa.array(sets, type=pa.binary())], names=["sig", "shingles"])
+            at = batch.column("sig").to_numpy() % (1 << NEED_BITS)
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
 
-    found = docs.select("text").mapInArrow(run, "sig long, shingles binary")
+    found = described.where("shingles IS NOT NULL").select("sig", "shingles").mapInArrow(run, "sig long, shingles binary")
     return stored(found.groupBy("sig").agg(F.first("shingles").alias("shingles")), "join-sets")
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= 80 * (len(x) + len(y) - shared)
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) whose full sets are similar."""
     a = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
@@ -308,11 +327,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
+            ok = [_similar(*(np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in pair)) for pair in zip(batch.column("sa"), batch.column("sb"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, type=pa.bool_()))
 
     return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
@@ -333,59 +348,91 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def rest_blocks(often: DataFrame, labels: DataFrame, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, part, block, sig, n, label, bits) of the sets outside a key's main component and of all sets of the key. Both
-    sides are cut: a (key, part, block) holds about BLOCK_ROWS of either."""
-    rows = often.join(labels, "sig", "left").select("key", "sig", "n", F.coalesce("label", "sig").alias("label"))
-    rows = stored(rows, "join-often")
-    sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("rows"))
-    mixed = sizes.where("labels > 1").select("key", F.col("m.label").alias("main"), F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil((F.col("rows") - F.col("m.k")) / BLOCK_ROWS).cast("int").alias("parts"))
-    placed = rows.join(mixed, "key").join(bits, "sig")
+def rest_blocks(often: DataFrame, what: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, part, block, sig, n, rare, label, + the columns of `what`) of the sets outside a key's main component and of all sets
+    of the key; often has labels. Both sides are cut: a (key, part, block) holds about BLOCK_ROWS rows or BLOCK_SHINGLES
+    shingles of either."""
+    sizes = often.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "s", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("k"), F.sum("s").alias("s"))
+    cut = lambda k, s: F.greatest(F.ceil(k / BLOCK_ROWS), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    mixed = sizes.where("labels > 1").select("key", F.col("m.label").alias("main"), cut(F.col("k"), F.col("s")).alias("blocks"), cut(F.col("k") - F.col("m.k"), F.col("s") - F.col("m.s")).alias("parts"))
+    placed = often.join(mixed, "key").join(what, "sig")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = [F.col(c).alias(c) for c in ("key", "part", "block", "sig", "n", "label", "bits")]
+    columns = [F.col(c).alias(c) for c in ("key", "part", "block", "sig", "n", "rare", "label", *(c for c in what.columns if c != "sig"))]
     every = placed.withColumn("block", F.pmod("sig", F.col("blocks")).cast("int")).withColumn("part", each("parts")).select(*columns)
     minor = placed.where("label <> main").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")).withColumn("block", each("blocks")).select(*columns)
     return minor, every
 
 
-def rest_pairs(often: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
-    """Near (by parity) pairs of frequent keys across components: sets outside a key's main component meet all other
-    components of the key, block by block."""
-    minor, every = rest_blocks(often, labels, bits)
+def _partners(z: pd.DataFrame, x: pd.DataFrame, bits_z: np.ndarray, bits_x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of z, the rows of x of other components that may be similar without sharing rare shingles."""
+    n, often, label = (x[c].to_numpy().astype(np.int64) for c in ("n", "rare", "label"))
+    often = n - often
+    for i, (m, r, own) in enumerate(zip(z["n"], z["rare"], z["label"], strict=True)):
+        at = np.flatnonzero((label != own) & (180 * np.minimum(often, m - r) >= 80 * (n + m)))
+        far = np.bitwise_count((bits_x[at] ^ bits_z[i][None, :]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        yield i, at[9 * far <= n[at] + m]
+
+
+def possible_rest(often: DataFrame, bits: DataFrame) -> DataFrame:
+    """The (key, sig) of labelled rows that have a partner of another component in their key as far as parity tells."""
+    minor, every = rest_blocks(often, bits)
 
     def run(z: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = {"a": [], "na": [], "b": [], "nb": []}
+        found: set[int] = set()
         if len(z) and len(x):
-            sig, n, label, p = x["sig"].to_numpy(), x["n"].to_numpy().astype(np.int64), x["label"].to_numpy(), np.array(x["bits"].tolist(), dtype=np.int64)
-            for s, m, own, q in zip(z["sig"], z["n"], z["label"], z["bits"], strict=True):
-                far = np.bitwise_count((p ^ np.asarray(q, dtype=np.int64)[None, :]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-                at = np.flatnonzero((label != own) & (9 * far <= n + m) & (100 * np.minimum(n, m) >= 80 * np.maximum(n, m)))
-                out["a"] += np.minimum(sig[at], s).tolist()
-                out["b"] += np.maximum(sig[at], s).tolist()
-                out["na"] += np.where(sig[at] < s, n[at], m).tolist()
-                out["nb"] += np.where(sig[at] < s, m, n[at]).tolist()
-        return pd.DataFrame(out)
+            sig = x["sig"].to_numpy()
+            for i, at in _partners(z, x, *(np.array(y["bits"].tolist(), dtype=np.int64) for y in (z, x))):
+                found.update(sig[at].tolist(), [z["sig"].iloc[i]] if len(at) else [])
+        return pd.DataFrame({"key": np.full(len(found), x["key"].iloc[0] if len(x) else 0, dtype=np.int64), "sig": np.array(sorted(found), dtype=np.int64)})
+
+    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "key long, sig long").distinct()
 
-    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "a long, na int, b long, nb int").distinct()
 
+def rest_links(often: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of similar sets of different components, block by block; of each block a spanning forest of them."""
+    minor, every = rest_blocks(often, sets)
+
+    def run(z: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        links: list[tuple[int, int]] = []
+        if len(z) and len(x):
+            own, other = ([np.frombuffer(s, dtype=np.uint64) for s in y["shingles"]] for y in (z, x))
+            head: dict[int, int] = {}
 
-def join_documents(docs: DataFrame) -> DataFrame:
+            def find(label: int) -> int:
+                while head.get(label, label) != label:
+                    label = head[label]
+                return label
+
+            for i, at in _partners(z, x, *(np.stack([parity(s) for s in sets_]) for sets_ in (own, other))):
+                for j in at:
+                    a, b = find(z["label"].iloc[i]), find(x["label"].iloc[j])
+                    if a != b and _similar(own[i], other[j]):
+                        head[max(a, b)] = min(a, b)
+                        links.append((min(z["sig"].iloc[i], x["sig"].iloc[j]), max(z["sig"].iloc[i], x["sig"].iloc[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "a long, b long").distinct()
+
+
+def join_documents(docs: DataFrame, rare_class: int = RARE_CLASS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of (doc_id, text)."""
     described = describe(docs)
     slim = described.where("sig IS NOT NULL").select("doc_id", "n", "sig", "bits")
     bits = stored(slim.where("bits IS NOT NULL").groupBy("sig").agg(F.first("bits").alias("bits")), "join-bits")
-    rows = index_rows(docs, frequent_buckets(described))
-    one = F.struct("sig", "n", "whole")
+    rows = index_rows(described, shingle_classes(described), rare_class)
+    one = F.struct("sig", "n", "rare")
     groups = rows.groupBy("key", F.when(F.col("frequent"), F.col("sig")).otherwise(F.lit(0)).alias("own"), "frequent").agg(F.collect_set(one).alias("sets"))
     groups = stored(groups.where(F.col("frequent") | (F.size("sets") > 1)), "join-groups")
-    often = groups.where("frequent").select("key", F.explode("sets").alias("x")).select("key", "x.sig", "x.n")
+    often = groups.where("frequent").select("key", F.explode("sets").alias("x")).select("key", "x.sig", "x.n", "x.rare")
     near = stored(near_parity(rare_pairs(groups).unionByName(pivot_pairs(often)).distinct(), bits), "join-near")
-    needed = near.select(F.col("a").alias("sig")).unionByName(near.select(F.col("b").alias("sig"))).unionByName(often.select("sig")).distinct()
-    sets = needed_sets(docs, needed)
+    sets = needed_sets(described, near.select(F.col("a").alias("sig")).unionByName(near.select(F.col("b").alias("sig"))).distinct())
     links = stored(verify(near, sets), "join-links")
-    labels = components(links)
-    more = verify(rest_pairs(often, labels, bits), sets)
-    links = stored(links.unionByName(more), "join-links")
+    labelled = often.join(components(links), "sig", "left").select("key", "sig", "n", "rare", F.coalesce("label", "sig").alias("label"))
+    labelled = stored(labelled, "join-often")
+    possible = stored(possible_rest(labelled, bits), "join-possible")
+    sets = needed_sets(described, possible.select("sig").distinct())
+    links = stored(links.unionByName(rest_links(labelled.join(possible, ["key", "sig"], "left_semi"), sets)), "join-links")
     labels = components(links)
     sigs = slim.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first")).join(labels, "sig", "left").select("sig", "first", F.coalesce("label", "sig").alias("label"))
     sigs = stored(sigs, "join-sigs")

@@ -422,29 +422,73 @@ def near_copies(seed, groups, size, most):
     return texts
 
 
-@pytest.mark.parametrize("rare_most,seed", [(32, 1), (2, 2), (2, 3)])
-def test_join_equals_brute_force(spark, monkeypatch, rare_most, seed):
-    monkeypatch.setattr(ngram_join, "RARE_MOST", rare_most)
-    texts = near_copies(seed, 12, 12, 4) | {9000: None, 9001: "", 9002: "one two", 9003: "One  TWO", 9004: "one two three"}
+def joined(spark, texts, **settings):
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_documents(frame).collect()}
-    assert found == brute_components(texts)
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_documents(frame, **settings).collect()}
+
+
+@pytest.mark.parametrize("rare_class,seed", [(5, 1), (1, 2), (0, 3)])
+def test_join_equals_brute_force(spark, rare_class, seed):
+    texts = near_copies(seed, 12, 12, 4) | {9000: None, 9001: "", 9002: "one two", 9003: "One  TWO", 9004: "one two three"}
+    assert joined(spark, texts, rare_class=rare_class) == brute_components(texts)
 
 
 def test_join_in_small_blocks_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "RARE_MOST", 2)
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 4)
     texts = near_copies(3, 12, 12, 4)
-    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_documents(frame).collect()}
-    assert found == brute_components(texts)
-
-
-def test_frequent_keys_are_cut_on_both_sides(spark, monkeypatch):
+    assert joined(spark, texts, rare_class=0) == brute_components(texts)
+
+
+def test_join_of_a_hot_group_without_a_hub(spark, monkeypatch):
+    """Copies of one base that differ more from each other than from the base, sets above 128 shingles, and unrelated texts with one common passage."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 16)
+    rng = random.Random(9)
+    texts, base, passage = {}, [f"v{k}" for k in range(220)], " ".join(f"c{k}" for k in range(60))
+    for i in range(60):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), 7 if i % 2 else 4):
+            copy[at] = f"u{rng.randrange(10**6)}"
+        texts[i] = " ".join(copy)
+    for i in range(100, 160):
+        texts[i] = passage + " " + " ".join(f"x{rng.randrange(10**6)}" for _ in range(rng.randint(4, 40)))
+    assert joined(spark, texts, rare_class=1) == brute_components(texts)
+
+
+def test_reach_of_combinations():
+    """No placing of differences keeps similar sets from sharing k neighbours within reach."""
+    rng = random.Random(7)
+    for _ in range(3000):
+        common = rng.randint(4, 80)
+        differences = rng.randint(0, common // 4)
+        order = ["c"] * common + ["x" if rng.random() < 0.5 else "y" for _ in range(differences)]
+        if rng.random() < 0.5:
+            rng.shuffle(order)
+        else:  # one difference after each three
+            c, d = order[:common], order[common:]
+            order = []
+            while c:
+                order += c[:3] + d[:1]
+                c, d = c[3:], d[1:]
+        rare = rng.randint(0, 3)
+        front = order[:rare] if all(o != "c" for o in order[:rare]) else []
+        sides = []
+        for mark in "xy":
+            own = [(o, i) for i, o in enumerate(order) if o in ("c", mark)]
+            sides.append((own, sum(1 for o in front if o == mark)))
+        for k in [2] * (max(len(s) for s, _ in sides) <= ngram_join.PAIRS_UPTO) + [4] * (min(len(s) for s, _ in sides) >= ngram_join.LONG_FROM):
+            if not differences and common < k:
+                continue
+            keys = []
+            for own, r in sides:
+                places = [i for _, i in own][r:][: ngram_join.reach(len(own), r, k)]
+                keys.append({tuple(places[j : j + k]) for j in range(len(places) - k + 1)})
+            assert keys[0] & keys[1], (order, k)
+
+
+def test_keys_of_combinations_are_cut_on_both_sides(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 32)
-    often = spark.range(1000).select(F.lit(7).cast("long").alias("key"), F.xxhash64("id").alias("sig"), F.lit(20).alias("n"))
-    bits = often.select("sig", F.array(F.lit(0).cast("long")).alias("bits"))
-    minor, every = ngram_join.rest_blocks(often, spark.createDataFrame([], "sig long, label long"), bits)
+    often = spark.range(1000).select(F.lit(7).cast("long").alias("key"), F.xxhash64("id").alias("sig"), F.lit(20).alias("n"), F.lit(0).alias("rare"), F.xxhash64("id").alias("label"))
+    minor, every = ngram_join.rest_blocks(often, often.select("sig", F.array(F.lit(0).cast("long")).alias("bits")))
     for side in (minor, every):
         assert side.groupBy("key", "part", "block").count().agg(F.max("count")).first()[0] <= 3 * 32
     met = minor.join(every.select("key", "part", "block", F.col("sig").alias("other")), ["key", "part", "block"]).select("sig", "other")
