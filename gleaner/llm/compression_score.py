@@ -6,14 +6,18 @@ byte shorter, where the symbols that the longer context has seen are excluded; b
 yet excluded share what is left evenly. A text's score is the log10 probability of its bytes and its end.
 
 With fixed counts, the code length of a position depends on its ORDER bytes and its symbol alone, so a text's score is a
-sum over its (ORDER + 1)-grams. Documents are dealt into batches of about BATCH_BYTES by a hash. Each batch lists its
-distinct words and grams with their training counts; grouping these lists by key gives the corpus counts, by context
-suffix the code lengths; joining them back gives each batch what it asked for. Nothing of the model is broadcast but
-the two shortest context levels (at most 257 * 257 entries).
+sum over its (ORDER + 1)-grams. Each task cuts its documents, as they come, into batches of about BATCH_BYTES, and packs a
+batch's documents and its distinct words and grams with their training counts into a few compressed rows: one for the documents, one
+for each part of the words and for each part of the grams. Texts aren't shuffled to be counted, and equal documents may
+lie in any batch. Grams are dealt into parts by the last SUFFIX bytes of their contexts. A part has all grams of its
+suffixes, hence whole counts of the contexts of SUFFIX bytes and more; it gives every batch's list back with a
+log10 probability for each entry. Shorter contexts come from a table of at most 257 ** SUFFIX entries, the only part of
+the model that is broadcast; one suffix has at most 256 ** (ORDER - SUFFIX) * 257 distinct grams, however long the corpus.
+The number of parts grows with the text, so that a part has about PART_BYTES of text behind it.
 
 Defined results: null texts are empty and consist of the end alone; words split at blank and U+0009 to U+000D; the same
-row twice is scored twice and trains twice; without training documents every gram costs log10(1/257). An empty table
-gives an empty result.
+row twice is scored twice and trains twice; a text longer than a batch is a batch by itself; without training documents
+every gram costs log10(1/257). Columns other than doc_id and text don't enter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +30,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from .common import fold, stored
@@ -37,7 +44,10 @@ BATCH_BYTES = 20_000_000
 CHUNK_BYTES = 1_000_000
 FOLDS, HELD_OUT = 10, 0
 SMOOTH = 0.1
-DEALT = 8  # groups of context suffixes for each shuffle partition
+SUFFIX = 3
+PARTS, PART_BYTES = 64, 50_000_000
+SLICES = 16  # of the table of short contexts
+DOCS, WORDS, GRAMS, SHORT = 0, 1, 2, 3  # kinds of packed rows
 
 
 def _prepare(text: str | None) -> bytes:
@@ -68,30 +78,25 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Levels:
-    """Counts of the contexts of each length; entries sorted by context << 9 | symbol."""
+    """Counts of the contexts of each length; entries sorted by context << 9 | symbol. `base` has the shorter contexts."""
 
-    def __init__(self, gram: np.ndarray, count: np.ndarray, least: int, shorter: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        self.entries: list[tuple[np.ndarray, np.ndarray]] = list(shorter)
+    def __init__(self, gram: np.ndarray, count: np.ndarray, lengths: range, base: Levels | None = None) -> None:
+        self.entries: list[tuple[np.ndarray, np.ndarray]] = list(base.entries) if base else []
+        self.contexts = list(base.contexts) if base else []
+        self.excluded: list[np.ndarray] = list(base.excluded) if base else []  # symbols of a context take this much from the next shorter one
         seen = count > 0
         context, symbol, count = gram[seen] >> 9, gram[seen] & 511, count[seen]
-        for k in range(least, ORDER + 1):
-            self.entries.append(add_up(((context & ((1 << (8 * k)) - 1)) << 9) | symbol, count))
-        self.contexts = []
-        for keys, counts in self.entries:
+        for k in lengths:
+            keys, counts = add_up(((context & ((1 << (8 * k)) - 1)) << 9) | symbol, count)
+            self.entries.append((keys, counts))
             ctx, at = np.unique(keys >> 9, return_index=True)
-            ends = np.append(at[1:], len(keys))
+            ends = np.append(at[1:], len(keys)).astype(np.int64)
             sums = np.concatenate(([0], np.cumsum(counts)))
             self.contexts.append((ctx, sums[ends] - sums[at], ends - at))
-        # symbols of a context take this much from the next shorter context
-        self.excluded: list[np.ndarray] = []
-        for k in range(1, len(self.entries)):
-            keys, _ = self.entries[k]
-            short = (((keys >> 9) & ((1 << (8 * (k - 1))) - 1)) << 9) | (keys & 511)
-            taken = lookup(*self.entries[k - 1], short)
-            sums = np.concatenate(([0], np.cumsum(taken)))
-            ctx, _, distinct = self.contexts[k]
-            ends = np.cumsum(distinct)
-            self.excluded.append(sums[ends] - sums[ends - distinct])
+            if k:
+                short = (((keys >> 9) & ((1 << (8 * (k - 1))) - 1)) << 9) | (keys & 511)
+                taken = np.concatenate(([0], np.cumsum(lookup(*self.entries[k - 1], short))))
+                self.excluded.append(taken[ends] - taken[at])
 
     def log10(self, gram: np.ndarray) -> np.ndarray:
         """log10 probability of each gram."""
@@ -157,11 +162,66 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-ASKED = pa.schema([("batch", pa.int32()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+def turn(gram: np.ndarray) -> np.ndarray:
+    """Grams with the last SUFFIX bytes of the context in front, so that those of a part lie close together."""
+    low, older = 8 * SUFFIX, 8 * (ORDER - SUFFIX)
+    context = gram >> 9
+    return ((context & ((1 << low) - 1)) << (older + 9)) | ((context >> low) << 9) | (gram & 511)
+
+
+def turn_back(turned: np.ndarray) -> np.ndarray:
+    low, older = 8 * SUFFIX, 8 * (ORDER - SUFFIX)
+    return (((turned >> 9) & ((1 << older) - 1)) << (low + 9)) | ((turned >> (older + 9)) << 9) | (turned & 511)
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Integers, byte by byte of equal weight, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<i8")
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    return pack(np.diff(x, prepend=np.int64(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw))
+
+
+def pack_values(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Few different doubles: the doubles, and which one each is."""
+    values, code = np.unique(x, return_inverse=True)
+    return pack(values.view(np.int64)), pack(code)
+
 
+PACKED = {"batch": pa.int64(), "kind": pa.int32(), "part": pa.int32(), "keys": pa.binary(), "values": pa.binary(), "codes": pa.binary(), "total": pa.int64(), "distinct": pa.int64()}
+PACKED_DDL = "batch long, kind int, part int, keys binary, values binary, codes binary, total long, distinct long"
 
-def list_batch(rows: pa.Table) -> pa.Table:
-    """The distinct words and grams of a batch, with their counts in its training documents."""
+
+def packed(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [[] for _ in PACKED]
+    return pa.table({name: pa.array(c, type=t) for (name, t), c in zip(PACKED.items(), columns, strict=True)})
+
+
+def _slices(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part with the places of its members, in their order."""
+    order = np.argsort(part, kind="stable")
+    named, at = np.unique(part[order], return_index=True)
+    for p, begin, end in zip(named, at, [*at[1:], len(order)], strict=False):
+        yield int(p), order[begin:end]
+
+
+def pack_batch(rows: pa.Table, batch: int, parts: int) -> Iterator[tuple]:
+    """Rows of PACKED of a batch: its documents, its distinct words and grams with their counts in its training documents,
+    and the counts of its short contexts."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    yield batch, DOCS, 0, sink.getvalue().to_pybytes(), None, None, 0, 0
     words: Counter = Counter()
     others: set = set()
     keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
@@ -170,54 +230,120 @@ def list_batch(rows: pa.Table) -> pa.Table:
         for text in texts:
             (words if trained else others).update(text.split())
         for begin, end in _chunks(texts):
-            known, n = np.unique(grams(texts[begin:end])[0], return_counts=True)
+            known, n = np.unique(turn(grams(texts[begin:end])[0]), return_counts=True)
             keys.append(known)
             counts.append(n if trained else np.zeros_like(n))
+        del texts
     listed = list(words) + [w for w in others if w not in words]
+    if listed:
+        n = np.array([words[w] for w in listed], dtype=np.int64)
+        for part, at in _slices(np.array([xxhash.xxh3_64_intdigest(w) % parts for w in listed])):
+            yield batch, WORDS, part, zstandard.ZstdCompressor(level=1).compress(b"\n".join([listed[i] for i in at])), pack(n[at]), None, 0, 0
     known, n = add_up(np.concatenate(keys), np.concatenate(counts))
-    batch = rows.column("batch")[0].as_py()
-    del texts
-    _give_back()
-    return pa.Table.from_arrays(
-        [
-            pa.array(np.full(len(listed) + len(known), batch), type=pa.int32()),
-            pa.concat_arrays([pa.array(listed, type=pa.binary()), pa.nulls(len(known), pa.binary())]),
-            pa.concat_arrays([pa.nulls(len(listed), pa.int64()), pa.array(known)]),
-            pa.array(np.concatenate(([words[w] for w in listed], n)).astype(np.int64)),
-        ],
-        schema=ASKED,
-    )
+    del keys, counts, words, others, listed
+    suffix = known >> (8 * (ORDER - SUFFIX) + 9)
+    for part, at in _slices((suffix * 0x9E3779B1 >> 24) % parts):
+        yield batch, GRAMS, part, pack_sorted(known[at]), pack(n[at]), None, 0, 0
+    context = (1 << (8 * (SUFFIX - 1))) - 1
+    short, n = add_up(((suffix & context) << 9 | known & 511)[n > 0], n[n > 0])
+    for part, at in _slices((short >> 9) % SLICES):
+        yield batch, SHORT, part, pack_sorted(short[at]), pack(n[at]), None, 0, 0
+
+
+def pack_documents(docs: DataFrame, batch_bytes: int, parts: int) -> DataFrame:
+    """Stored rows of PACKED, from (doc_id, text, trains); each task makes batches of what it reads."""
+
+    def run(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, number = [], 0, TaskContext.get().partitionId() << 24
+
+        def made() -> Iterator[pa.RecordBatch]:
+            for row in pack_batch(pa.Table.from_batches(held), number, parts):
+                yield from packed([row]).to_batches()
+            _give_back()
+
+        for batch in arriving:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy()
+            begin = 0
+            for k in range(batch.num_rows):
+                if size and size + sizes[k] > batch_bytes:
+                    held.append(batch.slice(begin, k - begin))
+                    yield from made()
+                    held, size, number, begin = [], 0, number + 1, k
+                size += int(sizes[k]) + 1
+            held.append(batch.slice(begin))
+        if size:
+            yield from made()
+
+    return stored(docs.mapInArrow(run, PACKED_DDL), "ppm-packed")
+
+
+def _sum_words(rows: pa.Table) -> pa.Table:
+    """Each batch's list of a part of the words with the counts over all batches; the first row has the part's totals."""
+    lists = [pa.array(zstandard.ZstdDecompressor().decompress(k).split(b"\n"), pa.binary()) for k in rows.column("keys").to_pylist()]
+    counts = pa.array(np.concatenate([unpack(v) for v in rows.column("values").to_pylist()]))
+    summed = pa.table({"w": pa.concat_arrays(lists), "n": counts}).group_by("w").aggregate([("n", "sum")])
+    known, n = summed.column("w").combine_chunks(), summed.column("n_sum").to_numpy()
+    out = []
+    for k, (batch, part, keys) in enumerate(zip(*[rows.column(c).to_pylist() for c in ("batch", "part", "keys")], strict=True)):
+        found = n[pa.compute.index_in(lists[k], value_set=known).to_numpy()]
+        out.append((batch, WORDS, part, keys, pack(found), None, int(n.sum()) if k == 0 else 0, int((n > 0).sum()) if k == 0 else 0))
+    return packed(out)
+
+
+def _sum_short(rows: pa.Table) -> pa.Table:
+    keys, counts = ([f(x) for x in rows.column(c).to_pylist()] for c, f in (("keys", unpack_sorted), ("values", unpack)))
+    known, n = add_up(np.concatenate(keys), np.concatenate(counts))
+    return packed([(0, SHORT, rows.column("part")[0].as_py(), pack_sorted(known), pack(n), None, 0, 0)])
+
 
+def short_contexts(asked: DataFrame, batches: int) -> Levels:
+    """The contexts of fewer than SUFFIX bytes. Batches are summed some at a time, then the sums."""
+    some = asked.where(F.col("kind") == SHORT).groupBy("part", F.pmod("batch", F.lit(int(batches**0.5) + 1))).applyInArrow(_sum_short, PACKED_DDL)
+    rows = some.groupBy("part").applyInArrow(_sum_short, PACKED_DDL).collect()  # SLICES rows, 257 ** SUFFIX entries at most
+    none = [np.zeros(0, dtype=np.int64)]
+    known, n = add_up(np.concatenate(none + [unpack_sorted(r["keys"]) for r in rows]), np.concatenate(none + [unpack(r["values"]) for r in rows]))
+    return Levels(known, n, range(SUFFIX))
 
-def code_lengths(asked: DataFrame) -> DataFrame:
-    """(gram, logp) of every gram of the batches' lists."""
-    spark = asked.sparkSession
-    totals = stored(asked.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")), "ppm-grams")
-    context, symbol = F.shiftright("gram", 9), F.col("gram").bitwiseAND(F.lit(511))
-    short = totals.where("n > 0").groupBy(context.bitwiseAND(F.lit(255)).alias("c"), symbol.alias("s")).agg(F.sum("n").alias("n")).toPandas()  # 257 * 257 rows at most
-    one = add_up((short["c"].to_numpy(dtype=np.int64) << 9) | short["s"].to_numpy(dtype=np.int64), short["n"].to_numpy(dtype=np.int64))
-    shorter = spark.sparkContext.broadcast([add_up(one[0] & 511, one[1]), one])
-    parts = DEALT * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def code_lengths(asked: DataFrame, batches: int, parts: int) -> DataFrame:
+    """The GRAMS rows of `asked`, with the log10 probability of each entry in values and codes."""
+    base = asked.sparkSession.sparkContext.broadcast(short_contexts(asked, batches))
 
     def run(rows: pa.Table) -> pa.Table:
-        gram, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-        return pa.table({"gram": gram, "logp": Levels(gram, n, 2, shorter.value).log10(gram)})
+        lists = [unpack_sorted(k) for k in rows.column("keys").to_pylist()]
+        known, n = add_up(np.concatenate(lists), np.concatenate([unpack(v) for v in rows.column("values").to_pylist()]))
+        gram = turn_back(known)
+        logp = Levels(gram, n, range(SUFFIX, ORDER + 1), base.value).log10(gram)
+        out = []
+        for listed, (batch, part, keys) in zip(lists, zip(*[rows.column(c).to_pylist() for c in ("batch", "part", "keys")], strict=True), strict=True):
+            out.append((batch, GRAMS, part, keys, *pack_values(logp[np.searchsorted(known, listed)]), 0, 0))
+        return packed(out)
+
+    return _dealt(asked.where(F.col("kind") == GRAMS), parts, "part").applyInArrow(run, PACKED_DDL)
 
-    dealt = totals.withColumn("part", F.pmod(F.xxhash64(context.bitwiseAND(F.lit(65535))), F.lit(parts)))
-    return dealt.groupBy("part").applyInArrow(run, "gram long, logp double")
+
+def _dealt(rows: DataFrame, tasks: int, by: str) -> GroupedData:
+    """Packed rows are few bytes but much work: the number of tasks is stated, or adaptive execution would put all into one."""
+    return rows.repartition(tasks, by).groupBy(by)
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("trains", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_sum", pa.float64()), ("score", pa.float64())])
 
 
-def score_batch(rows: pa.Table, answers: pa.Table, end_count: int) -> pa.Table:
-    """Scores of a batch's documents; base_sum is the sum of log10(c + SMOOTH) over the tokens."""
-    texts = [_prepare(t.as_py()) for t in rows.column("text")]
-    is_word = answers.column("word").is_valid()
-    for_words, for_grams = answers.filter(is_word), answers.filter(pa.compute.invert(is_word))
-    count = dict(zip(for_words.column("word").to_pylist(), for_words.column("c").to_pylist(), strict=True))
-    gram, logp = for_grams.column("gram").to_numpy(), for_grams.column("logp").to_numpy()
-    places = pd.Index(gram)
+def score_batch(rows: pa.Table, end_count: int) -> pa.Table:
+    """Scores of a batch's documents, from all its packed rows; base_sum is the sum of log10(c + SMOOTH) over the tokens."""
+    count: dict[bytes, int] = {}
+    turned, logp, docs = [], [], None
+    for kind, keys, values, codes in zip(*[rows.column(c).to_pylist() for c in ("kind", "keys", "values", "codes")], strict=True):
+        if kind == DOCS:
+            docs = pa.ipc.open_stream(keys).read_all()
+        elif kind == WORDS:
+            count.update(zip(zstandard.ZstdDecompressor().decompress(keys).split(b"\n"), unpack(values).tolist(), strict=True))
+        else:
+            turned.append(unpack_sorted(keys))
+            logp.append(unpack(values).view(np.float64)[unpack(codes)])
+    places, logp = pd.Index(np.concatenate(turned)), np.concatenate(logp)
+    texts = [_prepare(t.as_py()) for t in docs.column("text")]
     n_tokens, n_known, base, score = [], [], [], []
     for text in texts:
         c = np.array([count[w] for w in text.split()] + [end_count], dtype=np.float64)
@@ -226,38 +352,26 @@ def score_batch(rows: pa.Table, answers: pa.Table, end_count: int) -> pa.Table:
         base.append(float(np.log10(c + SMOOTH).sum()))
     for begin, end in _chunks(texts):
         found, begins = grams(texts[begin:end])
-        score.append(np.add.reduceat(logp[places.get_indexer(found)], begins))
-    del texts, count, places, gram, logp
+        score.append(np.add.reduceat(logp[places.get_indexer(turn(found))], begins))
+    columns = [docs.column("doc_id"), docs.column("trains"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score))]
+    del texts, count, places, turned, logp, docs
     _give_back()
-    return pa.Table.from_arrays(
-        [rows.column("doc_id"), rows.column("trains"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score))],
-        schema=SCORED,
-    )
+    return pa.Table.from_arrays(columns, schema=SCORED)
 
 
 def score_documents(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of (doc_id, text)."""
     trains = fold(F.col("doc_id"), FOLDS) != HELD_OUT
     totals = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(trains, 1))).first()
-    batches = max(1, -(-(totals[0] or 0) // batch_bytes))
-    end_count = totals[1]
-    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int")
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", trains.alias("trains"), key.alias("batch"))
-    asked = stored(dealt.groupBy("batch").applyInArrow(list_batch, "batch int, word binary, gram long, n long"), "ppm-asked")
-    words = stored(asked.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "ppm-words")
-    size = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
-    train_tokens = (size[0] or 0) + end_count
-    distinct = size[1] + (1 if end_count else 0)
-    nothing = lambda kind: F.lit(None).cast(kind)
-    word_answers = asked.where("word IS NOT NULL").join(words, "word").select("batch", "word", nothing("long").alias("gram"), "c", nothing("double").alias("logp"))
-    lengths = stored(code_lengths(asked), "ppm-lengths")
-    gram_answers = asked.where("gram IS NOT NULL").join(lengths, "gram").select("batch", nothing("binary").alias("word"), "gram", nothing("long").alias("c"), "logp")
-    answers = word_answers.unionByName(gram_answers)
-    scored = (
-        dealt.groupBy("batch")
-        .cogroup(answers.groupBy("batch"))
-        .applyInArrow(lambda rows, found: score_batch(rows, found, end_count), "doc_id long, trains boolean, n_tokens long, n_known long, base_sum double, score double")
-    )
+    size, end_count = totals[0] or 0, totals[1]
+    parts, batches = max(PARTS, size // PART_BYTES), size // batch_bytes
+    asked = pack_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", trains.alias("trains")), batch_bytes, parts)
+    words = stored(_dealt(asked.where(F.col("kind") == WORDS), parts, "part").applyInArrow(_sum_words, PACKED_DDL), "ppm-words")
+    trained = words.agg(F.sum("total"), F.sum("distinct")).first()
+    train_tokens = (trained[0] or 0) + end_count
+    distinct = (trained[1] or 0) + (1 if end_count else 0)
+    answers = asked.where(F.col("kind") == DOCS).unionByName(words).unionByName(code_lengths(asked, batches, parts))
+    scored = _dealt(answers, max(PARTS, batches), "batch").applyInArrow(lambda rows: score_batch(rows, end_count), "doc_id long, trains boolean, n_tokens long, n_known long, base_sum double, score double")
     scale = float(np.log10(train_tokens + SMOOTH * (distinct + 1)))
     return scored.select(
         "doc_id",

@@ -223,6 +223,29 @@ def test_ppm_equals_brute_force(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
 
 
+def test_packed_lists_come_back():
+    rng = np.random.default_rng(8)
+    gram = np.unique(rng.integers(0, 1 << 49, 5000))
+    assert (compression_score.turn_back(compression_score.turn(gram)) == gram).all()
+    for x in (np.sort(compression_score.turn(gram)), gram[:0]):
+        assert (compression_score.unpack_sorted(compression_score.pack_sorted(x)) == x).all()
+    values, codes = compression_score.pack_values(np.array([-0.5, 0.0, -0.5]))
+    assert compression_score.unpack(values).view(float)[compression_score.unpack(codes)].tolist() == [-0.5, 0.0, -0.5]
+
+
+def test_ppm_of_one_batch_and_many_equals(spark, docs):
+    some = docs.select("doc_id", "text")
+    found = [{r["doc_id"]: r for r in compression_score.score_documents(some, batch_bytes=b).collect()} for b in (30_000, 20_000_000)]
+    for i, r in found[0].items():
+        assert all(math.isclose(r[c], found[1][i][c], rel_tol=1e-9) for c in ("score", "base_score", "n_tokens", "n_known", "train_tokens"))
+
+
+def test_ppm_without_training(spark):
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    found = compression_score.score_documents(spark.createDataFrame([(i, "abc") for i in held], "doc_id long, text string")).collect()
+    assert all(math.isclose(r["score"], -4 * math.log10(257)) and r["n_known"] == 0 and r["train_tokens"] == 0 for r in found)
+
+
 def test_ppm_on_odd_rows(spark, odd):
     assert compression_score.score_documents(odd.select("doc_id", "text")).count() == 8
     assert compression_score.score_documents(odd.limit(0).select("doc_id", "text")).count() == 0
