@@ -23,7 +23,8 @@ rare shingles, which is what edited copies have in common). Links inside one com
 sets outside the component of most of the key's sets are still to be joined: in blocks, first by parity alone, to find the
 sets that have a possible partner at all, then those by their full sets. A block gives a spanning forest of its links,
 never all pairs. Exact copies (equal sets) are one set throughout, known by a 64-bit fingerprint of all shingles and
-their number. Texts are shingled once; the sets are stored.
+their number. Texts are shingled once, with hashes of 64 bits; the sets are stored with 48 bits of each, so that two of 10^5
+shingles are taken for one with a chance of some 10^-5 when a pair is checked.
 
 Defined results: words split at blank and U+0009 to U+000D, A-Z lower-cased; fewer than five words form one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; repeated rows are copies; a null id is larger than any
@@ -53,6 +54,7 @@ RARE_CLASS = 5  # rare: at most 32 sets in the bucket
 PAIRS_UPTO, LONG_FROM, LONG_K = 40, 32, 4  # LONG_FROM <= 0.8 * PAIRS_UPTO
 PARITY_WORDS = 16
 NEED_BITS = 26
+STORED_BYTES = 6
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -103,8 +105,19 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def to_bytes(s: np.ndarray) -> bytes:
+    """The upper STORED_BYTES bytes of each hash, byte by byte of equal weight: the first ones rise slowly and compress well."""
+    return np.ascontiguousarray(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :STORED_BYTES].T).tobytes()
+
+
+def from_bytes(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // STORED_BYTES, 8), dtype=np.uint8)
+    out[:, :STORED_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(STORED_BYTES, -1).T
+    return out.reshape(-1).view(">u8").astype(np.uint64)
+
+
 def _bucket(s: np.ndarray) -> np.ndarray:
-    return (s & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+    return (s >> np.uint64(16) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
 DESCRIBED = "doc_id long, n int, sig long, bits array<long>, shingles binary, chunk int, part int, counts binary"
@@ -137,7 +150,7 @@ def describe(docs: DataFrame) -> DataFrame:
                     n.append(len(s))
                     sig.append(f)
                     bits.append(parity(s).tolist() if first else None)
-                    sets.append(s.tobytes() if first else None)
+                    sets.append(to_bytes(s) if first else None)
                 _count(counts, fresh)
                 yield made(doc_id=ids[begin : begin + BATCH_ROWS], n=n, sig=sig, bits=bits, shingles=sets)
         parts, part = counts.reshape(CHUNKS, -1), TaskContext.get().partitionId() // TABLES
@@ -225,7 +238,7 @@ def index_rows(described: DataFrame, classes: np.ndarray, rare_class: int) -> Da
                 part = batch.slice(begin, BATCH_ROWS)
                 keys, often, sig, size, rare = [], [], [], [], []
                 for f, raw in zip(part.column("sig").to_pylist(), part.column("shingles"), strict=True):
-                    s = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                    s = from_bytes(raw.as_py())
                     *found, r = index_keys(s, shared.value[_bucket(s)], rare_class)
                     for kind, k in enumerate(found):
                         keys.append(k.astype(np.int64))
@@ -327,7 +340,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [_similar(*(np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in pair)) for pair in zip(batch.column("sa"), batch.column("sb"), strict=True)]
+            ok = [_similar(*(from_bytes(v.as_py()) for v in pair)) for pair in zip(batch.column("sa"), batch.column("sb"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, type=pa.bool_()))
 
     return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
@@ -349,70 +362,90 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def rest_blocks(often: DataFrame, what: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, part, block, sig, n, rare, label, + the columns of `what`) of the sets outside a key's main component and of all sets
-    of the key; often has labels. Both sides are cut: a (key, part, block) holds about BLOCK_ROWS rows or BLOCK_SHINGLES
-    shingles of either."""
+    """(slot, part, block, key, sig, n, rare, label, + the columns of `what`) of the sets outside a key's main component and of all
+    sets of the key; often has labels. Both sides are cut: a key has about BLOCK_ROWS rows or BLOCK_SHINGLES shingles of
+    either in a (slot, part, block). Keys of one block share slots, so that there are not more groups than work."""
     sizes = often.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
     sizes = sizes.groupBy("key").agg(F.max(F.struct("k", "s", "label")).alias("m"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("k"), F.sum("s").alias("s"))
     cut = lambda k, s: F.greatest(F.ceil(k / BLOCK_ROWS), F.ceil(s / BLOCK_SHINGLES)).cast("int")
-    mixed = sizes.where("labels > 1").select("key", F.col("m.label").alias("main"), cut(F.col("k"), F.col("s")).alias("blocks"), cut(F.col("k") - F.col("m.k"), F.col("s") - F.col("m.s")).alias("parts"))
-    placed = often.join(mixed, "key").join(what, "sig")
+    mixed = sizes.where("labels > 1").select("key", "k", "s", F.col("m.label").alias("main"), cut(F.col("k"), F.col("s")).alias("blocks"), cut(F.col("k") - F.col("m.k"), F.col("s") - F.col("m.s")).alias("parts"))
+    mixed = stored(mixed, "join-mixed")
+    slots = mixed.agg(F.greatest(F.ceil(F.sum("k") / BLOCK_ROWS), F.ceil(F.sum("s") / BLOCK_SHINGLES))).first()[0] or 1
+    slot = F.when((F.col("blocks") == 1) & (F.col("parts") == 1), F.pmod(F.xxhash64("key"), F.lit(int(slots)))).otherwise(F.col("key"))
+    placed = often.join(mixed.drop("k", "s"), "key").join(what, "sig").withColumn("slot", slot)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = [F.col(c).alias(c) for c in ("key", "part", "block", "sig", "n", "rare", "label", *(c for c in what.columns if c != "sig"))]
+    columns = [F.col(c).alias(c) for c in ("slot", "part", "block", "key", "sig", "n", "rare", "label", *(c for c in what.columns if c != "sig"))]
     every = placed.withColumn("block", F.pmod("sig", F.col("blocks")).cast("int")).withColumn("part", each("parts")).select(*columns)
     minor = placed.where("label <> main").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")).withColumn("block", each("blocks")).select(*columns)
     return minor, every
 
 
-def _partners(z: pd.DataFrame, x: pd.DataFrame, bits_z: np.ndarray, bits_x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of z, the rows of x of other components that may be similar without sharing rare shingles."""
-    n, often, label = (x[c].to_numpy().astype(np.int64) for c in ("n", "rare", "label"))
-    often = n - often
-    for i, (m, r, own) in enumerate(zip(z["n"], z["rare"], z["label"], strict=True)):
-        at = np.flatnonzero((label != own) & (180 * np.minimum(often, m - r) >= 80 * (n + m)))
-        far = np.bitwise_count((bits_x[at] ^ bits_z[i][None, :]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-        yield i, at[9 * far <= n[at] + m]
+class _Side:
+    """One side of a group of rest_blocks, in arrays, sorted by key."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        rows = rows.sort_by("key").combine_chunks()
+        self.key, self.sig, self.label = (rows.column(c).to_numpy() for c in ("key", "sig", "label"))
+        self.n, rare = (rows.column(c).to_numpy().astype(np.int64) for c in ("n", "rare"))
+        self.often = self.n - rare
+        if "shingles" in rows.column_names:
+            self.sets = [from_bytes(x) for x in rows.column("shingles").to_pylist()]
+            self.bits = np.array([parity(s) for s in self.sets]).reshape(-1, PARITY_WORDS)
+        else:
+            self.bits = rows.column("bits").combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS)
+
+
+def _partners(z: _Side, x: _Side) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of z, the rows of x of its key, of other components, that may be similar without sharing rare shingles."""
+    begins, ends = np.searchsorted(x.key, z.key, "left"), np.searchsorted(x.key, z.key, "right")
+    for i, (begin, end, m, often, own) in enumerate(zip(begins, ends, z.n, z.often, z.label, strict=True)):
+        at = begin + np.flatnonzero((x.label[begin:end] != own) & (180 * np.minimum(x.often[begin:end], often) >= 80 * (x.n[begin:end] + m)))
+        if len(at):
+            far = np.bitwise_count((x.bits[at] ^ z.bits[i][None, :]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            at = at[9 * far <= x.n[at] + m]
+            if len(at):
+                yield i, at
+
+
+def _met(minor: DataFrame, every: DataFrame, run, schema: str) -> DataFrame:
+    by = ("slot", "part", "block")
+    return minor.groupBy(*by).cogroup(every.groupBy(*by)).applyInArrow(lambda z, x: run(_Side(z), _Side(x)), schema).distinct()
 
 
 def possible_rest(often: DataFrame, bits: DataFrame) -> DataFrame:
     """The (key, sig) of labelled rows that have a partner of another component in their key as far as parity tells."""
-    minor, every = rest_blocks(often, bits)
 
-    def run(z: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        found: set[int] = set()
-        if len(z) and len(x):
-            sig = x["sig"].to_numpy()
-            for i, at in _partners(z, x, *(np.array(y["bits"].tolist(), dtype=np.int64) for y in (z, x))):
-                found.update(sig[at].tolist(), [z["sig"].iloc[i]] if len(at) else [])
-        return pd.DataFrame({"key": np.full(len(found), x["key"].iloc[0] if len(x) else 0, dtype=np.int64), "sig": np.array(sorted(found), dtype=np.int64)})
+    def run(z: _Side, x: _Side) -> pa.Table:
+        found: set[tuple[int, int]] = set()
+        for i, at in _partners(z, x):
+            found.add((z.key[i], z.sig[i]))
+            found.update(zip(x.key[at], x.sig[at], strict=True))
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate(("key", "sig"))})
 
-    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "key long, sig long").distinct()
+    return _met(*rest_blocks(often, bits), run, "key long, sig long")
 
 
 def rest_links(often: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) of similar sets of different components, block by block; of each block a spanning forest of them."""
-    minor, every = rest_blocks(often, sets)
 
-    def run(z: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+    def run(z: _Side, x: _Side) -> pa.Table:
         links: list[tuple[int, int]] = []
-        if len(z) and len(x):
-            own, other = ([np.frombuffer(s, dtype=np.uint64) for s in y["shingles"]] for y in (z, x))
-            head: dict[int, int] = {}
-
-            def find(label: int) -> int:
-                while head.get(label, label) != label:
-                    label = head[label]
-                return label
-
-            for i, at in _partners(z, x, *(np.stack([parity(s) for s in sets_]) for sets_ in (own, other))):
-                for j in at:
-                    a, b = find(z["label"].iloc[i]), find(x["label"].iloc[j])
-                    if a != b and _similar(own[i], other[j]):
-                        head[max(a, b)] = min(a, b)
-                        links.append((min(z["sig"].iloc[i], x["sig"].iloc[j]), max(z["sig"].iloc[i], x["sig"].iloc[j])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
-
-    return minor.groupBy("key", "part", "block").cogroup(every.groupBy("key", "part", "block")).applyInPandas(run, "a long, b long").distinct()
+        head: dict[int, int] = {}
+
+        def find(label: int) -> int:
+            while head.get(label, label) != label:
+                label = head[label]
+            return label
+
+        for i, at in _partners(z, x):
+            for j in at:
+                a, b = find(z.label[i]), find(x.label[j])
+                if a != b and _similar(z.sets[i], x.sets[j]):
+                    head[max(a, b)] = min(a, b)
+                    links.append((min(z.sig[i], x.sig[j]), max(z.sig[i], x.sig[j])))
+        return pa.table({c: pa.array([f[k] for f in links], pa.int64()) for k, c in enumerate("ab")})
+
+    return _met(*rest_blocks(often, sets), run, "a long, b long")
 
 
 def join_documents(docs: DataFrame, rare_class: int = RARE_CLASS) -> DataFrame:
