@@ -7,10 +7,11 @@ lost or repeated attempts are never read.
 
 Reading takes four steps: the end of central directory is found in the file's tail, with its ZIP64 records where a
 field is saturated; the central directory gives the members; a stored member's data begins after its local header; the
-index is read and cut into splits of bounded size, and each split is one range read, inflated record by record.
+index is read and cut into splits of bounded size, and each split is one range read, in which the index's lengths tell
+where records lie. Splits are dealt to a stated number of tasks: a list of splits is small, whatever it stands for.
 
 Defined results: a null payload is empty; a null URL is left out; records keep the id they were given (repeated ids
-too). Of rows with equal payloads of `least_bytes` or more, those with the largest id are responses, the others revisit
+too) and payloads of any length; columns other than record_id, url and payload don't enter. Of rows with equal payloads of `least_bytes` or more, those with the largest id are responses, the others revisit
 it; a null id is the smallest. Digests are checked while reading, and a mismatch fails the job. An empty table gives an
 empty manifest and no records.
 """
@@ -150,14 +151,6 @@ def parse_record(raw: bytes, with_payload: bool) -> tuple:
     return bare("WARC-Record-ID"), kind, fields.get("WARC-Target-URI"), bare("WARC-Refers-To"), digest, length, payload if with_payload and kind == "response" else None
 
 
-def inflate_members(data: bytes) -> Iterator[bytes]:
-    """The contents of concatenated gzip members."""
-    while data:
-        engine = zlib.decompressobj(wbits=31)
-        yield engine.decompress(data) + engine.flush()
-        data = engine.unused_data
-
-
 class _Package:
     """A package under way: records go to the ZIP as they come, the index when it is closed."""
 
@@ -220,11 +213,11 @@ def write_packages(planned: DataFrame, folder: str | None = None, package_bytes:
 
 
 MANIFEST = pa.schema([("uri", pa.string()), ("records", pa.int64()), ("archive_bytes", pa.int64())])
-SPLITS = pa.schema([("uri", pa.string()), ("begin", pa.int64()), ("length", pa.int64()), ("records", pa.int64())])
+SPLITS = pa.schema([("uri", pa.string()), ("begin", pa.int64()), ("lengths", pa.list_(pa.int64()))])
 
 
 def find_splits(packages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """(uri, begin, length, records): ranges of whole records, from each package's directory and index."""
+    """(uri, begin, lengths): ranges of whole records with the lengths of these, from each package's directory and index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,34 +228,41 @@ def find_splits(packages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFram
                     data, index_at = data_begin(file, members[ARCHIVE]), data_begin(file, members[INDEX])
                     file.seek(index_at)
                     index = file.read(members[INDEX].size).decode()
-                begin, length, n = 0, 0, 0
+                begin, lengths, size = 0, [], 0
                 for line in filter(None, index.split("\n")):
                     entry = json.loads(line)
-                    if n and length + entry["length"] > split_bytes:
-                        rows.append((uri, data + begin, length, n))
-                        begin, length, n = entry["offset"], 0, 0
-                    length, n = length + entry["length"], n + 1
-                if n:
-                    rows.append((uri, data + begin, length, n))
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
+                    if lengths and (size + entry["length"] > split_bytes or entry["offset"] != begin + size):
+                        rows.append((uri, data + begin, lengths))
+                        lengths, size = [], 0
+                    begin = begin if lengths else entry["offset"]
+                    lengths.append(entry["length"])
+                    size += entry["length"]
+                if lengths:
+                    rows.append((uri, data + begin, lengths))
+            cols = list(zip(*rows, strict=True)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, SPLITS, strict=True)], schema=SPLITS)
 
-    return packages.select("uri").mapInArrow(run, "uri string, begin long, length long, records long")
+    return packages.select("uri").mapInArrow(run, "uri string, begin long, lengths array<long>")
 
 
 def read_records(packages: DataFrame, with_payload: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The records of the packages of a manifest, as rows of RECORDS."""
-    splits = find_splits(packages, split_bytes).repartition("uri", "begin")
+    size = packages.agg(F.sum("archive_bytes"), F.count(F.lit(1))).first()
+    tasks = max(1, (size[0] or 0) // split_bytes + size[1])
+    splits = find_splits(packages, split_bytes).repartition(tasks, "uri", "begin")
     names = [part.split()[0] for part in RECORDS.split(", ")]
     kinds = [pa.string()] * 5 + [pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uri, begin, length in zip(*[batch.column(c).to_pylist() for c in ("uri", "begin", "length")], strict=True):
+            for uri, begin, lengths in zip(*[batch.column(c).to_pylist() for c in ("uri", "begin", "lengths")], strict=True):
                 with _open(uri) as file:
                     file.seek(begin)
-                    data = file.read(length)
-                rows = [parse_record(raw, with_payload) for raw in inflate_members(data)]
+                    data = memoryview(file.read(sum(lengths)))
+                rows, at = [], 0
+                for length in lengths:
+                    rows.append(parse_record(zlib.decompress(data[at : at + length], wbits=31), with_payload))
+                    at += length
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return splits.mapInArrow(run, RECORDS)
