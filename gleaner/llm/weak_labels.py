@@ -4,11 +4,13 @@ Heuristic labellers vote good (1), bad (0) or abstain (null) on every whole text
 pattern; there are at most 3 ** (number of labellers) patterns, whatever the input, and their counts over all documents
 are all that expectation-maximisation needs: it estimates the share of good text and each labeller's accuracy on good
 and on bad text, and gives each pattern its posterior. The posteriors are the labels of a linear scorer over hashed words
-and shape features, trained by gradient steps on at most `fit_rows` documents (a documented bound, the first by a hash of
-the id); Spark sums the gradients. Every document is scored whole.
+and shape features, trained by gradient steps on at most `fit_rows` different texts (a documented bound, the first by a
+hash of the text; each text once, so that one that is repeated often can't crowd out others); Spark sums the gradients.
+The votes are worked out once and stored with the rows. Every document is scored whole.
 
-Defined results: null and empty texts have no words, on which most labellers vote bad; repeated rows score alike; where
-all labellers abstain the posterior is the share of good text. An empty table gives an empty result.
+Defined results: null and empty texts have no words, on which most labellers vote bad; a text of any length is read whole;
+repeated rows score alike; where all labellers abstain the posterior is the share of good text. Input columns stay
+whatever their names, but those named as a new column are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -159,7 +161,9 @@ def classify(docs: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> D
     code = F.lit(0)
     for c in labellers(F.col("_text")).values():
         code = code * 3 + F.coalesce(c, F.lit(2))
-    voted = packed.withColumn("_pattern", code.cast("int"))
+    clean = [c for c in docs.columns if c not in ("n_votes", "posterior", "score", "good")]
+    row = F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in clean] or [F.lit(None).alias("none")])
+    voted = stored(packed.select(row.alias("_row"), "_text", code.cast("int").alias("_pattern"), F.xxhash64("_text", F.lit(7)).alias("_hash")), "weak-votes")
     counts = voted.groupBy("_pattern").count().toPandas()  # 3 ** labellers rows at most
     patterns = np.arange(3 ** len(names))
     digits = np.stack([patterns // 3 ** (len(names) - 1 - k) % 3 for k in range(len(names))], axis=1).astype(float)
@@ -171,20 +175,17 @@ def classify(docs: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> D
     posterior = model.posterior(votes)
     n_votes = (~np.isnan(votes)).sum(axis=1)
     lookup = F.broadcast(spark.createDataFrame([(int(p), float(posterior[p]), int(n_votes[p])) for p in patterns[seen]] or [(-1, 0.0, 0)], "_pattern int, posterior double, n_votes int"))
-    order = F.xxhash64("_text", F.lit(7))
-    # strictly below the first hash left out, so that copies of one text can't exceed the bound
-    drawn = packed.select(order.alias("h")).orderBy("h").limit(fit_rows + 1).agg(F.max("h"), F.count(F.lit(1))).first()
-    within = order < F.lit(drawn[0]) if drawn[1] > fit_rows else F.lit(True)
-    sample = voted.where(within).join(lookup, "_pattern").select(F.col("_text").alias("text"), "posterior")
-    weights = spark.sparkContext.broadcast(train_scorer(sample))
-    clean = [c for c in docs.columns if c not in ("n_votes", "posterior", "score", "good")]
-    joined = voted.join(lookup, "_pattern").select(*[F.col(f"_row.`{c}`").alias(c) for c in clean], "_text", "n_votes", "posterior")
-    schema = T.StructType([joined.schema[c] for c in [*clean, "n_votes", "posterior"]] + [T.StructField("score", T.DoubleType())])
+    drawn = voted.select("_hash").distinct().orderBy("_hash").limit(fit_rows).agg(F.max("_hash")).first()[0]
+    sample = voted.where(F.col("_hash") <= F.lit(drawn)).groupBy("_hash").agg(F.first("_text").alias("text"), F.first("_pattern").alias("_pattern"))
+    weights = spark.sparkContext.broadcast(train_scorer(sample.join(lookup, "_pattern").select("text", "posterior")))
+    joined = voted.join(lookup, "_pattern").select("_row", "_text", "n_votes", "posterior")
+    kept = ["_row", "n_votes", "posterior"]
+    schema = T.StructType([joined.schema[c] for c in kept] + [T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z = [float(v @ weights.value[at]) for at, v in (features(t.as_py()) for t in batch.column("_text"))]
             out = pa.array(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -40, 40))), type=pa.float64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in [*clean, "n_votes", "posterior"]], out], names=[*clean, "n_votes", "posterior", "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], out], names=[*kept, "score"])
 
-    return joined.mapInArrow(score, schema).withColumn("good", F.col("score") >= THRESHOLD)
+    return joined.mapInArrow(score, schema).select(*[F.col(f"_row.`{c}`").alias(c) for c in clean], "n_votes", "posterior", "score", (F.col("score") >= THRESHOLD).alias("good"))
