@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from .common import fold, stored
+from .common import fold, pack, pack_sorted, stored, unpack, unpack_sorted
 
 ORDER = 5
 END = 256
@@ -174,24 +174,6 @@ def turn_back(turned: np.ndarray) -> np.ndarray:
     return (((turned >> 9) & ((1 << older) - 1)) << (low + 9)) | ((turned >> (older + 9)) << 9) | (turned & 511)
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Integers, byte by byte of equal weight, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<i8")
-
-
-def pack_sorted(x: np.ndarray) -> bytes:
-    return pack(np.diff(x, prepend=np.int64(0)))
-
-
-def unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(unpack(raw))
-
-
 def pack_values(x: np.ndarray) -> tuple[bytes, bytes]:
     """Few different doubles: the doubles, and which one each is."""
     values, code = np.unique(x, return_inverse=True)

@@ -12,32 +12,31 @@ is put where F1 is best. Curve and threshold come from documents that the scorin
 each scored by the other half's model).
 
 The models are fitted on at most `fit_toxic` + `fit_ordinary` labelled documents, the first by a hash of the id (a
-documented bound, so that the model may be broadcast); every document is scored whole. Labels enter the fit alone.
-Defined results: a null or empty text has all measures 0; labels that are null are ignored, a document labelled both
-ways counts as toxic; repeated rows score alike; without labelled documents of both classes every score is 0.
+documented bound, so that the counts may be broadcast); every document is scored whole. Labels enter the fit alone.
+Words are numbered, and what is shuffled, collected and broadcast are packed counts of pairs of numbers; workers build
+the models they need from them.
+
+Defined results: a null or empty text has all measures 0; a text of any length is measured whole; labels that are null
+are ignored, a document labelled both ways counts as toxic; repeated rows score alike; without labelled documents of both
+classes every score is 0. Input columns stay whatever their names; one named as the score is replaced (drop_toxic replaces
+none). An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, stored
+from .common import fold, pack, pack_sorted, stored, unpack, unpack_sorted
 
 FIT_TOXIC, FIT_ORDINARY = 4000, 12000
 DISCOUNT = 0.75
-#: Words that follow fewer contexts, and bigrams that are rarer, would be left to the backoff; at 1 everything counts.
-LEAST_CONTEXTS, LEAST_BIGRAM = 1, 1
 SPANS = (1, 2, 4)
 THRESHOLD = 0.3
 HELD_OUT_FOLD, FOLDS = 2, 4
@@ -60,24 +59,71 @@ def pick_training(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), "half")
 
 
-def count_bigrams(training: DataFrame) -> DataFrame:
-    """(v, w, a0, a1, b0, b1): how often w follows v in each half and class; v is empty at a text's start."""
+@dataclass
+class Counts:
+    """Every word of the sample, START first, and how often word w follows word v in each half and class, packed."""
+
+    words: list[bytes]
+    packed: list[tuple[bytes, bytes]]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, counts): v * (V + 1) + w, sorted, and a row of counts for each of COUNTS."""
+        none = np.zeros(0, dtype=np.int64)
+        key = np.concatenate([none, *(unpack_sorted(k) for k, _ in self.packed)])
+        counts = np.concatenate([none.reshape(4, 0), *(unpack(n).reshape(4, -1) for _, n in self.packed)], axis=1)
+        by = np.argsort(key)
+        return key[by], counts[:, by]
+
+    def model(self, halves: str) -> KneserNey | None:
+        """The model of some halves, built once in each worker."""
+        built = self.__dict__.setdefault("_built", {})
+        if halves not in built:
+            built[halves] = build_model(self, halves)
+        return built[halves]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __getstate__(self) -> dict:
+        return {"words": self.words, "packed": self.packed}
+
+
+def count_bigrams(training: DataFrame) -> Counts:
+    """Counts of the stored training documents. Their size is bounded by the sample."""
+    spark = training.sparkSession
+
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[bytes] = set()
         for batch in batches:
-            found = [Counter() for _ in COUNTS]
+            for text in batch.column("text").to_pylist():
+                found.update(split_words(text))
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], names=["w"])
+
+    rows = training.select("text").mapInArrow(distinct_words, "w binary").distinct().toArrow()
+    words = [START, *sorted(rows.column("w").to_pylist())]
+    size = len(words) + 1
+    listing = spark.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {w: i for i, w in enumerate(listing.value)}
+        for batch in batches:
+            keys: list[list[np.ndarray]] = [[] for _ in COUNTS]
             for text, y, half in zip(*[batch.column(c).to_pylist() for c in ("text", "toxic", "half")], strict=True):
-                words = split_words(text)
-                found[2 * half + y].update(zip([START, *words], words, strict=False))
-            for k, counter in enumerate(found):
-                if counter:
-                    v, w = zip(*counter, strict=True)
-                    counts = pa.array(counter.values(), type=pa.int64())
-                    zero = pa.array(np.zeros(len(v), dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()), pa.array(w, pa.binary()), *[counts if j == k else zero for j in range(4)]], names=["v", "w", *COUNTS])
+                w = np.array([0, *(number[x] for x in split_words(text))], dtype=np.int64)
+                keys[2 * half + y].append(w[:-1] * size + w[1:])
+            for k, some in enumerate(keys):
+                if some:
+                    key, n = np.unique(np.concatenate(some), return_counts=True)
+                    zero = np.zeros(len(key), dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(n.astype(np.int32) if j == k else zero) for j in range(4)]], names=["key", *COUNTS])
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            by = np.argsort(key)
+            counts = np.stack([batch.column(c).to_numpy()[by] for c in COUNTS])
+            yield pa.RecordBatch.from_arrays([pa.array([pack_sorted(key[by])], pa.binary()), pa.array([pack(counts.reshape(-1))], pa.binary())], names=["keys", "counts"])
 
-    rows = training.mapInArrow(run, "v binary, w binary, a0 long, a1 long, b0 long, b1 long")
-    return stored(rows.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in COUNTS]), "tox-bigrams")
+    counted = training.mapInArrow(count, "key long, " + ", ".join(f"{c} int" for c in COUNTS)).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    rows = counted.mapInArrow(packs, "keys binary, counts binary").collect()
+    return Counts(words, [(bytes(r["keys"]), bytes(r["counts"])) for r in rows])
 
 
 @dataclass
@@ -94,16 +140,6 @@ class KneserNey:
     pool_total: np.ndarray  # (V + 1) as total and rest, of both classes together
     pool_rest: np.ndarray
 
-    def __getstate__(self) -> dict:
-        """The arrays by pairs packed: a broadcast is a file in every executor."""
-        packed = {"pairs": np.diff(self.pairs, prepend=np.int64(0)), "kept": self.kept, "pool": self.pool}
-        return self.__dict__ | {k: (zlib.compress(np.ascontiguousarray(x), 1), x.dtype.str, x.shape) for k, x in packed.items()}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.pairs, self.kept, self.pool = (np.frombuffer(zlib.decompress(x), dtype).reshape(shape) for x, dtype, shape in (state[k] for k in ("pairs", "kept", "pool")))
-        self.pairs = np.cumsum(self.pairs)
-
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get, unlisted = self.words.get, len(self.words)
         return np.array([get(w, unlisted) for w in words], dtype=np.int64)
@@ -139,22 +175,16 @@ def discounted(counts: np.ndarray) -> np.ndarray:
     return (counts - less[np.minimum(counts, 3).astype(np.int64)]).astype(np.float32)
 
 
-def number_words(words: pd.DataFrame) -> dict[bytes, int]:
-    return {w: i for i, w in enumerate(words["w"])}
-
-
-def build_model(words: pd.DataFrame, pairs: pd.DataFrame, halves: str, order: dict[bytes, int] | None = None) -> KneserNey | None:
-    """A model of the counts of `halves` ('a', 'b' or 'ab'). None if a class has no words.
-
-    words: w, then per half and class n_* (contexts it follows, of all kept words), t_* (tokens after it), and the
-    same for the halves together (n_ab0, ...); pairs: v, w (row numbers of words) and counts; order: number_words, where
-    models share it.
-    """
-    order = number_words(words) if order is None else order
-    if START not in order:
-        return None
-    size = len(order) + 1
-    n = np.stack([words[f"n_{halves}{c}"].to_numpy(dtype=float) for c in (0, 1)])
+def build_model(counted: Counts, halves: str) -> KneserNey | None:
+    """A model of the counts of `halves` ('a', 'b' or 'ab'). None if a class has no words."""
+    size = len(counted.words) + 1
+    key, every = counted.pairs()
+    counts = np.stack([sum(every[COUNTS.index(f"{h}{c}")] for h in halves) for c in (0, 1)])
+    seen = counts.any(axis=0)
+    key, counts = key[seen], counts[:, seen]
+    del every, seen
+    v, w = np.divmod(key, size)
+    n = np.stack([np.bincount(w[counts[c] > 0], minlength=size)[:-1] for c in (0, 1)]).astype(float)
     if not (n.sum(axis=1) > 0).all():
         return None
     pooled = n.sum(axis=0)
@@ -164,37 +194,11 @@ def build_model(words: pd.DataFrame, pairs: pd.DataFrame, halves: str, order: di
     for c in (0, 1):
         own = np.append(discounted(n[c]).astype(float) / n[c].sum(), 0.0)
         p[c] = own + (1 - own.sum()) * back
-    counts = np.stack([sum(pairs[f"{h}{c}"].to_numpy() for h in halves) for c in (0, 1)])
-    seen = np.flatnonzero(counts.any(axis=0))
-    v, key = pairs["v"].to_numpy()[seen], pairs["v"].to_numpy()[seen].astype(np.int64) * size + pairs["w"].to_numpy()[seen]
-    by = np.argsort(key)
-    key, v, counts = key[by], v[by], counts[:, seen[by]]
-    del seen, by
+    total = np.stack([np.bincount(v, weights=counts[c], minlength=size) for c in (0, 1)])
     kept, pool = np.stack([discounted(counts[c]) for c in (0, 1)]), discounted(counts.sum(axis=0))
-    total = np.stack([np.append(sum(words[f"t_{h}{c}"].to_numpy(dtype=float) for h in halves), 0.0) for c in (0, 1)])
     left = lambda kept, total: 1 - np.bincount(v, weights=kept, minlength=size) / np.maximum(total, 1)
     rest = np.stack([left(kept[c], total[c]) for c in (0, 1)])
-    return KneserNey(order, p, total, rest, key, kept, pool, total.sum(axis=0), left(pool, total.sum(axis=0)))
-
-
-def collect_counts(bigrams: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """The word and bigram tables of build_model; bounded by the fit sample."""
-    one = lambda *cols: F.sum((sum((F.col(c) for c in cols[1:]), F.col(cols[0])) > 0).cast("long"))
-    after = bigrams.groupBy("v").agg(*[F.sum(c).alias(f"t_{c}") for c in COUNTS]).withColumnRenamed("v", "w")
-    follows = bigrams.groupBy("w").agg(*[one(c).alias(f"n_{c}") for c in COUNTS], *[one(f"a{c}", f"b{c}").alias(f"n_ab{c}") for c in (0, 1)])
-    listed = follows.where(F.col("n_ab0") + F.col("n_ab1") >= LEAST_CONTEXTS)
-    begin = after.where(F.col("w") == F.lit(bytearray(START))).select("w")
-    words = listed.select("w").unionByName(begin).distinct().join(follows, "w", "left").join(after, "w", "left").na.fill(0).toArrow()
-    listing = bigrams.sparkSession.sparkContext.broadcast(words["w"].combine_chunks())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, w = (pc.index_in(batch.column(c), value_set=listing.value) for c in ("v", "w"))
-            counts = [batch.column(c).cast(pa.int32()) for c in COUNTS]
-            yield pa.RecordBatch.from_arrays([v, w, *counts], names=["v", "w", *COUNTS]).filter(pc.and_(pc.is_valid(v), pc.is_valid(w)))
-
-    numbered = bigrams.where(F.col("a0") + F.col("a1") + F.col("b0") + F.col("b1") >= LEAST_BIGRAM).mapInArrow(run, ", ".join(f"{c} int" for c in ("v", "w", *COUNTS)))
-    return words.to_pandas(), numbered.toArrow().to_pandas(split_blocks=True, self_destruct=True)
+    return KneserNey({x: i for i, x in enumerate(counted.words)}, p, total, rest, key, kept, pool, total.sum(axis=0), left(pool, total.sum(axis=0)))
 
 
 def measures(model: KneserNey, texts: list[str | None]) -> np.ndarray:
@@ -254,36 +258,27 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> Curve:
     return curve
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordinary: int = FIT_ORDINARY) -> tuple[KneserNey, Curve] | None:
-    """Model and curve; None where the labels do not show both classes."""
+def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordinary: int = FIT_ORDINARY) -> tuple[Counts, Curve] | None:
+    """Counts and curve; None where the labels do not show both classes in both halves."""
     training = stored(pick_training(docs, labels, fit_toxic, fit_ordinary), "tox-training")
-    words, pairs = collect_counts(count_bigrams(training))
-    if not len(words):
-        return None
-    order = number_words(words)
-    a, b = (build_model(words, pairs, h, order) for h in ("a", "b"))
-    if a is None or b is None:
-        return None
-    unseen = docs.sparkSession.sparkContext.broadcast((b, a))  # the model that has not counted half 0, half 1
-    del a, b
+    shared = docs.sparkSession.sparkContext.broadcast(count_bigrams(training))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unseen = [shared.value.model(h) for h in ("b", "a")]  # the model that has not counted half 0, half 1
         for batch in batches:
-            half, y = (np.array(batch.column(c).to_pylist()) for c in ("half", "toxic"))
+            half, y = (np.array(batch.column(c).to_pylist(), dtype=np.int64) for c in ("half", "toxic"))
             for h in (0, 1):
                 rows = np.flatnonzero(half == h)
-                x = measures(unseen.value[h], batch.column("text").take(pa.array(rows)).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows].astype(np.int64))], names=["m0", "m1", "m2", "m3", "m4", "y"])
+                if all(unseen):
+                    x = measures(unseen[h], batch.column("text").take(pa.array(rows)).to_pylist())
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows])], names=["m0", "m1", "m2", "m3", "m4", "y"])
 
     seen = training.mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, m4 double, y long").toPandas()
     y = seen.pop("y").to_numpy(dtype=float)
-    if len(set(y)) < 2:
-        return None
-    unseen.unpersist()
-    return build_model(words, pairs, "ab", order), fit_curve(seen.to_numpy(), y)
+    return (shared.value, fit_curve(seen.to_numpy(), y)) if len(set(y)) == 2 else None
 
 
-def score_documents(docs: DataFrame, fitted: tuple[KneserNey, Curve] | None, text: str = "text", score: str = "score") -> DataFrame:
+def score_documents(docs: DataFrame, fitted: tuple[Counts, Curve] | None, text: str = "text", score: str = "score") -> DataFrame:
     """docs with a double column `score` (replaces one of that name)."""
     names = [c for c in docs.columns if c != score]
     if fitted is None:
@@ -292,7 +287,8 @@ def score_documents(docs: DataFrame, fitted: tuple[KneserNey, Curve] | None, tex
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, curve = shared.value
+        counted, curve = shared.value
+        model = counted.model("ab")
         for batch in batches:
             got = [np.zeros(0)]
             for begin in range(0, batch.num_rows, 1000):
