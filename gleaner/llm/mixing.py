@@ -7,11 +7,13 @@ balanced sample: the flight phase moves the fractional inclusion probabilities a
 balancing constraints (words taken, documents taken) until they are 0 or 1. It runs in bounded blocks of every
 source; each block leaves at most two fractional documents, which meet in the blocks of the next round. What is left
 when a source has one block, at most two documents, is the landing problem: one more flight step with the word
-constraint alone, one draw, and exchanges of the documents that best make up for the draw's remainder.
+constraint alone, one draw, and exchanges of the documents that best make up for the draw's remainder. The exchanges
+(EXCHANGES a source at most) trade exact inclusion probabilities of these few documents for words near the target.
 
 Random numbers are hashes of the row's key, so reruns agree. Defined results: null and empty texts have size 0,
 take part in their source's counts and are taken 0 words; a source without words has target 0; the null source comes
-last in the order of sources. Rows with the same doc_id are separate documents. An empty table gives an empty result.
+last in the order of sources. Rows with the same doc_id are separate documents. Columns that
+clash with the operator's own names stay as they are in mixed_documents. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@
 of the names of the rules that failed. All of it is built-in expressions, row by row: no shuffle at any size.
 
 Defined results: a null or empty text has zero words, fails `few_words`, and is not kept; ratios of a text
-without words are 0. Repeated rows are judged alike, each for itself. Input columns stay; the metric columns
-are added under names of METRICS, which replace input columns of the same name only inside this operator.
+without words are 0. A text of any length is measured whole. Repeated rows are judged alike, each for itself. Input
+columns stay whatever their names; apply_rules replaces those named as one of its own (METRICS and the verdicts), and
+keep_good replaces none. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -97,10 +98,14 @@ def _repeat_words(df: DataFrame, arr: str, out: str) -> DataFrame:
     return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_h1", "_h2", "_h4", "_h8", "_again", "_sorted", "_starts")
 
 
-def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the columns of METRICS; existing columns of those names are replaced."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn("_words", words(F.col(text)))
+def _packed(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+
+
+def _measured(packed: DataFrame) -> DataFrame:
+    """(_row, + the columns of METRICS) from _packed rows."""
+    body = F.coalesce(F.col("_text"), F.lit(""))
+    df = packed.withColumn("_words", words(F.col("_text")))
     df = df.withColumn("_lines", F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = _repeat_words(df, "_words", "n_repeat_words")
     return df.withColumns(
@@ -112,7 +117,7 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long"),
         }
-    ).drop("_words", "_lines")
+    ).select("_row", *METRICS)
 
 
 def _passes(rule: Rule) -> Column:
@@ -142,12 +147,36 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> dict[str, Column]:
 
 def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with metrics and verdicts."""
-    return metrics(docs, text).withColumns(compile_rules(rules))
+    verdicts = compile_rules(rules)
+    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (*METRICS, *verdicts)]
+    return _measured(_packed(docs, text)).withColumns(verdicts).select(*own, *METRICS, *verdicts)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Only the documents that pass every rule, with the columns they came with (clashing names too)."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
     # The row number keeps the optimizer from rebuilding every metric inside the filter, where it would be worked out many times.
-    judged = apply_rules(packed, "_text", rules).withColumn("_at", F.monotonically_increasing_id())
+    judged = _measured(_packed(docs, text)).withColumns(compile_rules(rules)).withColumn("_at", F.monotonically_increasing_id())
     return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+
+
+def _condition(rule: Rule) -> str:
+    parts = [f"{rule.metric} >= {rule.least}"] * (rule.least is not None) + [f"{rule.metric} <= {rule.most}"] * (rule.most is not None)
+    return "(" + " AND ".join(parts) + ")"
+
+
+#: The rows of the registered query in DuckDB SQL, compiled from the same threshold table.
+ORACLE_SQL = rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS body,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+  windows AS (SELECT row, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS win FROM (SELECT row, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w)),
+  again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS n FROM windows) WHERE n > 1),
+  covered AS (SELECT row, count(DISTINCT i + j) AS n FROM again, range({WINDOW}) AS r(j) GROUP BY row),
+  m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(body, '{SYMBOLS}')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(list_filter(ws, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in dict.fromkeys(STOP_WORDS))}))) AS n_stop_words,
+    coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN covered c USING (row))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, NOT ({" AND ".join(_condition(r) for r in RULES if r.base)}) AS base_failed,
+  {" AND ".join(_condition(r) for r in RULES)} AS kept,
+  array_to_string(list_filter([{", ".join(f"CASE WHEN NOT {_condition(r)} THEN '{r.name}' END" for r in RULES)}], lambda x: x IS NOT NULL), ',') AS failed_rules, n_lines, n_stop_words
+FROM m
+"""

@@ -17,7 +17,7 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply_rules(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules", "n_lines", "n_stop_words"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"), "n_lines", "n_stop_words"
     )
 
 
@@ -107,4 +107,4 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
 FROM d
 """
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op5_preference_format": preference.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op5_preference_format": preference.ORACLE_SQL, "op8_quality_rules": quality_rules.ORACLE_SQL}

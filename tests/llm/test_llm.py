@@ -63,6 +63,19 @@ def test_warc_round_trip(spark):
     assert warc.read_records(empty).count() == 0
 
 
+def test_warc_of_many_records_in_a_split_and_a_long_page(spark):
+    data = [(i, f"http://a/{i}", ("y" * (i % 50) + str(i)).encode()) for i in range(3000)] + [(5000, None, b"z" * 3_000_000)]
+    pages = spark.createDataFrame(data, "record_id long, url string, payload binary").withColumn("digest", F.lit("clash")).repartition(3)
+    manifest = warc.write_packages(warc.plan_revisits(pages))
+    splits = warc.find_splits(manifest).collect()
+    assert max(len(r["lengths"]) for r in splits) > 500
+    found = {int(r["record_id"]): bytes(r["payload"]) for r in warc.read_records(manifest).collect()}
+    assert found == {i: payload for i, _, payload in data}
+    cut = warc.find_splits(manifest, split_bytes=1).collect()
+    assert len(cut) == len(data)
+    assert warc.read_records(manifest, split_bytes=10_000)._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 1
+
+
 def test_zip64_directory():
     raw = io.BytesIO()
     with zipfile.ZipFile(raw, "w", zipfile.ZIP_STORED) as z:
@@ -103,9 +116,71 @@ def test_classifier_on_labels(spark, sf_dir, docs):
     assert (scored["good"] == (scored["quality"] == 1)).mean() > 0.85
 
 
+def brute_label_model(rows_, rounds=100):
+    """Expectation-maximisation row by row."""
+    k = len(rows_[0])
+    good, on_good, on_bad = 0.7, [0.8] * k, [0.3] * k
+    for _ in range(rounds):
+        posterior = []
+        for votes in rows_:
+            a, b = good, 1 - good
+            for j, v in enumerate(votes):
+                if v is not None:
+                    a, b = a * (on_good[j] if v else 1 - on_good[j]), b * (on_bad[j] if v else 1 - on_bad[j])
+            posterior.append(a / (a + b))
+        rate = lambda j, w, ones, all_: (sum(x for x, r in zip(w, rows_, strict=True) if r[j] == 1) + ones) / (sum(x for x, r in zip(w, rows_, strict=True) if r[j] is not None) + all_)
+        new_good = [min(max(rate(j, posterior, 4, 5), 0.01), 0.99) for j in range(k)]
+        new_bad = [min(max(rate(j, [1 - x for x in posterior], 1, 5), 0.01), 0.99) for j in range(k)]
+        good = min(max((sum(posterior) + 1) / (len(rows_) + 2), 0.02), 0.98)
+        step = max(abs(a - b) for a, b in zip(new_good + new_bad, on_good + on_bad, strict=True))
+        on_good, on_bad = new_good, new_bad
+        if step < 1e-6:
+            break
+    return good, on_good, on_bad
+
+
+def test_label_model_equals_brute_force():
+    rng = random.Random(11)
+    rows_ = [tuple(rng.choice([0, 1, 1, None]) if rng.random() < 0.3 else int(rng.random() < 0.8) for _ in range(4)) for _ in range(300)]
+    patterns = collections.Counter(rows_)
+    votes = np.array([[np.nan if v is None else v for v in p] for p in patterns], dtype=float)
+    model = weak_labels.fit_label_model(votes, np.array(list(patterns.values()), dtype=float))
+    good, on_good, on_bad = brute_label_model(rows_)
+    assert math.isclose(model.good, good, abs_tol=1e-4) and np.allclose(model.on_good, on_good, atol=1e-4) and np.allclose(model.on_bad, on_bad, atol=1e-4)
+
+
+def test_scorer_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(weak_labels, "STEPS", 6)
+    rng = random.Random(12)
+    data = [(" ".join(rng.choice("good fine text bad junk 1234 ##".split()) for _ in range(rng.randint(0, 30))), rng.random()) for _ in range(80)]
+    found = weak_labels.train_scorer(spark.createDataFrame(data, "text string, posterior double"))
+    x, y = np.zeros((80, weak_labels.BUCKETS)), np.array([p for _, p in data])
+    for row, (text, _) in zip(x, data, strict=True):
+        at, value = weak_labels.features(text)
+        row[at] = value
+    w, speed = np.zeros(weak_labels.BUCKETS), 0
+    for _ in range(weak_labels.STEPS):
+        g = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / 80 + weak_labels.RIDGE * w
+        speed = 0.8 * speed - weak_labels.RATE * 8 * g
+        w = w + speed
+    assert np.allclose(found, w, atol=1e-4)
+
+
+def test_classifier_with_a_hot_text(spark):
+    rng = random.Random(13)
+    data = [(i, "same text again and again") for i in range(400)] + [(1000 + i, " ".join(rng.choice("the cat sat on a mat 77 ## zzz".split()) for _ in range(rng.randint(1, 90)))) for i in range(300)]
+    for hot in (None, "same text again and again"):
+        frame = spark.createDataFrame([(i, hot if i < 1000 else t) for i, t in data], "doc_id long, text string")
+        found = weak_labels.classify(frame, fit_rows=200).collect()
+        assert len(found) == 700 and len({round(r["score"], 6) for r in found}) > 100
+
+
 def test_classifier_on_odd_rows(spark, odd):
-    found = weak_labels.classify(odd.withColumn("score", F.lit("clash"))).collect()
-    assert len(found) == 8 and all(0 <= r["score"] <= 1 for r in found)
+    clash = odd.withColumn("score", F.lit("clash")).withColumn("_text", F.lit("mine")).withColumn("_row", F.lit(1))
+    frame = weak_labels.classify(clash)
+    assert frame.columns == ["doc_id", "text", "lang", "source", "_text", "_row", "n_votes", "posterior", "score", "good"]
+    found = frame.collect()
+    assert len(found) == 8 and all(0 <= r["score"] <= 1 and r["_text"] == "mine" for r in found)
     assert weak_labels.classify(odd.limit(0)).count() == 0
 
 
@@ -129,19 +204,81 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([(found[i] >= toxicity.THRESHOLD) == bool(y) for i, y in held]) > 0.97
 
 
-def test_kneser_ney_sums_to_one(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "LEAST_CONTEXTS", 1)
-    monkeypatch.setattr(toxicity, "LEAST_BIGRAM", 1)
-    rows_ = spark.createDataFrame([("a b a b c", 0, 0), ("a c c d", 0, 1), ("x a b x y", 1, 0), ("x y x a", 1, 1)] * 6, "text string, toxic int, half int")
-    words_, pairs = toxicity.collect_counts(toxicity.count_bigrams(rows_))
-    model = toxicity.build_model(words_, pairs, "ab")
+TOXIC_ROWS = [("a b a b c", 0, 0), ("a c c d", 0, 1), ("x a b x y", 1, 0), ("x y x a", 1, 1)]
+
+
+def test_kneser_ney_sums_to_one(spark):
+    counted = toxicity.count_bigrams(spark.createDataFrame(TOXIC_ROWS * 6, "text string, toxic int, half int"))
+    model = counted.model("ab")
     assert np.allclose(model.p.sum(axis=1), 1)
     size = model.p.shape[1]
     for c in (0, 1):
         for v in range(size - 1):
             if model.total[c][v] > 0:
                 kept = model.kept[c][model.pairs // size == v].sum() / model.total[c][v]
-                assert math.isclose(kept + model.rest[c][v], 1, abs_tol=1e-9)
+                assert math.isclose(kept + model.rest[c][v], 1, abs_tol=1e-6)
+
+
+def brute_ratios(rows_, text):
+    """log p(w | v, toxic) - log p(w | v, ordinary) in dictionaries."""
+    count = [collections.Counter(), collections.Counter()]
+    for t, y, _ in rows_:
+        w = t.split()
+        count[y].update(zip(["", *w], w, strict=False))
+    both = count[0] + count[1]
+    vocabulary = {""} | {w for _, w in both}
+    size = len(vocabulary) + 1
+
+    def discount(values):
+        of = collections.Counter(min(x, 5) for x in values if x > 0)
+        less = [0, 0.75, 0.75, 0.75]
+        if all(of[k] for k in (1, 2, 3, 4)):
+            y = of[1] / (of[1] + 2 * of[2])
+            less[1:] = [min(max(k - (k + 1) * y * of[k + 1] / of[k], 0.1), k) for k in (1, 2, 3)]
+        return lambda x: x - less[min(int(x), 3)]
+
+    follows = [collections.Counter(w for (_, w), n in c.items() if n) for c in count]
+    pooled = follows[0] + follows[1]
+    cut = discount(pooled.values())
+    back = {w: cut(pooled[w]) / sum(pooled.values()) for w in vocabulary}
+    left = 1 - sum(back.values())
+    of_back = lambda w: back.get(w, 0) + left / size
+    p = []
+    for c in (0, 1):
+        cut = discount(follows[c].values())
+        own = {w: cut(follows[c][w]) / sum(follows[c].values()) for w in vocabulary}
+        p.append(lambda w, own=own: own.get(w, 0) + (1 - sum(own.values())) * of_back(w))
+
+    def context(counts, v):
+        cut = discount(counts.values())
+        after = {w: n for (u, w), n in counts.items() if u == v}
+        total = sum(after.values())
+        return {w: cut(n) / total for w, n in after.items()}, (1 - sum(cut(n) for n in after.values()) / total if total else 1.0)
+
+    out, before = [], ""
+    for w in text.split():
+        v = before if before in vocabulary else None
+        per = [context(c, v) for c in count]
+        pool, pool_rest = context(both, v)
+        shared = max(per[0][1], per[1][1])
+        prob = []
+        for c in (0, 1):
+            seen, rest = per[c]
+            own = 1 - rest
+            prob.append((1 - shared) * seen.get(w, 0) / (own if own > 0 else 1) + shared * (pool.get(w, 0) + pool_rest * p[c](w)))
+        out.append(math.log(prob[1]) - math.log(prob[0]))
+        before = w
+    return out
+
+
+def test_kneser_ney_equals_brute_force(spark):
+    rng = random.Random(14)
+    rows_ = TOXIC_ROWS + [(" ".join(rng.choice("abcdefgh"[: 3 + k % 6]) for _ in range(rng.randint(1, 12))), k % 2, k % 3 % 2) for k in range(40)]
+    model = toxicity.count_bigrams(spark.createDataFrame(rows_, "text string, toxic int, half int")).model("ab")
+    for text in ("a b c", "x y x q a", "q q", "h g f e d c b a"):
+        number = model.numbers([w.encode() for w in text.split()])
+        first = np.arange(len(number)) == 0
+        assert np.allclose(model.ratios(number, first), brute_ratios(rows_, text), atol=1e-5)
 
 
 def test_toxicity_of_a_phrase_whose_word_has_one_context(spark):
@@ -157,19 +294,20 @@ def test_toxicity_of_a_phrase_whose_word_has_one_context(spark):
         data.append((i, " ".join(text)))
         labels.append((i, int(bad)))
     docs = spark.createDataFrame(data, "doc_id long, text string")
-    model, curve = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    counted, curve = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    model = counted.model("ab")
     for v, w in ((b"quiet", b"storm"), (b"w1", b"w2")):
         assert model.words[v] * model.p.shape[1] + model.words[w] in model.pairs
-    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, (model, curve)).collect()}
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, (counted, curve)).collect()}
     held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([(found[i] >= toxicity.THRESHOLD) == bool(y) for i, y in held]) > 0.97
 
 
 def test_toxicity_counts_every_word_and_bigram(spark):
-    rows_ = spark.createDataFrame([("a b a b c", 0, 0), ("a c c d", 0, 1), ("x a b x y", 1, 0), ("x y x a", 1, 1)], "text string, toxic int, half int")
-    words_, pairs = toxicity.collect_counts(toxicity.count_bigrams(rows_))
-    assert set(words_["w"]) == {b"", b"a", b"b", b"c", b"d", b"x", b"y"}
-    found = {(words_["w"][v], words_["w"][w]): n for v, w, *n in pairs[["v", "w", *toxicity.COUNTS]].itertuples(index=False)}
+    counted = toxicity.count_bigrams(spark.createDataFrame(TOXIC_ROWS, "text string, toxic int, half int"))
+    assert counted.words == [b"", b"a", b"b", b"c", b"d", b"x", b"y"]
+    key, counts = counted.pairs()
+    found = {(counted.words[k // 8], counted.words[k % 8]): n for k, n in zip(key.tolist(), counts.T.tolist(), strict=True)}
     assert len(found) == 12 and found[(b"a", b"b")] == [2, 1, 0, 0] and found[(b"c", b"d")] == [0, 0, 1, 0]
 
 
@@ -178,6 +316,15 @@ def test_toxicity_on_odd_rows(spark, odd):
     assert toxicity.fit(odd, none) is None
     assert toxicity.drop_toxic(odd, none).count() == 8
     assert toxicity.score_documents(odd.limit(0), None).count() == 0
+    texts = [(i, f"calm word {i % 7}" if i % 2 else f"vile word {i % 7}") for i in range(400)]
+    fitted = toxicity.fit(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, 1 - i % 2) for i in range(400)], "doc_id long, toxic int"))
+    clash = odd.withColumn("_text", F.lit("vile")).withColumn("score", F.lit("mine")).withColumn("_row", F.lit(1))
+    found = toxicity.score_documents(clash, fitted).collect()
+    assert len(found) == 8 and all(0 <= r["score"] <= 1 for r in found)
+    assert toxicity.score_documents(clash.limit(0), fitted).count() == 0
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(400)], "doc_id long, toxic int")
+    kept = toxicity.drop_toxic(spark.createDataFrame(texts, "doc_id long, text string").withColumn("_row", F.lit(1)).withColumn("_score", F.lit("s")), labels)
+    assert kept.columns == ["doc_id", "text", "_row", "_score"] and kept.where("text LIKE 'vile%'").count() == 0 and kept.count() == 200
 
 
 # -- PPM -----------------------------------------------------------------------------------------------------------
@@ -269,6 +416,14 @@ def test_preference_prefix_and_masks(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_preference_on_odd_rows(spark):
+    turns = spark.createDataFrame([(0, 0, "user", "hi"), (0, 1, "assistant", "x " * 200_000), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 1, "assistant", "no")], "conv_id long, turn long, role string, text string")
+    clash = turns.withColumn("pair_id", F.lit("mine")).withColumn("prompt", F.lit(1)).withColumn("turns", F.lit(2))
+    found = preference.format_pairs(preference.neighbours(clash)).collect()
+    assert len(found) == 1 and len(found[0]["chosen"][1]["text"]) > 399_000
+    assert preference.format_pairs(preference.neighbours(clash.limit(0))).count() == 0
+
+
 # -- SentencePiece -------------------------------------------------------------------------------------------------
 def test_pieces_equal_the_library(spark, docs):
     from sentencepiece import SentencePieceProcessor
@@ -355,6 +510,19 @@ def test_metrics_equal_brute_force(spark, docs, odd):
             assert not (r["base_failed"] and r["kept"])
 
 
+def test_rules_equal_sql(spark, sf_dir):
+    got = registry.op8_quality_rules(spark, sf_dir).toPandas()
+    assert rows(got) == rows(database(sf_dir).sql(quality_rules.ORACLE_SQL).df())
+
+
+def test_rules_with_clashing_columns(spark, odd):
+    clash = odd.withColumn("_words", F.lit("mine")).withColumn("_h1", F.lit(2)).withColumn("_row", F.lit(3)).withColumn("kept", F.lit("k"))
+    found = quality_rules.apply_rules(clash)
+    assert found.columns[:7] == ["doc_id", "text", "lang", "source", "_words", "_h1", "_row"]
+    assert {(r["_words"], r["_h1"], r["_row"], type(r["kept"])) for r in found.collect()} == {("mine", 2, 3, bool)}
+    assert quality_rules.keep_good(clash).columns == clash.columns
+
+
 def test_rules_keep_columns(spark, odd):
     clash = odd.withColumn("n_words", F.lit("mine"))
     assert quality_rules.keep_good(clash).columns == clash.columns
@@ -398,6 +566,42 @@ def test_cube_sample_in_blocks_is_balanced(spark):
     assert abs(sum(d[2] * found[d[0]] for d in data) - 0.37 * sum(d[2] for d in data)) <= 400
 
 
+def test_flight_keeps_the_constraints():
+    rng = random.Random(15)
+    for by_count in (True, False):
+        for _ in range(50):
+            n = rng.randint(1, 40)
+            sizes, p = [float(rng.choice([1, 5, 5, 30])) for _ in range(n)], [rng.choice([0.5, rng.random()]) for _ in range(n)]
+            words, count = sum(s * x for s, x in zip(sizes, p, strict=True)), sum(p)
+            mixing._flight(sizes, p, [rng.random() for _ in range(n)], by_count)
+            assert all(-1e-9 <= x <= 1 + 1e-9 for x in p) and sum(x not in (0.0, 1.0) for x in p) <= (2 if by_count else 1)
+            assert math.isclose(sum(s * x for s, x in zip(sizes, p, strict=True)), words, abs_tol=1e-5)
+            assert not by_count or math.isclose(sum(p), count, abs_tol=1e-6)
+
+
+def test_flight_keeps_inclusion_probabilities():
+    """On average over draws, each document keeps its probability."""
+    rng = random.Random(16)
+    sizes, start = [3.0, 1.0, 7.0, 2.0, 2.0, 9.0], [0.2, 0.7, 0.5, 0.4, 0.4, 0.6]
+    total = np.zeros(6)
+    for _ in range(20000):
+        p = list(start)
+        mixing._flight(sizes, p, [rng.random() for _ in p], by_count=True)
+        mixing._flight(sizes, p, [rng.random() for _ in p], by_count=False)
+        total += [x if x in (0.0, 1.0) else float(rng.random() < x) for x in p]
+    assert np.abs(total / 20000 - start).max() < 0.02
+
+
+def test_mix_with_ties_and_clashing_columns(spark):
+    data = [(7, "a b c d", "s", 1)] * 30 + [(i, "a b c d", "t", 2) for i in range(30)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, _uid int").withColumn("copies", F.lit("c")).withColumn("_copy", F.lit(0))
+    found = mixing.mix(docs).toPandas()
+    for source, part in found.groupby("source"):
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) <= 4
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and mixed.count() == found["copies"].sum()
+
+
 def test_mix_on_odd_rows(spark, odd):
     found = mixing.mix(odd).collect()
     assert len(found) == 8 and all(r["taken"] == 0 for r in found if r["size"] == 0)
@@ -513,11 +717,18 @@ def test_keys_of_combinations_are_cut_on_both_sides(spark, monkeypatch):
     often = spark.range(1000).select(F.lit(7).cast("long").alias("key"), F.xxhash64("id").alias("sig"), F.lit(20).alias("n"), F.lit(0).alias("rare"), F.xxhash64("id").alias("label"))
     minor, every = ngram_join.rest_blocks(often, often.select("sig", F.array(F.lit(0).cast("long")).alias("bits")))
     for side in (minor, every):
-        assert side.groupBy("key", "part", "block").count().agg(F.max("count")).first()[0] <= 3 * 32
-    met = minor.join(every.select("key", "part", "block", F.col("sig").alias("other")), ["key", "part", "block"]).select("sig", "other")
+        assert side.groupBy("slot", "part", "block").count().agg(F.max("count")).first()[0] <= 3 * 32
+    met = minor.join(every.select("slot", "part", "block", F.col("sig").alias("other")), ["slot", "part", "block"]).select("sig", "other")
     assert met.distinct().count() == met.count() == 999 * 1000
 
 
+def test_join_with_clashing_columns(spark, odd):
+    clash = odd.withColumn("sig", F.lit("s")).withColumn("n", F.lit(1)).withColumn("_uid", F.lit(2)).withColumn("_row", F.lit(3))
+    kept = ngram_join.keep_one(clash)
+    assert kept.columns == clash.columns and {(r["sig"], r["n"], r["_uid"], r["_row"]) for r in kept.collect()} == {("s", 1, 2, 3)}
+    assert ngram_join.join_documents(clash).count() == 8
+
+
 def test_join_keeps_one_of_each_group(spark, odd):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
