@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, fold, fold_pattern, has_phrase, let
+from .text import clean_text, fold, fold_pattern, let, lookup_map
 
 # -- experience --------------------------------------------------------------------------------------------------
+#: The number, year and month patterns of this section.
 _NUM, _YEAR, _MONTH = r"(\d+(?:[.,]\d+)?)", r"(?:years?|yrs?|nam)", r"(?:months?|thang)"
 _RANGE = rf"\b{_NUM}\s*(?:-|to|den|toi)\s*{_NUM}\s*{_YEAR}\b"
 _UNDER = rf"\b(?:under|less than|below|duoi)\s*{_NUM}\s*{_YEAR}\b"
@@ -21,7 +22,10 @@ _LOWER = (
 )
 _MONTHS = rf"\b(?:at least|minimum|min|from|tu|toi thieu)?\s*{_NUM}\s*{_MONTH}(?:(?:\s+of)?\s+(?:work\s+)?experience|\s+kinh nghiem(?:\s+lam viec)?)\b"
 #: Technology names that make a number of years specific, and phrases that make it general again.
-TECHNOLOGIES = "java python javascript typescript react reactjs angular vue nodejs golang go c++ c# php ruby kotlin swift sql aws azure gcp docker kubernetes sap oracle spring net".split()
+TECHNOLOGIES = (
+    "java", "python", "javascript", "typescript", "react", "reactjs", "angular", "vue", "nodejs", "golang", "go", "c++", "c#", "php",
+    "ruby", "kotlin", "swift", "sql", "aws", "azure", "gcp", "docker", "kubernetes", "sap", "oracle", "spring", "net",
+)
 GENERAL_PHRASES = (
     "overall", "total experience", "professional experience", "work experience", "software development", "data engineering",
     "similar role", "similar position", "kinh nghiem o vi tri", "kinh nghiem tai vi tri", "kinh nghiem trong linh vuc",
@@ -66,6 +70,33 @@ def statements(text: Column) -> Column:
     return F.filter(F.transform(units, clean_text), lambda x: x.isNotNull())
 
 
+def general_statements(text: Column) -> Column:
+    """The statements of a text that bound the years of the profession."""
+    return F.filter(statements(text), is_general_experience)
+
+
+def experience_of(found: Column) -> Column:
+    """struct<text, low, high, relation> of general statements; bounds that cross are a conflict without bounds."""
+
+    def whole(k: Column) -> Column:
+        crossed = F.struct(F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.lit("conflict").alias("relation"))
+        b = F.coalesce(k["b"], F.when(F.size(k["s"]) > 0, crossed))
+        return F.when(F.size(k["s"]) > 0, F.struct(F.array_join(k["s"], "\n").alias("text"), b["low"].alias("low"), b["high"].alias("high"), b["relation"].alias("relation")))
+
+    strongest = let(F.transform(found, experience_bounds), _strongest)
+    return let(F.struct(found.alias("s"), strongest.alias("b")), whole)
+
+
+def months_of_experience(months: Column) -> Column:
+    """struct<text, low, high, relation> of a number of months; a half of a hundredth of a year goes to the even side."""
+    m = months.try_cast("decimal(12,4)")
+    shown = F.regexp_replace(m.cast("string"), r"\.?0+$", "")
+    made = F.struct(
+        F.concat(shown, F.lit(" months of experience")).alias("text"), F.bround(m / 12, 2).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.lit("minimum").alias("relation")
+    )
+    return F.when(m >= 0, made)
+
+
 def experience(text: Column) -> Column:
     """struct<low, high, relation> of a whole text: the strongest of the general statements; none if they cross."""
     bounded = F.transform(statements(text), lambda x: F.struct(experience_bounds(x).alias("bounds"), _is_general(fold_pattern(x)).alias("general")))
@@ -142,11 +173,11 @@ def title_level(title: Column) -> Column:
     return let(fold(title), lambda t: _first_rule(t, [(name, TITLE_WORDS[name]) for name in TITLE_ORDER]))
 
 
-def seniority(declared: Column, title: Column, by_experience: Column) -> Column:
+def seniority(declared: Column, title: Column, by_experience: Column, names: tuple[str, str, str] = ("source", "title", "experience")) -> Column:
     """struct<levels, source, conflicts>: declared levels before the title's before those of the experience."""
     none = F.array().cast("array<string>")
     known = F.struct(F.coalesce(declared, none).alias("d"), F.array_compact(F.array(title_level(title))).alias("t"), F.coalesce(by_experience, none).alias("e"))
-    return let(known, lambda k: _precedence([("source", k["d"]), ("title", k["t"]), ("experience", k["e"])]))
+    return let(known, lambda k: _precedence([(n, k[c]) for n, c in zip(names, "dte", strict=True)]))
 
 
 def _precedence(named: list[tuple[str, Column]]) -> Column:
@@ -197,23 +228,26 @@ def _salary_order(numbers: Column, t: Column, text: Column) -> Column:
 
 def salary(text: Column) -> Column:
     """struct<low, high, currency, period, basis, status> of a salary text."""
-    return let(F.struct(fold(text).alias("t"), salary_bounds(text).alias("b")), lambda k: _salary(k["t"], k["b"], text))
+    return let(fold(text), lambda t: let(_salary_bounds(t, text), lambda b: _salary(t, b, text)))
+
+
+#: Words of each pay period, in the order in which they are looked for.
+PERIODS = (("hour", "gio"), ("day", "ngay"), ("month", "thang"), ("year", "nam"))
 
 
 def _salary(t: Column, bounds: Column, text: Column) -> Column:
     raw = F.coalesce(text, F.lit(""))
     talk = t.rlike(r"\b(negotiable|thoa thuan|thuong luong)\b")
     some = bounds["low"].isNotNull() | bounds["high"].isNotNull()
-    period = F.lit(None).cast("string")
-    for name, local in (("year", "nam"), ("month", "thang"), ("day", "ngay"), ("hour", "gio")):
-        period = F.when(t.rlike(rf"\b({name}|{local})\b"), name).otherwise(period)
+    named = [(name, t.rlike(rf"\b({name}|{local})\b")) for name, local in PERIODS]
     return F.struct(
         F.when(~talk, bounds["low"]).alias("low"),
         F.when(~talk, bounds["high"]).alias("high"),
         F.when(t.rlike(r"\b(vnd|trieu)\b"), "VND").when(t.rlike(r"\busd\b") | F.contains(raw, F.lit("$")), "USD").alias("currency"),
-        period.alias("period"),
+        F.coalesce(*[F.when(found, F.lit(name)) for name, found in named]).alias("period"),
         F.when(t.rlike(r"\bgross\b"), "gross").when(t.rlike(r"\bnet\b"), "net").alias("basis"),
         F.when(clean_text(text).isNull(), "not_disclosed").when(talk, "negotiable").when(some, "disclosed").otherwise("unknown").alias("status"),
+        F.struct(*[found.alias(name) for name, found in named]).alias("periods"),
     )
 
 
@@ -236,39 +270,94 @@ def work_mode(explicit: Column, description: Column) -> Column:
     return let(both, lambda k: F.when(F.size(k["a"]) == 1, F.get(k["a"], 0)).when(F.size(k["b"]) == 1, F.get(k["b"], 0)))
 
 
+def work_mode_conflicts(explicit: Column, description: Column) -> Column:
+    """What speaks against the work mode that was chosen."""
+    both = F.struct(work_modes(explicit).alias("a"), work_modes(description).alias("b"))
+    named = lambda x: F.concat(F.lit("description: "), x)
+
+    def found(k: Column) -> Column:
+        one = F.transform(F.array_except(k["b"], k["a"]), named)
+        many = F.array_compact(
+            F.array(F.when(F.size(k["a"]) > 1, F.lit("explicit field contains multiple work modes")), F.when(F.size(k["b"]) > 1, named(F.array_join(k["b"], ", "))))
+        )
+        return F.when(F.size(k["a"]) == 1, one).otherwise(many)
+
+    return let(both, found)
+
+
 #: Names of each foreign language, on folded text, and its certificates, on the text itself.
 LANGUAGES = {
-    "English": (r"\b(english|tieng anh|toeic|ielts|cefr)\b", r"(?i)\b(TOEIC\s*(?:score\s*(?:of\s*)?)?\d{3,4}|IELTS\s*(?:score\s*(?:of\s*)?)?\d(?:[.,]\d)?|CEFR\s*[ABC][12]|English\s*(?:level\s*)?[ABC][12]|[ABC][12]\s+English)\b"),
-    "Japanese": (r"\b(japanese|tieng nhat|jlpt)\b", r"(?i)\b(JLPT\s*N[1-5]|Japanese\s*(?:level\s*)?N[1-5])\b"),
-    "Korean": (r"\b(korean|tieng han|topik)\b", r"(?i)\b(TOPIK\s*(?:level\s*)?[1-6])\b"),
-    "Chinese": (r"\b(chinese|mandarin|tieng trung|hsk)\b", r"(?i)\b(HSK\s*(?:level\s*)?[1-6])\b"),
-}
-SKILL_WORDS = r"(?i)\b((?:fluent|proficient|advanced|business|basic|intermediate|good|strong)\s+(?:in\s+|at\s+)?{0}|{0}\s+(?:fluency|proficiency|communication))\b"
+    "English": (r"\b(english|tieng anh|toeic|ielts|cefr)\b", (
+        r"\bTOEIC\s*(?:score\s*(?:of\s*)?)?\d{3,4}\b",
+        r"\bIELTS\s*(?:score\s*(?:of\s*)?)?\d(?:[.,]\d)?\b",
+        r"\bCEFR\s*[ABC][12]\b",
+        r"\bEnglish\s*(?:level\s*)?[ABC][12]\b",
+        r"\b[ABC][12]\s+English\b",
+    )),
+    "Japanese": (r"\b(japanese|tieng nhat|jlpt)\b", (r"\bJLPT\s*N[1-5]\b", r"\bJapanese\s*(?:level\s*)?N[1-5]\b")),
+    "Korean": (r"\b(korean|tieng han|topik)\b", (r"\bTOPIK\s*(?:level\s*)?[1-6]\b",)),
+    "Chinese": (r"\b(chinese|mandarin|tieng trung|hsk)\b", (r"\bHSK\s*(?:level\s*)?[1-6]\b",)),
+}
+#: Wordings of a level of English.
+ENGLISH_WORDINGS = (
+    r"\b(?:fluent|proficient|advanced|business)\s+(?:in\s+)?English\b",
+    r"\b(?:basic|intermediate|advanced|good|strong)\s+(?:at\s+)?English(?:\s+(?:skills?|communication|reading|writing|speaking|comprehension))?\b",
+    r"\bEnglish\s+(?:fluency|proficiency|communication|communicative)\b",
+    r"\bEnglish\s+(?:reading|writing|speaking)\s+(?:skills?|comprehension)\b",
+    r"\b(?:good|strong)\s+(?:communication\s+)?of\s+English\b",
+    r"\b(?:able to|can)\s+communicate\s+in\s+English\b",
+    r"\b(?:thanh thao|giao tiep tot|giao tiep)\s+(?:bang\s+)?tieng Anh\b",
+    r"\btieng Anh\s+(?:thanh thao|giao tiep tot|giao tiep)\b",
+    r"(?:thành thạo|giao tiếp tốt|giao tiếp|đọc hiểu)\s+(?:bằng\s+)?tiếng Anh",
+    r"tiếng Anh\s+(?:thành thạo|giao tiếp tốt|giao tiếp|đọc hiểu)",
+)
+#: Names of the other languages in wordings of a level.
+OTHER_NAMES = {"Japanese": "Japanese", "Korean": "Korean", "Chinese": "(?:Chinese|Mandarin)"}
+
 
+def level_wordings(language: str) -> tuple[str, ...]:
+    """Patterns of a level, certificates first."""
+    if language in OTHER_NAMES:
+        name = OTHER_NAMES[language]
+        words = (rf"\b(?:fluent|proficient|business)\s+(?:in\s+)?{name}\b", rf"\b{name}\s+(?:fluency|proficiency|communication)\b", rf"\b(?:able to|can)\s+communicate\s+in\s+{name}\b")
+    else:
+        words = ENGLISH_WORDINGS
+    return (*LANGUAGES[language][1], *words)
 
-def foreign_languages(text: Column) -> Column:
-    """array<struct<language, level_text>>: the languages a text asks for, with a certificate or a wording of the level;
-    one entry 'unknown' if there is none."""
-    return let(fold(text), lambda t: _languages(t, text))
 
+def foreign_languages(text: Column, skills: Column | None = None) -> Column:
+    """array<struct<language, level_text, evidence>>: the languages that a sentence of the text or a skill names, with a certificate or
+    a wording of the level; one entry 'unknown' if there is none."""
+    units = F.concat(statements(text), F.coalesce(skills, F.array().cast("array<string>"))) if skills is not None else statements(text)
+    folded = F.transform(units, lambda u: F.struct(u.alias("u"), fold(u).alias("t")))
+    return let(folded, _languages)
 
-def _languages(t: Column, text: Column) -> Column:
-    found = []
-    for name, (words, certificate) in LANGUAGES.items():
-        level = lambda p: F.nullif(clean_text(F.regexp_extract(text, p, 1)), F.lit(""))
-        entry = F.struct(F.lit(name).alias("language"), F.coalesce(level(certificate), level(SKILL_WORDS.format(name))).alias("level_text"))
-        found.append(F.when(t.rlike(words), entry))
+
+def _languages(units: Column) -> Column:
+    def entry(name: str, words: str) -> Column:
+        evidence = F.transform(F.filter(units, lambda x: x["t"].rlike(words)), lambda x: x["u"])
+        return let(evidence, lambda e: F.when(F.size(e) > 0, _language(name, e)))
+
+    found = [entry(name, words) for name, (words, _) in LANGUAGES.items()]
     listed = F.array_compact(F.array(*found))
-    unknown = F.struct(F.lit("unknown").alias("language"), F.lit(None).cast("string").alias("level_text"))
+    none = F.lit(None).cast("string")
+    unknown = F.struct(F.lit("unknown").alias("language"), none.alias("level_text"), F.array().cast("array<string>").alias("evidence"))
     return F.when(F.size(listed) > 0, listed).otherwise(F.array(unknown))
 
 
+def _language(name: str, evidence: Column) -> Column:
+    def level(text: Column) -> Column:
+        return F.coalesce(*[clean_text(F.regexp_extract(text, f"(?iU)({p})", 1)) for p in level_wordings(name)])
+
+    return F.struct(F.lit(name).alias("language"), let(F.array_join(evidence, "\n"), level).alias("level_text"), evidence.alias("evidence"))
+
+
 def places_in(text: Column, aliases: dict[str, str]) -> Column:
     """Places by their aliases in order of appearance: longer aliases win where two overlap, each place once."""
     t = F.regexp_replace(fold(text), r"\.", " ")
     longest = sorted(aliases, key=lambda a: (-len(a), a))
     hits = F.regexp_extract_all(t, F.lit(r"(?<![a-z0-9])(" + "|".join(longest) + r")(?![a-z0-9])"), 1)
-    names = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    names = lookup_map(aliases)
     return F.array_distinct(F.transform(hits, lambda a: names[a]))
 
 
@@ -278,8 +367,14 @@ VIETNAMESE = (
     "va", "voi", "cua", "cho", "cac", "trong", "cong viec", "yeu cau", "kinh nghiem", "ky nang", "ung vien", "lam viec",
     "quyen loi", "mo ta", "phat trien", "he thong", "du lieu", "tieng viet",
 )
-ENGLISH = "and with the for from job work requirements experience skills candidate develop development engineer developer manager data software system support english".split()
-OTHER_LATIN = "les une avec pour nous vous travail poste und mit fur erfahrung kenntnisse arbeit los las una con para experiencia habilidades trabajo uma trabalho vaga dan dengan untuk pekerjaan".split()
+ENGLISH = (
+    "and", "with", "the", "for", "from", "job", "work", "requirements", "experience", "skills", "candidate", "develop", "development",
+    "engineer", "developer", "manager", "data", "software", "system", "support", "english",
+)
+OTHER_LATIN = (
+    "les", "une", "avec", "pour", "nous", "vous", "travail", "poste", "und", "mit", "fur", "erfahrung", "kenntnisse", "arbeit", "los", "las",
+    "una", "con", "para", "experiencia", "habilidades", "trabajo", "uma", "trabalho", "vaga", "dan", "dengan", "untuk", "pekerjaan",
+)
 OTHER_SCRIPTS = r"[\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7af}\x{1100}-\x{11ff}\x{0400}-\x{04ff}\x{0600}-\x{06ff}\x{0e00}-\x{0e7f}]"
 
 
@@ -298,13 +393,18 @@ def _posting_language(body: Column, t: Column) -> Column:
 
 
 def _language_counts(body: Column, t: Column) -> Column:
-    letters = F.length(F.regexp_replace(body, r"[^\p{L}]+", ""))
-    foreign = F.length(body) - F.length(F.regexp_replace(body, OTHER_SCRIPTS, ""))
-    marks = F.length(F.regexp_replace(F.lower(body), "[^ăâđêôơư]+", ""))
     tokens = F.split(t, " ")
     hits = lambda listed: F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in listed])))
-    vietnamese = sum((F.when(has_phrase(t, w), 1).otherwise(0) for w in VIETNAMESE), F.lit(0))
-    named = {"letters": letters, "foreign": foreign, "marks": marks, "vietnamese": vietnamese, "english": hits(ENGLISH), "other": hits(OTHER_LATIN)}
+    # no phrase begins with a word that ends another, so one pass finds them all
+    phrases = F.regexp_extract_all(t, F.lit(r"(?<![^ ])(" + "|".join(VIETNAMESE) + r")(?![^ ])"), 1)
+    named = {
+        "letters": F.regexp_count(body, F.lit(r"\p{L}")),
+        "foreign": F.regexp_count(body, F.lit(OTHER_SCRIPTS)),
+        "marks": F.regexp_count(F.lower(body), F.lit("[ăâđêôơư]")),
+        "vietnamese": F.size(F.array_distinct(phrases)),
+        "english": hits(ENGLISH),
+        "other": hits(OTHER_LATIN),
+    }
     return F.struct(*[c.alias(n) for n, c in named.items()])
 
 

@@ -18,6 +18,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def quoted(text: str) -> str:
+    """An SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lookup_map(names: dict[str, str]) -> Column:
+    """A small dictionary as a literal map."""
+    return F.expr("map(" + ", ".join(quoted(x) for pair in names.items() for x in pair) + ")")
+
+
 def clean_text(value: Column | str) -> Column:
     """Collapse Unicode white space, trim; empty becomes null."""
     return F.nullif(F.trim(F.regexp_replace(_col(value), r"(?U)\s+", " ")), F.lit(""))

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries
-from ..functions.text import fold, json_digest, label_key
+from ..functions.text import fold, json_digest, label_key, lookup_map
 
-SEPARATORS = r"\s*[,;|/\n]\s*|\s+&\s+|\s+and\s+"
+SEPARATORS = r"\s*[,;|/\n]\s*|\s+&\s+|\s+and\s+|\s+và\s+"
 
 
 def lookup(names: dict[str, str]) -> Column:
     """Label key to canonical name, for a small dictionary."""
-    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return lookup_map(names)
 
 
 def split_value(value: Column, known: Column) -> Column:

@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import fold_plain, has_phrase, let
+from ..functions.text import fold_plain, has_phrase, let, quoted
+
+
+MATCHED = "matched_role_keyword"
+
+
+def has_word(text: Column) -> Column:
+    return fold_plain(text) != ""
 
 
 def catalogue(roles: dict[str, tuple[str, ...]]) -> Column:
     """A small role catalogue as a literal array of (role, keyword), longest keyword first."""
     pairs = sorted(((r, k) for r, keywords in roles.items() for k in keywords), key=lambda p: (-len(p[1]), p[1], p[0]))
-    return F.array(*[F.struct(F.lit(r).alias("role"), F.lit(k).alias("keyword")) for r, k in pairs])
+    return F.expr("array(" + ", ".join(f"named_struct('role', {quoted(r)}, 'keyword', {quoted(k)})" for r, k in pairs) + ")")
 
 
 def role_matches(text: Column, roles: dict[str, tuple[str, ...]]) -> Column:
@@ -34,10 +41,10 @@ def gate(postings: DataFrame, role_text: str, body: str, roles: dict[str, tuple[
         F.when(missing, "missing_role_text")
         .when(F.col("language") == "other", "unsupported_language")
         .when(F.col("language") == "unknown", "unknown_language")
-        .when(F.size("matches") > 0, "matched_role_keyword")
+        .when(F.size("matches") > 0, MATCHED)
         .otherwise("no_matching_role_keyword")
     )
-    return rows.withColumn("reason", reason).withColumn("accepted", F.col("reason") == "matched_role_keyword")
+    return rows.withColumn("reason", reason).withColumn("accepted", F.col("reason") == MATCHED)
 
 
 def split_accepted(decided: DataFrame) -> tuple[DataFrame, DataFrame]:
