@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries
-from ..functions.text import fold, json_digest, label_key, lookup_map
+from ..functions.text import clean_text, fold, json_digest, label_key, lookup_map
+from . import contract
 
 SEPARATORS = r"\s*[,;|/\n]\s*|\s+&\s+|\s+and\s+|\s+và\s+"
 
@@ -40,6 +41,21 @@ def atoms(rows: DataFrame, key: str, value: str, group: str, known: Column) -> D
     return found.select(key, F.lit(group).alias("group"), "name", json_digest(F.lit(group), label_key("name"), F.lit("")).alias("atom_key")).dropDuplicates([key, "atom_key"])
 
 
+def atoms_of_table(rows: DataFrame, key: str, value: str, known: DataFrame, name: str) -> DataFrame:
+    """(key, name): as atoms, for a vocabulary that is a table of any size: each part is looked up by a join."""
+    names = known.select(label_key(name).alias("_k"), F.col(name).alias("_known")).dropDuplicates(["_k"])
+    parts = rows.select(key, F.trim(value).alias("_value"), F.posexplode(F.array_append(F.split(value, SEPARATORS), F.col(value))).alias("_at", "_part"))
+    parts = parts.where(F.trim("_part") != "").withColumn("_whole", label_key("_part") == label_key("_value")).withColumn("_k", label_key("_part"))
+    found = parts.join(names, "_k", "left").groupBy(key, "_value").agg(
+        F.max(F.when(F.col("_whole"), F.col("_known"))).alias("whole"),
+        F.collect_set(F.when(~F.col("_whole"), F.col("_known"))).alias("named"),
+        F.count(F.when(~F.col("_whole"), 1)).alias("n"),
+        F.count(F.when(~F.col("_whole"), F.col("_known"))).alias("n_known"),
+    )
+    resolved = F.when(F.col("whole").isNotNull(), F.array("whole")).when(F.col("n") == 0, F.array("_value")).when(F.col("n") == F.col("n_known"), F.col("named"))
+    return found.select(key, F.explode(resolved).alias("name")).distinct()
+
+
 def issues(rows: DataFrame, key: str, value: str, field: str, known: Column) -> DataFrame:
     """(key, field_name, source_value, reason) of the values that need review."""
     split = rows.select(key, F.col(value).alias("source_value"), split_value(F.col(value), known).alias("_s"))
@@ -63,3 +79,124 @@ def category(name: Column, groups: dict[str, tuple[str, ...]], default: str | Co
 def skill_category(name: Column) -> Column:
     """The category of a core skill, else the group of a skill."""
     return category(name, dictionaries.CORE_SKILLS, category(name, dictionaries.SKILL_GROUPS, key=fold))
+
+
+# -- whole records -----------------------------------------------------------------------------------------------
+#: Groups that a source's category of a skill stands for.
+DECLARED_GROUPS = {
+    "programming_language": "programming_language", "programming_languages": "programming_language",
+    "framework_library": "framework", "frameworks_libraries": "framework", "framework": "framework",
+}
+#: What a record must be before it is atomized.
+RECORD_RULES = {
+    "version": lambda: F.col("normalization_version") == contract.STORAGE_VERSION,
+    "required_text": lambda: F.concat_ws("", *[F.when(F.coalesce(F.trim(c), F.lit("")) == "", F.lit("x")) for c in ("job_id", "source", "job_url", "crawl_run_id", "title", "description")]) == "",
+    "identity": lambda: F.col("source").isin("itviec", "topdev") & F.startswith("job_id", F.concat("source", F.lit(":"))),
+    "times": lambda: F.col("observed_at").isNotNull() & F.col("normalized_at").isNotNull(),
+    "work_mode": lambda: F.col("work_mode").isNull() | F.col("work_mode").isin("onsite", "hybrid", "remote"),
+    "roles": lambda: F.size("job_roles") > 0,
+    "languages": lambda: F.size("foreign_languages") > 0,
+}
+
+
+def observation_key() -> Column:
+    return json_digest("job_id", "crawl_run_id")
+
+
+def _pieces() -> Column:
+    """array<struct<field, value, category, level>> of a record's lists."""
+    none = F.lit(None).cast("string")
+    made = lambda field, value, category=none, level=none: F.struct(F.lit(field).alias("field"), value.alias("value"), category.alias("category"), level.alias("level"))
+    plain = [F.transform(f, _one(f, made)) for f in ("job_roles", "cities", "seniority_levels", "soft_skills")]
+    skills = F.transform("skills", lambda x: made("skills", x["name"], x["category"]))
+    languages = F.transform("foreign_languages", lambda x: made("foreign_languages", x["language"], none, x["level_text"]))
+    return F.concat(*plain, skills, languages)
+
+
+def _one(field: str, made):
+    return lambda x: made(field, x)
+
+
+#: The group of each list but skills, and the groups that a skill may be moved to, in the order of precedence.
+LIST_GROUPS = {"job_roles": "role", "cities": "city", "seniority_levels": "level", "soft_skills": "soft_skill", "foreign_languages": "foreign_language"}
+MOVES = ("foreign_language", "role", "soft_skill")
+
+
+def atomize_records(records: DataFrame, catalogue: dict[str, dict[str, str]] = dictionaries.ATOMS) -> tuple[DataFrame, DataFrame]:
+    """(values, issues) of records that keep RECORD_RULES.
+
+    values: observation_key, group, value_key, name, category, context_key, level_text, each (group, value_key, context_key) once in an
+    observation. Skills that name a language, role or soft skill are moved, business domains dropped, unresolved composites reported."""
+    maps = {g: lookup_map(names) for g, names in catalogue.items()}
+    skill_maps = [maps[g] for g in dictionaries.SKILL_ATOM_GROUPS]
+    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).select(observation_key().alias("observation_key"), F.explode(_pieces()).alias("p"))
+    rows = rows.select("observation_key", "p.field", clean_text("p.value").alias("value"), clean_text("p.category").alias("category"), clean_text("p.level").alias("level"))
+    rows = rows.where("value IS NOT NULL").withColumn("key", label_key("value"))
+    k, skill = F.col("key"), F.col("field") == "skills"
+    moved = F.coalesce(*[F.when(skill & maps[g][k].isNotNull(), F.lit(g)) for g in MOVES])
+    domain = skill & moved.isNull() & maps["business_domain"][k].isNotNull()
+    known = F.coalesce(*[F.when(maps[g][k].isNotNull(), F.lit(g)) for g in dictionaries.SKILL_ATOM_GROUPS])
+    of_skill = F.coalesce(moved, known, lookup_map(DECLARED_GROUPS)[F.col("category")], F.lit("core_skill"))
+    sentinel = (F.col("field") == "foreign_languages") & (k == "unknown")
+    rows = rows.withColumns(
+        {"moved": moved, "domain": domain, "sentinel": sentinel, "group": F.when(skill, of_skill).otherwise(lookup_map(LIST_GROUPS)[F.col("field")])}
+    )
+    known_name = lambda x: F.coalesce(*[F.when(F.col("group") == g, maps[g][label_key(x)]) for g in LIST_GROUPS.values()], F.when(F.col("group").isin(*dictionaries.SKILL_ATOM_GROUPS), F.coalesce(*[m[label_key(x)] for m in skill_maps])))
+    parts = F.transform(F.split("value", SEPARATORS), lambda x: F.trim(x))
+    rows = rows.withColumn("whole", known_name(F.col("value"))).withColumn("parts", parts).withColumn("named", F.transform("parts", known_name))
+    composite = F.col("whole").isNull() & (F.size("parts") > 1)
+    resolved = F.forall("named", lambda x: x.isNotNull())
+    names = F.when(F.col("moved").isNotNull(), F.array("value")).when(F.col("whole").isNotNull(), F.array("whole")).when(~composite, F.array("value")).when(resolved, F.col("named")).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("unresolved", composite & ~resolved & F.col("moved").isNull() & ~F.col("domain")).withColumn("names", F.when(F.col("domain") | F.col("sentinel"), F.array().cast("array<string>")).otherwise(names))
+    atoms_ = rows.withColumn("atom", F.explode("names"))
+    own = F.coalesce(*[F.when(maps[g][label_key("atom")].isNotNull(), F.lit(g)) for g in dictionaries.SKILL_ATOM_GROUPS])
+    atoms_ = atoms_.withColumn("group", F.when(skill & F.col("moved").isNull(), F.coalesce(own, "group")).otherwise(F.col("group")))
+    canonical = F.coalesce(*[F.when(F.col("group") == g, maps[g][label_key("atom")]) for g in dictionaries.ATOM_GROUPS])
+    atoms_ = atoms_.withColumn("canonical", canonical)
+    fixed = F.coalesce(lookup_map(dictionaries.ATOM_CATEGORIES)[F.col("group")], F.when(F.col("group") == "core_skill", lookup_map(dictionaries.CORE_SKILL_NAMES)[F.col("canonical")]))
+    category = F.coalesce(fixed, F.when(skill & F.col("moved").isNull(), F.col("category")), F.lit(""))
+    identity = F.when(F.col("canonical").isNotNull(), label_key("canonical")).otherwise(F.col("atom"))
+    language = F.col("group") == "foreign_language"
+    context = F.when(language, F.sha2(F.coalesce(F.regexp_replace(F.to_json(F.array("level")), r"^\[|\]$", ""), F.lit("null")), 256)).otherwise(F.lit(""))
+    context = F.when(language & F.col("level").isNull(), F.sha2(F.lit("null"), 256)).otherwise(context)
+    review = skill & (F.col("group") == "core_skill") & F.col("category").isin("other", "domain") & F.col("moved").isNull()
+    atoms_ = atoms_.withColumn("cat", category).withColumn("review", review).withColumn("value_key", json_digest("group", identity, "cat"))
+    values = atoms_.select("observation_key", "group", "value_key", F.coalesce("canonical", "atom").alias("name"), F.col("cat").alias("category"), context.alias("context_key"), F.when(language, F.col("level")).alias("level_text"))
+    values = values.dropDuplicates(["observation_key", "group", "value_key", "context_key"])
+
+    reason = F.array_compact(
+        F.array(
+            F.when(F.col("moved").isNotNull(), F.concat("moved", F.lit("_tag_moved"))),
+            F.when(F.col("domain"), F.lit("business_domain_not_a_skill")),
+            F.when(F.col("unresolved"), F.lit("unresolved_composite")),
+            F.when(F.col("sentinel"), F.lit("source_did_not_specify_language")),
+        )
+    )
+    told = rows.select("observation_key", F.when(F.col("unresolved"), F.col("group")).otherwise(F.col("field")).alias("field_name"), F.col("value").alias("source_value"), F.explode(reason).alias("reason"))
+    reviewed = atoms_.where("review").select("observation_key", F.lit("skills").alias("field_name"), F.col("value").alias("source_value"), F.lit("category_needs_review").alias("reason"))
+    found = told.unionByName(reviewed).withColumn("issue_key", json_digest("field_name", "source_value", "reason")).dropDuplicates(["observation_key", "issue_key"])
+    return values, found
+
+
+def observations(records: DataFrame, values: DataFrame) -> DataFrame:
+    """The scalar row of each atomized record, with foreign_language_status."""
+    spoken = values.where(F.col("group") == "foreign_language").select("observation_key").distinct().withColumn("_spoken", F.lit(True))
+    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).withColumn("observation_key", observation_key()).join(spoken, "observation_key", "left")
+    scalars = ("job_id", "source", "source_job_id", "job_url", "crawl_run_id", "observed_at", "title", "company_name", "description", "location_text", "work_mode")
+    return rows.select("observation_key", *scalars, F.when(F.col("_spoken"), "known").otherwise("unknown").alias("foreign_language_status"))
+
+
+# -- natural keys of the star ------------------------------------------------------------------------------------
+def core_skill_category(name: Column, declared: Column) -> Column:
+    """The category that lists a core skill, else the declared one."""
+    return category(name, dictionaries.CORE_SKILLS, declared)
+
+
+def framework_language(name: Column) -> Column:
+    """The programming language of a framework."""
+    return lookup_map(dictionaries.FRAMEWORK_LANGUAGES)[label_key(name)]
+
+
+def role_category(name: Column) -> Column:
+    pairs = {role: c for c, roles in dictionaries.ROLE_CATEGORIES.items() for role in roles}
+    return F.coalesce(lookup_map(pairs)[label_key(name)], F.lit(dictionaries.DEFAULT_ROLE_CATEGORY))

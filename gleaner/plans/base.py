@@ -10,13 +10,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def register(name: str, fn: Callable[[SparkSession, str], DataFrame], sql: str | None) -> None:
+    """Adds a query, with the SQL that gives the same rows (None where SQL can't)."""
+    QUERIES[name] = fn
+    if sql:
+        ORACLES[name] = sql
+
+
 def query(sql: str | None):
-    """Registers a function under its name, with the SQL that gives the same rows (None where SQL can't)."""
+    """Registers a function under its name."""
 
     def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLES[fn.__name__] = sql
+        register(fn.__name__, fn, sql)
         return fn
 
     return add

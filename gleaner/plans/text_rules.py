@@ -30,7 +30,7 @@ def _language_sql() -> str:
     listed = lambda words: "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(words)) + "]"
     phrases = " + ".join(f"CAST(contains(' ' || f || ' ', ' {w} ') AS INTEGER)" for w in rules.VIETNAMESE)
     return f"""WITH a AS (SELECT doc_id, text, {PLAIN_SQL.format("regexp_replace(text, '<[^>]+>', ' ', 'g')")} AS f FROM documents),
-      b AS (SELECT doc_id, text, length(regexp_replace(text, '[^\\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(lower(text), '[^ăâđêôơư]+', '', 'g')) AS marks,
+      b AS (SELECT doc_id, text, f, length(regexp_replace(text, '[^\\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(lower(text), '[^ăâđêôơư]+', '', 'g')) AS marks,
         length(text) - length(regexp_replace(text, '[\\x{{3040}}-\\x{{30ff}}\\x{{3400}}-\\x{{9fff}}\\x{{0400}}-\\x{{04ff}}]', '', 'g')) AS scripts,
         {phrases} AS vi, len(list_intersect(string_split(f, ' '), {listed(rules.ENGLISH)})) AS en, len(list_intersect(string_split(f, ' '), {listed(rules.OTHER_LATIN)})) AS other FROM a)
       SELECT doc_id, CASE WHEN letters = 0 THEN 'unknown' WHEN scripts >= 4 AND scripts >= 0.12 * letters THEN 'other' WHEN marks >= 2 OR (vi >= 2 AND vi > en) THEN 'vi'
@@ -46,11 +46,11 @@ def language_gate(spark, d):
 SAMPLE_ROLES = {"Role of": ("of the", "of"), "Role und": ("und die", "und"), **dictionaries.ROLES}
 
 
-@query(f"""WITH a AS (SELECT doc_id, ' ' || {PLAIN_SQL.format('substr(text, 1, 200)')} || ' ' AS f FROM documents)
+@query(f"""WITH a AS (SELECT doc_id, ' ' || {PLAIN_SQL.format('text')} || ' ' AS f FROM documents)
            SELECT doc_id, CASE WHEN contains(f, ' of the ') THEN 'of the' WHEN contains(f, ' of ') THEN 'of' END AS of_keyword,
              CASE WHEN contains(f, ' und die ') THEN 'und die' WHEN contains(f, ' und ') THEN 'und' END AS und_keyword FROM a""")
 def role_gate(spark, d):
-    return _picked(t(spark, d, "documents"), F.substring("text", 1, 200))
+    return _picked(t(spark, d, "documents"), F.col("text"))
 
 
 def _picked(documents, text):
@@ -59,28 +59,49 @@ def _picked(documents, text):
     return documents.select("doc_id", pick("Role of").alias("of_keyword"), pick("Role und").alias("und_keyword"))
 
 
-@query(None)
-def role_gate_whole(spark, d):
-    """role_gate over whole texts; the SQL of role_gate sees 200 characters."""
-    return _picked(t(spark, d, "documents"), F.col("text"))
+def _reasons_sql() -> str:
+    keywords = ", ".join(f"' {k} '" for k in sorted({k for words in SAMPLE_ROLES.values() for k in words}))
+    return f"""WITH g AS ({_language_sql().replace("SELECT doc_id, CASE", "SELECT doc_id, text, f, CASE")})
+      SELECT CASE WHEN trim(text) = '' THEN 'missing_role_text' WHEN language = 'other' THEN 'unsupported_language' WHEN language = 'unknown' THEN 'unknown_language'
+        WHEN len(list_filter([{keywords}], lambda k: contains(' ' || f || ' ', k))) > 0 THEN 'matched_role_keyword' ELSE 'no_matching_role_keyword' END AS reason, language, count(*) AS n FROM g GROUP BY 1, 2"""
 
 
-@query(None)
+@query(_reasons_sql())
 def gate_reasons(spark, d):
     documents = t(spark, d, "documents").withColumn("body", F.lit(None).cast("string"))  # the role text is the whole text
     return gate.gate(documents, "text", "body", SAMPLE_ROLES).groupBy("reason", "language").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""WITH a AS (SELECT doc_id, {FOLD_SQL.format('text')} AS f FROM documents), m AS (SELECT doc_id, list_filter([{", ".join(f"CASE WHEN regexp_matches(f, '{p}') THEN '{name}' END" for name, p in rules.WORK_MODES.items())}], lambda x: x IS NOT NULL) AS modes FROM a)
+  SELECT doc_id, CASE WHEN len(modes) = 1 THEN modes[1] END AS mode, CAST(len(modes) AS INTEGER) AS n_modes FROM m""")
+def document_work_mode(spark, d):
+    """Work modes named in whole texts."""
+    modes = t(spark, d, "documents").select("doc_id", rules.work_modes(F.col("text")).alias("modes"))
+    return modes.select("doc_id", F.when(F.size("modes") == 1, F.get("modes", 0)).alias("mode"), F.size("modes").alias("n_modes"))
+
+
+#: The driver's texts name no Vietnamese places, so frequent words of theirs stand in for two more.
+SAMPLE_PLACES = {**dictionaries.PLACES, "the": "The", "of the": "Of the"}
+
+
+@query(f"""WITH a AS (SELECT doc_id, regexp_extract_all(replace({FOLD_SQL.format('text')}, '.', ' '), '\b({"|".join(sorted(SAMPLE_PLACES, key=lambda a: (-len(a), a)))})\b', 1) AS hits FROM documents),
+  names AS (SELECT MAP {{{", ".join(f"'{k}': '{v}'" for k, v in SAMPLE_PLACES.items())}}} AS m)
+  SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(hits, lambda x: m[x]))), '|') AS places FROM a, names""")
+def document_places(spark, d):
+    """Places named in whole texts, longer names first."""
+    return t(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(rules.places_in(F.col("text"), SAMPLE_PLACES)), "|").alias("places"))
+
+
 COLOURS = {"red": "Red", "blue": "Blue", "green": "Green", "ivory": "Ivory", "small": "Small"}
 
 
 @query("""SELECT p_partkey, n AS name FROM (SELECT p_partkey, unnest(list_distinct(string_split(p_type, ' '))) AS n FROM part WHERE p_size % 2 = 0)
           UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_size % 2 = 1""")
 def atomize_split(spark, d):
+    """Composites whose parts are all known words; the known words are a table here, not a literal map."""
     p = t(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, F.replace("p_type", F.lit(" "), F.lit("/"))).otherwise(F.col("p_brand")).alias("value"))
-    words = [r[0] for r in t(spark, d, "part").select(F.explode(F.split("p_type", " ")).alias("w")).distinct().limit(200).collect()]  # a vocabulary of a few type words
-    known = atomize.lookup({w.lower(): w for w in words})
-    return atomize.atoms(p, "p_partkey", "value", "core_skill", known).select("p_partkey", "name")
+    known = t(spark, d, "part").select(F.explode(F.split("p_type", " ")).alias("name")).distinct()
+    return atomize.atoms_of_table(p, "p_partkey", "value", known, "name").select("p_partkey", "name")
 
 
 @query("""SELECT p_partkey, 'skill' AS field_name, p_brand || '/' || p_type AS source_value, 'unresolved_composite' AS reason FROM part WHERE p_size < 5""")
@@ -89,17 +110,21 @@ def atomize_issues(spark, d):
     return atomize.issues(p, "p_partkey", "value", "skill", atomize.lookup(COLOURS))
 
 
-RAW_SKILLS = ("ReactJS", "golang", "C/C++", "Kafka", "k8s", "Jira", "postgres")
+#: Skills as sources write them, and what they stand for.
+RAW_SKILLS = {
+    "ReactJS": (("React", "framework_library"),), "golang": (("Go", "programming_language"),), "C/C++": (("C", "programming_language"), ("C++", "programming_language")),
+    "Kafka": (("Kafka", "data_streaming"),), "k8s": (("Kubernetes", "devops"),), "Jira": (("Jira", "tool"),), "postgres": (("PostgreSQL", "database"),),
+    "Unit Testing": (("Unit Testing", "testing"),), "RTOS": (("RTOS", "operating_system"),), "OWASP": (("OWASP", "security"),), "Figma": (("Figma", "design"),), "MysteryTech": (("MysteryTech", "other"),),
+}
 
 
-@query("""WITH a AS (SELECT p_partkey, ['ReactJS', 'golang', 'C/C++', 'Kafka', 'k8s', 'Jira', 'postgres'][1 + p_partkey % 7] AS raw FROM part),
-          m(raw, skill, category) AS (VALUES ('ReactJS', 'React', 'other'), ('golang', 'Go', 'other'), ('C/C++', 'C', 'other'), ('C/C++', 'C++', 'other'),
-            ('Kafka', 'Kafka', 'data_streaming'), ('k8s', 'Kubernetes', 'other'), ('Jira', 'Jira', 'tool'), ('postgres', 'PostgreSQL', 'other'))
+@query(f"""WITH a AS (SELECT p_partkey, [{", ".join(f"'{r}'" for r in RAW_SKILLS)}][1 + p_partkey % {len(RAW_SKILLS)}] AS raw FROM part),
+          m(raw, skill, category) AS (VALUES {", ".join(f"('{r}', '{n}', '{c}')" for r, found in RAW_SKILLS.items() for n, c in found)})
           SELECT skill, category, count(*) AS n FROM a JOIN m USING (raw) GROUP BY 1, 2""")
 def skill_alias_category(spark, d):
-    raw = F.element_at(F.array(*[F.lit(s) for s in RAW_SKILLS]), (F.col("p_partkey") % 7 + 1).cast("int"))
+    raw = F.element_at(F.array(*[F.lit(s) for s in RAW_SKILLS]), (F.col("p_partkey") % len(RAW_SKILLS) + 1).cast("int"))
     skills = t(spark, d, "part").select(F.explode(atomize.canonical_skills(F.array(raw), dictionaries.SKILL_ALIASES)).alias("skill"))
-    return skills.groupBy("skill", atomize.category(F.col("skill"), dictionaries.CORE_SKILLS).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    return skills.groupBy("skill", atomize.skill_category(F.col("skill")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Hà Nội' WHEN 1 THEN 'Bà Rịa - Vũng Tàu|Hồ Chí Minh' WHEN 2 THEN 'Đà Nẵng' ELSE '' END AS cities FROM customer""")
@@ -152,8 +177,7 @@ def salary_parse(spark, d):
         .when(k == 2, F.concat(F.lit("From "), x.cast("string"), F.lit(",000 USD per year")))
         .when(k == 3, F.lit("Thoả thuận"))
     )
-    found = rules.salary(text)
-    return t(spark, d, "orders").select("o_orderkey", *[found[c].alias(c) for c in ("low", "high", "currency", "period", "status")])
+    return t(spark, d, "orders").select("o_orderkey", rules.salary(text).alias("s")).select("o_orderkey", "s.low", "s.high", "s.currency", "s.period", "s.status")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'Junior' WHEN o_orderpriority = '1-URGENT' THEN 'Senior' WHEN o_orderpriority = '2-HIGH' THEN 'Lead' ELSE 'Mid-level' END AS level,

@@ -215,8 +215,9 @@ def multiset_diff(spark, d):
     return sync.multiset_difference(side("l_linenumber <= 2"), side("l_linenumber = 3"))
 
 
-@query("""SELECT user_id, sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM
-          (SELECT user_id, sha256(CAST(user_id AS VARCHAR) || '|' || CAST(event_id AS VARCHAR) || '|' || event_type) AS h FROM events) GROUP BY 1""")
+@query("""WITH r AS (SELECT user_id, sha256(length(CAST(user_id AS VARCHAR)) || ':' || user_id || length(CAST(event_id AS VARCHAR)) || ':' || event_id || length(event_type) || ':' || event_type) AS h FROM events),
+          p AS (SELECT user_id, h[1:2] AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM r GROUP BY 1, 2)
+          SELECT user_id, sha256(string_agg(p || d, '' ORDER BY p)) AS fingerprint FROM p GROUP BY 1""")
 def content_fingerprint(spark, d):
     return quality.content_fingerprint(t(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"])
 
@@ -316,7 +317,7 @@ def observation_digest(spark, d):
     return t(spark, d, "events").select("event_id", tx.json_digest(F.col("event_type"), F.col("user_id").cast("string")).alias("digest"))
 
 
-@query(None)
+@query(r"""SELECT event_id, upper(sha256(CAST(regexp_replace(CAST(user_id AS VARCHAR) || '|' || event_type, '(.)', '\1\\x00', 'g') AS BLOB))) AS observation_id FROM events""")
 def observation_identity(spark, d):
     return t(spark, d, "events").select("event_id", tx.observation_id(F.col("user_id").cast("string"), F.col("event_type")).alias("observation_id"))
 
