@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import give_back, stored
 
 WIDTH = 5
 BUCKET_BITS = 24
@@ -122,7 +122,7 @@ def _bucket(s: np.ndarray) -> np.ndarray:
 
 DESCRIBED = "doc_id long, n int, sig long, bits array<long>, shingles binary, chunk int, part int, counts binary"
 TABLES = 64
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -152,11 +152,14 @@ def describe(docs: DataFrame) -> DataFrame:
                     bits.append(parity(s).tolist() if first else None)
                     sets.append(to_bytes(s) if first else None)
                 _count(counts, fresh)
+                del fresh
                 yield made(doc_id=ids[begin : begin + BATCH_ROWS], n=n, sig=sig, bits=bits, shingles=sets)
         parts, part = counts.reshape(CHUNKS, -1), TaskContext.get().partitionId() // TABLES
         for k in range(CHUNKS):
             if parts[k].any():
                 yield made(chunk=[k], part=[part], counts=[_pack(parts[k])])
+        del counts, parts, seen, shingler
+        give_back()
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, DESCRIBED), "join-described")
 
@@ -248,6 +251,7 @@ def index_rows(described: DataFrame, classes: np.ndarray, rare_class: int) -> Da
                         rare.append(np.full(len(k), r, dtype=np.int32))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size, rare)], names=["key", "frequent", "sig", "n", "rare"])
+            give_back()
 
     return described.where("shingles IS NOT NULL").select("sig", "shingles").mapInArrow(run, "key long, frequent boolean, sig long, n int, rare int")
 
@@ -342,6 +346,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             ok = [_similar(*(from_bytes(v.as_py()) for v in pair)) for pair in zip(batch.column("sa"), batch.column("sb"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, type=pa.bool_()))
+            give_back()
 
     return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
