@@ -22,7 +22,6 @@ every gram costs log10(1/257). Columns other than doc_id and text don't enter. A
 
 from __future__ import annotations
 
-import ctypes
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from .common import fold, pack, pack_sorted, stored, unpack, unpack_sorted
+from .common import fold, give_back, pack, pack_sorted, stored, unpack, unpack_sorted
 
 ORDER = 5
 END = 256
@@ -143,14 +142,6 @@ def lookup(keys: np.ndarray, values: np.ndarray, want: np.ndarray) -> np.ndarray
     return np.where(keys[at] == want, values[at], 0)
 
 
-def _give_back() -> None:
-    """Freed memory back to the system: a worker that has met a large batch lives on beside the next ones."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     begin, size = 0, 0
     for k, t in enumerate(texts):
@@ -241,7 +232,7 @@ def pack_documents(docs: DataFrame, batch_bytes: int, parts: int) -> DataFrame:
         def made() -> Iterator[pa.RecordBatch]:
             for row in pack_batch(pa.Table.from_batches(held), number, parts):
                 yield from packed([row]).to_batches()
-            _give_back()
+            give_back()
 
         for batch in arriving:
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy()
@@ -337,7 +328,7 @@ def score_batch(rows: pa.Table, end_count: int) -> pa.Table:
         score.append(np.add.reduceat(logp[places.get_indexer(turn(found))], begins))
     columns = [docs.column("doc_id"), docs.column("trains"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score))]
     del texts, count, places, turned, logp, docs
-    _give_back()
+    give_back()
     return pa.Table.from_arrays(columns, schema=SCORED)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, pack, pack_sorted, stored, unpack, unpack_sorted
+from .common import fold, give_back, pack, pack_sorted, stored, unpack, unpack_sorted
 
 FIT_TOXIC, FIT_ORDINARY = 4000, 12000
 DISCOUNT = 0.75
@@ -66,19 +66,24 @@ class Counts:
     words: list[bytes]
     packed: list[tuple[bytes, bytes]]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, counts): v * (V + 1) + w, sorted, and a row of counts for each of COUNTS."""
-        none = np.zeros(0, dtype=np.int64)
-        key = np.concatenate([none, *(unpack_sorted(k) for k, _ in self.packed)])
-        counts = np.concatenate([none.reshape(4, 0), *(unpack(n).reshape(4, -1) for _, n in self.packed)], axis=1)
-        by = np.argsort(key)
-        return key[by], counts[:, by]
+    def pairs(self, halves: str) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, counts) of the pairs that some halves hold: v * (V + 1) + w, sorted, and a row of counts for each class. Unpacked
+        piece by piece, so that no more than the result is held."""
+        keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros((2, 0), dtype=np.int32)]
+        for k, n in self.packed:
+            every = unpack(n).reshape(4, -1).astype(np.int32)
+            some = np.stack([sum(every[COUNTS.index(f"{h}{c}")] for h in halves) for c in (0, 1)])
+            seen = some.any(axis=0)
+            keys.append(unpack_sorted(k)[seen])
+            counts.append(some[:, seen])
+        return np.concatenate(keys), np.concatenate(counts, axis=1)
 
     def model(self, halves: str) -> KneserNey | None:
         """The model of some halves, built once in each worker."""
         built = self.__dict__.setdefault("_built", {})
         if halves not in built:
             built[halves] = build_model(self, halves)
+            give_back()
         return built[halves]
 
     def __getstate__(self) -> dict:
@@ -116,13 +121,11 @@ def count_bigrams(training: DataFrame) -> Counts:
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            by = np.argsort(key)
-            counts = np.stack([batch.column(c).to_numpy()[by] for c in COUNTS])
-            yield pa.RecordBatch.from_arrays([pa.array([pack_sorted(key[by])], pa.binary()), pa.array([pack(counts.reshape(-1))], pa.binary())], names=["keys", "counts"])
+            counts = np.concatenate([batch.column(c).to_numpy() for c in COUNTS])
+            yield pa.RecordBatch.from_arrays([pa.array([pack_sorted(batch.column("key").to_numpy())], pa.binary()), pa.array([pack(counts)], pa.binary())], names=["keys", "counts"])
 
     counted = training.mapInArrow(count, "key long, " + ", ".join(f"{c} int" for c in COUNTS)).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    rows = counted.mapInArrow(packs, "keys binary, counts binary").collect()
+    rows = counted.orderBy("key").mapInArrow(packs, "keys binary, counts binary").collect()  # in order of key
     return Counts(words, [(bytes(r["keys"]), bytes(r["counts"])) for r in rows])
 
 
@@ -167,29 +170,26 @@ class KneserNey:
 def discounted(counts: np.ndarray) -> np.ndarray:
     """Counts less the discounts of modified Kneser-Ney, one each for the counts 1, 2 and more; DISCOUNT where the counts of
     counts don't tell."""
-    of = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6).astype(float)
-    less = np.array([0, DISCOUNT, DISCOUNT, DISCOUNT])
+    of = np.array([np.count_nonzero(counts == k) for k in range(5)], dtype=float)
+    less = np.array([0, DISCOUNT, DISCOUNT, DISCOUNT], dtype=np.float32)
     if of[1:5].all():
         y = of[1] / (of[1] + 2 * of[2])
         less[1:] = [np.clip(k - (k + 1) * y * of[k + 1] / of[k], 0.1, k) for k in (1, 2, 3)]
-    return (counts - less[np.minimum(counts, 3).astype(np.int64)]).astype(np.float32)
+    return counts.astype(np.float32) - less[np.minimum(counts, 3).astype(np.int8)]
 
 
 def build_model(counted: Counts, halves: str) -> KneserNey | None:
     """A model of the counts of `halves` ('a', 'b' or 'ab'). None if a class has no words."""
     size = len(counted.words) + 1
-    key, every = counted.pairs()
-    counts = np.stack([sum(every[COUNTS.index(f"{h}{c}")] for h in halves) for c in (0, 1)])
-    seen = counts.any(axis=0)
-    key, counts = key[seen], counts[:, seen]
-    del every, seen
-    v, w = np.divmod(key, size)
+    key, counts = counted.pairs(halves)
+    v, w = (key // size).astype(np.int32), (key % size).astype(np.int32)
     n = np.stack([np.bincount(w[counts[c] > 0], minlength=size)[:-1] for c in (0, 1)]).astype(float)
     if not (n.sum(axis=1) > 0).all():
         return None
     pooled = n.sum(axis=0)
     back = np.append(discounted(pooled).astype(float) / pooled.sum(), 0.0)
     back += (1 - back.sum()) / size
+    del w
     p = np.zeros((2, size))
     for c in (0, 1):
         own = np.append(discounted(n[c]).astype(float) / n[c].sum(), 0.0)
