@@ -174,7 +174,8 @@ def _meta() -> Column:
 def persisted(records: DataFrame) -> DataFrame:
     """The records that keep the contract, in the columns that are stored: without experience, education, dates and salary, whose
     evidence leaves the meta data too."""
-    stored = records.where("reject_reason IS NULL")
+    # The row number keeps the optimizer from rebuilding every field inside the filter.
+    stored = records.withColumn("_at", F.monotonically_increasing_id()).where("reject_reason IS NULL AND _at >= 0")
     level = F.col("normalization_meta.fields.seniority_levels")
     quiet = level.withField("evidence", F.when(level["source"] == "general_experience", entities.no_texts()).otherwise(level["evidence"]))
     fields = F.col("normalization_meta.fields").dropFields("experience_text").withField("seniority_levels", quiet)

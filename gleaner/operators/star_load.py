@@ -141,7 +141,7 @@ def new_facts(observed: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
     return {"fact_job_observation": base.drop("observation_key"), "fact_job_necessary_skill": skills, "fact_job_role_city": placed}
 
 
-def _merged_jobs(stored: DataFrame, new: DataFrame) -> DataFrame:
+def merged_jobs(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Jobs with the widest span of sights, and the address of the newest."""
     both = stored.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
     newest = F.max(F.struct("last_seen_at_utc", "_new", "source_job_id", "canonical_job_url"))
@@ -162,7 +162,7 @@ def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame) -
     for name, (_, grain) in TABLES.items():
         columns = stored[name].columns
         if name == "dim_job":
-            out[name] = _merged_jobs(stored[name], new[name].select(*columns))
+            out[name] = merged_jobs(stored[name], new[name].select(*columns))
             continue
         kept = _repaired(stored[name], new["fact_job_observation"]) if name.startswith("fact") else stored[name]
         out[name] = kept.unionByName(new[name].select(*columns).join(stored[name].select(*grain), grain, "left_anti"))

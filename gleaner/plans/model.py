@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import atomize, star_load
+from ..storage import stored
 from .base import query, t
 from .postings import _pick, _values
 
@@ -86,8 +87,8 @@ def atom_language_status(spark, d):
 
 def _loaded(spark, d):
     rows = records(spark, d)
-    values, _ = atomize.atomize_records(rows)
-    return star_load.bootstrap(spark), atomize.observations(rows, values), values
+    values = stored(atomize.atomize_records(rows)[0], "atom-values")
+    return star_load.bootstrap(spark), stored(atomize.observations(rows, values), "atom-observations"), values
 
 
 STAR_SQL = f"""{ATOMS_SQL},
@@ -105,8 +106,8 @@ STAR_SQL = f"""{ATOMS_SQL},
   UNION ALL SELECT 'fact_job_necessary_skill', (SELECT count(*) FROM need) UNION ALL SELECT 'fact_job_role_city', (SELECT sum(n) FROM rc))
   SELECT "table", CAST(n AS BIGINT) AS rows_added FROM c""")
 def star_load_counts(spark, d):
-    stored, observed, values = _loaded(spark, d)
-    return star_load.added(stored, star_load.load(stored, observed, values))
+    before, observed, values = _loaded(spark, d)
+    return star_load.added(before, star_load.load(before, observed, values))
 
 
 @query("SELECT CAST(o_custkey AS VARCHAR) AS source_job_id, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_seen FROM orders GROUP BY 1")
@@ -115,11 +116,11 @@ def star_first_last_seen(spark, d):
     rows = records(spark, d)
     values, _ = atomize.atomize_records(rows)
     observed = atomize.observations(rows, values)
-    stored = star_load.bootstrap(spark)["dim_job"]
+    jobs = star_load.bootstrap(spark)["dim_job"]
     for late in (False, True):
         part = observed.where((F.dayofmonth("observed_at") <= 15) == late)
-        stored = star_load._merged_jobs(stored, star_load.new_dimensions(part, values)["dim_job"].select(*stored.columns))
-    return stored.select("source_job_id", F.col("first_seen_at_utc").alias("first_seen"), F.col("last_seen_at_utc").alias("last_seen"))
+        jobs = star_load.merged_jobs(jobs, star_load.new_dimensions(part, values)["dim_job"].select(*jobs.columns))
+    return jobs.select("source_job_id", F.col("first_seen_at_utc").alias("first_seen"), F.col("last_seen_at_utc").alias("last_seen"))
 
 
 @query(f"""WITH {STAR_SQL} SELECT grp AS skill_type, name AS skill_name, level AS level_text, CAST(context_no AS INTEGER) AS context_no, count(*) AS n FROM

@@ -15,5 +15,36 @@ def stream_first_claim(spark, d):
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily_counts(spark, d):
+    """The newest count of each day, from updates."""
     counts = jobs.daily_counts(jobs.read_stream(spark, d, "events.parquet"), "ts", "1 day", "event_type")
-    return jobs.run_available(counts, "complete").groupBy("day", "event_type").agg(F.max("n").alias("n"))
+    return jobs.run_available(counts, "update").groupBy("day", "event_type").agg(F.max("n").alias("n"))
+
+
+def _events(spark, d):
+    return jobs.read_stream(spark, d, "events.parquet").select("user_id", "event_id", "ts", "event_type")
+
+
+@query("SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def stream_latest(spark, d):
+    rows = _events(spark, d).drop("event_type")
+    return jobs.keep_table(rows, rows.schema.simpleString()[7:-1].replace(":", " "), jobs.merge_latest("user_id", "ts", "event_id"))
+
+
+@query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM events GROUP BY 1")
+def stream_first_last_seen(spark, d):
+    return jobs.keep_table(_events(spark, d), "user_id long, first_seen timestamp_ntz, last_seen timestamp_ntz, n long", jobs.merge_seen("user_id", "ts"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE user_id % 3 = 0)")
+def stream_incremental_scan(spark, d):
+    """Rows of users that a registry doesn't know."""
+    known = spark.read.parquet(f"{d}/events.parquet").where("user_id % 3 = 0").select("user_id").distinct()
+    rows = _events(spark, d).select("event_id", "user_id")
+    return jobs.keep_table(rows, "event_id long, user_id long", lambda stored, batch: jobs.merge_history("event_id")(stored, batch.join(known, "user_id", "left_anti")))
+
+
+@query("SELECT event_id, user_id, ts FROM events")
+def stream_history(spark, d):
+    """Everything that was seen, by its grain."""
+    rows = _events(spark, d).select("event_id", "user_id", "ts")
+    return jobs.keep_table(rows, "event_id long, user_id long, ts timestamp_ntz", jobs.merge_history("event_id"))

@@ -84,7 +84,7 @@ def document_work_mode(spark, d):
 SAMPLE_PLACES = {**dictionaries.PLACES, "the": "The", "of the": "Of the"}
 
 
-@query(f"""WITH a AS (SELECT doc_id, regexp_extract_all(replace({FOLD_SQL.format('text')}, '.', ' '), '\b({"|".join(sorted(SAMPLE_PLACES, key=lambda a: (-len(a), a)))})\b', 1) AS hits FROM documents),
+@query(f"""WITH a AS (SELECT doc_id, regexp_extract_all(replace({FOLD_SQL.format('text')}, '.', ' '), '\\b({"|".join(sorted(SAMPLE_PLACES, key=lambda a: (-len(a), a)))})\\b', 1) AS hits FROM documents),
   names AS (SELECT MAP {{{", ".join(f"'{k}': '{v}'" for k, v in SAMPLE_PLACES.items())}}} AS m)
   SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(hits, lambda x: m[x]))), '|') AS places FROM a, names""")
 def document_places(spark, d):
