@@ -1,4 +1,7 @@
-"""Publishing: immutable snapshots and a manifest that names the current one, moved only after all gates have passed."""
+"""Publishing: immutable snapshots and a manifest that names the current one, moved only after all gates have passed.
+
+One writer at a time: a publisher that states which snapshot it started from is refused if another has become current, and two
+entries of one number, which only racing writers can leave, are refused by every reader."""
 
 from __future__ import annotations
 
@@ -35,7 +38,10 @@ def history(spark: SparkSession, root: str) -> list[dict]:
         if "PATH_NOT_FOUND" in str(error):
             return []
         raise
-    return sorted((json.loads(r[0]) for r in rows), key=lambda e: e["number"])
+    entries = sorted((json.loads(r[0]) for r in rows), key=lambda e: e["number"])
+    if [e["number"] for e in entries] != list(range(len(entries))):
+        raise PublishRejected("the manifest has been written by two publishers at once")
+    return entries
 
 
 def current(spark: SparkSession, root: str) -> str | None:
@@ -48,13 +54,19 @@ def _point_to(spark: SparkSession, root: str, snapshot: str, action: str) -> Non
     spark.range(1).select(F.lit(json.dumps(entry)).alias("value")).coalesce(1).write.mode("append").text(f"{root}/manifest")
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], gates) -> str:
-    """Write a snapshot, run gates(read) over what was written, and make it current if all pass."""
+ANY = object()
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], gates, expected=ANY) -> str:
+    """Write a snapshot, run gates(read) over what was written, and make it current if all pass and `expected`, where it is given, is
+    still the current one."""
     snapshot = write_snapshot(root, tables)
     report = gates(lambda name: read_snapshot(spark, root, snapshot, name))
     if not quality.all_pass(report):
         failed = [r["check_name"] for r in report.where("status <> 'pass'").collect()]
         raise PublishRejected(f"snapshot {snapshot}: {', '.join(failed)}")
+    if expected is not ANY and current(spark, root) != expected:
+        raise PublishRejected(f"snapshot {snapshot}: another snapshot has become current")
     _point_to(spark, root, snapshot, "publish")
     return snapshot
 
