@@ -10,9 +10,13 @@ in double precision. A block gives at most top + 1 rows for a query.
 Equal vectors tie on every query, so of a group of equal vectors only the top + 1 smallest ids can be in a result: the
 index keeps those, which is exact, and equal query vectors are searched once.
 
+Every row is a candidate of its own, whatever its id: a row that is repeated finds its copy, and rows that share an id are told apart
+by a row number that `usable` stores with them.
+
 Defined results: vectors that are null, empty, zero, hold a null or non-finite component, or differ in length from the
-most common length take no part; rows without an id neither. Repeated (id, vector) rows count once. Fewer candidates
-than `top` give fewer rows. Ties go to the smaller id. An empty table gives an empty result.
+most common length take no part; rows without an id neither. Each query row has a list; rows with one id have one each.
+Fewer candidates than `top` give fewer rows. Ties go to the smaller id. Other columns don't enter. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -64,12 +68,12 @@ def _k_means(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, x) of the vectors that take part, once each."""
+    """Stored (row, vec_id, x) of the vectors that take part; row tells rows apart."""
     rows = vectors.select(F.col(f"`{vec_id}`").alias("vec_id"), F.col(f"`{embedding}`").cast("array<float>").alias("x")).where(F.col("vec_id").isNotNull() & (F.size("x") > 0))
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     rows = rows.where(F.forall("x", finite) & F.exists("x", lambda v: v != 0))
     common = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("x") == (common["n"] if common else -1)).dropDuplicates(["vec_id", "x"])
+    return stored(rows.where(F.size("x") == (common["n"] if common else -1)).select(F.monotonically_increasing_id().alias("row"), "vec_id", "x"), "imi-usable")
 
 
 def _matrix(x) -> np.ndarray:
@@ -95,20 +99,20 @@ def _walk(books: Books, held: np.ndarray, q: np.ndarray, wanted: float) -> list[
     return cells
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
-    """Positions of the best finite scores, ties to smaller ids."""
+def _best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, top: int) -> np.ndarray:
+    """Positions of the best finite scores, ties to smaller ids, then rows."""
     floor = np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) > top else -np.inf
     at = np.flatnonzero((scores >= floor) & np.isfinite(scores))
-    return at[np.lexsort((ids[at], -scores[at]))][:top]
+    return at[np.lexsort((rows[at], ids[at], -scores[at]))][:top]
 
 
 def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(query_id, rank, vec_id, score) of each query's nearest; both inputs are (vec_id, x) frames from `usable`."""
+    """(query_id, rank, vec_id, score) of each query's nearest; both inputs are (row, vec_id, x) frames from one call of `usable`."""
     s, spark = settings, vectors.sparkSession
     keep = s.top + 1
-    index = vectors.withColumn("_n", F.row_number().over(W.partitionBy("x").orderBy("vec_id"))).where(F.col("_n") <= keep).drop("_n")
+    index = vectors.withColumn("_n", F.row_number().over(W.partitionBy("x").orderBy("vec_id", "row"))).where(F.col("_n") <= keep).drop("_n")
     index = stored(index, "imi-vectors")
-    asked = queries.groupBy("x").agg(F.min("vec_id").alias("key"))
+    asked = queries.groupBy("x").agg(F.min("row").alias("key"))
     drawn = index.orderBy(F.xxhash64("vec_id")).limit(s.sample).select("x").toPandas()
     if not len(drawn):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -122,7 +126,7 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
             if len(pdf):
                 yield pdf.assign(cell=books.value.cells(_matrix(pdf["x"])).astype("int32"))
 
-    cells = stored(index.mapInPandas(to_cells, "vec_id long, x array<float>, cell int"), "imi-cells")
+    cells = stored(index.mapInPandas(to_cells, "row long, vec_id long, x array<float>, cell int"), "imi-cells")
     counts = cells.groupBy("cell").count().toPandas()  # a row for each cell
     held = np.zeros(len(first) * len(second), dtype=np.int64)
     held[counts["cell"]] = counts["count"]
@@ -149,13 +153,13 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
     asking = asked.mapInPandas(visits, "part int, block int, key long, cells array<int>, q array<float>").withColumn("asked", F.pmod(F.xxhash64("key"), F.lit(asked_blocks)).cast("int"))
     part = F.floor(F.col("cell") / width).cast("int")
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), part + 1)
-    placed = cells.select(part.alias("part"), F.pmod(F.xxhash64("vec_id"), block_of).cast("int").alias("block"), "vec_id", "x", (F.col("cell") % width).alias("at"))
+    placed = cells.select(part.alias("part"), F.pmod(F.xxhash64("row"), block_of).cast("int").alias("block"), "row", "vec_id", "x", (F.col("cell") % width).alias("at"))
     placed = placed.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
 
     def rerank(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(queries) and len(block):
-            ids, x, at = block["vec_id"].to_numpy(), _matrix(block["x"]), block["at"].to_numpy()
+            rows, ids, x, at = block["row"].to_numpy(), block["vec_id"].to_numpy(), _matrix(block["x"]), block["at"].to_numpy()
             step = max(1, 4_000_000 // len(block))
             for begin in range(0, len(queries), step):
                 some = queries.iloc[begin : begin + step]
@@ -164,14 +168,14 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
                     open_ = np.zeros(width, dtype=bool)
                     open_[np.asarray(visited)] = True
                     row = np.where(open_[at], row, -np.inf)
-                    best = _best(row, ids, keep)
-                    out.append(pd.DataFrame({"key": key, "vec_id": ids[best], "score": row[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "vec_id": [], "score": []})
+                    best = _best(row, ids, rows, keep)
+                    out.append(pd.DataFrame({"key": key, "row": rows[best], "vec_id": ids[best], "score": row[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"key": [], "row": [], "vec_id": [], "score": []})
 
-    found = asking.groupBy("part", "block", "asked").cogroup(placed.groupBy("part", "block", "asked")).applyInPandas(rerank, "key long, vec_id long, score double")
-    order = [F.desc("score"), F.asc("vec_id")]
+    found = asking.groupBy("part", "block", "asked").cogroup(placed.groupBy("part", "block", "asked")).applyInPandas(rerank, "key long, row long, vec_id long, score double")
+    order = [F.desc("score"), F.asc("vec_id"), F.asc("row")]
     best = found.withColumn("_n", F.row_number().over(W.partitionBy("key").orderBy(*order))).where(F.col("_n") <= keep).drop("_n")
-    members = queries.join(asked, "x").select(F.col("vec_id").alias("query_id"), "key")
-    pairs = members.join(best, "key").where(F.col("query_id") != F.col("vec_id"))
-    ranked = pairs.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= s.top)
+    members = queries.join(asked, "x").select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), "key")
+    pairs = members.join(best, "key").where(F.col("query_row") != F.col("row"))
+    ranked = pairs.withColumn("rank", F.row_number().over(W.partitionBy("query_row").orderBy(*order))).where(F.col("rank") <= s.top)
     return ranked.select("query_id", "rank", "vec_id", "score")
