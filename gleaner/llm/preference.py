@@ -6,7 +6,9 @@ DataFrame functions over one grouping by pair; a conversation is one row by its
 
 Defined results: turns are ordered by turn (nulls first), then role and text, so repeated rows follow each other and
 count as turns of their own; a null role or text is empty; rows without a conversation id are ignored; a pair that lacks
-one side is not emitted; equal conversations give empty completions. The marker `<|` inside a text becomes `< |`.
+one side is not emitted; equal conversations give empty completions. Texts of any length are rendered whole; columns other
+than conv_id, turn, role and text don't enter. An empty table gives an empty result. The marker `<|` inside a text becomes
+`< |`.
 """
 
 from __future__ import annotations

@@ -771,3 +771,44 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert 0 < len(ids) <= docs.count()
     last = corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir)
     assert last.where("NOT round_trip").count() == 0 and last.count() == frame.count()
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Planted documents through all stages, each stage's decisions against plain Python."""
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    calm = [f"calm{k}" for k in range(400)] + ["the", "of", "and", "to"] * 20
+    texts = {}
+    for i in range(240):
+        texts[i] = ["the", "of", "and"] + [rng.choice(calm) for _ in range(rng.randint(25, 80))]
+        if i % 6 == 0:
+            for _ in range(4):
+                texts[i].insert(rng.randrange(len(texts[i])), rng.choice(["vile", "nasty"]))
+    short = {300 + i: [rng.choice(calm) for _ in range(rng.randint(0, 15))] for i in range(10)}
+    copies = {400 + i: list(texts[1 + 6 * (i % 5)]) for i in range(25)}
+    for words_ in copies.values():
+        words_[rng.randrange(len(words_))] = "changed"
+    data = [(i, " ".join(w), "en", f"s{i % 3}", 0) for i, w in (texts | short | copies).items()]
+    spark.createDataFrame(data, DOCS + ", n_chars long").coalesce(1).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in texts], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    frame, by_id = spark.read.parquet(f"file://{tmp_path}/documents.parquet"), {i: t for i, t, *_ in data}
+    ids = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = corpus_pipeline.stored(stage(spark, frame, f"file://{tmp_path}"), "brute-stage")
+        ids.append(sorted(r["doc_id"] for r in frame.select("doc_id").collect()))
+    assert ids[0] == [i for i in by_id if "vile" not in by_id[i] and "nasty" not in by_id[i]]
+    assert set(ids[1]) == {i for i in ids[0] if len(by_id[i].split()) >= 20}
+    component = {i: c for i, (_, c) in brute_components({i: by_id[i] for i in ids[1]}).items()}
+    assert len(ids[2]) == len(set(component.values())) and {component[i] for i in ids[2]} == set(component.values())
+    size = {i: len(by_id[i].split()) for i in ids[2]}
+    want = expected_targets({s: sum(n for i, n in size.items() if f"s{i % 3}" == s) for s in ("s0", "s1", "s2")})
+    taken = collections.Counter(ids[3])
+    assert all(n <= 2 for n in taken.values())
+    for s, target in want.items():
+        assert abs(sum(size[i] * n for i, n in taken.items() if f"s{i % 3}" == s) - target) <= 80
+    last = corpus_pipeline.STAGES[-1][1](spark, frame, f"file://{tmp_path}").collect()
+    assert sorted(r["doc_id"] for r in last) == ids[3] and all(r["round_trip"] and r["n_tokens"] == len(r["token_ids"]) for r in last)
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == len(last)
+    empty = [(n, frame.limit(0)) for n, _ in corpus_pipeline.STAGES]
+    assert all(stage(spark, nothing, f"file://{tmp_path}").count() == 0 for (_, stage), (_, nothing) in zip(corpus_pipeline.STAGES, empty, strict=True))
