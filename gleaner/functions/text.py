@@ -107,13 +107,9 @@ def canonical_url(value: Column | str) -> Column:
     return F.when((scheme != "") & (host != ""), F.concat(scheme, F.lit("://"), host, path))
 
 
-def url_host(value: Column | str) -> Column:
-    return F.nullif(F.lower(F.regexp_extract(F.trim(_col(value)), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:@]+)", 1)), F.lit(""))
-
-
-def on_site(value: Column | str, domain: str) -> Column:
-    host = url_host(value)
-    return F.coalesce((host == domain) | F.endswith(host, F.lit("." + domain)), F.lit(False))
+def id_after_source(value: Column | str) -> Column:
+    """The part of 'source:id' after the first colon; the whole without one."""
+    return F.regexp_replace(_col(value), "^[^:]*:", "")
 
 
 def observation_id(job_id: Column | str, run_id: Column | str) -> Column:
@@ -126,13 +122,6 @@ def json_digest(*values: Column | str) -> Column:
     return F.sha2(F.to_json(F.array(*[_col(v) for v in values]), {"ignoreNullFields": "false"}), 256)
 
 
-def job_identity(source: Column, explicit_id: Column, url: Column, short: bool = False) -> Column:
-    """'source:id', or a hash of the address where there is no id."""
-    hashed = F.sha2(F.coalesce(canonical_url(url), F.lit("")), 256)
-    fallback = F.concat(F.lit("url_"), F.substring(hashed, 1, 16) if short else hashed)
-    return F.concat(source, F.lit(":"), F.coalesce(F.nullif(F.trim(explicit_id), F.lit("")), F.when(canonical_url(url).isNotNull(), fallback)))
-
-
 def split_values(value: Column | str) -> Column:
     """Parts of a list written as text, cleaned, each once (without regard to case), in order of appearance."""
     parts = F.filter(F.transform(F.split(F.coalesce(_col(value), F.lit("")), r"[,;|\n]"), clean_text), lambda x: x.isNotNull())

@@ -45,7 +45,3 @@ def gate(postings: DataFrame, role_text: str, body: str, roles: dict[str, tuple[
         .otherwise("no_matching_role_keyword")
     )
     return rows.withColumn("reason", reason).withColumn("accepted", F.col("reason") == MATCHED)
-
-
-def split_accepted(decided: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return decided.where("accepted"), decided.where("NOT accepted")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .latest import first_by
 
 UNKNOWN_KEY = 0
 
@@ -53,7 +52,3 @@ def two_level_demand(mentions: DataFrame, roles: DataFrame, job: str, role: str,
     pairs = roles.select(job, role).distinct().join(mentions.select(job, skill).distinct(), job)
     found = pairs.groupBy(role, skill).agg(F.count(F.lit(1)).alias("skill_jobs"))
     return found.join(totals, role).withColumn("skill_percent", share(F.col("skill_jobs"), F.col("role_jobs")))
-
-
-def representative(rows: DataFrame, key: str, name: str) -> DataFrame:
-    return first_by(rows, [key], [F.col(name).asc()])

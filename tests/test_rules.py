@@ -112,3 +112,28 @@ def test_html():
     assert html.plain_text(page) == "One\n1. A\n2. B"
     assert html.embedded_data(page) == ['{"a": 1}', '{"b": 2}']
     assert html.plain_text(None) is None and html.embedded_data('<script type="application/ld+json">{broken</script>') == []
+
+
+def test_id_after_source(spark):
+    rows = spark.createDataFrame([("topdev:12",), ("a:b:c",), ("bare",), (None,)], "v string")
+    assert [r[0] for r in rows.select(tx.id_after_source("v")).collect()] == ["12", "b:c", "bare", None]
+
+
+def test_short_evidence(spark):
+    assert one(spark, tx.short_evidence(F.lit("x" * 300))) == "x" * 239 + "…" and one(spark, tx.short_evidence(F.lit(" a  b "))) == "a b"
+
+
+def test_work_mode_conflicts(spark):
+    found = rules.work_mode_conflicts(F.lit("Hybrid"), F.lit("fully remote position"))
+    assert one(spark, found) == ["description: remote"]
+
+
+@pytest.mark.parametrize(
+    "text,level",
+    [
+        ("Able to communicate in English", "Able to communicate in English"), ("giao tiếp tốt bằng tiếng Anh", "giao tiếp tốt bằng tiếng Anh"), ("B2 English", "B2 English"),
+        ("English fluency; IELTS 6.5", "IELTS 6.5"), ("Business Japanese", "Business Japanese"), ("HSK 5", "HSK 5"), ("Can communicate in Mandarin", "Can communicate in Mandarin"),
+    ],
+)
+def test_language_levels(spark, text, level):
+    assert one(spark, rules.foreign_languages(F.lit(text)))[0]["level_text"] == level
