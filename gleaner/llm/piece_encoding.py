@@ -45,7 +45,6 @@ class Vocabulary:
     pieces: list[str]
     ranks: list[int]  # position in merge order; -1 for pieces that merging never makes
     byte_ids: list[int]
-    dummy_prefix: bool = True
 
 
 def load_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
