@@ -151,7 +151,7 @@ def merged_jobs(stored: DataFrame, new: DataFrame) -> DataFrame:
     return merged.select("job_key", "job_id", "x.source_job_id", "x.canonical_job_url", "first_seen_at_utc", "last_seen_at_utc")
 
 
-def _repaired(facts: DataFrame, lineage: DataFrame) -> DataFrame:
+def repaired(facts: DataFrame, lineage: DataFrame) -> DataFrame:
     """Facts with the observation_id that their job and run give."""
     right = lineage.select("job_key", "crawl_run_key", F.col("observation_id").alias("_id"))
     return facts.join(right, ["job_key", "crawl_run_key"], "left").withColumn("observation_id", F.coalesce("_id", "observation_id")).select(*facts.columns)
@@ -166,7 +166,7 @@ def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame) -
         if name == "dim_job":
             out[name] = merged_jobs(stored[name], new[name].select(*columns))
             continue
-        kept = _repaired(stored[name], new["fact_job_observation"]) if name.startswith("fact") else stored[name]
+        kept = repaired(stored[name], new["fact_job_observation"]) if name.startswith("fact") else stored[name]
         out[name] = kept.unionByName(new[name].select(*columns).join(stored[name].select(*grain), grain, "left_anti"))
     return out
 
