@@ -264,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
     shared = docs.sparkSession.sparkContext.broadcast(count_bigrams(training))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen = [shared.value.model(h) for h in ("b", "a")]  # the model that has not counted half 0, half 1
+        unseen = [build_model(shared.value, h) for h in ("b", "a")]  # the model that has not counted half 0, half 1; not kept beyond the task
         for batch in batches:
             half, y = (np.array(batch.column(c).to_pylist(), dtype=np.int64) for c in ("half", "toxic"))
             for h in (0, 1):
@@ -272,6 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
                 if all(unseen):
                     x = measures(unseen[h], batch.column("text").take(pa.array(rows)).to_pylist())
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows])], names=["m0", "m1", "m2", "m3", "m4", "y"])
+        del unseen
+        give_back()
 
     seen = training.mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, m4 double, y long").toPandas()
     y = seen.pop("y").to_numpy(dtype=float)
