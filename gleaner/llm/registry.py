@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_score, mixing, nearest, ngram_join, piece_encoding, preference, quality_rules, toxicity, warc, weak_labels
+from . import compression_score, mixing, nearest, ngram_join, personal_data, piece_encoding, preference, quality_rules, resampling, toxicity, warc, weak_labels, whitening
 from .common import fold, table
 
 
@@ -79,6 +79,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +108,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_personal_data": op12_personal_data,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 OP1_SQL = """
