@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries
-from ..functions.text import clean_text, fold, json_digest, label_key, lookup_map
+from ..functions.normal_forms import exact_label_key, normal_text
+from ..functions.text import fold, json_digest, label_key, lookup_map
+from ..storage import stored
 from . import contract
 
 SEPARATORS = r"\s*[,;|/\n]\s*|\s+&\s+|\s+and\s+|\s+và\s+"
@@ -97,6 +99,13 @@ RECORD_RULES = {
     "roles": lambda: F.size("job_roles") > 0,
     "languages": lambda: F.size("foreign_languages") > 0,
 }
+#: The group of each list but skills, and the groups that a skill may be moved to, in the order of precedence.
+LIST_GROUPS = {"job_roles": "role", "cities": "city", "seniority_levels": "level", "soft_skills": "soft_skill", "foreign_languages": "foreign_language"}
+MOVES = ("foreign_language", "role", "soft_skill")
+#: Categories of whole groups.
+GROUP_CATEGORIES = {"programming_language": "programming_language", "framework": "framework_library"}
+
+CATALOGUE_SCHEMA = "key string, lookup string, group string, name string, category string, identity string"
 
 
 def observation_key() -> Column:
@@ -104,78 +113,116 @@ def observation_key() -> Column:
 
 
 def _pieces() -> Column:
-    """array<struct<field, value, category, level>> of a record's lists."""
+    """array<struct<field, value, category, level>> of a record's lists; a null list has no entries."""
     none = F.lit(None).cast("string")
     made = lambda field, value, category=none, level=none: F.struct(F.lit(field).alias("field"), value.alias("value"), category.alias("category"), level.alias("level"))
     plain = [F.transform(f, _one(f, made)) for f in ("job_roles", "cities", "seniority_levels", "soft_skills")]
     skills = F.transform("skills", lambda x: made("skills", x["name"], x["category"]))
     languages = F.transform("foreign_languages", lambda x: made("foreign_languages", x["language"], none, x["level_text"]))
-    return F.concat(*plain, skills, languages)
+    return F.flatten(F.array_compact(F.array(*plain, skills, languages)))
 
 
 def _one(field: str, made):
     return lambda x: made(field, x)
 
 
-#: The group of each list but skills, and the groups that a skill may be moved to, in the order of precedence.
-LIST_GROUPS = {"job_roles": "role", "cities": "city", "seniority_levels": "level", "soft_skills": "soft_skill", "foreign_languages": "foreign_language"}
-MOVES = ("foreign_language", "role", "soft_skill")
+def pieces(records: DataFrame) -> DataFrame:
+    """(observation_key, p): one row for each entry of the lists of records that keep RECORD_RULES."""
+    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).select(observation_key().alias("observation_key"), F.explode(_pieces()).alias("p"))
+    return rows.where(F.coalesce(F.trim("p.value"), F.lit("")) != "")
 
 
-def atomize_records(records: DataFrame, catalogue: dict[str, dict[str, str]] = dictionaries.ATOMS) -> tuple[DataFrame, DataFrame]:
-    """(values, issues) of records that keep RECORD_RULES.
+def catalogue_table(spark: SparkSession, catalogue: dict[str, list[tuple]] = dictionaries.CATALOGUE) -> DataFrame:
+    """(key, hits): what every spelling stands for in each lookup."""
+    rows = spark.createDataFrame(dictionaries.catalogue_rows(catalogue), CATALOGUE_SCHEMA)
+    return rows.groupBy("key").agg(F.collect_list(F.struct("lookup", "group", "name", "category", "identity")).alias("hits"))
 
-    values: observation_key, group, value_key, name, category, context_key, level_text, each (group, value_key, context_key) once in an
-    observation. Skills that name a language, role or soft skill are moved, business domains dropped, unresolved composites reported."""
-    maps = {g: lookup_map(names) for g, names in catalogue.items()}
-    skill_maps = [maps[g] for g in dictionaries.SKILL_ATOM_GROUPS]
-    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).select(observation_key().alias("observation_key"), F.explode(_pieces()).alias("p"))
-    rows = rows.select("observation_key", "p.field", clean_text("p.value").alias("value"), clean_text("p.category").alias("category"), clean_text("p.level").alias("level"))
-    rows = rows.where("value IS NOT NULL").withColumn("key", label_key("value"))
-    k, skill = F.col("key"), F.col("field") == "skills"
-    moved = F.coalesce(*[F.when(skill & maps[g][k].isNotNull(), F.lit(g)) for g in MOVES])
-    domain = skill & moved.isNull() & maps["business_domain"][k].isNotNull()
-    known = F.coalesce(*[F.when(maps[g][k].isNotNull(), F.lit(g)) for g in dictionaries.SKILL_ATOM_GROUPS])
-    of_skill = F.coalesce(moved, known, lookup_map(DECLARED_GROUPS)[F.col("category")], F.lit("core_skill"))
-    sentinel = (F.col("field") == "foreign_languages") & (k == "unknown")
-    rows = rows.withColumns(
-        {"moved": moved, "domain": domain, "sentinel": sentinel, "group": F.when(skill, of_skill).otherwise(lookup_map(LIST_GROUPS)[F.col("field")])}
+
+def _hit(part: Column, lookup: str | Column) -> Column:
+    return F.get(F.filter(part["hits"], lambda h: h["lookup"] == lookup), 0)
+
+
+def resolve(values: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(p, atoms, issues) of distinct list entries `p`. Each entry and each of its parts is looked up in the catalogue by a join; what an
+    entry becomes is then settled from what its parts stand for.
+
+    atoms: array<struct<group, value_key, name, category, context_key, level_text>>; issues: array<struct<field_name, source_value, reason>>."""
+    text = lambda c: normal_text(F.col(c))
+    rows = values.select("p", text("p.value").alias("text"), text("p.category").alias("category"), text("p.level").alias("level"))
+    parts = rows.select("*", F.posexplode(F.array_prepend(F.split("text", SEPARATORS), F.col("text"))).alias("at", "part"))
+    parts = parts.withColumn("part", F.trim("part")).withColumn("key", exact_label_key("part"))
+    found = parts.join(catalogue, "key", "left").groupBy("p", "text", "category", "level").agg(F.sort_array(F.collect_list(F.struct("at", "key", "hits"))).alias("parts"))
+
+    field, whole = F.col("p.field"), F.col("parts")[0]
+    skill = field == "skills"
+    of_list = lookup_map(LIST_GROUPS)[field]
+    found = found.withColumns(
+        {
+            "lookup": F.when(skill, "skill").otherwise(of_list),
+            "rest": F.slice("parts", 2, F.size("parts")),
+            "moved": F.when(skill, F.coalesce(*[_hit(whole, g) for g in MOVES])),
+            "declared": F.when(skill, F.coalesce(lookup_map(DECLARED_GROUPS)[F.col("category")], F.lit("core_skill"))).otherwise(of_list),
+        }
+    )
+    domain = skill & F.col("moved").isNull() & _hit(whole, "business_domain").isNotNull()
+    sentinel = (field == "foreign_languages") & (whole["key"] == "unknown")
+    named = F.transform("rest", lambda x: _hit(x, F.col("lookup")))
+    found = found.withColumns({"domain": domain, "sentinel": sentinel, "known": _hit(whole, F.col("lookup")), "named": named})
+    unknown = F.struct(F.col("lookup"), F.col("declared").alias("group"), F.col("text").alias("name"), F.lit(None).cast("string").alias("category"), F.col("text").alias("identity"))
+    whole_known, several = F.col("known").isNotNull(), F.size("rest") > 1
+    all_known = F.forall("named", lambda x: x.isNotNull())
+    none = F.array().cast("array<struct<lookup:string,group:string,name:string,category:string,identity:string>>")
+    chosen = (
+        F.when(F.col("moved").isNotNull(), F.array("moved"))
+        .when(F.col("domain") | F.col("sentinel"), none)
+        .when(whole_known, F.array("known"))
+        .when(~several, F.array(unknown))
+        .when(all_known, F.col("named"))
+        .otherwise(none)
     )
-    known_name = lambda x: F.coalesce(*[F.when(F.col("group") == g, maps[g][label_key(x)]) for g in LIST_GROUPS.values()], F.when(F.col("group").isin(*dictionaries.SKILL_ATOM_GROUPS), F.coalesce(*[m[label_key(x)] for m in skill_maps])))
-    parts = F.transform(F.split("value", SEPARATORS), lambda x: F.trim(x))
-    rows = rows.withColumn("whole", known_name(F.col("value"))).withColumn("parts", parts).withColumn("named", F.transform("parts", known_name))
-    composite = F.col("whole").isNull() & (F.size("parts") > 1)
-    resolved = F.forall("named", lambda x: x.isNotNull())
-    names = F.when(F.col("moved").isNotNull(), F.array("value")).when(F.col("whole").isNotNull(), F.array("whole")).when(~composite, F.array("value")).when(resolved, F.col("named")).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("unresolved", composite & ~resolved & F.col("moved").isNull() & ~F.col("domain")).withColumn("names", F.when(F.col("domain") | F.col("sentinel"), F.array().cast("array<string>")).otherwise(names))
-    atoms_ = rows.withColumn("atom", F.explode("names"))
-    own = F.coalesce(*[F.when(maps[g][label_key("atom")].isNotNull(), F.lit(g)) for g in dictionaries.SKILL_ATOM_GROUPS])
-    atoms_ = atoms_.withColumn("group", F.when(skill & F.col("moved").isNull(), F.coalesce(own, "group")).otherwise(F.col("group")))
-    canonical = F.coalesce(*[F.when(F.col("group") == g, maps[g][label_key("atom")]) for g in dictionaries.ATOM_GROUPS])
-    atoms_ = atoms_.withColumn("canonical", canonical)
-    fixed = F.coalesce(lookup_map(dictionaries.ATOM_CATEGORIES)[F.col("group")], F.when(F.col("group") == "core_skill", lookup_map(dictionaries.CORE_SKILL_NAMES)[F.col("canonical")]))
-    category = F.coalesce(fixed, F.when(skill & F.col("moved").isNull(), F.col("category")), F.lit(""))
-    identity = F.when(F.col("canonical").isNotNull(), label_key("canonical")).otherwise(F.col("atom"))
-    language = F.col("group") == "foreign_language"
-    context = F.when(language, F.sha2(F.coalesce(F.regexp_replace(F.to_json(F.array("level")), r"^\[|\]$", ""), F.lit("null")), 256)).otherwise(F.lit(""))
-    context = F.when(language & F.col("level").isNull(), F.sha2(F.lit("null"), 256)).otherwise(context)
-    review = skill & (F.col("group") == "core_skill") & F.col("category").isin("other", "domain") & F.col("moved").isNull()
-    atoms_ = atoms_.withColumn("cat", category).withColumn("review", review).withColumn("value_key", json_digest("group", identity, "cat"))
-    values = atoms_.select("observation_key", "group", "value_key", F.coalesce("canonical", "atom").alias("name"), F.col("cat").alias("category"), context.alias("context_key"), F.when(language, F.col("level")).alias("level_text"))
-    values = values.dropDuplicates(["observation_key", "group", "value_key", "context_key"])
-
-    reason = F.array_compact(
+    unresolved = F.col("moved").isNull() & ~F.col("domain") & ~F.col("sentinel") & ~whole_known & several & ~all_known
+    found = found.withColumns({"chosen": chosen, "unresolved": unresolved})
+
+    language = lambda a: a["group"] == "foreign_language"
+    level_digest = F.sha2(F.when(F.col("level").isNull(), "null").otherwise(F.regexp_replace(F.to_json(F.array("level")), r"^\[|\]$", "")), 256)
+    own_category = F.when(skill & F.col("moved").isNull(), F.col("category"))
+    category = lambda a: F.coalesce(a["category"], lookup_map(GROUP_CATEGORIES)[a["group"]], own_category, F.lit(""))
+    atom = lambda a: F.struct(
+        a["group"].alias("group"),
+        json_digest(a["group"], a["identity"], category(a)).alias("value_key"),
+        a["name"].alias("name"),
+        category(a).alias("category"),
+        F.when(language(a), level_digest).otherwise(F.lit("")).alias("context_key"),
+        F.when(language(a) & (field == "foreign_languages"), F.col("level")).alias("level_text"),
+    )
+    review = skill & F.col("moved").isNull() & F.col("category").isin("other", "domain") & F.exists("chosen", lambda a: a["group"] == "core_skill")
+    issue = lambda where, name, reason: F.when(where, F.struct(name.alias("field_name"), F.col("text").alias("source_value"), reason.alias("reason")))
+    issues = F.array_compact(
         F.array(
-            F.when(F.col("moved").isNotNull(), F.concat("moved", F.lit("_tag_moved"))),
-            F.when(F.col("domain"), F.lit("business_domain_not_a_skill")),
-            F.when(F.col("unresolved"), F.lit("unresolved_composite")),
-            F.when(F.col("sentinel"), F.lit("source_did_not_specify_language")),
+            issue(F.col("moved").isNotNull(), field, F.concat(F.col("moved.group"), F.lit("_tag_moved"))),
+            issue(F.col("domain"), field, F.lit("business_domain_not_a_skill")),
+            issue(F.col("unresolved"), F.col("declared"), F.lit("unresolved_composite")),
+            issue(F.col("sentinel"), field, F.lit("source_did_not_specify_language")),
+            issue(review, field, F.lit("category_needs_review")),
         )
     )
-    told = rows.select("observation_key", F.when(F.col("unresolved"), F.col("group")).otherwise(F.col("field")).alias("field_name"), F.col("value").alias("source_value"), F.explode(reason).alias("reason"))
-    reviewed = atoms_.where("review").select("observation_key", F.lit("skills").alias("field_name"), F.col("value").alias("source_value"), F.lit("category_needs_review").alias("reason"))
-    found = told.unionByName(reviewed).withColumn("issue_key", json_digest("field_name", "source_value", "reason")).dropDuplicates(["observation_key", "issue_key"])
-    return values, found
+    return found.select("p", F.transform("chosen", atom).alias("atoms"), issues.alias("issues"))
+
+
+def atomize_records(records: DataFrame, catalogue: dict[str, list[tuple]] = dictionaries.CATALOGUE) -> tuple[DataFrame, DataFrame]:
+    """(values, issues) of records that keep RECORD_RULES.
+
+    values: observation_key, group, value_key, name, category, context_key, level_text, each (group, value_key, context_key) once in an
+    observation. Skills that name a language, role or soft skill are moved, business domains dropped, unresolved composites reported.
+
+    Entries repeat far more often than they differ, so each distinct one is resolved once and written; the table of the resolved
+    entries then joins the records, broadcast only if its stored size is small. Null and blank entries are left out."""
+    listed = pieces(records)
+    resolved = stored(resolve(listed.select("p").distinct(), catalogue_table(records.sparkSession, catalogue)), "atoms-resolved")
+    joined = listed.join(resolved, "p")
+    values = joined.select("observation_key", F.inline("atoms")).dropDuplicates(["observation_key", "group", "value_key", "context_key"])
+    found = joined.select("observation_key", F.inline("issues")).withColumn("issue_key", json_digest("field_name", "source_value", "reason"))
+    return values, found.dropDuplicates(["observation_key", "issue_key"])
 
 
 def observations(records: DataFrame, values: DataFrame) -> DataFrame:
@@ -187,16 +234,21 @@ def observations(records: DataFrame, values: DataFrame) -> DataFrame:
 
 
 # -- natural keys of the star ------------------------------------------------------------------------------------
+def _by_name(groups: dict[str, tuple[str, ...]]) -> Column:
+    """The group that lists a name, by label key."""
+    return lookup_map({dictionaries.spelling_key(name): group for group, names in groups.items() for name in names})
+
+
 def core_skill_category(name: Column, declared: Column) -> Column:
     """The category that lists a core skill, else the declared one."""
-    return category(name, dictionaries.CORE_SKILLS, declared)
+    return F.coalesce(_by_name(dictionaries.CORE_SKILLS)[label_key(name)], declared)
 
 
 def framework_language(name: Column) -> Column:
-    """The programming language of a framework."""
-    return lookup_map(dictionaries.FRAMEWORK_LANGUAGES)[label_key(name)]
+    """The programming language of a framework; null for patterns and unknown names."""
+    return _by_name(dictionaries.FRAMEWORK_LANGUAGES)[label_key(name)]
 
 
 def role_category(name: Column) -> Column:
-    pairs = {role: c for c, roles in dictionaries.ROLE_CATEGORIES.items() for role in roles}
-    return F.coalesce(lookup_map(pairs)[label_key(name)], F.lit(dictionaries.DEFAULT_ROLE_CATEGORY))
+    """The category that lists a role, else the default."""
+    return F.coalesce(_by_name(dictionaries.ROLE_CATEGORIES)[label_key(name)], F.lit(dictionaries.DEFAULT_ROLE_CATEGORY))

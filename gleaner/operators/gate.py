@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import fold_plain, has_phrase, let, quoted
-
+from ..functions.text import fold_plain, let, quoted
 
 MATCHED = "matched_role_keyword"
 
@@ -17,14 +19,42 @@ def has_word(text: Column) -> Column:
 
 
 def catalogue(roles: dict[str, tuple[str, ...]]) -> Column:
-    """A small role catalogue as a literal array of (role, keyword), longest keyword first."""
+    """A role catalogue as a literal array of (role, keyword), longest keyword first."""
     pairs = sorted(((r, k) for r, keywords in roles.items() for k in keywords), key=lambda p: (-len(p[1]), p[1], p[0]))
     return F.expr("array(" + ", ".join(f"named_struct('role', {quoted(r)}, 'keyword', {quoted(k)})" for r, k in pairs) + ")")
 
 
+def _tree(tails: list[str]) -> str:
+    """A pattern of all tails: what they begin with in common stands once, and longer tails are tried before shorter ones."""
+    by_first: dict[str, list[str]] = {}
+    for tail in tails:
+        if tail:
+            by_first.setdefault(tail[0], []).append(tail[1:])
+    branches = [first + _tree(rest) for first, rest in sorted(by_first.items())]
+    ends = "" in tails
+    body = "(?:" + "|".join(branches) + ")" if len(branches) > 1 or (branches and ends) else "".join(branches)
+    return body + "?" if body and ends else body
+
+
+def phrases_in(folded: Column, phrases: Iterable[str]) -> Column:
+    """array<string>: at every word of a folded text the longest of some folded phrases that begins there, each once. All phrases form
+    one tree, so a text is read once for any number of them; matches take the blank before a word alone, so phrases may overlap."""
+    phrases = sorted(set(phrases))
+    odd = [p for p in phrases if not re.fullmatch(r"[a-z0-9]+( [a-z0-9]+)*", p)]
+    if odd or not phrases:
+        raise ValueError(f"phrases must be folded words: {odd}")
+    padded = F.concat(F.lit(" "), folded, F.lit(" "))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(f" (?=({_tree(phrases)}) )"), F.lit(1)))
+
+
 def role_matches(text: Column, roles: dict[str, tuple[str, ...]]) -> Column:
-    """array<struct<role, keyword>>: the longest keyword of every role that a text names as whole tokens."""
-    return let(let(fold_plain(text), lambda t: F.filter(catalogue(roles), lambda p: has_phrase(t, p["keyword"]))), _first_of_each)
+    """array<struct<role, keyword>>: the longest keyword of every role that a text names as whole tokens.
+
+    Where a phrase begins, every other phrase that begins there is one of its beginnings, so the longest ones tell all."""
+    pairs = catalogue(roles)
+    begins = lambda hit, p: F.startswith(F.concat(hit, F.lit(" ")), F.concat(p["keyword"], F.lit(" ")))
+    named = lambda hits: F.when(F.size(hits) > 0, F.filter(pairs, lambda p: F.exists(hits, lambda hit: begins(hit, p)))).otherwise(F.slice(pairs, 1, 0))
+    return let(let(phrases_in(fold_plain(text), {k for keywords in roles.values() for k in keywords}), named), _first_of_each)
 
 
 def _first_of_each(hits: Column) -> Column:

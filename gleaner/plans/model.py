@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import dictionaries
 from ..operators import atomize, star_load
 from ..storage import stored
 from .base import query, t
@@ -132,11 +133,24 @@ def star_skill_facts(spark, d):
     return facts.join(names, "skill_key").groupBy("skill_type", "skill_name", F.col("level_text_snapshot").alias("level_text"), "context_no").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT name, category FROM (VALUES ('Kafka', 'data_streaming'), ('Jira', 'tool'), ('Docker', 'kept')) AS v(name, category)
-  UNION ALL SELECT name, category FROM (VALUES ('Spring Boot', 'Java'), ('NestJS', 'TypeScript'), ('Unknown Thing', NULL)) AS v(name, category)
-  UNION ALL SELECT name, category FROM (VALUES ('Data Engineer', 'Data/AI'), ('Embedded Systems Developer', 'Embbed'), ('Tester', 'Software Engineer'), ('iOS Developer', 'Web/App')) AS v(name, category)""")
+#: Every core skill, framework and role with its category, and names that have none.
+NATURAL = (
+    [("core_skill", name, category) for category, names in dictionaries.CORE_SKILLS.items() for name in names]
+    + [("framework", name, language) for language, names in dictionaries.FRAMEWORK_LANGUAGES.items() for name in names]
+    + [("role", name, category) for category, names in dictionaries.ROLE_CATEGORIES.items() for name in names]
+    + [("core_skill", "Docker", "declared"), ("framework", "MVVM", None), ("framework", "Unknown Thing", None), ("role", "Tester", "Software Engineer"), ("role", "Game Designer", "Software Engineer")]
+)
+
+
+@query(f"""SELECT kind, category, count(*) AS n, count(DISTINCT v.name) AS names FROM part JOIN (SELECT *, row_number() OVER () - 1 AS k FROM {_values(NATURAL)} AS v(kind, name, category)) v ON v.k = p_partkey % {len(NATURAL)} GROUP BY 1, 2""")
 def natural_categories(spark, d):
-    """Category of core skills, language of frameworks, category of roles."""
-    made = lambda names, fn: spark.createDataFrame([(n,) for n in names], "name string").select("name", fn(F.col("name")).alias("category"))
-    core = made(("Kafka", "Jira", "Docker"), lambda c: atomize.core_skill_category(c, F.lit("kept")))
-    return core.unionByName(made(("Spring Boot", "NestJS", "Unknown Thing"), atomize.framework_language)).unionByName(made(("Data Engineer", "Embedded Systems Developer", "Tester", "iOS Developer"), atomize.role_category))
+    """Category of core skills, language of frameworks, category of roles: each part stands for a name, written in its own case and blanks."""
+    names = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name")) for kind, name, _ in NATURAL])
+    written = F.concat(F.lit(" "), F.when(F.col("p_size") % 2 == 0, F.upper("x.name")).otherwise(F.col("x.name")))
+    rows = t(spark, d, "part").select(F.element_at(names, (F.col("p_partkey") % len(NATURAL) + 1).cast("int")).alias("x"), "p_size").select("x.kind", "x.name", written.alias("written"))
+    category = (
+        F.when(F.col("kind") == "core_skill", atomize.core_skill_category(F.col("written"), F.lit("declared")))
+        .when(F.col("kind") == "framework", atomize.framework_language(F.col("written")))
+        .otherwise(atomize.role_category(F.col("written")))
+    )
+    return rows.groupBy("kind", category.alias("category")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("name").alias("names"))

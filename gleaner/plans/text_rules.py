@@ -46,17 +46,33 @@ def language_gate(spark, d):
 SAMPLE_ROLES = {"Role of": ("of the", "of"), "Role und": ("und die", "und"), **dictionaries.ROLES}
 
 
-@query(f"""WITH a AS (SELECT doc_id, ' ' || {PLAIN_SQL.format('text')} || ' ' AS f FROM documents)
-           SELECT doc_id, CASE WHEN contains(f, ' of the ') THEN 'of the' WHEN contains(f, ' of ') THEN 'of' END AS of_keyword,
-             CASE WHEN contains(f, ' und die ') THEN 'und die' WHEN contains(f, ' und ') THEN 'und' END AS und_keyword FROM a""")
+#: Every role and keyword, as DuckDB rows.
+ROLE_ROWS = "(VALUES " + ", ".join(f"('{r}', '{k}')" for r, keywords in SAMPLE_ROLES.items() for k in keywords) + ") AS k(role, keyword)"
+
+
+@query(f"""WITH a AS (SELECT doc_id, ' ' || {PLAIN_SQL.format('text')} || ' ' AS f FROM documents),
+           m AS (SELECT doc_id, role, keyword, row_number() OVER (PARTITION BY doc_id, role ORDER BY length(keyword) DESC, keyword) AS nth FROM a, {ROLE_ROWS} WHERE contains(f, ' ' || keyword || ' '))
+           SELECT doc_id, role, keyword FROM m WHERE nth = 1""")
 def role_gate(spark, d):
-    return _picked(t(spark, d, "documents"), F.col("text"))
+    """Every role that a whole text names, by its longest keyword."""
+    found = t(spark, d, "documents").select("doc_id", F.explode(gate.role_matches(F.col("text"), SAMPLE_ROLES)).alias("m"))
+    return found.select("doc_id", "m.role", "m.keyword")
+
+
+#: The role catalogue, numbered, each with its folded form.
+ROLE_NAMES_SQL = "(VALUES " + ", ".join(f"({n}, '{dictionaries.plain(r)}')" for n, r in enumerate(dictionaries.ROLE_NAMES)) + ") AS"
 
 
-def _picked(documents, text):
-    matches = gate.role_matches(text, SAMPLE_ROLES)
-    pick = lambda role: F.get(F.filter(matches, lambda m: m["role"] == role), 0)["keyword"]
-    return documents.select("doc_id", pick("Role of").alias("of_keyword"), pick("Role und").alias("und_keyword"))
+@query(f"""WITH a AS (SELECT c_custkey, ' senior ' || x.f || ' ' || y.f || ' remote ' AS f FROM customer JOIN {ROLE_NAMES_SQL} x(n, f) ON x.n = c_custkey % {len(dictionaries.ROLE_NAMES)}
+             JOIN {ROLE_NAMES_SQL} y(n, f) ON y.n = (c_custkey * 5 + 2) % {len(dictionaries.ROLE_NAMES)}),
+           m AS (SELECT c_custkey, role, keyword, row_number() OVER (PARTITION BY c_custkey, role ORDER BY length(keyword) DESC, keyword) AS nth FROM a, {ROLE_ROWS} WHERE contains(f, ' ' || keyword || ' '))
+           SELECT role, keyword, count(*) AS n FROM m WHERE nth = 1 GROUP BY 1, 2""")
+def role_titles(spark, d):
+    """Titles of two catalogue roles each, as they are written: every role of the catalogue is asked for."""
+    n, name = len(dictionaries.ROLE_NAMES), lambda k: F.element_at(F.array(*[F.lit(r) for r in dictionaries.ROLE_NAMES]), k.cast("int") + 1)
+    title = F.concat(F.lit("Senior "), name(F.col("c_custkey") % n), F.lit(" / "), name((F.col("c_custkey") * 5 + 2) % n), F.lit(" (Remote)"))
+    found = t(spark, d, "customer").select(F.explode(gate.role_matches(title, SAMPLE_ROLES)).alias("m"))
+    return found.groupBy("m.role", "m.keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _reasons_sql() -> str:

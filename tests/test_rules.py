@@ -70,8 +70,8 @@ def test_places(spark):
 
 
 def test_languages(spark):
-    assert [tuple(x) for x in one(spark, rules.foreign_languages(F.lit("English TOEIC 650 required.")))] == [("English", "TOEIC 650")]
-    assert [tuple(x) for x in one(spark, rules.foreign_languages(F.lit("nothing")))] == [("unknown", None)]
+    assert [tuple(x) for x in one(spark, rules.foreign_languages(F.lit("English TOEIC 650 required.")))] == [("English", "TOEIC 650", ["English TOEIC 650 required."])]
+    assert [tuple(x)[:2] for x in one(spark, rules.foreign_languages(F.lit("nothing")))] == [("unknown", None)]
 
 
 @pytest.mark.parametrize("text,want", [("Kỹ sư phần mềm với kinh nghiệm và kỹ năng", "vi"), ("소프트웨어 엔지니어 모집", "other"), ("Data engineer with the skills", "en"), ("", "unknown"), ("123", "unknown")])

@@ -71,11 +71,32 @@ def test_language_twice_and_bad_records(spark):
     assert key["observation_key"] == hashlib.sha256(b'["topdev:1","run-1"]').hexdigest() and key["foreign_language_status"] == "unknown"
 
 
+def test_atoms_of_odd_entries(spark):
+    """Null and blank entries, composed and decomposed letters, width forms, repeated entries and empty parts."""
+    decomposed = "Ha\u0300 No\u0323\u0302i"
+    found, told = atoms(spark, record(cities=["Hà Nội", decomposed, " ", None, "ＨＣＭＣ"], skills=[("Java", "x"), ("java ", "y"), ("ＪＳ", "x"), ("Java/", "x"), (None, "x"), ("Odd  Name", None)]))
+    assert {n for g, n, _, _ in found if g == "city"} == {"Hà Nội", "Hồ Chí Minh"}
+    assert {(g, n, c) for g, n, c, _ in found if g in dictionaries.SKILL_ATOM_GROUPS} == {("programming_language", "Java", "programming_language"), ("programming_language", "JavaScript", "programming_language"), ("core_skill", "Odd Name", "")}
+    assert ("core_skill", "Java/", "unresolved_composite") in told
+    assert atoms(spark, record(cities=None, skills=None, soft_skills=None)) [0] >= {("role", "Tester", "", None)}
+
+
+def test_skills_found_in_two_groups(spark):
+    """The last group names a skill, the first one that knows the name owns it."""
+    catalogue = {"programming_language": [("Go", "programming_language", ["Golang"])], "framework": [], "core_skill": [("Go", "game", ["go!"]), ("Chess", "game", [])], "role": [("Tester", None, [])], "city": [], "business_domain": []}
+    values, _ = atomize.atomize_records(spark.createDataFrame([record(skills=[("go!", "x"), ("Chess/Golang", "x")])], SCHEMA), catalogue)
+    assert {(r["group"], r["name"], r["category"]) for r in values.collect() if "Tester" not in r["name"]} >= {("programming_language", "Go", "programming_language"), ("core_skill", "Chess", "game")}
+
+
 def test_catalogues():
     with pytest.raises(dictionaries.CatalogueConflict):
-        dictionaries.spellings({"A": ("x",), "B": ("X",)})
-    assert dictionaries.read_catalogue('{"city": [{"name": "Huế", "aliases": ["Hue"]}]}') == {"city": {"huế": "Huế", "hue": "Huế"}}
-    assert dictionaries.read_role_names("# t\n## Data\n- **Data Engineer**\n* Data Analyst\ntext\n## QA\n- Tester\n") == {"Data Engineer": "Data", "Data Analyst": "Data", "Tester": "QA"}
+        dictionaries.spellings([("A", None, ["x"]), ("B", None, ["X"])])
+    read = dictionaries.read_catalogue('{"city": [{"name": "Huế", "aliases": ["Hue"]}]}')
+    assert read == {"city": [("Huế", None, ["Hue"])]} and {key for key, *_ in dictionaries.catalogue_rows(read)} == {"huế", "hue"}
+    listed = "# t\n- **Architect**\n## 2. Data\n- **Data Engineer**\n* Data Analyst\ntext\n - **Data Analyst**\n## QA\n- **Tester**\n- Plain\n"
+    assert dictionaries.read_role_names(listed) == {"Architect": "Uncategorized", "Data Engineer": "Data", "Data Analyst": "Data", "Tester": "QA"}
+    with pytest.raises(ValueError):
+        dictionaries.role_keywords(["Tester"], {"Unknown": ("x",)})
 
 
 def loaded(spark, before, *rows):
