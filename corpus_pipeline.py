@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input.
+
+Defined results: documents with a null or empty text fail the quality rules and go; texts of any length are judged, compared and encoded
+whole; repeated rows are near copies, so one of them stays, and the mix may take it several times; null ids and null sources are values
+like others. The first four stages keep every column they find, also such as clash with names of their own; the last returns doc_id, lang and
+source (null where documents have no such column) with the encoding, and leaves other columns out. Empty tables give an empty result."""
 
 from __future__ import annotations
 
@@ -31,7 +36,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes the mix; the ids decode to the text."""
-    encoded = piece_encoding.encode_documents(docs.select("doc_id", "lang", "source", "text"), ids="token_ids", decoded="round_trip")
+    known = [F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("doc_id", "lang", "source", "text")]
+    encoded = piece_encoding.encode_documents(docs.select(*known), ids="token_ids", decoded="round_trip")
     return encoded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 
 import numpy as np
@@ -12,6 +11,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir, stored
+
 #: White space that separates words: blank and U+0009 to U+000D. As a Java character class.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,29 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a temporary one if the master is
-    local, else an error: on a cluster, machines would not see each other's files."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='gleaner-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

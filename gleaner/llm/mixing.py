@@ -137,15 +137,20 @@ def _landing(pdf: pd.DataFrame) -> pd.DataFrame:
 def cube_sample(units: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(uid, p) with p 0 or 1, from (uid, rank, size, h, p): a balanced sample within each rank.
 
-    Each round deals the fractional units of a rank into blocks by their hash; a block of n units leaves two.
+    Each round deals the fractional units of a rank into blocks by their hash; a block of n units leaves two. Units that share a hash
+    (rows repeated with id and size) stay together, so that any split of the input gives the same result, unless they are too many for
+    a block: then their row numbers spread them.
     """
     fractional, done = units, []
     while True:
-        per = fractional.groupBy("rank").agg(F.count(F.lit(1)).alias("k"))
+        alike = fractional.groupBy("rank", "h").agg(F.count(F.lit(1)).alias("k"))
+        per = alike.groupBy("rank").agg(F.sum("k").alias("k"))
         blocks = per.select("rank", F.ceil(F.col("k") / block_rows).alias("blocks"))
         most = blocks.agg(F.max("blocks")).first()[0] or 0
         last = most <= 1
-        dealt = fractional.join(blocks, "rank").withColumn("block", F.pmod(F.xxhash64("h", F.lit(most)), F.col("blocks"))).repartition("rank", "block")
+        many = alike.where(F.col("k") > block_rows // 4).select("rank", "h", F.lit(True).alias("many"))
+        spread = F.when(F.col("many"), F.col("uid")).otherwise(F.lit(0))
+        dealt = fractional.join(blocks, "rank").join(many, ["rank", "h"], "left").withColumn("block", F.pmod(F.xxhash64("h", F.lit(most), spread), F.col("blocks"))).repartition("rank", "block")
         moved = stored(dealt.groupBy("rank", "block").applyInPandas(_landing if last else _block, STATE), "mix-flight")
         settled = F.col("p").isin(0.0, 1.0)
         done.append(moved.where(settled).select("uid", "p"))

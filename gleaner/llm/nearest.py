@@ -7,7 +7,8 @@ products, best first, with a heap over the two sorted lists, until the cells pas
 blocks too, and a block meets those queries of a query block that visit its group in one task, and candidates are reranked by the exact product of the original vectors
 in double precision. A block gives at most top + 1 rows for a query.
 
-Equal vectors tie on every query, so of a group of equal vectors only the top + 1 smallest ids can be in a result: the
+Scores are summed component after component, in one order for every pair, so equal vectors tie on every query wherever they stand
+and runs agree whatever the blocks. So of a group of equal vectors only the top + 1 smallest ids can be in a result: the
 index keeps those, which is exact, and equal query vectors are searched once.
 
 Every row is a candidate of its own, whatever its id: a row that is repeated finds its copy, and rows that share an id are told apart
@@ -99,11 +100,14 @@ def _walk(books: Books, held: np.ndarray, q: np.ndarray, wanted: float) -> list[
     return cells
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, top: int) -> np.ndarray:
-    """Positions of the best finite scores, ties to smaller ids, then rows."""
-    floor = np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) > top else -np.inf
+def _best(scores: np.ndarray, q: np.ndarray, x: np.ndarray, slack: float, ids: np.ndarray, rows: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and exact scores of the best, ties to smaller ids, then rows. A matrix product gives equal vectors other last bits in
+    other places, so all that come within `slack` of the last place are summed again, component after component."""
+    floor = np.partition(scores, len(scores) - top)[len(scores) - top] - slack if len(scores) > top else -np.inf
     at = np.flatnonzero((scores >= floor) & np.isfinite(scores))
-    return at[np.lexsort((rows[at], ids[at], -scores[at]))][:top]
+    exact = np.cumsum(x[at] * q, axis=1)[:, -1]
+    order = np.lexsort((rows[at], ids[at], -exact))[:top]
+    return at[order], exact[order]
 
 
 def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -161,15 +165,17 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
         if len(queries) and len(block):
             rows, ids, x, at = block["row"].to_numpy(), block["vec_id"].to_numpy(), _matrix(block["x"]), block["at"].to_numpy()
             step = max(1, 4_000_000 // len(block))
+            longest = np.sqrt((x**2).sum(axis=1).max())
             for begin in range(0, len(queries), step):
                 some = queries.iloc[begin : begin + step]
-                scores = _matrix(some["q"]) @ x.T
-                for key, visited, row in zip(some["key"], some["cells"], scores, strict=True):
+                asked_for = _matrix(some["q"])
+                for key, visited, q, row in zip(some["key"], some["cells"], asked_for, asked_for @ x.T, strict=True):
                     open_ = np.zeros(width, dtype=bool)
                     open_[np.asarray(visited)] = True
                     row = np.where(open_[at], row, -np.inf)
-                    best = _best(row, ids, rows, keep)
-                    out.append(pd.DataFrame({"key": key, "row": rows[best], "vec_id": ids[best], "score": row[best]}))
+                    slack = 4 * len(q) * np.finfo(float).eps * longest * np.sqrt((q**2).sum())
+                    best, exact = _best(row, q, x, slack, ids, rows, keep)
+                    out.append(pd.DataFrame({"key": key, "row": rows[best], "vec_id": ids[best], "score": exact}))
         return pd.concat(out) if out else pd.DataFrame({"key": [], "row": [], "vec_id": [], "score": []})
 
     found = asking.groupBy("part", "block", "asked").cogroup(placed.groupBy("part", "block", "asked")).applyInPandas(rerank, "key long, row long, vec_id long, score double")

@@ -482,8 +482,12 @@ def join_documents(docs: DataFrame, rare_class: int = RARE_CLASS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component (the first row), with the columns they came with."""
-    kept = stored(docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")), "join-docs")
-    found = join_documents(kept.select(F.col("_uid").alias("doc_id"), F.col("_row.text").alias("text")))
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("_uid"))
+    """One document of each component, with the columns they came with: that with the smallest doc_id (null last, where there is such a
+    column), of these the one with the smallest hash of its text, so any split of the input keeps the same; equal rows are one as good as another."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = stored(docs.select(F.monotonically_increasing_id().alias("_uid"), F.xxhash64("text").alias("_hash"), row.alias("_row")), "join-docs")
+    found = join_documents(kept.select(F.col("_uid").alias("doc_id"), F.col("_row.text").alias("text"))).select(F.col("doc_id").alias("_uid"), "component_id")
+    doc_id = F.col("_row.doc_id") if "doc_id" in docs.columns else F.lit(0)
+    places = kept.select("_uid", F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), "_hash", "_uid").alias("_place"))
+    ids = found.join(places, "_uid").groupBy("component_id").agg(F.min("_place").alias("_place")).select("_place._uid")
     return kept.join(ids, "_uid", "left_semi").select("_row.*")

@@ -14,6 +14,7 @@ import zlib
 import numpy as np
 import pytest
 from gleaner.llm import compression_score, mixing, nearest, ngram_join, piece_encoding, preference, quality_rules, registry, toxicity, warc, weak_labels
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 from tests.helpers import database, rows
@@ -511,6 +512,22 @@ def test_nearest_in_query_blocks(spark):
 
 
 # -- quality rules -------------------------------------------------------------------------------------------------
+@pytest.mark.parametrize(("block_rows", "query_rows", "parts"), [(53, 7, 3), (31, 4096, 1), (4096, 5, 5)])
+def test_nearest_ties_of_equal_vectors_in_any_blocks(spark, block_rows, query_rows, parts):
+    """Equal vectors have equal scores and come in order of their ids, whatever the blocks; every shape gives the same rows."""
+    rng = np.random.default_rng(11)
+    data = [(i, [float(v) for v in x]) for i, x in enumerate(rng.normal(size=(1500, 24)).astype(np.float32))]
+    copies = {i: data[77][1] for i in range(3, 1500, 90)}
+    data = [(i, copies.get(i, x)) for i, x in data]
+    vectors = nearest.usable(spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(parts))
+    found = nearest.search(vectors, vectors.where("vec_id % 20 = 0"), nearest.Settings(least=4000, block_rows=block_rows, query_rows=query_rows)).toPandas().sort_values(["query_id", "rank"])
+    matrix = np.array([x for _, x in data])
+    for q, got in found.groupby("query_id"):
+        score = np.cumsum(matrix * matrix[q], axis=1)[:, -1]
+        order = [i for i in np.lexsort((np.arange(len(data)), -score)) if i != q][:20]
+        assert got["vec_id"].tolist() == order and got["score"].tolist() == score[order].tolist()
+
+
 def brute_metrics(text):
     import re
 
@@ -586,6 +603,26 @@ def test_cube_sample_in_blocks_is_balanced(spark):
     assert abs(sum(d[2] * found[d[0]] for d in data) - 0.37 * sum(d[2] for d in data)) <= 400
 
 
+def test_cube_sample_spreads_rows_of_one_hash(spark, monkeypatch):
+    """20,000 repeated rows share a hash: no block holds more than its share, and their words still meet the target."""
+    block = mixing._block
+    blocks = spark.sparkContext.accumulator([], ListOf())
+    monkeypatch.setattr(mixing, "_block", lambda pdf: (blocks.add([len(pdf)]), block(pdf))[1])
+    units = spark.range(20_000).select(F.col("id").alias("uid"), F.lit(0).cast("long").alias("rank"), F.lit(9).cast("long").alias("size"), F.lit(5).cast("long").alias("h"), F.lit(0.25).alias("p"))
+    found = mixing.cube_sample(units, block_rows=1000)
+    assert abs(found.where("p = 1").count() - 5000) <= 20 and found.count() == 20_000
+    sizes = blocks.value
+    assert sizes and max(sizes) < 2000
+
+
+class ListOf(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):  # noqa: N802
+        return a + b
+
+
 def test_flight_keeps_the_constraints():
     rng = random.Random(15)
     for by_count in (True, False):
@@ -756,6 +793,20 @@ def test_join_keeps_one_of_each_group(spark, odd):
     assert ngram_join.keep_one(odd.limit(0)).count() == 0
 
 
+def test_join_keeps_the_same_of_each_group_in_any_partitions(spark):
+    texts = list(near_copies(4, 9, 4, 3).values())
+    rng = random.Random(9)
+    ids = rng.sample(range(1000), len(texts))
+    data = [*zip(ids, texts, strict=True), (ids[0], texts[1]), (None, texts[0]), (ids[2], texts[2])]
+    frames = [spark.createDataFrame(order, "doc_id long, text string").repartition(parts) for order, parts in ((data, 1), (data[::-1], 5))]
+    one, two = (collections.Counter(map(tuple, ngram_join.keep_one(f).collect())) for f in frames)
+    assert one == two
+    groups = collections.defaultdict(set)
+    for r in ngram_join.join_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        groups[r["component_id"]].add(ids[r["doc_id"]])
+    assert {i for i, _ in one} == {min(g) for g in groups.values()}
+
+
 # -- the pipeline --------------------------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf_dir, docs):
     import corpus_pipeline
