@@ -10,11 +10,12 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import atomize, contract, normalize, publish, star_load, views
+from .operators import atomize, contract, guarded, normalize, publish, star_load, views
 from .session import build_session
 from .storage import stored
 
 DONE, SOME_REJECTED, STORAGE = 0, 2, 4
+RECORD_KEYS = ["job_id", "crawl_run_id"]
 
 
 def _postings(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -24,31 +25,42 @@ def _postings(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def normalize_command(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Upserts records that differ from what is stored and deletes stored ones that are rejected now, so a rerun writes nothing."""
     records = stored(normalize.normalized(_postings(spark, args)), "command-normalized")
     counts = {r["outcome"]: r["n"] for r in normalize.outcome_counts(records).collect()}
-    print(json.dumps({"dry_run": not args.apply, "outcomes": counts}, sort_keys=True))
-    if args.apply:
-        rows = normalize.persisted(records).withColumns({"normalization_version": F.lit(contract.STORAGE_VERSION), "normalized_at": F.current_timestamp()})
-        rows.write.mode("append").parquet(args.output)
+    rows = normalize.persisted(records).withColumn("normalization_version", F.lit(contract.STORAGE_VERSION))
+    gone = records.where("reject_reason IS NOT NULL AND job_id IS NOT NULL AND crawl_run_id IS NOT NULL")
+    changes = guarded.apply(spark, args.output, rows, RECORD_KEYS, gone=gone, stamp="normalized_at", dry_run=not args.apply)
+    print(json.dumps({"dry_run": not args.apply, "outcomes": counts, "changes": changes}, sort_keys=True))
     return SOME_REJECTED if set(counts) - {"normalized"} else DONE
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """What the normalize command keeps, or a plain table of records."""
+    kept = guarded.read(spark, path)
+    return spark.read.parquet(path) if kept is None else kept
+
+
 def analytics_command(spark: SparkSession, args: argparse.Namespace) -> int:
-    records = spark.read.parquet(args.input)
-    values, issues = (stored(x, "command-atoms") for x in atomize.atomize_records(records))
-    observed = stored(atomize.observations(records, values), "command-observations")
-    print(json.dumps({"dry_run": not args.apply, "observations": observed.count(), "values": values.count(), "issues": issues.count()}, sort_keys=True))
-    if args.apply:
-        publish.publish(spark, args.output, {"observations": observed, "values": values, "issues": issues}, lambda read: star_load.quality.unique_grain("observations", read("observations"), ["observation_key"]))
+    """Brings the atomized outputs of a scope up to date; outputs of the scope whose record is gone are deleted."""
+    records = views.scope(_records(spark, args.input), source=args.source, crawl_run_id=args.crawl_run_id)
+    scope = F.lit(True)
+    for column, wanted in (("source", args.source), ("crawl_run_id", args.crawl_run_id)):
+        scope = scope & (F.col(column) == wanted) if wanted else scope
+    found = stored(atomize.outputs(records), "command-outputs")
+    changes = guarded.apply(spark, args.output, found, ["observation_key"], scope=scope, dry_run=not args.apply)
+    print(json.dumps({"dry_run": not args.apply, "observations": found.count(), "review_items": atomize.issues_of(found).count(), "changes": changes}, sort_keys=True))
     return DONE
 
 
 def warehouse_command(spark: SparkSession, args: argparse.Namespace) -> int:
-    records = views.latest.latest_by(spark.read.parquet(args.input), ["job_id"], "observed_at", "crawl_run_id") if args.latest_only else spark.read.parquet(args.input)
+    """Loads the newest record of each job; with --all-observations every record."""
+    records = _records(spark, args.input)
+    records = records if args.all_observations else views.latest.latest_by(records, ["job_id"], "observed_at", "crawl_run_id")
     now = publish.current(spark, args.output)
     before = {n: publish.read_snapshot(spark, args.output, now, n) for n in star_load.TABLES} if now else star_load.bootstrap(spark)
     values = stored(atomize.atomize_records(records)[0], "command-atoms")
-    after = star_load.load(before, stored(atomize.observations(records, values), "command-observations"), values)
+    after = star_load.load(before, stored(atomize.observations(records, values), "command-observations"), values, retract=args.retract)
     print(json.dumps({"dry_run": not args.apply, "added": {r["table"]: r["rows_added"] for r in star_load.added(before, after).collect()}}, sort_keys=True))
     if args.apply:
         publish.publish(spark, args.output, after, star_load.gates, expected=now)
@@ -56,7 +68,10 @@ def warehouse_command(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def rollback_command(spark: SparkSession, args: argparse.Namespace) -> int:
-    print(json.dumps({"current": publish.rollback(spark, args.output, args.expected)}))
+    """Takes back the last change of a guarded table from its receipts; of other tables, moves the pointer back."""
+    keys = {"normalize": (RECORD_KEYS, "normalized_at"), "analytics": (["observation_key"], "loaded_at")}.get(args.table)
+    done = guarded.rollback(spark, args.output, args.expected, *keys) if keys else {"snapshot": publish.rollback(spark, args.output, args.expected)}
+    print(json.dumps({"current": done["snapshot"]}))
     return DONE
 
 
@@ -71,15 +86,18 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--output", required=True)
         if name == "rollback":
             one.add_argument("--expected", required=True, help="the snapshot that must be current")
+            one.add_argument("--table", choices=["normalize", "analytics", "warehouse"], default="warehouse", help="whose output it is")
             continue
         one.add_argument("--input", required=True)
         one.add_argument("--apply", action="store_true")
-        if name == "normalize":
+        if name in ("normalize", "analytics"):
             one.add_argument("--source")
             one.add_argument("--crawl-run-id")
+        if name == "normalize":
             one.add_argument("--limit", type=int)
         if name == "warehouse":
-            one.add_argument("--latest-only", action="store_true", help="only the newest record of each job")
+            one.add_argument("--all-observations", action="store_true", help="every record, not the newest of each job alone")
+            one.add_argument("--retract", action="store_true", help="facts of these observations that their records no longer give are deleted")
     return top
 
 
@@ -87,7 +105,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser().parse_args(argv)
     try:
         return COMMANDS[args.command](spark or build_session(), args)
-    except publish.PublishRejected as rejected:
+    except (publish.PublishRejected, guarded.Tampered, guarded.RollbackRefused) as rejected:
         print(json.dumps({"rejected": str(rejected)}), file=sys.stderr)
         return STORAGE
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,6 +212,13 @@ def resolve(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     return found.select("p", F.transform("chosen", atom).alias("atoms"), issues.alias("issues"))
 
 
+def _joined(records: DataFrame, catalogue: dict[str, list[tuple]]) -> DataFrame:
+    """(observation_key, atoms, issues) of every list entry."""
+    listed = pieces(records)
+    resolved = stored(resolve(listed.select("p").distinct(), catalogue_table(records.sparkSession, catalogue)), "atoms-resolved")
+    return listed.join(resolved, "p").select("observation_key", "atoms", "issues")
+
+
 def atomize_records(records: DataFrame, catalogue: dict[str, list[tuple]] = dictionaries.CATALOGUE) -> tuple[DataFrame, DataFrame]:
     """(values, issues) of records that keep RECORD_RULES.
 
@@ -217,9 +227,7 @@ def atomize_records(records: DataFrame, catalogue: dict[str, list[tuple]] = dict
 
     Entries repeat far more often than they differ, so each distinct one is resolved once and written; the table of the resolved
     entries then joins the records, broadcast only if its stored size is small. Null and blank entries are left out."""
-    listed = pieces(records)
-    resolved = stored(resolve(listed.select("p").distinct(), catalogue_table(records.sparkSession, catalogue)), "atoms-resolved")
-    joined = listed.join(resolved, "p")
+    joined = _joined(records, catalogue)
     values = joined.select("observation_key", F.inline("atoms")).dropDuplicates(["observation_key", "group", "value_key", "context_key"])
     found = joined.select("observation_key", F.inline("issues")).withColumn("issue_key", json_digest("field_name", "source_value", "reason"))
     return values, found.dropDuplicates(["observation_key", "issue_key"])
@@ -229,8 +237,36 @@ def observations(records: DataFrame, values: DataFrame) -> DataFrame:
     """The scalar row of each atomized record, with foreign_language_status."""
     spoken = values.where(F.col("group") == "foreign_language").select("observation_key").distinct().withColumn("_spoken", F.lit(True))
     rows = records.where(contract.first_violation(RECORD_RULES).isNull()).withColumn("observation_key", observation_key()).join(spoken, "observation_key", "left")
-    scalars = ("job_id", "source", "source_job_id", "job_url", "crawl_run_id", "observed_at", "title", "company_name", "description", "location_text", "work_mode")
-    return rows.select("observation_key", *scalars, F.when(F.col("_spoken"), "known").otherwise("unknown").alias("foreign_language_status"))
+    return rows.select("observation_key", *SCALARS, F.when(F.col("_spoken"), "known").otherwise("unknown").alias("foreign_language_status"))
+
+
+SCALARS = ("job_id", "source", "source_job_id", "job_url", "crawl_run_id", "observed_at", "title", "company_name", "description", "location_text", "work_mode")
+
+
+def outputs(records: DataFrame, catalogue: dict[str, list[tuple]] = dictionaries.CATALOGUE) -> DataFrame:
+    """One row for each record that keeps RECORD_RULES: its scalars, foreign_language_status, its sorted `atoms` and `issues`, and the
+    digests of the record and of the catalogue it was made with. With a guarded table this is all that belongs to an observation at
+    once; values_of and issues_of are its bridges."""
+    sound = records.where(contract.first_violation(RECORD_RULES).isNull()).withColumn("observation_key", observation_key())
+    record = F.struct(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) if c in ("observed_at", "normalized_at") else F.col(c) for c in sorted(records.columns)])
+    once = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    made = _joined(records, catalogue).groupBy("observation_key").agg(once("atoms").alias("atoms"), once("issues").alias("issues"))
+    model = hashlib.sha256(json.dumps(catalogue, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+    spoken = F.exists("atoms", lambda a: a["group"] == "foreign_language")
+    rows = sound.select(
+        "observation_key", *SCALARS, F.col("normalized_at").alias("source_normalized_at"), F.col("normalization_version").alias("source_normalization_version"), F.sha2(F.to_json(record, {"ignoreNullFields": "false"}), 256).alias("source_sha256")
+    )
+    return rows.join(made, "observation_key", "left").withColumns({"foreign_language_status": F.when(spoken, "known").otherwise("unknown"), "model_sha256": F.lit(model)})
+
+
+def values_of(found: DataFrame) -> DataFrame:
+    """The values of outputs, as atomize_records gives them."""
+    return found.select("observation_key", F.inline("atoms"))
+
+
+def issues_of(found: DataFrame) -> DataFrame:
+    """The issues of outputs, with their keys."""
+    return found.select("observation_key", F.inline("issues")).withColumn("issue_key", json_digest("field_name", "source_value", "reason"))
 
 
 # -- natural keys of the star ------------------------------------------------------------------------------------

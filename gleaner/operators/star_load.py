@@ -157,8 +157,25 @@ def repaired(facts: DataFrame, lineage: DataFrame) -> DataFrame:
     return facts.join(right, ["job_key", "crawl_run_key"], "left").withColumn("observation_id", F.coalesce("_id", "observation_id")).select(*facts.columns)
 
 
-def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
-    """The next snapshot of every table."""
+def retracted(facts: DataFrame, wanted: DataFrame, observed: DataFrame, grain: list[str], carried: list[str]) -> DataFrame:
+    """facts without what they no longer should hold for the observations of a load: rows that the load doesn't give, with their grain and
+    carried values, go; facts of other observations stay."""
+    loaded = observed.select(stable_key("job_id").alias("job_key"), stable_key("crawl_run_id").alias("crawl_run_key"), F.lit(True).alias("_loaded"))
+    same = F.lit(True)
+    given = wanted.select(*[F.col(c).alias(f"_{c}") for c in (*grain, *carried)], F.lit(True).alias("_given"))
+    for c in (*grain, *carried):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    met = facts.join(loaded, ["job_key", "crawl_run_key"], "left").join(given, same, "left")
+    return met.where("_loaded IS NULL OR _given").select(*facts.columns)
+
+
+#: What a fact of a grain says: a row that says something else is taken out and put in anew.
+CARRIED = {"fact_job_necessary_skill": ["level_text_snapshot", "proficiency_level_key"], "fact_job_role_city": []}
+
+
+def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame, retract: bool = False) -> dict[str, DataFrame]:
+    """The next snapshot of every table. With `retract`, skill and role-city facts of the loaded observations become exactly the set that
+    their values give; without it, facts are only added."""
     new = new_dimensions(observed, values) | new_facts(observed, values)
     out = {}
     for name, (_, grain) in TABLES.items():
@@ -167,10 +184,23 @@ def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame) -
             out[name] = merged_jobs(stored[name], new[name].select(*columns))
             continue
         kept = repaired(stored[name], new["fact_job_observation"]) if name.startswith("fact") else stored[name]
-        out[name] = kept.unionByName(new[name].select(*columns).join(stored[name].select(*grain), grain, "left_anti"))
+        if retract and name in CARRIED:
+            kept = retracted(kept, new[name], observed, grain, CARRIED[name])
+        out[name] = kept.unionByName(new[name].select(*columns).join(kept.select(*grain), grain, "left_anti"))
     return out
 
 
+def fact_changes(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
+    """(table, action, n): facts inserted and deleted between two snapshots; none if a load changes nothing."""
+    lines = []
+    for name in CARRIED:
+        columns = [c for c in before[name].columns if c != "observation_id"]
+        b, a = before[name].select(*columns), after[name].select(*columns)
+        for action, found in (("insert", a.exceptAll(b)), ("delete", b.exceptAll(a))):
+            lines.append(found.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), F.lit(action).alias("action"), "n"))
+    return reduce(DataFrame.unionByName, lines).where("n > 0")
+
+
 def added(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
     """(table, rows_added) of a load; rows whose observation_id is repaired don't count."""
     size = lambda name, df, sign: df.agg((F.lit(sign) * F.count(F.lit(1))).alias("n")).select(F.lit(name).alias("table"), "n")

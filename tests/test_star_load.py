@@ -9,7 +9,7 @@ import json
 import pytest
 from gleaner import commands
 from gleaner.functions import dictionaries
-from gleaner.operators import atomize, publish, quality, star_load, sync, views
+from gleaner.operators import atomize, guarded, publish, quality, star_load, sync, views
 from gleaner.storage import stored
 from gleaner.streaming import jobs
 from pyspark.sql import functions as F
@@ -222,8 +222,116 @@ def test_commands(spark, tmp_path, capsys):
     assert run("warehouse", "--input", norm, "--output", dw) == commands.DONE and publish.current(spark, dw) is None
     assert run("warehouse", "--input", norm, "--output", dw, "--apply") == commands.DONE
     first = publish.current(spark, dw)
-    assert run("warehouse", "--input", norm, "--output", dw, "--apply", "--latest-only") == commands.DONE
+    assert run("warehouse", "--input", norm, "--output", dw, "--apply", "--all-observations") == commands.DONE
     assert set(json.loads(capsys.readouterr().out.splitlines()[-1])["added"].values()) == {0}
     assert run("rollback", "--output", dw, "--expected", "wrong") == commands.STORAGE
     assert run("rollback", "--output", dw, "--expected", publish.current(spark, dw)) == commands.DONE and publish.current(spark, dw) == first
     assert run("analytics", "--input", norm, "--output", f"{dw}-a", "--apply") == commands.DONE and publish.current(spark, f"{dw}-a")
+
+
+# -- guarded tables ------------------------------------------------------------------------------------------------
+def held(spark, root):
+    return {tuple(r) for r in guarded.read(spark, root).select("k", "v").collect()}
+
+
+def test_guarded_table_from_disk(spark, tmp_path):
+    """Apply, tamper, refuse, roll back, apply again: each step reads what the one before has stored."""
+    root, keys = f"file://{tmp_path}/t", ["k"]
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v string, at timestamp")
+    at = dt.datetime(2026, 1, 1)
+    one = guarded.apply(spark, root, frame((1, "a", at), (2, None, at), (None, "n", None)), keys)
+    assert one["insert"] == 3 and held(spark, root) == {(1, "a"), (2, None), (None, "n")}
+    stamps = {r["k"]: r["loaded_at"] for r in guarded.read(spark, root).collect()}
+    two = guarded.apply(spark, root, frame((1, "a", at), (2, "", at), (3, "c", at)), keys, scope=F.lit(True))
+    assert (two["unchanged"], two["update"], two["insert"], two["delete"]) == (1, 1, 1, 1)
+    assert {r["k"]: r["loaded_at"] for r in guarded.read(spark, root).collect()}[1] == stamps[1]
+    receipts = {r["k"]: r for r in guarded.read(spark, root, "receipts").collect()}
+    assert {k: r["action"] for k, r in receipts.items()} == {2: "update", 3: "insert", None: "delete"} and receipts[None]["before"]["v"] == "n" and receipts[None]["after_sha256"] is None
+    assert guarded.apply(spark, root, frame((1, "a", at), (2, "", at), (3, "c", at)), keys)["snapshot"] == two["snapshot"]  # nothing to do, nothing written
+    assert guarded.apply(spark, root, frame((1, "z", at)), keys, dry_run=True)["update"] == 1 and publish.current(spark, root) == two["snapshot"]
+    with pytest.raises(guarded.RollbackRefused):
+        guarded.rollback(spark, root, one["snapshot"], keys)
+    back = guarded.rollback(spark, root, two["snapshot"], keys)
+    assert back["undone"] == 3 and held(spark, root) == {(1, "a"), (2, None), (None, "n")}
+    forth = guarded.rollback(spark, root, back["snapshot"], keys)  # a rollback has receipts of its own
+    assert held(spark, root) == {(1, "a"), (2, ""), (3, "c")}
+    folder = tmp_path / "t" / f"snapshot={forth['snapshot']}" / "rows"
+    rows = [r.asDict() for r in guarded.read(spark, root).collect()]
+    schema = guarded.read(spark, root).schema
+    spark.createDataFrame([tuple({**r, "v": "x" if r["k"] == 1 else r["v"]}.values()) for r in rows], schema).write.mode("overwrite").parquet(f"file://{folder}")
+    with pytest.raises(guarded.Tampered):
+        guarded.apply(spark, root, frame((5, "e", at)), keys)
+    spark.createDataFrame([tuple({**r, "v": "x" if r["k"] == 3 else r["v"]}.values()) for r in rows], schema).write.mode("overwrite").parquet(f"file://{folder}")
+    with pytest.raises(guarded.RollbackRefused):  # the row that the change put in is no longer as it was left
+        guarded.rollback(spark, root, forth["snapshot"], keys)
+
+
+def test_guarded_table_refuses_rows_that_share_a_key(spark, tmp_path):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(publish.PublishRejected):
+        guarded.apply(spark, f"file://{tmp_path}/t", twice, ["k"])
+    assert guarded.read(spark, f"file://{tmp_path}/t") is None
+    nothing = guarded.apply(spark, f"file://{tmp_path}/t", twice.limit(0), ["k"])
+    assert nothing == {"snapshot": None}
+
+
+def test_outputs_of_observations(spark, tmp_path):
+    """An output holds all of an observation; its bridges are what atomize_records gives."""
+    rows = [record(skills=[("Java/React", "other"), ("English", "other")], foreign_languages=[("English", "TOEIC 650"), ("English", "TOEIC 650")]), record("topdev:2", skills=[("InternalFoo/Bar", "tool")]), record("topdev:3", job_roles=[])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = stored(atomize.outputs(frame), "t")
+    values, issues = atomize.atomize_records(frame)
+    same = lambda a, b: {tuple(r) for r in a.select(*b.columns).collect()} == {tuple(r) for r in b.collect()} and a.count() == b.count()
+    assert found.count() == 2 and same(atomize.values_of(found), values) and same(atomize.issues_of(found), issues)
+    root, keys = f"file://{tmp_path}/a", ["observation_key"]
+    assert guarded.apply(spark, root, found, keys)["insert"] == 2
+    again = spark.createDataFrame(rows[:2], SCHEMA).repartition(3)
+    assert guarded.apply(spark, root, atomize.outputs(again), keys)["unchanged"] == 2
+    changed = atomize.outputs(frame, {**dictionaries.CATALOGUE, "business_domain": []})  # another catalogue is another model
+    assert guarded.apply(spark, root, changed, keys)["update"] == 2
+
+
+def test_normalize_twice_and_a_record_that_is_rejected_later(spark, tmp_path, capsys):
+    raw, out = (f"file://{tmp_path}/{x}" for x in ("raw", "out"))
+    spark.createDataFrame([itviec(), topdev()], COLUMNS).write.parquet(raw)
+    run = lambda *args: commands.main(["normalize", "--input", raw, "--output", out, *args], spark)
+    run("--apply")
+    first = publish.current(spark, out)
+    stamps = {r["job_id"]: r["normalized_at"] for r in guarded.read(spark, out).collect()}
+    assert len(stamps) >= 1
+    run("--apply")
+    assert publish.current(spark, out) == first and {r["job_id"]: r["normalized_at"] for r in guarded.read(spark, out).collect()} == stamps
+    changes = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["changes"]
+    assert set(changes) == {"unchanged", "snapshot"}
+    payload = COLUMNS.split(", ").index("raw_payload string")
+    bad = [tuple(v if k != payload else "[]" for k, v in enumerate(row)) for row in (itviec(), topdev())]
+    spark.createDataFrame(bad, COLUMNS).write.mode("overwrite").parquet(raw)
+    run("--apply")
+    assert guarded.read(spark, out).count() == 0
+    assert commands.main(["rollback", "--table", "normalize", "--output", out, "--expected", publish.current(spark, out)], spark) == commands.DONE
+    assert {r["job_id"]: r["normalized_at"] for r in guarded.read(spark, out).collect()} == stamps
+
+
+def test_retraction_of_facts(spark):
+    """A skill and a city that a record no longer names lose their facts; other observations keep theirs; a rerun changes nothing."""
+    many = [(n, "x") for n in ("Python", "SQL", "Git", "Django", "Java", "React", "Docker", "AWS", "Azure")]
+    first = [record(skills=many, foreign_languages=[("English", None), ("English", "TOEIC 650")], cities=["HCMC", "Ha Noi"]), record("topdev:2", skills=[("SQL", "x")], cities=["HCMC"])]
+    one, n = loaded(spark, star_load.bootstrap(spark), *first)
+    assert n["fact_job_necessary_skill"] == 12 and n["fact_job_role_city"] == 3
+    second = record(skills=[s for s in many if s[0] != "SQL"], foreign_languages=[("English", "TOEIC 650")], cities=["HCMC"])
+
+    def again(before, *rows, retract):
+        frame = spark.createDataFrame(list(rows), SCHEMA)
+        values = stored(atomize.atomize_records(frame)[0], "t")
+        after = star_load.load(before, stored(atomize.observations(frame, values), "t"), values, retract=retract)
+        return {name: stored(df, "t") for name, df in after.items()}
+
+    kept = again(one, second, retract=False)
+    assert kept["fact_job_necessary_skill"].count() == 12 and kept["fact_job_role_city"].count() == 3
+    two = again(one, second, retract=True)
+    changes = {(r["table"], r["action"]): r["n"] for r in star_load.fact_changes(one, two).collect()}
+    assert changes == {("fact_job_necessary_skill", "delete"): 3, ("fact_job_necessary_skill", "insert"): 1, ("fact_job_role_city", "delete"): 1}
+    sql = two["dim_skill"].where("normalized_name = 'sql'").select("skill_key")
+    assert [r["job_key"] for r in two["fact_job_necessary_skill"].join(sql, "skill_key").collect()] == [r["job_key"] for r in two["dim_job"].where("job_id = 'topdev:2'").collect()]
+    assert quality.all_pass(star_load.gates(two.__getitem__))
+    assert star_load.fact_changes(two, again(two, second, retract=True)).count() == 0
