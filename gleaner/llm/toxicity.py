@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,19 +65,20 @@ class Counts:
     """Every word of the sample, START first, and how often word w follows word v in each half and class, packed."""
 
     words: list[bytes]
-    packed: list[tuple[bytes, bytes]]
+    packed: list[tuple[bytes, bytes, int]]  # keys, counts, how many
 
     def pairs(self, halves: str) -> tuple[np.ndarray, np.ndarray]:
         """(keys, counts) of the pairs that some halves hold: v * (V + 1) + w, sorted, and a row of counts for each class. Unpacked
         piece by piece, so that no more than the result is held."""
-        keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros((2, 0), dtype=np.int32)]
-        for k, n in self.packed:
+        most, held = sum(size for _, _, size in self.packed), 0
+        keys, counts = np.empty(most, dtype=np.int64), np.empty((2, most), dtype=np.int32)
+        for k, n, _ in self.packed:
             every = unpack(n).reshape(4, -1).astype(np.int32)
             some = np.stack([sum(every[COUNTS.index(f"{h}{c}")] for h in halves) for c in (0, 1)])
             seen = some.any(axis=0)
-            keys.append(unpack_sorted(k)[seen])
-            counts.append(some[:, seen])
-        return np.concatenate(keys), np.concatenate(counts, axis=1)
+            to = held + np.count_nonzero(seen)
+            keys[held:to], counts[:, held:to], held = unpack_sorted(k)[seen], some[:, seen], to
+        return keys[:held], counts[:, :held]
 
     def model(self, halves: str) -> KneserNey | None:
         """The model of some halves, built once in each worker."""
@@ -122,11 +124,11 @@ def count_bigrams(training: DataFrame) -> Counts:
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.concatenate([batch.column(c).to_numpy() for c in COUNTS])
-            yield pa.RecordBatch.from_arrays([pa.array([pack_sorted(batch.column("key").to_numpy())], pa.binary()), pa.array([pack(counts)], pa.binary())], names=["keys", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([pack_sorted(batch.column("key").to_numpy())], pa.binary()), pa.array([pack(counts)], pa.binary()), pa.array([batch.num_rows], pa.int64())], names=["keys", "counts", "n"])
 
     counted = training.mapInArrow(count, "key long, " + ", ".join(f"{c} int" for c in COUNTS)).groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    rows = counted.orderBy("key").mapInArrow(packs, "keys binary, counts binary").collect()  # in order of key
-    return Counts(words, [(bytes(r["keys"]), bytes(r["counts"])) for r in rows])
+    rows = counted.orderBy("key").mapInArrow(packs, "keys binary, counts binary, n long").collect()  # in order of key
+    return Counts(words, [(bytes(r["keys"]), bytes(r["counts"]), r["n"]) for r in rows])
 
 
 @dataclass
@@ -175,28 +177,46 @@ def discounted(counts: np.ndarray) -> np.ndarray:
     if of[1:5].all():
         y = of[1] / (of[1] + 2 * of[2])
         less[1:] = [np.clip(k - (k + 1) * y * of[k + 1] / of[k], 0.1, k) for k in (1, 2, 3)]
-    return counts.astype(np.float32) - less[np.minimum(counts, 3).astype(np.int8)]
+    out = counts.astype(np.float32)
+    for k in (1, 2, 3):
+        out[(counts == k) if k < 3 else (counts >= k)] -= less[k]
+    return out
 
 
 def build_model(counted: Counts, halves: str) -> KneserNey | None:
     """A model of the counts of `halves` ('a', 'b' or 'ab'). None if a class has no words."""
     size = len(counted.words) + 1
     key, counts = counted.pairs(halves)
-    v, w = (key // size).astype(np.int32), (key % size).astype(np.int32)
+    w = np.empty(len(key), dtype=np.int32)
+    np.remainder(key, size, out=w, casting="unsafe")
     n = np.stack([np.bincount(w[counts[c] > 0], minlength=size)[:-1] for c in (0, 1)]).astype(float)
     if not (n.sum(axis=1) > 0).all():
         return None
     pooled = n.sum(axis=0)
     back = np.append(discounted(pooled).astype(float) / pooled.sum(), 0.0)
     back += (1 - back.sum()) / size
-    del w
     p = np.zeros((2, size))
     for c in (0, 1):
         own = np.append(discounted(n[c]).astype(float) / n[c].sum(), 0.0)
         p[c] = own + (1 - own.sum()) * back
-    total = np.stack([np.bincount(v, weights=counts[c], minlength=size) for c in (0, 1)])
-    kept, pool = np.stack([discounted(counts[c]) for c in (0, 1)]), discounted(counts.sum(axis=0))
-    left = lambda kept, total: 1 - np.bincount(v, weights=kept, minlength=size) / np.maximum(total, 1)
+    v = w  # its memory again
+    np.floor_divide(key, size, out=v, casting="unsafe")
+    begins = np.flatnonzero(np.diff(v, prepend=np.int32(-1)))
+    contexts = v[begins]
+    del v, w
+
+    def by_context(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(size)
+        out[contexts] = np.add.reduceat(x, begins, dtype=np.float64)
+        return out
+
+    total = np.stack([by_context(counts[c]) for c in (0, 1)])
+    kept = np.empty(counts.shape, dtype=np.float32)
+    for c in (0, 1):
+        kept[c] = discounted(counts[c])
+    pool = discounted(counts.sum(axis=0, dtype=np.int32))
+    del counts
+    left = lambda kept, total: 1 - by_context(kept) / np.maximum(total, 1)
     rest = np.stack([left(kept[c], total[c]) for c in (0, 1)])
     return KneserNey({x: i for i, x in enumerate(counted.words)}, p, total, rest, key, kept, pool, total.sum(axis=0), left(pool, total.sum(axis=0)))
 
@@ -263,19 +283,21 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
     training = stored(pick_training(docs, labels, fit_toxic, fit_ordinary), "tox-training")
     shared = docs.sparkSession.sparkContext.broadcast(count_bigrams(training))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unseen = [build_model(shared.value, h) for h in ("b", "a")]  # the model that has not counted half 0, half 1; not kept beyond the task
-        for batch in batches:
-            half, y = (np.array(batch.column(c).to_pylist(), dtype=np.int64) for c in ("half", "toxic"))
-            for h in (0, 1):
-                rows = np.flatnonzero(half == h)
-                if all(unseen):
-                    x = measures(unseen[h], batch.column("text").take(pa.array(rows)).to_pylist())
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [pa.array(y[rows])], names=["m0", "m1", "m2", "m3", "m4", "y"])
-        del unseen
-        give_back()
-
-    seen = training.mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, m4 double, y long").toPandas()
+    def measured(half: int) -> pd.DataFrame:
+        """Measures of one half by the model of the other; one model at a time is held, and none beyond its task."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            unseen = build_model(shared.value, "ba"[half])
+            for batch in batches:
+                if unseen is not None and batch.num_rows:
+                    x = measures(unseen, batch.column("text").to_pylist())
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [batch.column("toxic").cast(pa.int64())], names=["m0", "m1", "m2", "m3", "m4", "y"])
+            del unseen
+            give_back()
+
+        return training.where(F.col("half") == half).select("text", "toxic").mapInArrow(run, "m0 double, m1 double, m2 double, m3 double, m4 double, y long").toPandas()
+
+    seen = pd.concat([measured(0), measured(1)], ignore_index=True)
     y = seen.pop("y").to_numpy(dtype=float)
     return (shared.value, fit_curve(seen.to_numpy(), y)) if len(set(y)) == 2 else None
 
