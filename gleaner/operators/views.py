@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 from . import latest, star
 
 
-def fact_job_latest(observed: DataFrame) -> DataFrame:
-    """The newest observation of each job; later runs win ties."""
-    return latest.latest_by(observed, ["job_id"], "observed_at", "crawl_run_id")
+def fact_job_latest(observed: DataFrame, *ties: str) -> DataFrame:
+    """The newest observation of each job; later runs win ties, then the columns named in `ties`."""
+    return latest.latest_by(observed, ["job_id"], "observed_at", "crawl_run_id", *ties)
 
 
-def bridge_latest(observed: DataFrame, bridge: DataFrame) -> DataFrame:
+def bridge_latest(observed: DataFrame, bridge: DataFrame, *ties: str) -> DataFrame:
     """The values of the newest observation of each job."""
-    return bridge.join(fact_job_latest(observed).select("observation_key", "job_id"), "observation_key")
+    return bridge.join(fact_job_latest(observed, *ties).select("observation_key", "job_id"), "observation_key")
 
 
-def demand_latest(observed: DataFrame, bridge: DataFrame) -> DataFrame:
+def demand_latest(observed: DataFrame, bridge: DataFrame, *ties: str) -> DataFrame:
     """(name, category, job_count, total_jobs, job_percent) over the newest observations."""
-    newest = fact_job_latest(observed).select("observation_key", "job_id")
-    total = newest.agg(F.count(F.lit(1)).alias("total_jobs"))  # one row a job
+    newest = fact_job_latest(observed, *ties).select("observation_key", "job_id")
+    total = newest.agg(F.count(F.lit(1)).alias("total_jobs"))  # one row
     found = bridge.join(newest, "observation_key").groupBy("name", "category").agg(F.countDistinct("job_id").alias("job_count"))
     return found.crossJoin(F.broadcast(total)).withColumn("job_percent", star.share(F.col("job_count"), F.col("total_jobs")))
 
@@ -48,6 +48,38 @@ def latest_facts(observed: DataFrame, facts: DataFrame, lineage: list[str]) -> D
     return facts.join(fact_job_latest(observed).select(*lineage), lineage, "left_semi")
 
 
+# -- semantic views of a star (see star_load.TABLES) ---------------------------------------------------------------
+def newest_lineage(tables: dict[str, DataFrame]) -> DataFrame:
+    """(job_key, crawl_run_key) of the newest observation of each job."""
+    return latest.latest_by(tables["fact_job_observation"], ["job_key"], "observed_at_utc", "crawl_run_key").select("job_key", "crawl_run_key")
+
+
+def semantic_job_observation(tables: dict[str, DataFrame], only_latest: bool = False) -> DataFrame:
+    """Observations with the names of their job, source, company and run."""
+    facts = tables["fact_job_observation"]
+    facts = facts.join(newest_lineage(tables), ["job_key", "crawl_run_key"], "left_semi") if only_latest else facts
+    dims = {"job": (tables["dim_job"].select("job_key", "job_id", "canonical_job_url"), ["job_key"]), "source": (tables["dim_source"].select("source_key", "source_name"), ["source_key"]),
+            "company": (tables["dim_company"].select("company_key", "company_name"), ["company_key"]), "run": (tables["dim_crawl_run"].select("crawl_run_key", "crawl_run_id"), ["crawl_run_key"])}
+    return decoded(facts, dims)
+
+
+def semantic_job_skill(tables: dict[str, DataFrame], only_latest: bool = False) -> DataFrame:
+    """Skill facts with job, skill and level: job_id, skill_type, skill_name, category, programming_language, level_name, context_no."""
+    facts = tables["fact_job_necessary_skill"]
+    facts = facts.join(newest_lineage(tables), ["job_key", "crawl_run_key"], "left_semi") if only_latest else facts
+    levels = tables["dim_proficiency_level"].select("proficiency_level_key", "level_name")
+    dims = {"job": (tables["dim_job"].select("job_key", "job_id"), ["job_key"]), "skill": (tables["dim_skill"].drop("normalized_name"), ["skill_key"]), "level": (levels, ["proficiency_level_key"])}
+    return decoded(facts, dims)
+
+
+def semantic_role_city(tables: dict[str, DataFrame], only_latest: bool = False) -> DataFrame:
+    """Role-city facts with job, role and city."""
+    facts = tables["fact_job_role_city"]
+    facts = facts.join(newest_lineage(tables), ["job_key", "crawl_run_key"], "left_semi") if only_latest else facts
+    dims = {"job": (tables["dim_job"].select("job_key", "job_id"), ["job_key"]), "role": (tables["dim_role"].drop("normalized_name"), ["role_key"]), "city": (tables["dim_city"].drop("normalized_name"), ["city_key"])}
+    return decoded(facts, dims)
+
+
 def point_lookup(df: DataFrame, **keys) -> DataFrame:
     """The rows with the given key."""
     return reduce(lambda d, kv: d.where(F.col(kv[0]) == F.lit(kv[1])), keys.items(), df)

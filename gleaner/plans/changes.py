@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import atomize, guarded, star_load
+from ..functions import dictionaries
+from ..operators import atomize, contract, guarded, normalize, star_load, views
 from ..storage import shared_dir, stored
-from . import model
+from . import model, postings
 from .base import query, t
 
 CHANGE_LOG_SQL = """WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders),
@@ -85,3 +86,46 @@ def star_retraction(spark, d):
     again = load(fewer, _fewer(records))
     steps = [star_load.fact_changes(a, b).withColumn("step", F.lit(name)) for name, a, b in (("seen again", first, fewer), ("the same once more", fewer, again))]
     return reduce(DataFrame.unionByName, steps).select("step", "table", "action", "n")
+
+
+def _role_category(role: str) -> str:
+    return next((c for c, names in dictionaries.ROLE_CATEGORIES.items() if role in names), dictionaries.DEFAULT_ROLE_CATEGORY)
+
+
+#: What the skills of raw postings are in the star: skill of a posting, type, name, category, language of a framework.
+STAR_SKILLS = [
+    (0, "framework", "React", "framework_library", "JavaScript"), (0, "core_skill", "Kafka", "data_streaming", None), (1, "programming_language", "C", "programming_language", None),
+    (1, "programming_language", "C++", "programming_language", None), (2, "programming_language", "Go", "programming_language", None), (2, "core_skill", "Docker", "devops", None), (3, "core_skill", "MysteryTech", "other", None),
+]
+CHAIN_SQL = f"""WITH {postings.EXPECTED_SQL}, 
+  kept AS (SELECT * REPLACE (coalesce(role, 'Scrum Master') AS role) FROM expected WHERE role IS NOT NULL OR p % 3 = 0),
+  categories AS (SELECT * FROM {postings._values([(r, _role_category(r)) for r in [x[1] for x in postings.TITLES if x[1]] + ["Scrum Master"]])} AS v(role, role_category)),
+  skills AS (SELECT * FROM {postings._values(STAR_SKILLS)} AS v(k, skill_type, skill_name, category, programming_language)),
+  named AS (SELECT p, skill_type, skill_name, category, programming_language, 'Unknown' AS level_name FROM kept JOIN skills ON k = s % 4
+    UNION ALL SELECT p, 'foreign_language', 'English', '', NULL, CASE WHEN p % 7 < 3 THEN 'TOEIC ' || (500 + s) ELSE 'Unknown' END FROM kept WHERE p % 7 < 3 OR s % 4 = 1)
+  SELECT role AS role_name, role_category, coalesce(city, 'Unknown') AS city_name, skill_type, skill_name, category, programming_language, level_name, count(DISTINCT p) AS jobs
+  FROM kept JOIN categories USING (role) JOIN named USING (p) GROUP BY ALL"""
+
+
+def _seen_before(rows: DataFrame) -> DataFrame:
+    """Earlier sights of a third of the postings, under another title: the newest observation that passes the gate must win."""
+    earlier = rows.where(F.pmod(F.col("source_job_id").cast("long"), F.lit(3)) == 0)
+    title = F.regexp_replace("raw_payload", r'"title":"[^"]*"', '"title":"Scrum Master"')
+    return earlier.withColumns({"crawl_run_id": F.lit("run_before"), "observed_at": F.lit("2026-10-01T10:00:00+07:00"), "raw_payload": title})
+
+
+@query(CHAIN_SQL)
+def posting_to_demand(spark, d):
+    """Raw postings to the jobs that ask for each skill by role and city: gate, normal form, guarded records, atoms, star, latest views."""
+    raw = postings.raw_postings(spark, d)
+    base = f"{shared_dir(spark)}/chain-{uuid.uuid4().hex}"
+    records = normalize.persisted(normalize.normalized(raw.unionByName(_seen_before(raw)))).withColumn("normalization_version", F.lit(contract.STORAGE_VERSION))
+    guarded.apply(spark, f"{base}/records", records, ["job_id", "crawl_run_id"], stamp="normalized_at")
+    found = atomize.outputs(guarded.read(spark, f"{base}/records"))
+    guarded.apply(spark, f"{base}/outputs", found, ["observation_key"])
+    outputs = guarded.read(spark, f"{base}/outputs")
+    tables = star_load.load(star_load.bootstrap(spark), outputs, stored(atomize.values_of(outputs), "chain-values"))
+    skills = views.semantic_job_skill(tables, only_latest=True).select("job_id", "skill_type", "skill_name", "category", "programming_language", "level_name")
+    places = views.semantic_role_city(tables, only_latest=True).select("job_id", "role_name", "role_category", "city_name")
+    keys = ["role_name", "role_category", "city_name", "skill_type", "skill_name", "category", "programming_language", "level_name"]
+    return skills.join(places, "job_id").groupBy(*keys).agg(F.countDistinct("job_id").alias("jobs"))

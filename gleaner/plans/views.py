@@ -35,7 +35,7 @@ def observed(spark, d):
 
 
 def newest(spark, d):
-    return latest.latest_by(observed(spark, d), ["job_id"], "observed_at", "crawl_run_id", "observation_key")
+    return views.fact_job_latest(observed(spark, d), "observation_key")
 
 
 def bridge(spark, d, group):
@@ -47,7 +47,7 @@ def bridge(spark, d, group):
 
 
 def _of_newest(spark, d, rows):
-    return rows.join(newest(spark, d).select("observation_key", "job_id"), "observation_key")
+    return views.bridge_latest(observed(spark, d), rows, "observation_key")
 
 
 @query(f"WITH {OBSERVED_SQL}, {LATEST_SQL} SELECT * FROM newest")
@@ -66,12 +66,7 @@ def _bridge_latest(group):
 
 
 def _demand_latest(group):
-    def run(spark, d):
-        total = newest(spark, d).agg(F.count(F.lit(1)).alias("total_jobs"))
-        found = _of_newest(spark, d, bridge(spark, d, group)).groupBy("name", "category").agg(F.countDistinct("job_id").alias("job_count"))
-        return found.crossJoin(F.broadcast(total)).withColumn("job_percent", star.share(F.col("job_count"), F.col("total_jobs")))
-
-    return run
+    return lambda spark, d: views.demand_latest(observed(spark, d), bridge(spark, d, group), "observation_key")
 
 
 def _job_values(group):
@@ -240,12 +235,16 @@ def lateral_date_parts(spark, d):
     return day.select("o_orderkey", F.date_format("day", "yyyyMMdd").cast("int").alias("date_key"), "dow", (F.col("dow") >= 6).alias("weekend"))
 
 
-@query("""SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON coalesce(CASE WHEN s_nationkey % 5 <> 0 THEN n_name END, '') <> '' AND s_nationkey = n_nationkey""")
+@query("""WITH a AS (SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE left(n_name, 1) END AS x FROM nation),
+  b AS (SELECT CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE chr(CAST(65 + s_suppkey % 26 AS INTEGER)) END AS y FROM supplier)
+  SELECT n_nationkey, x, count(*) AS n FROM a JOIN b ON coalesce(x, '') = coalesce(y, '') GROUP BY 1, 2""")
 def match_empty_as_null(spark, d):
-    """Columns that count null and the empty text as one."""
-    n = t(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name")).alias("n_name"))
-    known = n.where(F.coalesce("n_name", F.lit("")) != "")
-    return t(spark, d, "supplier").select("s_suppkey", "s_nationkey").join(known, "s_nationkey", "left").select("s_suppkey", "n_name")
+    """Two columns that count null and the empty text as one meet; the larger side is counted first, so its empty ones are one row."""
+    k, s = F.col("n_nationkey"), F.col("s_suppkey")
+    a = t(spark, d, "nation").select("n_nationkey", F.when(k % 4 == 1, "").when(k % 4 > 1, F.substring("n_name", 1, 1)).alias("x"))
+    b = t(spark, d, "supplier").select(F.when(s % 5 == 1, "").when(s % 5 > 1, F.char(65 + s % 26)).alias("y"))
+    counted = b.groupBy(F.coalesce("y", F.lit("")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    return a.withColumn("m", F.coalesce("x", F.lit(""))).join(counted, "m").select("n_nationkey", "x", "n")
 
 
 @query("""WITH a AS (SELECT l_orderkey, list(DISTINCT l_linestatus ORDER BY l_linestatus) AS levels FROM lineitem WHERE l_quantity > 10 GROUP BY 1) SELECT l_orderkey, array_to_string(levels, '|') AS levels FROM a""")
