@@ -32,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import fold, give_back, pack, pack_sorted, stored, unpack, unpack_sorted
 
@@ -140,11 +139,21 @@ class KneserNey:
     total: np.ndarray  # (2, V + 1) tokens after a context
     rest: np.ndarray  # (2, V + 1) mass that a context leaves to the backoff
     pairs: np.ndarray  # sorted v * (V + 1) + w
-    kept: np.ndarray  # (2, pairs) discounted counts, in single precision
-    pool: np.ndarray  # (pairs) discounted counts of both classes together
+    counts: np.ndarray  # (2, pairs); discounts are taken where a count is looked up
+    less: np.ndarray  # (3, 4) discounts of the counts 0, 1, 2 and more: of each class, and of both together
     pool_total: np.ndarray  # (V + 1) as total and rest, of both classes together
     pool_rest: np.ndarray
 
+    @property
+    def kept(self) -> np.ndarray:
+        """(2, pairs) discounted counts of the classes."""
+        return np.stack([discounted(n, less) for n, less in zip(self.counts, self.less, strict=False)])
+
+    @property
+    def pool(self) -> np.ndarray:
+        """(pairs) discounted counts of both classes together."""
+        return discounted(self.counts.sum(axis=0), self.less[2])
+
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get, unlisted = self.words.get, len(self.words)
         return np.array([get(w, unlisted) for w in words], dtype=np.int64)
@@ -157,26 +166,32 @@ class KneserNey:
         key = before * size + number
         at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
         hit = self.pairs[at] == key if len(self.pairs) else np.zeros(len(key), dtype=bool)
-        of = lambda x: np.where(hit, x[at], 0.0) if len(x) else 0.0
-        pooled, left = of(self.pool) / np.maximum(self.pool_total[before], 1), np.where(self.pool_total[before] > 0, self.pool_rest[before], 1.0)
+        found = np.where(hit, self.counts[:, at], 0) if len(self.pairs) else np.zeros((2, len(key)), dtype=np.int32)
+        of = lambda n, less: (n - less[np.minimum(n, 3)]).astype(np.float32)
+        pooled, left = of(found.sum(axis=0), self.less[2]) / np.maximum(self.pool_total[before], 1), np.where(self.pool_total[before] > 0, self.pool_rest[before], 1.0)
         rest = [np.where(self.total[c][before] > 0, self.rest[c][before], 1.0) for c in (0, 1)]
         shared = np.maximum(*rest)
         both = []
         for c in (0, 1):
             own = 1 - rest[c]
-            seen = of(self.kept[c]) / np.maximum(self.total[c][before], 1) / np.where(own > 0, own, 1)
+            seen = of(found[c], self.less[c]) / np.maximum(self.total[c][before], 1) / np.where(own > 0, own, 1)
             both.append((1 - shared) * seen + shared * (pooled + left * self.p[c][number]))
         return np.log(both[1]) - np.log(both[0])
 
 
-def discounted(counts: np.ndarray) -> np.ndarray:
-    """Counts less the discounts of modified Kneser-Ney, one each for the counts 1, 2 and more; DISCOUNT where the counts of
-    counts don't tell."""
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """The discounts of modified Kneser-Ney for the counts 0, 1, 2 and more; DISCOUNT where the counts of counts don't tell."""
     of = np.array([np.count_nonzero(counts == k) for k in range(5)], dtype=float)
     less = np.array([0, DISCOUNT, DISCOUNT, DISCOUNT], dtype=np.float32)
     if of[1:5].all():
         y = of[1] / (of[1] + 2 * of[2])
         less[1:] = [np.clip(k - (k + 1) * y * of[k + 1] / of[k], 0.1, k) for k in (1, 2, 3)]
+    return less
+
+
+def discounted(counts: np.ndarray, less: np.ndarray | None = None) -> np.ndarray:
+    """Counts less their discounts, in single precision."""
+    less = discounts(counts) if less is None else less
     out = counts.astype(np.float32)
     for k in (1, 2, 3):
         out[(counts == k) if k < 3 else (counts >= k)] -= less[k]
@@ -211,14 +226,15 @@ def build_model(counted: Counts, halves: str) -> KneserNey | None:
         return out
 
     total = np.stack([by_context(counts[c]) for c in (0, 1)])
-    kept = np.empty(counts.shape, dtype=np.float32)
+    less = np.zeros((3, 4), dtype=np.float32)
+    rest = np.zeros((2, size))
     for c in (0, 1):
-        kept[c] = discounted(counts[c])
-    pool = discounted(counts.sum(axis=0, dtype=np.int32))
-    del counts
-    left = lambda kept, total: 1 - by_context(kept) / np.maximum(total, 1)
-    rest = np.stack([left(kept[c], total[c]) for c in (0, 1)])
-    return KneserNey({x: i for i, x in enumerate(counted.words)}, p, total, rest, key, kept, pool, total.sum(axis=0), left(pool, total.sum(axis=0)))
+        less[c] = discounts(counts[c])
+        rest[c] = 1 - by_context(discounted(counts[c], less[c])) / np.maximum(total[c], 1)
+    both, pool_total = counts.sum(axis=0, dtype=np.int32), total.sum(axis=0)
+    less[2] = discounts(both)
+    pool_rest = 1 - by_context(discounted(both, less[2])) / np.maximum(pool_total, 1)
+    return KneserNey({x: i for i, x in enumerate(counted.words)}, p, total, rest, key, counts, less, pool_total, pool_rest)
 
 
 def measures(model: KneserNey, texts: list[str | None]) -> np.ndarray:
@@ -305,21 +321,22 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_ordi
 def score_documents(docs: DataFrame, fitted: tuple[Counts, Curve] | None, text: str = "text", score: str = "score") -> DataFrame:
     """docs with a double column `score` (replaces one of that name)."""
     names = [c for c in docs.columns if c != score]
+    own = [F.col(f"`{c}`") for c in names]
     if fitted is None:
-        return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(0.0).alias(score))
+        return docs.select(*own, F.lit(0.0).alias(score))
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
-    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(score, T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counted, curve = shared.value
         model = counted.model("ab")
         for batch in batches:
             got = [np.zeros(0)]
-            for begin in range(0, batch.num_rows, 1000):
-                got.append(curve.score(measures(model, batch.column(text).slice(begin, 1000).to_pylist())))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(np.concatenate(got))], names=[*names, score])
+            for begin in range(0, len(batch), 1000):
+                got.append(curve.score(measures(model, batch.slice(begin, 1000).to_pylist())))
+            yield pa.array(np.concatenate(got))
 
-    return docs.mapInArrow(run, schema)
+    # Only texts go to the workers; the other columns stay where they are.
+    return docs.select(*own, F.arrow_udf(run, "double")(F.col(f"`{text}`")).alias(score))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
