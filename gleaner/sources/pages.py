@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical_url
+from ..functions.text import canonical_url, strip_marks
 from .html import embedded_data
 from .tree import Element, clean, parse, rich_text
 
@@ -247,9 +247,15 @@ def parse_detail(html: Column, url: Column, city: Column) -> Column:
     return F.pandas_udf(_details, DETAIL)(html, url, city)
 
 
+def folded_key(value: Column) -> Column:
+    """key as a Column: lower case, no marks, white space collapsed, no colon at the end."""
+    return F.regexp_replace(F.trim(F.regexp_replace(strip_marks(value), r"(?U)\s+", " ")), ":+$", "")
+
+
 def section_text(sections: Column, *keys: str) -> Column:
-    """The texts of the sections whose heading is one of some keys."""
-    named = F.filter(sections, lambda s: F.regexp_replace(F.lower(F.trim(s["heading"])), ":$", "").isin(*keys))
+    """The texts of the sections whose heading is one of some keys, compared without case, marks and a colon at the end."""
+    wanted = [key(k) for k in keys]
+    named = F.filter(sections, lambda s: folded_key(s["heading"]).isin(*wanted))
     return F.nullif(F.array_join(F.transform(named, lambda s: s["text"]), "\n\n"), F.lit(""))
 
 
@@ -282,16 +288,23 @@ LANDED_FIELDS = (
 )
 
 
-def landed(spark, path: str, fields: tuple[str, ...] = LANDED_FIELDS, most_pages: int | None = None) -> DataFrame:
-    """Records of landed API pages ({"data": [...], "page": n}), one variant each, reduced to `fields`; pages after an empty page
-    or beyond most_pages don't count."""
-    pages = spark.read.option("wholetext", True).text(path).select(F.try_parse_json("value").alias("v"))
-    pages = pages.select(F.try_variant_get("v", "$.page", "int").alias("page"), F.try_variant_get("v", "$.data", "array<map<string,variant>>").alias("data"))
-    first_empty = pages.where("size(data) = 0").agg(F.min("page").alias("stop"))
-    within = pages.crossJoin(F.broadcast(first_empty)).where("stop IS NULL OR page < stop")
-    within = within.where(F.col("page") <= most_pages) if most_pages else within
+def landed(spark, path: str, fields: tuple[str, ...] = LANDED_FIELDS, most_pages: int | None = None, streaming: bool = False) -> DataFrame:
+    """(run, page, record) of landed API pages, one file a page ({"data": [...], "page": n}) in a folder for each run; a record is a map of
+    variants, reduced to `fields`. Files are read whole by tasks, through whatever store the path names.
+
+    In a batch, pages of a run from its first empty page on, and those beyond most_pages, don't count; other runs are not touched. As a
+    stream, every page that arrives gives its records once. Broken pages, and such without a number, give none."""
+    reader = spark.readStream if streaming else spark.read
+    pages = reader.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v"))
+    run = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
+    pages = pages.select(run.alias("run"), F.try_variant_get("v", "$.page", "int").alias("page"), F.try_variant_get("v", "$.data", "array<map<string,variant>>").alias("data"))
+    pages = pages.where("page IS NOT NULL AND data IS NOT NULL")
+    if not streaming:
+        stops = pages.where("size(data) = 0").groupBy("run").agg(F.min("page").alias("stop"))
+        pages = pages.join(stops, "run", "left").where("stop IS NULL OR page < stop")
+    pages = pages.where(F.col("page") <= most_pages) if most_pages else pages
     record = F.map_filter("record", lambda k, v: k.isin(*fields))
-    return within.select("page", F.explode("data").alias("record")).select("page", record.alias("record"))
+    return pages.select("run", "page", F.explode("data").alias("record")).select("run", "page", record.alias("record"))
 
 
 def merged(listed: DataFrame, detailed: DataFrame, key_: str, record: str = "record") -> DataFrame:
