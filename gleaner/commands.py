@@ -1,4 +1,4 @@
-"""Commands: normalize, analytics, warehouse, report. Each shows what it would do unless told to --apply, and ends with a code:
+"""Commands: normalize, analytics, warehouse, pipeline (these three in a chain), rollback. Each shows what it would do unless told to --apply, and ends with a code:
 0 done, 2 some records rejected, 4 storage. Paths stand in for connections."""
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import atomize, contract, guarded, normalize, publish, star_load, views
+from .operators import atomize, contract, guarded, normalize, publish, stages, star_load, views
 from .session import build_session
 from .storage import stored
 
@@ -75,7 +75,22 @@ def rollback_command(spark: SparkSession, args: argparse.Namespace) -> int:
     return DONE
 
 
-COMMANDS = {"normalize": normalize_command, "analytics": analytics_command, "warehouse": warehouse_command, "rollback": rollback_command}
+def pipeline_command(spark: SparkSession, args: argparse.Namespace) -> int:
+    """normalize, analytics and warehouse, one after another, under one run name; a run that stopped goes on after its last finished stage."""
+    of = lambda **changes: argparse.Namespace(**{"source": args.source, "crawl_run_id": None, "limit": None, "all_observations": False, "retract": args.retract, "apply": True} | changes)
+    records, outputs, star = (f"{args.output}/{name}" for name in ("records", "analytics", "warehouse"))
+    steps = [
+        ("normalize", lambda: normalize_command(spark, of(input=args.input, output=records))),
+        ("analytics", lambda: analytics_command(spark, of(input=records, output=outputs))),
+        ("warehouse", lambda: warehouse_command(spark, of(input=records, output=star))),
+    ]
+    if not args.apply:
+        print(json.dumps({"dry_run": True, "run": args.run, "finished": sorted(stages.finished(spark, f"{args.output}/runs", args.run)), "stages": [name for name, _ in steps]}))
+        return DONE
+    return stages.run_stages(spark, f"{args.output}/runs", args.run, steps)
+
+
+COMMANDS = {"normalize": normalize_command, "analytics": analytics_command, "warehouse": warehouse_command, "pipeline": pipeline_command, "rollback": rollback_command}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -90,14 +105,18 @@ def parser() -> argparse.ArgumentParser:
             continue
         one.add_argument("--input", required=True)
         one.add_argument("--apply", action="store_true")
-        if name in ("normalize", "analytics"):
+        if name in ("normalize", "analytics", "pipeline"):
             one.add_argument("--source")
+        if name in ("normalize", "analytics"):
             one.add_argument("--crawl-run-id")
+        if name == "pipeline":
+            one.add_argument("--run", required=True, help="name of the run; the same name goes on with a run that stopped")
         if name == "normalize":
             one.add_argument("--limit", type=int)
+        if name in ("warehouse", "pipeline"):
+            one.add_argument("--retract", action="store_true", help="facts of these observations that their records no longer give are deleted")
         if name == "warehouse":
             one.add_argument("--all-observations", action="store_true", help="every record, not the newest of each job alone")
-            one.add_argument("--retract", action="store_true", help="facts of these observations that their records no longer give are deleted")
     return top
 
 
@@ -105,7 +124,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser().parse_args(argv)
     try:
         return COMMANDS[args.command](spark or build_session(), args)
-    except (publish.PublishRejected, guarded.Tampered, guarded.RollbackRefused) as rejected:
+    except (publish.PublishRejected, guarded.Tampered, guarded.RollbackRefused, stages.StageFailed) as rejected:
         print(json.dumps({"rejected": str(rejected)}), file=sys.stderr)
         return STORAGE
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries, rules
 from ..functions import text as tx
 from ..operators import atomize, gate
-from ..sources import html
+from ..sources import html, pages
 from .base import query, t
 
 FOLD_SQL = "trim(regexp_replace(strip_accents(replace(lower({0}), 'ß', 'ss')), '[^a-z0-9+#.]+', ' ', 'g'))"
@@ -228,14 +228,28 @@ def html_title(spark, d):
     return t(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), r"\s+", " ")).alias("title"))
 
 
-@query(None)
+#: Text of a page in SQL: silent parts out, blocks and breaks to new lines, list items marked, references read, lines cleaned, punctuation closed up.
+RICH_TEXT_SQL = r"""WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script>|<style\b.*?</style>', '', 'g') AS h FROM pages),
+  b AS (SELECT page_id, regexp_replace(regexp_replace(h, '(?i)<li\b[^>]*>', chr(10) || '- ', 'g'), '(?i)</?(p|div|section|h[1-6]|ul|ol|blockquote|tr|li|br|article|body|html|nav)\b[^>]*>', chr(10), 'g') AS h FROM a),
+  c AS (SELECT page_id, replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS h FROM b),
+  d AS (SELECT page_id, array_to_string(list_filter(list_transform(string_split(h, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS h FROM c)
+  SELECT page_id, regexp_replace(regexp_replace(h, '[ \t]+([,;:!?)\]])', '\1', 'g'), '([(\[])[ \t]+', '\1', 'g') AS text FROM d"""
+
+
+@query(RICH_TEXT_SQL)
 def rich_text(spark, d):
-    return t(spark, d, "pages").select("page_id", html.rich_text("html").alias("text"))
+    return t(spark, d, "pages").select("page_id", pages.readable("html").alias("text"))
 
 
-@query(None)
+@query("""SELECT page_id, json AS json_ld FROM pages, (VALUES (1), (2)) AS v(n), LATERAL (SELECT '{"@type": "' || CASE n WHEN 1 THEN 'JobPosting' ELSE 'Organization' END || '", "identifier": ' || page_id || '}' AS json) WHERE n = 1 OR page_id % 2 = 0""")
 def json_ld_extract(spark, d):
-    return t(spark, d, "pages").select("page_id", F.explode_outer(html.json_ld("html")).alias("json_ld"))
+    """Data blocks added to the given pages: one object or a graph of two, and a broken block that is passed over."""
+    number = F.col("page_id").cast("string")
+    posting, maker = (F.concat(F.lit('{"@type":"' + kind + '","identifier":'), number, F.lit("}")) for kind in ("JobPosting", "Organization"))
+    block = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    one = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('{"@graph":['), posting, F.lit(","), maker, F.lit("]}"))).otherwise(posting)
+    added = F.concat(block(F.lit("{broken")), block(one), F.coalesce("html", F.lit("")))
+    return t(spark, d, "pages").select("page_id", F.explode(html.json_ld(added)).alias("json_ld"))
 
 
 @query("SELECT page_id, CAST(len(regexp_extract_all(html, '<a [^>]*href=\"([^\"]+)\"', 1)) AS BIGINT) AS n_links FROM pages")

@@ -94,11 +94,6 @@ def embedded_data(html: str | None) -> list[str]:
     return out
 
 
-@F.pandas_udf(T.StringType())
-def rich_text(html: pd.Series) -> pd.Series:
-    return html.map(plain_text, na_action="ignore")
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def links(html: pd.Series) -> pd.Series:
     return html.map(lambda x: _read(x).links)

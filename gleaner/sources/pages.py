@@ -237,6 +237,15 @@ def _details(html: pd.Series, url: pd.Series, city: pd.Series) -> pd.DataFrame:
     return _frame([detail(h, u, None if c is None or c != c else c) for h, u, c in zip(html, url, city, strict=True)], names)
 
 
+def _readable(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: rich_text(parse(x)), na_action="ignore")
+
+
+def readable(html: Column | str) -> Column:
+    """The text of a page or a piece of one, by the rules of tree.rich_text; null for null."""
+    return F.pandas_udf(_readable, "string")(html)
+
+
 def parse_listing(html: Column, url: Column) -> Column:
     """struct<cards, next_url> of a listing page."""
     return F.pandas_udf(_listings, LISTING)(html, url)
