@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import contract, normalize
+from ..storage import spread
 from .base import query, t
 
 #: Pieces of a posting, each with what it stands for.
@@ -62,7 +63,7 @@ def raw_postings(spark, d):
     )
     payload = F.concat(F.regexp_replace(F.to_json(body), r"\}$", ""), F.lit(',"salary":'), salary, F.lit("}"))
     source = F.when(topdev, "topdev").otherwise("itviec")
-    return t(spark, d, "part").select(
+    return spread(t(spark, d, "part")).select(
         F.concat(source, F.lit(":"), p.cast("string")).alias("job_id"),
         F.concat(F.lit("run_"), (s % 3).cast("string")).alias("crawl_run_id"),
         source.alias("source"),
