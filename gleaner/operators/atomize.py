@@ -129,10 +129,18 @@ def _one(field: str, made):
     return lambda x: made(field, x)
 
 
+def _listed(records: DataFrame) -> DataFrame:
+    """(observation_key, ps) of records that keep RECORD_RULES: all entries of their lists."""
+    return records.where(contract.first_violation(RECORD_RULES).isNull()).select(observation_key().alias("observation_key"), _pieces().alias("ps"))
+
+
+def _entries(listed: DataFrame) -> DataFrame:
+    return listed.select("observation_key", F.explode("ps").alias("p")).where(F.coalesce(F.trim("p.value"), F.lit("")) != "")
+
+
 def pieces(records: DataFrame) -> DataFrame:
     """(observation_key, p): one row for each entry of the lists of records that keep RECORD_RULES."""
-    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).select(observation_key().alias("observation_key"), F.explode(_pieces()).alias("p"))
-    return rows.where(F.coalesce(F.trim("p.value"), F.lit("")) != "")
+    return _entries(_listed(records))
 
 
 def catalogue_table(spark: SparkSession, catalogue: dict[str, list[tuple]] = dictionaries.CATALOGUE) -> DataFrame:
@@ -213,9 +221,10 @@ def resolve(values: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def _joined(records: DataFrame, catalogue: dict[str, list[tuple]]) -> DataFrame:
-    """(observation_key, atoms, issues) of every list entry."""
-    listed = pieces(records)
-    resolved = stored(resolve(listed.select("p").distinct(), catalogue_table(records.sparkSession, catalogue)), "atoms-resolved")
+    """(observation_key, atoms, issues) of every list entry. Records are dealt out by observation before their entries are many rows with
+    long keys, so that what is done for each observation afterwards needs no shuffle of those."""
+    resolved = stored(resolve(pieces(records).select("p").distinct(), catalogue_table(records.sparkSession, catalogue)), "atoms-resolved")
+    listed = _entries(_listed(records).repartition("observation_key"))
     return listed.join(resolved, "p").select("observation_key", "atoms", "issues")
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import dictionaries
 from ..functions.text import lookup_map, natural_key, observation_id
@@ -41,10 +42,11 @@ UNKNOWN = {"dim_company": "unknown", "dim_role": "unknown", "dim_city": "unknown
 
 
 def bootstrap(spark) -> dict[str, DataFrame]:
-    """Every table with its columns, empty but for the unknown members."""
+    """Every table with its columns, empty but for the unknown members. The empty ones are known to be so when a query is planned, and
+    what would be joined with them is not shuffled."""
     found = {}
     for name, (ddl, natural) in TABLES.items():
-        df = spark.createDataFrame([], ddl)
+        df = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)]).where(F.lit(False))
         if name in UNKNOWN:
             key = ddl.split()[0]
             row = [F.lit(UNKNOWN_KEY).cast("long").alias(f.name) if f.name == key else F.lit("unknown" if f.name in natural else "Unknown").cast(f.dataType).alias(f.name) for f in df.schema]

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from gleaner.plans import postings
+import re
+
+from gleaner.operators import atomize, guarded, star_load
+from gleaner.plans import model, postings, registry
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_postings_are_dealt_out_over_all_cores(spark, sf_dir):
@@ -11,3 +18,37 @@ def test_postings_are_dealt_out_over_all_cores(spark, sf_dir):
     rows = postings.raw_postings(spark, sf_dir)
     sizes = rows.rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()
     assert len(sizes) >= 4 * spark.sparkContext.defaultParallelism and max(sizes) <= 2 * sum(sizes) / len(sizes) + 10
+
+
+def test_atoms_are_dealt_out_once_by_observation(spark, sf_dir):
+    """The entries of an observation stay together: none of their long keys is shuffled again to make them distinct."""
+    values, issues = atomize.atomize_records(model.records(spark, sf_dir))
+    for df in (values, issues):
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(df))
+        assert [x for x in dealt if "observation_key" in x] and not [x for x in dealt if "value_key" in x or "issue_key" in x]
+
+
+def test_a_first_load_shuffles_nothing_against_empty_tables(spark, sf_dir):
+    before, observed, values = model._loaded(spark, sf_dir)
+    assert all(before[n].schema[c.split()[0]].dataType.simpleString() for n, (ddl, _) in star_load.TABLES.items() for c in ddl.split(", "))
+    after = star_load.load(before, observed, values)
+    assert "Anti" not in plan_of(after["fact_job_necessary_skill"]) and "Join" not in plan_of(after["fact_job_observation"])
+
+
+def test_each_spelling_of_a_skill_is_read_once(spark, sf_dir):
+    plan = plan_of(registry.QUERIES["skill_alias_category"](spark, sf_dir))
+    below = plan[plan.index("Generate") :]
+    assert "HashAggregate" in below and "isin" not in below
+
+
+def test_a_plan_moves_no_digest_as_text(spark):
+    """Neither the digests of stored rows nor those of incoming ones cross the join in their hexadecimal form."""
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "k int, v string")
+    stored = guarded.plan(None, before, ["k"]).select("after.*")
+    stored = spark.createDataFrame([(r["k"], "changed" if r["k"] == 4 else r["v"], "odd" if r["k"] == 3 else r["output_sha256"], r["loaded_at"]) for r in stored.collect()], stored.schema)
+    planned = guarded.plan(stored, spark.createDataFrame([(1, "a"), (2, "x"), (3, "c"), (5, "e")], "k int, v string"), ["k"])
+    found = {r["k"]: r for r in planned.collect()}
+    assert {k: r["action"] for k, r in found.items()} == {1: "unchanged", 2: "update", 3: "tampered", 4: "tampered", 5: "insert"}
+    assert found[3]["before_sha256"] == "odd" and found[2]["before"]["output_sha256"] == found[2]["before_sha256"] and found[2]["after"]["v"] == "x"
+    assert found[5]["before"] is None and found[1]["before_sha256"] == found[1]["after_sha256"] and len(found[1]["after_sha256"]) == 64
+    assert "unhex" in plan_of(planned)
