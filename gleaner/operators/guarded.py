@@ -36,6 +36,15 @@ def digest(rows: DataFrame, stamp: str) -> Column:
     return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
 
 
+def _packed(found: str | Column) -> Column:
+    """A digest in half its bytes, for a shuffle."""
+    return F.unhex(found)
+
+
+def _unpacked(found: str | Column) -> Column:
+    return F.lower(F.hex(found))
+
+
 def _key(rows: DataFrame, keys: list[str], *columns: str | Column) -> DataFrame:
     """(_key, columns): keys as one struct, in which null equals null."""
     return rows.select(F.struct(*keys).alias("_key"), *columns)
@@ -53,25 +62,33 @@ def plan(before: DataFrame | None, incoming: DataFrame, keys: list[str], scope:
     Stored rows that are not incoming are deleted if the scope holds for them or `gone` lists their key, else left outside."""
     after = incoming.withColumn(DIGEST, digest(incoming, stamp)).withColumn(stamp, F.current_timestamp())
     if before is None:
-        before = incoming.sparkSession.createDataFrame([], after.schema)
+        before = after.where(F.lit(False))
     columns = after.columns
     inside = F.coalesce(scope, F.lit(False)) if scope is not None else F.lit(False)
-    s = _key(before, keys, F.struct(*columns).alias("_s"), digest(before, stamp).alias("_now"), inside.alias("_leaves"))
+    # Rows travel without their time of loading and with packed digests; a stored digest that is not the row's travels as it is.
+    bare = [c for c in columns if c not in (DIGEST, stamp)]
+    held = before.withColumn("_sound", F.coalesce(digest(before, stamp) == F.col(DIGEST), F.lit(False)))
+    written = F.when(F.col("_sound"), _packed(DIGEST)).alias("_written")
+    s = _key(held, keys, F.struct(*bare, stamp).alias("_row"), written, F.when(~F.col("_sound"), F.col(DIGEST)).alias("_odd"), "_sound", inside.alias("_leaves"))
     if gone is not None:
         s = s.join(_key(gone, keys, F.lit(True).alias("_gone")).distinct(), "_key", "left").withColumn("_leaves", F.col("_leaves") | F.col("_gone").isNotNull())
-    i = _key(after, keys, F.struct(*columns).alias("_i"))
+    i = _key(after, keys, F.struct(*bare).alias("_new"), _packed(DIGEST).alias("_wanted"))
     action = (
-        F.when(F.col("_s").isNull(), "insert")
-        .when(~F.col("_now").eqNullSafe(F.col(f"_s.{DIGEST}")), "tampered")
-        .when(F.col("_i").isNull(), F.when(F.col("_leaves"), "delete").otherwise("outside"))
-        .when(F.col("_now") == F.col(f"_i.{DIGEST}"), "unchanged")
+        F.when(F.col("_row").isNull(), "insert")
+        .when(~F.col("_sound"), "tampered")
+        .when(F.col("_new").isNull(), F.when(F.col("_leaves"), "delete").otherwise("outside"))
+        .when(F.col("_written") == F.col("_wanted"), "unchanged")
         .otherwise("update")
     )
     met = s.join(i, "_key", "full_outer").withColumn("action", action)
     changed = F.col("action").isin(*CHANGES)
+    was, will = F.coalesce(_unpacked("_written"), F.col("_odd")), _unpacked("_wanted")
+    part = lambda of, stamped, seal: F.struct(*[(seal if c == DIGEST else stamped if c == stamp else F.col(f"{of}.`{c}`")).alias(c) for c in columns])
+    stored_row, new_row = part("_row", F.col(f"_row.`{stamp}`"), was), part("_new", F.current_timestamp(), will)
     return met.select(
-        "_key.*", "action", F.col(f"_s.{DIGEST}").alias("before_sha256"), F.when(F.col("action") != "delete", F.col(f"_i.{DIGEST}")).alias("after_sha256"), F.when(changed, F.col("_s")).alias("before"), F.when(changed, F.col("_i")).alias("after")
-    )
+        "_key.*", "action", was.alias("before_sha256"), F.when(F.col("action") != "delete", will).alias("after_sha256"),
+        F.when(changed & F.col("_row").isNotNull(), stored_row).alias("before"), F.when(changed & F.col("_new").isNotNull(), new_row).alias("after"),
+    )
 
 
 def _gates(keys: list[str], stamp: str):
@@ -79,8 +96,8 @@ def _gates(keys: list[str], stamp: str):
 
     def gates(read_back) -> DataFrame:
         rows, receipts = read_back("rows"), read_back("receipts")
-        now = _key(rows, keys, F.col(DIGEST).alias("_now"))
-        met = _key(receipts, keys, "after_sha256").join(now, "_key", "left")
+        now = _key(rows, keys, _packed(DIGEST).alias("_now"))
+        met = _key(receipts, keys, _packed("after_sha256").alias("after_sha256")).join(now, "_key", "left")
         return quality.report(
             quality.none_of("rows_give_their_digest", rows.where(~digest(rows, stamp).eqNullSafe(F.col(DIGEST)))),
             quality.unique_grain("one_row_a_key", rows, keys),
@@ -101,11 +118,12 @@ def apply(spark: SparkSession, root: str, incoming: DataFrame, keys: list[str],
     """Make the table hold the incoming rows; gives the number of each action and the snapshot that is current afterwards."""
     now = publish.current(spark, root)
     before = publish.read_snapshot(spark, root, now, "rows") if now else None
-    planned = stored(plan(before, incoming, keys, scope, gone, stamp), "guarded-plan")
+    # The digests of what changes are in its rows, those of the rest aren't asked for again.
+    planned = stored(plan(before, incoming, keys, scope, gone, stamp).drop("before_sha256", "after_sha256"), "guarded-plan")
     counts = {r["action"]: r["count"] for r in planned.groupBy("action").count().collect()}  # a row for each action
     if counts.get("tampered"):
         raise Tampered(f"{counts['tampered']} rows of {root}")
-    changed = planned.where(F.col("action").isin(*CHANGES))
+    changed = planned.where(F.col("action").isin(*CHANGES)).withColumns({"before_sha256": F.col(f"before.{DIGEST}"), "after_sha256": F.col(f"after.{DIGEST}")})
     if not dry_run and any(counts.get(a) for a in CHANGES):
         rows = changed.where("action <> 'delete'").select("after.*")
         if before is not None:
@@ -119,8 +137,8 @@ def rollback(spark: SparkSession, root: str, expected: str, keys: list[str], sta
     if publish.current(spark, root) != expected:
         raise RollbackRefused("the current snapshot is not the expected one")
     rows, receipts = (publish.read_snapshot(spark, root, expected, name) for name in ("rows", "receipts"))
-    now = _key(rows, keys, digest(rows, stamp).alias("_now"), F.struct(*rows.columns).alias("_row"))
-    checked = stored(receipts.withColumn("_key", F.struct(*keys)).join(now, "_key", "left").drop("_key"), "guarded-rollback")
+    now = _key(rows, keys, _packed(digest(rows, stamp)).alias("_now"), F.struct(*rows.columns).alias("_row"))
+    checked = stored(receipts.withColumn("_key", F.struct(*keys)).join(now, "_key", "left").drop("_key").withColumn("_now", _unpacked("_now")), "guarded-rollback")
     late = checked.where(~F.col("_now").eqNullSafe(F.col("after_sha256"))).count()
     if late:
         raise RollbackRefused(f"{late} rows have changed since")

@@ -22,7 +22,7 @@ def write_snapshot(root: str, tables: dict[str, DataFrame]) -> str:
     """All tables under a new snapshot id."""
     snapshot = uuid.uuid4().hex
     for name, df in tables.items():
-        df.write.parquet(f"{root}/snapshot={snapshot}/{name}")
+        df.write.option("compression", "zstd").parquet(f"{root}/snapshot={snapshot}/{name}")
     return snapshot
 
 
