@@ -230,10 +230,10 @@ def html_title(spark, d):
     return t(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), r"\s+", " ")).alias("title"))
 
 
-#: Text of a page in SQL: silent parts out, blocks and breaks to new lines, list items marked, references read, lines cleaned, punctuation closed up.
+#: Text of a page in SQL: silent parts out, blocks and breaks to new lines, list items marked, references read (these four count without their semicolon too, as HTML has it), lines cleaned, punctuation closed up.
 RICH_TEXT_SQL = r"""WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script>|<style\b.*?</style>', '', 'g') AS h FROM pages),
   b AS (SELECT page_id, regexp_replace(regexp_replace(h, '(?i)<li\b[^>]*>', chr(10) || '- ', 'g'), '(?i)</?(p|div|section|h[1-6]|ul|ol|blockquote|tr|li|br|article|body|html|nav)\b[^>]*>', chr(10), 'g') AS h FROM a),
-  c AS (SELECT page_id, replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS h FROM b),
+  c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS h FROM b),
   d AS (SELECT page_id, array_to_string(list_filter(list_transform(string_split(h, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS h FROM c)
   SELECT page_id, regexp_replace(regexp_replace(h, '[ \t]+([,;:!?)\]])', '\1', 'g'), '([(\[])[ \t]+', '\1', 'g') AS text FROM d"""
 
