@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, fold, fold_pattern, let, lookup_map
+from .text import clean_text, fold, fold_pattern, let, lookup_map, strip_marks
 
 # -- experience --------------------------------------------------------------------------------------------------
 #: The number, year and month patterns of this section.
@@ -384,7 +384,7 @@ def posting_language(text: Column) -> Column:
 
 
 def _tokens(body: Column) -> Column:
-    return F.trim(F.regexp_replace(fold(body), r"[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(strip_marks(body), r"[^a-z0-9]+", " "))
 
 
 def _posting_language(body: Column, t: Column) -> Column:
@@ -393,19 +393,25 @@ def _posting_language(body: Column, t: Column) -> Column:
 
 
 def _language_counts(body: Column, t: Column) -> Column:
-    tokens = F.split(t, " ")
-    hits = lambda listed: F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in listed])))
+    words = lambda listed: F.array(*[F.lit(w) for w in listed])
     # no phrase begins with a word that ends another, so one pass finds them all
-    phrases = F.regexp_extract_all(t, F.lit(r"(?<![^ ])(" + "|".join(VIETNAMESE) + r")(?![^ ])"), 1)
+    phrases = F.regexp_extract_all(F.concat(F.lit(" "), t, F.lit(" ")), F.lit(" (" + "|".join(VIETNAMESE) + ")(?= )"), 1)
+    # letters are counted only where enough signs of other scripts ask for their share
+    scripts = body.rlike(_at_least(OTHER_SCRIPTS, 4))
     named = {
-        "letters": F.regexp_count(body, F.lit(r"\p{L}")),
-        "foreign": F.regexp_count(body, F.lit(OTHER_SCRIPTS)),
-        "marks": F.regexp_count(F.lower(body), F.lit("[ăâđêôơư]")),
+        "letters": F.when(scripts, F.regexp_count(body, F.lit(r"\p{L}"))).otherwise(body.rlike(r"\p{L}").cast("int")),
+        "foreign": F.when(scripts, F.regexp_count(body, F.lit(OTHER_SCRIPTS))).otherwise(0),
+        "marks": F.when(body.rlike(_at_least("[ăâđêôơưĂÂĐÊÔƠƯ]", 2)), 2).otherwise(0),
         "vietnamese": F.size(F.array_distinct(phrases)),
-        "english": hits(ENGLISH),
-        "other": hits(OTHER_LATIN),
+        "named": F.array_intersect(F.split(t, " "), words(ENGLISH + OTHER_LATIN)),
     }
-    return F.struct(*[c.alias(n) for n, c in named.items()])
+    counted = lambda k: {n: k[n] for n in ("letters", "foreign", "marks", "vietnamese")} | {n: F.size(F.array_intersect(k["named"], words(w))) for n, w in (("english", ENGLISH), ("other", OTHER_LATIN))}
+    return let(F.struct(*[c.alias(n) for n, c in named.items()]), lambda k: F.struct(*[c.alias(n) for n, c in counted(k).items()]))
+
+
+def _at_least(one: str, n: int) -> str:
+    """A pattern of texts that hold n or more characters of a class; it stops at the last one that it needs."""
+    return one + (f"(?s:[^{one[1:-1]}]*+){one}" * (n - 1))
 
 
 def _decide_language(body: Column, k: Column) -> Column:

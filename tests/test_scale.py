@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import re
 
+import duckdb
+from pyspark.sql import functions as F
+
+from gleaner.functions import rules
 from gleaner.operators import atomize, guarded, star_load
 from gleaner.plans import model, postings, registry
 
@@ -52,3 +56,21 @@ def test_a_plan_moves_no_digest_as_text(spark):
     assert found[3]["before_sha256"] == "odd" and found[2]["before"]["output_sha256"] == found[2]["before_sha256"] and found[2]["after"]["v"] == "x"
     assert found[5]["before"] is None and found[1]["before_sha256"] == found[1]["after_sha256"] and len(found[1]["after_sha256"]) == 64
     assert "unhex" in plan_of(planned)
+
+
+def test_references_without_a_semicolon_in_page_text(spark, tmp_path):
+    """HTML reads &amp without its semicolon; the SQL beside the query does as well."""
+    html = '<p>a &amp&amp; b&amp</p><ul><li>&copy 1</li><li>&quotx&quot;</li></ul><p>&amp;quot; &middot</p>'
+    spark.createDataFrame([(1, html)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = registry.QUERIES["rich_text"](spark, f"file://{tmp_path}").first()["text"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert con.sql(registry.ORACLES["rich_text"]).fetchall()[0][1] == got == 'a && b&\n- © 1\n- "x"\n&quot; ·'
+
+
+def test_language_scans_a_text_no_more_than_it_must(spark):
+    """Letters are counted only for texts that hold signs of other scripts; what is decided stays the same."""
+    texts = ["", "123", "ab", "the job", "Ăn Ân", "ăn", "ab при", "ab прив", "прив" + "a" * 40, "va voi", "va voi the and", "les une avec", "les une avec the and", "công việc và yêu cầu", None, "<b>прив</b>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, s string").select("n", rules.posting_language(F.col("s")).alias("x"))
+    assert [r["x"] for r in rows.orderBy("n").collect()] == ["unknown", "unknown", "unknown", "en", "vi", "unknown", "unknown", "other", "en", "vi", "en", "other", "en", "vi", "unknown", "other"]
+    assert plan_of(rows).count("lower(") == plan_of(rows).count("split(") == 1
