@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import latest, quality, star, sync
+from ..storage import partitions
 from .base import query, t
 
 DAY_SPLIT = "2024-01-16"
@@ -168,11 +169,16 @@ def role_skill_demand(spark, d):
 @query("""SELECT CAST(o_orderdate AS DATE) AS day, p_brand AS skill, count(*) AS mentions, count(DISTINCT l_orderkey) AS jobs, CAST(sum(l_linenumber) AS BIGINT) AS measure
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
 def skill_demand_daily(spark, d):
+    """Lines are dealt out by order, in as many partitions as they need; an order's lines of a skill are one row before days and skills are
+    summed up, so no task holds more than its share of the orders. Parts are dealt out too: where they are too many to be broadcast, the
+    lines that meet them follow."""
     li, o, p = (t(spark, d, x) for x in ("lineitem", "orders", "part"))
-    joined = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return joined.groupBy(F.to_date("o_orderdate").alias("day"), F.col("p_brand").alias("skill")).agg(
-        F.count(F.lit(1)).alias("mentions"), F.countDistinct("l_orderkey").alias("jobs"), F.sum("l_linenumber").alias("measure")
-    )
+    n = partitions(li)
+    named = li.join(p.repartition(n, "p_partkey"), li.l_partkey == F.col("p_partkey")).select("l_orderkey", "l_linenumber", F.col("p_brand").alias("skill"))
+    days = o.select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("day"))
+    joined = named.repartition(n, "l_orderkey").join(days, "l_orderkey")
+    of_order = joined.groupBy("l_orderkey", "day", "skill").agg(F.count(F.lit(1)).alias("mentions"), F.sum("l_linenumber").alias("measure"))
+    return of_order.groupBy("day", "skill").agg(F.sum("mentions").alias("mentions"), F.count("l_orderkey").alias("jobs"), F.sum("measure").alias("measure"))
 
 
 @query("""SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority AS role, n_name AS city, count(*) AS rows_, count(DISTINCT o_custkey) AS companies

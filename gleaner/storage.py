@@ -26,6 +26,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task sorts or holds by key: few enough for their joins and groups to stay in its memory, whatever the size of the input.
+ROWS_A_TASK = 500_000
+
+
+def partitions(df: DataFrame, rows: int = ROWS_A_TASK) -> int:
+    """How many partitions the rows of a table ask for; never fewer than the session's. Rows of Parquet are counted from its footers."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df dealt out evenly over all cores: for rows that weigh little and cost much, since a small file (or row group) is one task."""
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
