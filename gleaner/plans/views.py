@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import latest, quality, star, sync, views
+from ..storage import partitions
 from .base import query, register, t
 
 OBSERVED_SQL = "obs AS (SELECT o_orderkey AS observation_key, o_custkey AS job_id, o_orderpriority AS crawl_run_id, o_orderdate AS observed_at, o_orderstatus AS work_mode, o_totalprice AS price FROM orders)"
@@ -39,11 +40,15 @@ def newest(spark, d):
 
 
 def bridge(spark, d, group):
+    """The values of a group, each once an observation. Lines are dealt out before they are joined and made distinct, in as many
+    partitions as they need: nearly every line is a row of its own, so there is nothing to sum up before they are. Parts are dealt out too:
+    where they are too many to be broadcast, the lines that meet them follow."""
     name, category = (F.expr(x.replace("VARCHAR(9)", "STRING")) for x in GROUPS[group])
     li = t(spark, d, "lineitem")
+    n = partitions(li)
     needs_part = any("p_" in x for x in GROUPS[group])
-    rows = li.join(t(spark, d, "part"), li.l_partkey == F.col("p_partkey")) if needs_part else li
-    return rows.select(F.col("l_orderkey").alias("observation_key"), name.alias("name"), category.alias("category")).distinct()
+    rows = li.join(t(spark, d, "part").repartition(n, "p_partkey"), li.l_partkey == F.col("p_partkey")) if needs_part else li
+    return rows.select(F.col("l_orderkey").alias("observation_key"), name.alias("name"), category.alias("category")).repartition(n, "observation_key").distinct()
 
 
 def _of_newest(spark, d, rows):
@@ -70,7 +75,11 @@ def _demand_latest(group):
 
 
 def _job_values(group):
-    return lambda spark, d: bridge(spark, d, group).join(observed(spark, d).select("observation_key", "job_id"), "observation_key").groupBy("job_id", "name", "category").agg(F.count(F.lit(1)).alias("n_observations"))
+    def values(spark, d):
+        rows = bridge(spark, d, group).join(observed(spark, d).select("observation_key", "job_id"), "observation_key")
+        return rows.select("job_id", "name", "category").repartition(partitions(t(spark, d, "lineitem")), "job_id").groupBy("job_id", "name", "category").agg(F.count(F.lit(1)).alias("n_observations"))
+
+    return values
 
 
 for _group in GROUPS:
@@ -157,7 +166,10 @@ def view_semantic_job_role_city(spark, d):
 
 @query(f"SELECT role_name, city_name, count(*) AS combinations, count(DISTINCT job_id) AS jobs FROM ({_ROLE_CITY_SQL}) GROUP BY 1, 2")
 def view_dw_job_role_city(spark, d):
-    return _role_city(spark, d).groupBy("role_name", "city_name").agg(F.count(F.lit(1)).alias("combinations"), F.countDistinct("job_id").alias("jobs"))
+    """A job's combinations are one row each before jobs are counted; they are dealt out by job, in as many partitions as the lines need."""
+    rows = _role_city(spark, d).select("job_id", "role_name", "city_name").repartition(partitions(t(spark, d, "lineitem")), "job_id")
+    of_job = rows.groupBy("job_id", "role_name", "city_name").agg(F.count(F.lit(1)).alias("combinations"))
+    return of_job.groupBy("role_name", "city_name").agg(F.sum("combinations").alias("combinations"), F.count("job_id").alias("jobs"))
 
 
 @query("""SELECT l_orderkey AS observation_id, l_linenumber AS context_no, p_name AS skill_name, x.level_name FROM lineitem JOIN part ON l_partkey = p_partkey

@@ -7,9 +7,10 @@ import re
 import duckdb
 from pyspark.sql import functions as F
 
+from gleaner import storage
 from gleaner.functions import rules
 from gleaner.operators import atomize, guarded, star_load
-from gleaner.plans import model, postings, registry
+from gleaner.plans import model, postings, registry, views, warehouse
 
 
 def plan_of(df) -> str:
@@ -74,3 +75,17 @@ def test_language_scans_a_text_no_more_than_it_must(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "n int, s string").select("n", rules.posting_language(F.col("s")).alias("x"))
     assert [r["x"] for r in rows.orderBy("n").collect()] == ["unknown", "unknown", "unknown", "en", "vi", "unknown", "unknown", "other", "en", "vi", "en", "other", "en", "vi", "unknown", "other"]
     assert plan_of(rows).count("lower(") == plan_of(rows).count("split(") == 1
+
+
+def test_lines_are_dealt_out_by_their_number(spark, sf_dir, monkeypatch):
+    """What is sorted, made distinct or counted by order or job is dealt out by the number of lines, not by the session's partitions."""
+    assert storage.partitions(spark.range(1000), 100) == 10 and storage.partitions(spark.range(1000), 10**6) == 4
+    for module in (views, warehouse):
+        monkeypatch.setattr(module, "partitions", lambda rows: 37)
+    for name in ("skill_demand_daily", "view_dw_job_role_city", "view_dw_job_core_skill", "view_bridge_framework_latest"):
+        plan = plan_of(registry.QUERIES[name](spark, sf_dir))
+        dealt = re.findall(r"hashpartitioning\((l_orderkey|observation_key|job_id)#\w+, .*?(\d+)\)", plan)
+        by_line = [n for key, n in dealt if name != "view_bridge_framework_latest" or key != "job_id"]
+        assert by_line and set(by_line) == {"37"}, (name, dealt)
+        below = plan[plan.rindex("HashAggregate(") : plan.index("FileScan", plan.rindex("HashAggregate("))]
+        assert "REPARTITION_BY_NUM" in below, name
