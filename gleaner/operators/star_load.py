@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -159,16 +159,21 @@ def repaired(facts: DataFrame, lineage: DataFrame) -> DataFrame:
     return facts.join(right, ["job_key", "crawl_run_key"], "left").withColumn("observation_id", F.coalesce("_id", "observation_id")).select(*facts.columns)
 
 
-def retracted(facts: DataFrame, wanted: DataFrame, observed: DataFrame, grain: list[str], carried: list[str]) -> DataFrame:
-    """facts without what they no longer should hold for the observations of a load: rows that the load doesn't give, with their grain and
-    carried values, go; facts of other observations stay."""
-    loaded = observed.select(stable_key("job_id").alias("job_key"), stable_key("crawl_run_id").alias("crawl_run_key"), F.lit(True).alias("_loaded"))
-    same = F.lit(True)
-    given = wanted.select(*[F.col(c).alias(f"_{c}") for c in (*grain, *carried)], F.lit(True).alias("_given"))
-    for c in (*grain, *carried):
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    met = facts.join(loaded, ["job_key", "crawl_run_key"], "left").join(given, same, "left")
-    return met.where("_loaded IS NULL OR _given").select(*facts.columns)
+def exact(facts: DataFrame, wanted: DataFrame, lineage: DataFrame, grain: list[str], carried: list[str]) -> DataFrame:
+    """The facts after a load that retracts: for the observations of `lineage` exactly the wanted ones, with its observation_id; those of
+    other observations stay. A stored row that says the same as a wanted one stays, a wanted one whose grain is then taken doesn't come in.
+
+    Everything that decides about a row belongs to its observation, so all meets in one shuffle by job and run; wanted rows travel without
+    the observation_id, which their lineage has."""
+    names, kind = facts.columns, F.col("_kind")
+    told = lineage.select("job_key", "crawl_run_key", "observation_id", F.lit("lineage").alias("_kind"))
+    given = wanted.select(*[c for c in names if c != "observation_id"], F.lit("wanted").alias("_kind"))
+    both = facts.withColumn("_kind", F.lit("stored")).unionByName(given, allowMissingColumns=True).unionByName(told, allowMissingColumns=True)
+    within = lambda *keys: Window.partitionBy("job_key", "crawl_run_key", *[k for k in keys if k not in ("job_key", "crawl_run_key")])
+    met = both.repartition("job_key", "crawl_run_key").withColumn("_id", F.max(F.when(kind == "lineage", F.col("observation_id"))).over(within())).where(kind != "lineage")
+    met = met.withColumn("_said", F.max(kind == "wanted").over(within(*grain, *carried)))
+    met = met.withColumn("_stays", (kind == "stored") & (F.col("_id").isNull() | F.col("_said"))).withColumn("_taken", F.max("_stays").over(within(*grain)))
+    return met.where(F.col("_stays") | ((kind == "wanted") & ~F.col("_taken"))).withColumn("observation_id", F.coalesce("_id", "observation_id")).select(*names)
 
 
 #: What a fact of a grain says: a row that says something else is taken out and put in anew.
@@ -185,9 +190,10 @@ def load(stored: dict[str, DataFrame], observed: DataFrame, values: DataFrame, r
         if name == "dim_job":
             out[name] = merged_jobs(stored[name], new[name].select(*columns))
             continue
+        if retract and name in CARRIED and not stored[name].isEmpty():
+            out[name] = exact(stored[name], new[name], new["fact_job_observation"], grain, CARRIED[name])
+            continue
         kept = repaired(stored[name], new["fact_job_observation"]) if name.startswith("fact") else stored[name]
-        if retract and name in CARRIED:
-            kept = retracted(kept, new[name], observed, grain, CARRIED[name])
         out[name] = kept.unionByName(new[name].select(*columns).join(kept.select(*grain), grain, "left_anti"))
     return out
 
@@ -197,10 +203,12 @@ def fact_changes(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> D
     lines = []
     for name in CARRIED:
         columns = [c for c in before[name].columns if c != "observation_id"]
-        b, a = before[name].select(*columns), after[name].select(*columns)
-        for action, found in (("insert", a.exceptAll(b)), ("delete", b.exceptAll(a))):
-            lines.append(found.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), F.lit(action).alias("action"), "n"))
-    return reduce(DataFrame.unionByName, lines).where("n > 0")
+        both = before[name].select(*columns, F.lit(-1).alias("_n")).unionByName(after[name].select(*columns, F.lit(1).alias("_n")))
+        # one shuffle, by observation, finds what is too many on either side; equal rows differ by their number
+        differs = both.repartition("job_key", "crawl_run_key").groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+        found = differs.groupBy(F.when(F.col("_n") > 0, "insert").otherwise("delete").alias("action")).agg(F.sum(F.abs("_n")).alias("n"))
+        lines.append(found.select(F.lit(name).alias("table"), "action", "n"))
+    return reduce(DataFrame.unionByName, lines)
 
 
 def added(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:

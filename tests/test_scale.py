@@ -89,3 +89,18 @@ def test_lines_are_dealt_out_by_their_number(spark, sf_dir, monkeypatch):
         assert by_line and set(by_line) == {"37"}, (name, dealt)
         below = plan[plan.rindex("HashAggregate(") : plan.index("FileScan", plan.rindex("HashAggregate("))]
         assert "REPARTITION_BY_NUM" in below, name
+
+
+def test_a_retracting_load_shuffles_each_fact_once(spark, sf_dir):
+    """What a load takes out and puts in is decided within an observation: facts are dealt out by job and run, and never by their grain."""
+    rows = model.records(spark, sf_dir).limit(20)
+    values = storage.stored(atomize.atomize_records(rows)[0], "v")
+    observed = storage.stored(atomize.observations(rows, values), "o")
+    first = {n: storage.stored(df, n) for n, df in star_load.load(star_load.bootstrap(spark), observed, values, retract=True).items()}
+    again = star_load.load(first, observed, values.where("group <> 'city'"), retract=True)
+    for df in (again["fact_job_necessary_skill"], again["fact_job_role_city"]):
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(df))
+        assert [x for x in dealt if x.startswith("job_key")] and not [x for x in dealt if x.startswith("job_key") and x.count("#") > 2]
+    changes = star_load.fact_changes(first, again)
+    assert all(x.count("#") == 2 for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(changes)) if x.startswith("job_key"))
+    assert {r["table"] for r in changes.collect()} == {"fact_job_role_city"}
