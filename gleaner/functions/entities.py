@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import dictionaries, rules
 from . import payload as pl
-from .text import clean_text, distinct_ignoring_case, fold, fold_plain, let, lookup_map, short_evidence
+from .text import clean_items, clean_once, clean_text, distinct_ignoring_case, fold, fold_plain, let, lookup_map, short_items
 
 def no_texts() -> Column:
     return F.array().cast("array<string>")
@@ -20,12 +20,11 @@ def by_source(source: Column, itviec: Column, other: Column) -> Column:
 
 def meta(source: Column, confidence: Column, evidence: Column, conflicts: Column | None = None) -> Column:
     """struct<source, confidence, evidence, conflicts>: where a value comes from and what speaks for and against it."""
-    short = lambda x: distinct_ignoring_case(F.filter(F.transform(x, lambda y: short_evidence(y)), lambda y: y.isNotNull()))
     return F.struct(
         source.cast("string").alias("source"),
         confidence.alias("confidence"),
-        short(F.coalesce(evidence, no_texts())).alias("evidence"),
-        (short(conflicts) if conflicts is not None else no_texts()).alias("conflicts"),
+        short_items(F.coalesce(evidence, no_texts())).alias("evidence"),
+        (short_items(conflicts) if conflicts is not None else no_texts()).alias("conflicts"),
     )
 
 
@@ -82,8 +81,10 @@ def locations(v: Column, source: Column) -> Column:
 
 
 def _chosen_place(candidates: Column, p: Column) -> Column:
-    known = F.filter(candidates, lambda c: F.size(c["cities"]) > 0)
-    pick = F.get(known, 0)
+    return let(F.filter(candidates, lambda c: F.size(c["cities"]) > 0), lambda known: let(F.get(known, 0), lambda pick: _place(known, pick, p)))
+
+
+def _place(known: Column, pick: Column, p: Column) -> Column:
     name, found = pick["name"], F.coalesce(pick["cities"], no_texts())
     differs = F.filter(known, lambda c: (c["name"] != name) & (F.sort_array(c["cities"]) != F.sort_array(found)))
     told = lambda some: F.transform(some, lambda c: F.concat(c["name"], F.lit(": "), F.array_join(c["cities"], ", ")))
@@ -124,7 +125,7 @@ def skills(names: Column) -> Column:
     """array<struct<name, category>>: languages dropped, aliases expanded (one may stand for several), each name once."""
     table = F.create_map(*[x for k, v in dictionaries.SKILL_ALIASES.items() for x in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
     plain = F.filter(names, lambda x: ~is_language_skill(x))
-    expanded = distinct_ignoring_case(F.flatten(F.transform(plain, lambda x: F.coalesce(table[fold(x)], F.array(clean_text(x))))))
+    expanded = distinct_ignoring_case(F.flatten(F.transform(plain, lambda x: F.coalesce(table[fold(x)], clean_items(F.array(x))))))
     return F.transform(F.filter(expanded, lambda x: x.isNotNull()), lambda x: F.struct(x.alias("name"), group_of_skill(x).alias("category")))
 
 
@@ -158,15 +159,19 @@ def job_roles(matches: Column, title: Column) -> Column:
         of_title = F.filter(k["m"], lambda m: m["field"] == "title")
         others = F.filter(k["m"], lambda m: m["field"] != "title")
         roles = lambda some: F.transform(some, lambda m: m["role"])
+        both = F.struct(of_title.alias("of_title"), others.alias("others"), distinct_ignoring_case(F.concat(roles(of_title), k["t"])).alias("by_title"), distinct_ignoring_case(roles(others)).alias("by_fields"))
+        return let(both, told)
+
+    def told(k: Column) -> Column:
+        of_title, others, by_title, by_fields = (k[c] for c in ("of_title", "others", "by_title", "by_fields"))
         words = lambda some: F.transform(some, lambda m: m["keyword"])
-        by_title, by_fields = distinct_ignoring_case(F.concat(roles(of_title), k["t"])), distinct_ignoring_case(roles(others))
         named = F.size(by_title) > 0
         pick = F.when(named, by_title).otherwise(by_fields)
         evidence = F.when(named, F.when(F.size(of_title) > 0, words(of_title)).otherwise(F.array(title))).otherwise(words(others))
         extra = F.array_except(by_fields, by_title)
-        told = F.when(named & (F.size(extra) > 0), F.array(F.concat(F.lit("source_role_fields: "), F.array_join(extra, ", ")))).otherwise(no_texts())
+        against = F.when(named & (F.size(extra) > 0), F.array(F.concat(F.lit("source_role_fields: "), F.array_join(extra, ", ")))).otherwise(no_texts())
         where = F.when(named, "title").when(F.size(by_fields) > 0, "source_role_fields")
-        return F.struct(pick.alias("roles"), meta(where, F.when(where.isNotNull(), "high").otherwise("none"), evidence, told).alias("meta"))
+        return F.struct(pick.alias("roles"), meta(where, F.when(where.isNotNull(), "high").otherwise("none"), evidence, against).alias("meta"))
 
     return let(F.struct(matches.alias("m"), title_roles(title).alias("t")), chosen)
 
@@ -187,19 +192,18 @@ def stated_language(v: Column) -> Column:
 
 
 # -- experience and levels ---------------------------------------------------------------------------------------
-def experience(v: Column, text: Column, source: Column) -> Column:
-    """struct<text, low, high, relation, source> from the stated months, the experience field, or the requirements; text maps field names
-    to readable text."""
-    requirement = requirements_text(text, source)
+def experience(v: Column, text: Column, source: Column, units: Column) -> Column:
+    """struct<text, low, high, relation, source> from the stated months, the experience field, or the requirements, whose statements are
+    `units`; text maps field names to readable text."""
     primary = F.when(source == "topdev", text["experience"])
     months = F.when(source == "itviec", rules.months_of_experience(pl.scalar(pl.at(v, "experience_requirements_structured", "monthsOfExperience"))))
-    found = F.struct(rules.general_statements(primary).alias("p"), rules.general_statements(requirement).alias("r"), months.alias("m"))
+    found = F.struct(rules.general_statements(primary).alias("p"), rules.general_of(units).alias("r"), months.alias("m"))
 
     def chosen(k: Column) -> Column:
         own = F.size(k["p"]) > 0
         e = F.coalesce(k["m"], rules.experience_of(F.when(own, k["p"]).otherwise(k["r"])))
         where = F.when(k["m"].isNotNull(), "raw.experience_requirements_structured.monthsOfExperience").when(own, "raw.experience").otherwise("requirements")
-        return F.when(e.isNotNull(), F.struct(*[e[c].alias(c) for c in ("text", "low", "high", "relation")], where.alias("source")))
+        return let(e, lambda x: F.when(x.isNotNull(), F.struct(*[x[c].alias(c) for c in ("text", "low", "high", "relation")], where.alias("source"))))
 
     return let(found, chosen)
 
@@ -217,15 +221,18 @@ def declared_levels(v: Column, source: Column) -> Column:
 # -- salary ------------------------------------------------------------------------------------------------------
 def salary(v: Column) -> Column:
     """struct<text, low, high, currency, period, basis, status> of the payload's salary: an object with bounds, or a text."""
-    field = pl.at(v, "salary")
+    return let(pl.at(v, "salary"), _salary_field)
+
+
+def _salary_field(field: Column) -> Column:
     inner = lambda *path: pl.at(field, *path)
-    text = clean_text(F.when(pl.is_object(field), pl.first_true(inner("text"), inner("value"))).otherwise(truthy_scalar(field)))
+    text = clean_once(F.when(pl.is_object(field), pl.first_true(inner("text"), inner("value"))).otherwise(truthy_scalar(field)))
     read = F.struct(
         text.alias("text"),
         pl.positive_decimal(inner("min_filter"), inner("min"), inner("structured", "value", "minValue")).alias("low"),
         pl.positive_decimal(inner("max_filter"), inner("max"), inner("structured", "value", "maxValue")).alias("high"),
         pl.positive_decimal(inner("structured", "value", "value")).alias("exact"),
-        clean_text(pl.first_true(inner("currency"), inner("structured", "currency"), inner("structured", "salaryCurrency"))).alias("currency"),
+        clean_once(pl.first_true(inner("currency"), inner("structured", "currency"), inner("structured", "salaryCurrency"))).alias("currency"),
         fold(pl.first_true(inner("unit"), inner("structured", "value", "unitText"))).alias("unit"),
         F.lower(F.coalesce(pl.first_true(inner("visibility")), F.lit(""))).alias("visibility"),
         F.lower(F.coalesce(pl.first_true(inner("is_negotiable")), F.lit(""))).isin("1", "true", "yes").alias("negotiable"),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, distinct_ignoring_case, let
+from .text import clean_items, distinct_ignoring_case, let
 
 #: The keys under which an object carries its label, in this order.
 LABEL_KEYS = ("name", "title", "label", "value")
@@ -35,56 +35,67 @@ def kind(v: Column) -> Column:
     )
 
 
+def is_a(v: Column, name: str) -> Column:
+    """Whether a field is an OBJECT, an ARRAY or a STRING. This looks at a field once, where kind does so for each of its cases."""
+    return F.startswith(F.schema_of_variant(v), F.lit(name))
+
+
 def is_object(v: Column) -> Column:
-    return F.coalesce(kind(v) == "object", F.lit(False))
+    return F.coalesce(is_a(v, "OBJECT"), F.lit(False))
 
 
 def scalar(v: Column) -> Column:
     """The text of a string, number or boolean; null for lists and objects."""
-    return F.when(kind(v).isin("string", "other"), F.try_variant_get(v, "$", "string"))
+    return F.when(~F.substring(F.schema_of_variant(v), 1, 5).isin("OBJEC", "ARRAY", "VOID"), F.try_variant_get(v, "$", "string"))
 
 
 def truthy(text: Column) -> Column:
     """The text, or null if it stands for nothing (blank, zero, false)."""
-    return F.when(~F.trim(text).isin("", "0", "0.0", "false"), text)
+    return _first_truthy(text)
+
+
+def _first_truthy(*texts: Column) -> Column:
+    return F.get(F.filter(F.array(*texts), lambda x: ~F.trim(x).isin("", "0", "0.0", "false")), 0)
 
 
 def first_true(*values: Column) -> Column:
     """The first scalar that stands for something."""
-    return F.coalesce(*[truthy(scalar(v)) for v in values])
+    return _first_truthy(*[scalar(v) for v in values])
 
 
 def elements(v: Column) -> Column:
     """The members of a list, the values of an object, or the thing itself, as an array of variants."""
     listed, values = F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-    return F.when(kind(v) == "array", listed).when(kind(v) == "object", values).when(kind(v).isNotNull(), F.array(v)).otherwise(F.array().cast("array<variant>"))
+    return F.when(is_a(v, "ARRAY"), listed).when(is_a(v, "OBJECT"), values).when(F.schema_of_variant(v) != "VOID", F.array(v)).otherwise(F.array().cast("array<variant>"))
 
 
 def _label(x: Column) -> Column:
-    named = F.coalesce(*[truthy(F.try_variant_get(x, f"$.{k}", "string")) for k in LABEL_KEYS])
-    return clean_text(F.when(kind(x) == "object", named).otherwise(F.try_variant_get(x, "$", "string")))
+    named = _first_truthy(*[F.try_variant_get(x, f"$.{k}", "string") for k in LABEL_KEYS])
+    return F.when(is_a(x, "OBJECT"), named).otherwise(F.try_variant_get(x, "$", "string"))
 
 
 def texts(v: Column) -> Column:
     """The texts of a field, each once without regard to case: parts of a string (by comma, semicolon, bar or line), members
     of a list, values of an object; objects among them count by their label."""
     parts = F.split(F.try_variant_get(v, "$", "string"), r"[,;|\n]")
-    found = F.when(kind(v) == "string", F.transform(parts, clean_text)).otherwise(F.transform(elements(v), _label))
-    return distinct_ignoring_case(F.filter(F.coalesce(found, F.array().cast(_NO_TEXTS)), lambda x: x.isNotNull()))
+    found = F.when(is_a(v, "STRING"), parts).when(v.isNotNull(), F.transform(elements(v), _label))
+    return distinct_ignoring_case(clean_items(F.coalesce(found, F.array().cast(_NO_TEXTS))))
 
 
 def members(v: Column) -> Column:
     """The members of a list, or the object itself as the only member; none for anything else."""
     listed = F.try_variant_get(v, "$", "array<variant>")
-    return F.when(kind(v) == "array", listed).when(kind(v) == "object", F.array(v)).otherwise(F.array().cast("array<variant>"))
+    return F.when(is_a(v, "ARRAY"), listed).when(is_a(v, "OBJECT"), F.array(v)).otherwise(F.array().cast("array<variant>"))
 
 
 def nested_texts(v: Column) -> Column:
     """Nonblank strings of a field: itself, those in its list, and the labels of objects in it, two levels down."""
-    own = lambda x: F.when(kind(x) == "string", F.array(F.try_variant_get(x, "$", "string"))).otherwise(F.array().cast(_NO_TEXTS))
-    labels = lambda x: F.when(is_object(x), F.flatten(F.array(*[own(at(x, k)) for k in LABEL_KEYS]))).otherwise(own(x))
-    found = F.when(kind(v) == "array", F.flatten(F.transform(F.try_variant_get(v, "$", "array<variant>"), labels))).otherwise(labels(v))
-    return F.filter(F.coalesce(found, F.array().cast(_NO_TEXTS)), lambda x: F.trim(x) != "")
+    text = lambda x: F.when(is_a(x, "STRING"), F.array(F.try_variant_get(x, "$", "string")))
+    none = F.array().cast(_NO_TEXTS)
+    own = lambda x: text(x).otherwise(none)
+    labels = lambda x: text(x).when(is_a(x, "OBJECT"), F.flatten(F.array(*[own(at(x, k)) for k in LABEL_KEYS]))).otherwise(none)
+    found = F.when(v.isNull(), none).when(is_a(v, "ARRAY"), F.flatten(F.transform(F.try_variant_get(v, "$", "array<variant>"), labels))).otherwise(labels(v))
+    return F.filter(F.coalesce(found, none), lambda x: F.trim(x) != "")
 
 
 def instant(v: Column, date_only: bool = False) -> Column:
@@ -110,6 +121,5 @@ def instant_of_text(text: Column, date_only: bool = False) -> Column:
 
 def positive_decimal(*values: Column) -> Column:
     """The first of the fields that stands for something, as a positive number; blanks and commas in it are dropped."""
-    text = F.regexp_replace(first_true(*values), "[ ,]", "")
-    number = F.when(text != "true", text.try_cast("decimal(20,4)"))
-    return let(number, lambda n: F.when(n > 0, n))
+    number = lambda text: F.when(text != "true", text.try_cast("decimal(20,4)"))
+    return let(let(F.regexp_replace(first_true(*values), "[ ,]", ""), number), lambda n: F.when(n > 0, n))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, fold, fold_pattern, let, lookup_map, strip_marks
+from .text import clean_items, clean_once, clean_text, fold, fold_pattern, let, lookup_map, strip_marks, tree_pattern
 
 # -- experience --------------------------------------------------------------------------------------------------
 #: The number, year and month patterns of this section.
@@ -21,6 +23,8 @@ _LOWER = (
     rf"\bkinh nghiem(?:\s+[a-z]+){{0,6}}\s+{_NUM}\s*nam\b",
 )
 _MONTHS = rf"\b(?:at least|minimum|min|from|tu|toi thieu)?\s*{_NUM}\s*{_MONTH}(?:(?:\s+of)?\s+(?:work\s+)?experience|\s+kinh nghiem(?:\s+lam viec)?)\b"
+#: What every statement that bounds years holds: a number before a word for years or months.
+_BOUNDED = r"\d\s*\+?\s*(?:year|yr|nam|month|thang)"
 #: Technology names that make a number of years specific, and phrases that make it general again.
 TECHNOLOGIES = (
     "java", "python", "javascript", "typescript", "react", "reactjs", "angular", "vue", "nodejs", "golang", "go", "c++", "c#", "php",
@@ -33,7 +37,7 @@ GENERAL_PHRASES = (
 
 
 def _number(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.replace(F.regexp_extract(text, pattern, group), F.lit(","), F.lit(".")), F.lit("")).cast("double")
+    return let(F.regexp_extract(text, pattern, group), lambda x: F.when(x != "", F.replace(x, F.lit(","), F.lit(".")).cast("double")))
 
 
 def experience_bounds(text: Column) -> Column:
@@ -46,11 +50,12 @@ def _bounds(t: Column) -> Column:
     under = _number(t, _UNDER)
     lower = F.coalesce(*[_number(t, p) for p in _LOWER], _number(t, _MONTHS) / 12)
     made = lambda low, high, relation: F.struct(low.cast("double").alias("low"), high.cast("double").alias("high"), F.lit(relation).alias("relation"))
-    return (
+    found = (
         F.when(a.isNotNull(), made(F.least(a, b), F.greatest(a, b), "range"))
         .when(under.isNotNull(), made(F.lit(0.0), under, "under"))
-        .when(lower.isNotNull(), made(lower, F.lit(None), "minimum"))
+        .otherwise(let(lower, lambda x: F.when(x.isNotNull(), made(x, F.lit(None), "minimum"))))
     )
+    return F.when(t.rlike(_BOUNDED), found)
 
 
 def is_general_experience(text: Column) -> Column:
@@ -67,12 +72,22 @@ def statements(text: Column) -> Column:
     """Sentences and list items of a text."""
     lines = F.split(F.coalesce(text, F.lit("")), r"\R")
     units = F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.!?])\s+|\s*[;•]\s*")))
-    return F.filter(F.transform(units, clean_text), lambda x: x.isNotNull())
+    return clean_items(units)
+
+
+def general_of(units: Column) -> Column:
+    """array<struct<text, bounds>>: the statements that bound the years of the profession, each folded once."""
+
+    def read(x: Column) -> Column:
+        told = lambda t: let(_bounds(t), lambda b: F.when(b.isNotNull() & _is_general(t), F.struct(x.alias("text"), b.alias("bounds"))))
+        return let(fold_pattern(x), told)
+
+    return F.array_compact(F.transform(units, read))
 
 
 def general_statements(text: Column) -> Column:
-    """The statements of a text that bound the years of the profession."""
-    return F.filter(statements(text), is_general_experience)
+    """The statements of a text that bound the years of the profession, with their bounds."""
+    return general_of(statements(text))
 
 
 def experience_of(found: Column) -> Column:
@@ -81,10 +96,11 @@ def experience_of(found: Column) -> Column:
     def whole(k: Column) -> Column:
         crossed = F.struct(F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), F.lit("conflict").alias("relation"))
         b = F.coalesce(k["b"], F.when(F.size(k["s"]) > 0, crossed))
-        return F.when(F.size(k["s"]) > 0, F.struct(F.array_join(k["s"], "\n").alias("text"), b["low"].alias("low"), b["high"].alias("high"), b["relation"].alias("relation")))
+        text = F.array_join(F.transform(k["s"], lambda x: x["text"]), "\n")
+        return F.when(F.size(k["s"]) > 0, F.struct(text.alias("text"), b["low"].alias("low"), b["high"].alias("high"), b["relation"].alias("relation")))
 
-    strongest = let(F.transform(found, experience_bounds), _strongest)
-    return let(F.struct(found.alias("s"), strongest.alias("b")), whole)
+    strongest = lambda s: let(F.transform(s, lambda x: x["bounds"]), _strongest)
+    return let(found, lambda s: let(F.struct(s.alias("s"), strongest(s).alias("b")), whole))
 
 
 def months_of_experience(months: Column) -> Column:
@@ -99,8 +115,7 @@ def months_of_experience(months: Column) -> Column:
 
 def experience(text: Column) -> Column:
     """struct<low, high, relation> of a whole text: the strongest of the general statements; none if they cross."""
-    bounded = F.transform(statements(text), lambda x: F.struct(experience_bounds(x).alias("bounds"), _is_general(fold_pattern(x)).alias("general")))
-    return let(F.transform(F.filter(bounded, lambda x: x["bounds"].isNotNull() & x["general"]), lambda x: x["bounds"]), _strongest)
+    return let(F.transform(general_statements(text), lambda x: x["bounds"]), _strongest)
 
 
 def _strongest(found: Column) -> Column:
@@ -236,10 +251,15 @@ PERIODS = (("hour", "gio"), ("day", "ngay"), ("month", "thang"), ("year", "nam")
 
 
 def _salary(t: Column, bounds: Column, text: Column) -> Column:
-    raw = F.coalesce(text, F.lit(""))
     talk = t.rlike(r"\b(negotiable|thoa thuan|thuong luong)\b")
+    flags = F.struct(talk.alias("talk"), *[t.rlike(rf"\b({name}|{local})\b").alias(name) for name, local in PERIODS])
+    return let(flags, lambda k: _salary_told(t, bounds, text, k))
+
+
+def _salary_told(t: Column, bounds: Column, text: Column, flags: Column) -> Column:
+    raw, talk = F.coalesce(text, F.lit("")), flags["talk"]
     some = bounds["low"].isNotNull() | bounds["high"].isNotNull()
-    named = [(name, t.rlike(rf"\b({name}|{local})\b")) for name, local in PERIODS]
+    named = [(name, flags[name]) for name, _ in PERIODS]
     return F.struct(
         F.when(~talk, bounds["low"]).alias("low"),
         F.when(~talk, bounds["high"]).alias("high"),
@@ -260,29 +280,46 @@ WORK_MODES = {
 }
 
 
+#: Of these, every wording of a mode holds one; a text without them isn't searched by pattern.
+WORK_MODE_WORDS = {"remote": ("remote", "wfh", "work from home", "lam viec tu xa"), "hybrid": ("hybrid", "linh hoat"), "onsite": ("onsite", "on site", "at office", "tai van phong", "truc tiep")}
+
+
 def work_modes(text: Column) -> Column:
-    return let(fold(text), lambda t: F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(name)) for name, p in WORK_MODES.items()])))
+    def named(t: Column, name: str) -> Column:
+        held = reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in WORK_MODE_WORDS[name]])
+        return F.when(held, F.when(t.rlike(WORK_MODES[name]), F.lit(name)))
+
+    return let(fold(text), lambda t: F.array_compact(F.array(*[named(t, name) for name in WORK_MODES])))
 
 
 def work_mode(explicit: Column, description: Column) -> Column:
     """The one mode of the explicit field, else the one mode of the description, else null."""
-    both = F.struct(work_modes(explicit).alias("a"), work_modes(description).alias("b"))
-    return let(both, lambda k: F.when(F.size(k["a"]) == 1, F.get(k["a"], 0)).when(F.size(k["b"]) == 1, F.get(k["b"], 0)))
+    return let(both_work_modes(explicit, description), work_mode_of)
+
+
+def both_work_modes(explicit: Column, description: Column) -> Column:
+    """struct<a, b>: the modes that the explicit field names, and those that the description does."""
+    return F.struct(work_modes(explicit).alias("a"), work_modes(description).alias("b"))
+
+
+def work_mode_of(k: Column) -> Column:
+    """work_mode of both_work_modes."""
+    return F.when(F.size(k["a"]) == 1, F.get(k["a"], 0)).when(F.size(k["b"]) == 1, F.get(k["b"], 0))
 
 
 def work_mode_conflicts(explicit: Column, description: Column) -> Column:
     """What speaks against the work mode that was chosen."""
-    both = F.struct(work_modes(explicit).alias("a"), work_modes(description).alias("b"))
-    named = lambda x: F.concat(F.lit("description: "), x)
+    return let(both_work_modes(explicit, description), work_mode_conflicts_of)
 
-    def found(k: Column) -> Column:
-        one = F.transform(F.array_except(k["b"], k["a"]), named)
-        many = F.array_compact(
-            F.array(F.when(F.size(k["a"]) > 1, F.lit("explicit field contains multiple work modes")), F.when(F.size(k["b"]) > 1, named(F.array_join(k["b"], ", "))))
-        )
-        return F.when(F.size(k["a"]) == 1, one).otherwise(many)
 
-    return let(both, found)
+def work_mode_conflicts_of(k: Column) -> Column:
+    """work_mode_conflicts of both_work_modes."""
+    named = lambda x: F.concat(F.lit("description: "), x)
+    one = F.transform(F.array_except(k["b"], k["a"]), named)
+    many = F.array_compact(
+        F.array(F.when(F.size(k["a"]) > 1, F.lit("explicit field contains multiple work modes")), F.when(F.size(k["b"]) > 1, named(F.array_join(k["b"], ", "))))
+    )
+    return F.when(F.size(k["a"]) == 1, one).otherwise(many)
 
 
 #: Names of each foreign language, on folded text, and its certificates, on the text itself.
@@ -328,9 +365,15 @@ def level_wordings(language: str) -> tuple[str, ...]:
 def foreign_languages(text: Column, skills: Column | None = None) -> Column:
     """array<struct<language, level_text, evidence>>: the languages that a sentence of the text or a skill names, with a certificate or
     a wording of the level; one entry 'unknown' if there is none."""
-    units = F.concat(statements(text), F.coalesce(skills, F.array().cast("array<string>"))) if skills is not None else statements(text)
+    return languages_of(statements(text), skills)
+
+
+def languages_of(units: Column, skills: Column | None = None) -> Column:
+    """foreign_languages of statements."""
+    units = F.concat(units, F.coalesce(skills, F.array().cast("array<string>"))) if skills is not None else units
     folded = F.transform(units, lambda u: F.struct(u.alias("u"), fold(u).alias("t")))
-    return let(folded, _languages)
+    spoken = r"\b(?:" + "|".join(words.removeprefix(r"\b").removesuffix(r"\b") for words, _ in LANGUAGES.values()) + r")\b"
+    return let(F.filter(folded, lambda x: x["t"].rlike(spoken)), _languages)
 
 
 def _languages(units: Column) -> Column:
@@ -347,16 +390,15 @@ def _languages(units: Column) -> Column:
 
 def _language(name: str, evidence: Column) -> Column:
     def level(text: Column) -> Column:
-        return F.coalesce(*[clean_text(F.regexp_extract(text, f"(?iU)({p})", 1)) for p in level_wordings(name)])
+        return F.coalesce(*[clean_once(F.regexp_extract(text, f"(?iU)({p})", 1)) for p in level_wordings(name)])
 
     return F.struct(F.lit(name).alias("language"), let(F.array_join(evidence, "\n"), level).alias("level_text"), evidence.alias("evidence"))
 
 
 def places_in(text: Column, aliases: dict[str, str]) -> Column:
     """Places by their aliases in order of appearance: longer aliases win where two overlap, each place once."""
-    t = F.regexp_replace(fold(text), r"\.", " ")
-    longest = sorted(aliases, key=lambda a: (-len(a), a))
-    hits = F.regexp_extract_all(t, F.lit(r"(?<![a-z0-9])(" + "|".join(longest) + r")(?![a-z0-9])"), 1)
+    t = F.replace(fold(text), F.lit("."), F.lit(" "))
+    hits = F.regexp_extract_all(t, F.lit(r"(?<![a-z0-9])(" + tree_pattern(sorted(aliases)) + r")(?![a-z0-9])"), 1)
     names = lookup_map(aliases)
     return F.array_distinct(F.transform(hits, lambda a: names[a]))
 

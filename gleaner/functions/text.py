@@ -28,9 +28,23 @@ def lookup_map(names: dict[str, str]) -> Column:
     return F.expr("map(" + ", ".join(quoted(x) for pair in names.items() for x in pair) + ")")
 
 
+def _collapsed(value: Column) -> Column:
+    return F.trim(F.regexp_replace(value, r"(?U)\s+", " "))
+
+
 def clean_text(value: Column | str) -> Column:
     """Collapse Unicode white space, trim; empty becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(_col(value), r"(?U)\s+", " ")), F.lit(""))
+    return F.nullif(_collapsed(_col(value)), F.lit(""))
+
+
+def clean_items(values: Column) -> Column:
+    """The texts of a list as clean_text gives them, without nulls. Each is worked out once, where nullif inside a lambda takes two."""
+    return F.filter(F.transform(values, _collapsed), lambda x: x != "")
+
+
+def clean_once(value: Column) -> Column:
+    """clean_text of a value that costs something, for use inside lambdas."""
+    return F.get(clean_items(F.array(value)), 0)
 
 
 @cache
@@ -52,8 +66,9 @@ def _fold_table() -> tuple[str, str]:
 def strip_marks(value: Column | str) -> Column:
     """Lower case without accents; letters with longer decompositions (ligatures, fractions) stay as they are."""
     source, target = _fold_table()
-    lowered = F.replace(F.lower(F.coalesce(_col(value), F.lit(""))), F.lit("ß"), F.lit("ss"))
-    return F.regexp_replace(F.translate(lowered, source, target), r"\p{M}+", "")
+    marked = lambda x: F.regexp_replace(F.translate(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), source, target), r"\p{M}+", "")
+    # a text of ASCII characters alone has no marks to look for
+    return let(F.coalesce(_col(value), F.lit("")), lambda x: F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(marked(x)))
 
 
 def fold(value: Column | str) -> Column:
@@ -93,11 +108,19 @@ def has_phrase(folded: Column, phrase: Column | str) -> Column:
     return F.contains(F.concat(F.lit(" "), folded, F.lit(" ")), F.concat(F.lit(" "), phrase, F.lit(" ")))
 
 
-def short_evidence(value: Column | str, most: int = 240) -> Column:
-    v = clean_text(value)
+def _shortened(v: Column, most: int = 240) -> Column:
     return F.when(F.length(v) > most, F.concat(F.rtrim(F.substring(v, 1, most - 1)), F.lit("…"))).otherwise(v)
 
 
+def short_evidence(value: Column | str, most: int = 240) -> Column:
+    return _shortened(clean_text(value), most)
+
+
+def short_items(values: Column) -> Column:
+    """The texts of a list as short_evidence gives them, without nulls, each once without regard to case."""
+    return distinct_ignoring_case(F.transform(clean_items(values), lambda x: _shortened(x)))
+
+
 def canonical_url(value: Column | str) -> Column:
     """scheme://host/path of an http(s) address: lower-case scheme and host, no port, user, query, fragment or last slash."""
     url = F.trim(_col(value))
@@ -130,4 +153,17 @@ def split_values(value: Column | str) -> Column:
 
 def distinct_ignoring_case(values: Column) -> Column:
     start = F.array().cast("array<string>")
-    return F.aggregate(values, start, lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
+    several = lambda v: F.aggregate(v, start, lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
+    return let(values, lambda v: F.when(F.size(v) > 1, several(v)).otherwise(v))
+
+
+def tree_pattern(words: list[str]) -> str:
+    """A pattern of all words: what they begin with in common stands once, and longer ones are tried before shorter ones."""
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            by_first.setdefault(word[0], []).append(word[1:])
+    branches = [(first if first.isalnum() or first == " " else f"\\{first}") + tree_pattern(rest) for first, rest in sorted(by_first.items())]
+    ends = "" in words
+    body = "(?:" + "|".join(branches) + ")" if len(branches) > 1 or (branches and ends) else "".join(branches)
+    return body + "?" if body and ends else body

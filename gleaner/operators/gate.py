@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import fold_plain, let, quoted
+from ..functions.text import fold_plain, let, quoted, tree_pattern
 
 MATCHED = "matched_role_keyword"
 
@@ -19,21 +19,15 @@ def has_word(text: Column) -> Column:
 
 
 def catalogue(roles: dict[str, tuple[str, ...]]) -> Column:
-    """A role catalogue as a literal array of (role, keyword), longest keyword first."""
+    """A role catalogue as a literal map: from every phrase to the array<struct<at, role, keyword>> of the keywords that it begins with; `at`
+    numbers all keywords, the longest first."""
     pairs = sorted(((r, k) for r, keywords in roles.items() for k in keywords), key=lambda p: (-len(p[1]), p[1], p[0]))
-    return F.expr("array(" + ", ".join(f"named_struct('role', {quoted(r)}, 'keyword', {quoted(k)})" for r, k in pairs) + ")")
-
-
-def _tree(tails: list[str]) -> str:
-    """A pattern of all tails: what they begin with in common stands once, and longer tails are tried before shorter ones."""
-    by_first: dict[str, list[str]] = {}
-    for tail in tails:
-        if tail:
-            by_first.setdefault(tail[0], []).append(tail[1:])
-    branches = [first + _tree(rest) for first, rest in sorted(by_first.items())]
-    ends = "" in tails
-    body = "(?:" + "|".join(branches) + ")" if len(branches) > 1 or (branches and ends) else "".join(branches)
-    return body + "?" if body and ends else body
+    begun: dict[str, list[str]] = {k: [] for _, k in pairs}
+    for at, (role, keyword) in enumerate(pairs):
+        for phrase, held in begun.items():
+            if f"{phrase} ".startswith(f"{keyword} "):
+                held.append(f"named_struct('at', {at}, 'role', {quoted(role)}, 'keyword', {quoted(keyword)})")
+    return F.expr("map(" + ", ".join(f"{quoted(phrase)}, array({', '.join(held)})" for phrase, held in begun.items()) + ")")
 
 
 def phrases_in(folded: Column, phrases: Iterable[str]) -> Column:
@@ -44,23 +38,23 @@ def phrases_in(folded: Column, phrases: Iterable[str]) -> Column:
     if odd or not phrases:
         raise ValueError(f"phrases must be folded words: {odd}")
     padded = F.concat(F.lit(" "), folded, F.lit(" "))
-    return F.array_distinct(F.regexp_extract_all(padded, F.lit(f" (?=({_tree(phrases)}) )"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(f" (?=({tree_pattern(phrases)}) )"), F.lit(1)))
 
 
 def role_matches(text: Column, roles: dict[str, tuple[str, ...]]) -> Column:
     """array<struct<role, keyword>>: the longest keyword of every role that a text names as whole tokens.
 
     Where a phrase begins, every other phrase that begins there is one of its beginnings, so the longest ones tell all."""
-    pairs = catalogue(roles)
-    begins = lambda hit, p: F.startswith(F.concat(hit, F.lit(" ")), F.concat(p["keyword"], F.lit(" ")))
-    named = lambda hits: F.when(F.size(hits) > 0, F.filter(pairs, lambda p: F.exists(hits, lambda hit: begins(hit, p)))).otherwise(F.slice(pairs, 1, 0))
-    return let(let(phrases_in(fold_plain(text), {k for keywords in roles.values() for k in keywords}), named), _first_of_each)
+    table = catalogue(roles)
+    hits = phrases_in(fold_plain(text), {k for keywords in roles.values() for k in keywords})
+    named = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda hit: table[hit]))))
+    return F.transform(let(named, _first_of_each), lambda p: F.struct(p["role"].alias("role"), p["keyword"].alias("keyword")))
 
 
 def _first_of_each(hits: Column) -> Column:
     start = F.filter(hits, lambda p: F.lit(False))
     first_of_role = lambda acc, p: F.when(F.exists(acc, lambda q: q["role"] == p["role"]), acc).otherwise(F.concat(acc, F.array(p)))
-    return F.aggregate(hits, start, first_of_role)
+    return F.when(F.size(hits) > 1, F.aggregate(hits, start, first_of_role)).otherwise(hits)
 
 
 def gate(postings: DataFrame, role_text: str, body: str, roles: dict[str, tuple[str, ...]]) -> DataFrame:

@@ -73,6 +73,9 @@ def normalized(postings: DataFrame, roles: dict[str, tuple[str, ...]] = dictiona
     )
     rows = rows.withColumn("_source", F.coalesce(clean_text("source"), field("source")))
     source = F.col("_source")
+    # statements, languages' and experience's, are split once
+    rows = rows.withColumn("_units", rules.statements(entities.requirements_text(text, source)))
+    units = F.col("_units")
     rows = rows.withColumns(
         {
             "job_id": clean_text("job_id"),
@@ -84,7 +87,7 @@ def normalized(postings: DataFrame, roles: dict[str, tuple[str, ...]] = dictiona
             "title": field("title"),
             "company_name": name,
             "description": entities.description(text, source),
-            "_experience": entities.experience(v, text, source),
+            "_experience": entities.experience(v, text, source, units),
             "_place": entities.locations(v, source),
             "_skills": entities.raw_skills(v, source),
             "_salary": entities.salary(v),
@@ -94,13 +97,14 @@ def normalized(postings: DataFrame, roles: dict[str, tuple[str, ...]] = dictiona
     )
     e = F.col("_experience")
     by_years = F.when(e.isNotNull(), rules.experience_levels(e["low"], e["high"], e["relation"]))
+    rows = rows.withColumn("_modes", rules.both_work_modes(F.col("_explicit"), F.col("description")))
     rows = rows.withColumns(
         {
             "_roles": entities.job_roles(F.col("matches"), F.col("title")),
             "_level": rules.seniority(F.col("_declared"), F.col("title"), by_years, ("source_explicit", "title", "general_experience")),
-            "work_mode": rules.work_mode(F.col("_explicit"), F.col("description")),
+            "work_mode": rules.work_mode_of(F.col("_modes")),
             "skills": entities.skills(F.col("_skills")),
-            "_languages": rules.foreign_languages(entities.requirements_text(text, source), F.col("_skills")),
+            "_languages": rules.languages_of(units, F.col("_skills")),
         }
     )
     s, money, years = F.col("_salary"), "decimal(18,2)", "decimal(10,4)"
@@ -145,7 +149,7 @@ def _meta() -> Column:
     high = lambda there: F.when(there, "high").otherwise("none")
     level_from = level["source"]
     level_evidence = F.when(level_from == "source_explicit", F.col("_declared")).when(level_from == "title", F.array("title")).when(level_from.isNotNull(), F.array(e["text"]))
-    explicit = F.size(rules.work_modes(F.col("_explicit"))) == 1
+    explicit = F.size("_modes.a") == 1
     mode_from = F.when(mode.isNull(), F.lit(None)).when(explicit, entities.by_source(source, F.lit("raw.working_model"), F.lit("raw.job_types_str"))).otherwise("description")
     languages = F.col("_languages")
     known = F.get(languages, 0)["language"] != "unknown"
@@ -156,7 +160,7 @@ def _meta() -> Column:
         "job_roles": F.col("_roles.meta"),
         "seniority_levels": entities.meta(level_from, F.when(level_from == "general_experience", "medium").otherwise(high(level_from.isNotNull())), level_evidence, level["conflicts"]),
         "cities": F.col("_place.meta"),
-        "work_mode": entities.meta(mode_from, F.when(mode_from == "description", "medium").otherwise(high(mode_from.isNotNull())), F.array(F.when(explicit, F.col("_explicit")).otherwise(mode)), rules.work_mode_conflicts(F.col("_explicit"), F.col("description"))),
+        "work_mode": entities.meta(mode_from, F.when(mode_from == "description", "medium").otherwise(high(mode_from.isNotNull())), F.array(F.when(explicit, F.col("_explicit")).otherwise(mode)), rules.work_mode_conflicts_of(F.col("_modes"))),
         "skills": entities.skills_meta(F.col("_skills"), source),
         "experience_text": entities.meta(e["source"], high(e.isNotNull()), F.split(e["text"], "\n"), F.when(e["relation"] == "conflict", F.array(F.lit("incompatible experience bounds"))).otherwise(entities.no_texts())),
         "foreign_languages": entities.meta(F.when(known, F.lit("requirements+skills")), high(known), F.flatten(F.transform(languages, lambda x: x["evidence"]))),
