@@ -10,11 +10,14 @@ differences hold thirteen shingles at most); `reach` bounds how far into the fre
 So a set has less than n combinations, at any size. Sets of up to PAIRS_UPTO shingles use k = 2, larger ones k = LONG_K,
 and those from LONG_FROM on both, so that similar sets always have a k in common.
 
-The classes come from counters over all documents: each task counts shingles into a table of counters, Spark sums the
+The classes come from counters over all different texts: each task counts shingles into a table of counters, Spark sums the
 tables, and a shingle's class is the logarithm of its bucket's count; it is rare if the bucket holds at most
-2 ** RARE_CLASS sets. A bucket holds at least what its shingles hold, so a rare key has at most that many sets at any
-size of the input, and its pairs are bounded. The class table is of fixed size, so it may be broadcast. A crowded bucket
-only makes shingles frequent; no class is ever wrong for the result.
+2 ** RARE_CLASS sets. A bucket holds at least what its shingles hold, so a rare key has at most that many sets, and its
+pairs are bounded. The table grows with the texts, so that a bucket holds LOAD sets or fewer on the average: in a crowded
+table all shingles would be frequent, and each set would be indexed by nearly n combinations in place of n / 5 keys. It has
+2 ** MOST_BITS buckets at most, in half a byte each, so it may be broadcast; beyond that the bound on rare keys doubles
+with the input. A crowded bucket only makes shingles frequent; no class is ever wrong for the result. A shingle that is
+alone in its bucket is no key, since no other set has it.
 
 Candidates of rare keys are checked exactly: first by how many keys they share, then by parity bits (the distance of two
 parity strings bounds the symmetric difference from below), then by intersecting the full sets. Keys of combinations may
@@ -23,13 +26,15 @@ rare shingles, which is what edited copies have in common). Links inside one com
 sets outside the component of most of the key's sets are still to be joined: in blocks, first by parity alone, to find the
 sets that have a possible partner at all, then those by their full sets. A block gives a spanning forest of its links,
 never all pairs. Exact copies (equal sets) are one set throughout, known by a 64-bit fingerprint of all shingles and
-their number. Texts are shingled once, with hashes of 64 bits; the sets are stored with 48 bits of each, so that two of 10^5
-shingles are taken for one with a chance of some 10^-5 when a pair is checked.
+their number, and equal texts are one text, known by a hash of 64 bits. Sets are larger than their texts once these are
+compressed, so they are not stored: a text is shingled to be counted, again to be indexed, and again if one of its
+candidates is to be checked. Keys travel in sorted runs of a task, packed. The sets to be checked are stored with 48 bits
+of each hash, so that two of 10^5 shingles are taken for one with a chance of some 10^-5 when a pair is checked.
 
 Defined results: words split at blank and U+0009 to U+000D, A-Z lower-cased; fewer than five words form one shingle; null,
 empty and blank texts have no shingles and are linked with nothing; repeated rows are copies; a null id is larger than any
 other; a text of any length is one set. Columns other than doc_id and text don't enter; keep_one keeps them, whatever
-their names. An empty table gives an empty result.
+their names. An empty table gives an empty result. The documents are read several times and must be the same each time.
 """
 
 from __future__ import annotations
@@ -40,20 +45,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, stored
+from .common import give_back, pack, pack_sorted, stored, unpack, unpack_sorted
 
 WIDTH = 5
-BUCKET_BITS = 24
+LEAST_BITS, MOST_BITS, LOAD = 20, 27, 12
+SHINGLE_OCTETS = 6  # of a text, for each of its shingles, about
 CHUNKS = 64
 RARE_CLASS = 5  # rare: at most 32 sets in the bucket
 PAIRS_UPTO, LONG_FROM, LONG_K = 40, 32, 4  # LONG_FROM <= 0.8 * PAIRS_UPTO
 PARITY_WORDS = 16
-NEED_BITS = 26
+MARK_BITS = 26
+PACK_KEYS, SLOT_KEYS = 1 << 20, 1 << 18  # keys that a task packs at once, and about those of a slot
 STORED_BYTES = 6
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
@@ -116,52 +125,115 @@ def from_bytes(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view(">u8").astype(np.uint64)
 
 
-def _bucket(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(16) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+def _bucket(s: np.ndarray, bits: int) -> np.ndarray:
+    return (s >> np.uint64(16) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-DESCRIBED = "doc_id long, n int, sig long, bits array<long>, shingles binary, chunk int, part int, counts binary"
+def table_bits(octets: int) -> tuple[int, int]:
+    """(bits of a bucket's number, by how much the rare class rises) for so many octets of text."""
+    wanted = int(np.ceil(np.log2(max(octets / SHINGLE_OCTETS / LOAD, 1))))
+    return min(max(wanted, LEAST_BITS), MOST_BITS), max(wanted - MOST_BITS, 0)
+
+
+def marks(values: DataFrame):
+    """A broadcast table of fixed size, of bits, that knows the given longs (in a column v), and takes a few others for them."""
+    width = (1 << MARK_BITS) // CHUNKS
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        marked = np.zeros(width, dtype=bool)
+        marked[pdf["bucket"].to_numpy() % width] = True
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [np.packbits(marked).tobytes()]})
+
+    marked = values.select(F.pmod("v", F.lit(1 << MARK_BITS)).alias("bucket")).distinct().withColumn("chunk", F.floor(F.col("bucket") / width).cast("int"))
+    table = np.zeros((CHUNKS, width // 8), dtype=np.uint8)
+    for row in marked.groupBy("chunk").applyInPandas(packed, "chunk int, bits binary").collect():  # CHUNKS rows
+        table[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return values.sparkSession.sparkContext.broadcast(table.reshape(-1))
+
+
+def _marked(table: np.ndarray, values: pa.Array) -> pa.Array:
+    at = values.to_numpy() % (1 << MARK_BITS)
+    return pa.array((table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+
+def _own() -> F.Column:
+    """What a text is known by."""
+    return F.xxhash64("text")
+
+
+class Texts:
+    """The different texts of (doc_id, text). `rows` has (doc_id, own, octets) of every document, `each` (own, first, octets) of every
+    text, where first is its smallest doc_id; documents marked as first stand for their text."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        doc_id = F.col("doc_id").cast("long").alias("doc_id")
+        self.rows = stored(docs.select(doc_id, _own().alias("own"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("octets")), "join-rows")
+        self.each = self.rows.groupBy("own").agg(F.min("doc_id").alias("first"), F.max("octets").cast("long").alias("octets"))
+        self.docs = docs.select(F.xxhash64(_own(), doc_id).alias("mark"), _own().alias("own"), "text").where("text IS NOT NULL")
+        self.first = marks(self.each.select(F.xxhash64("own", "first").alias("v")))
+
+    def octets(self) -> int:
+        return self.each.agg(F.sum("octets")).first()[0] or 0
+
+    def map(self, run, schema: str, among=None) -> DataFrame:
+        """run gets iterators of (own, shingles) for each text that has any; those marked in the broadcast table `among`, if given."""
+        first = self.first
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+            shingler, seen = Shingler(), set()
+            for batch in batches:
+                batch = batch.filter(_marked(first.value, batch.column("mark")))
+                if among:
+                    batch = batch.filter(_marked(among.value, batch.column("own")))
+                for own, text in zip(batch.column("own").to_pylist(), batch.column("text"), strict=True):
+                    if own not in seen:
+                        seen.add(own)
+                        s = shingler.of(text.as_py())
+                        if len(s):
+                            yield own, s
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from run(each(batches))
+            give_back()
+
+        return self.docs.mapInArrow(whole, schema)
+
+
+DESCRIBED = {"own": pa.int64(), "n": pa.int32(), "sig": pa.int64(), "bits": pa.list_(pa.int64()), "chunk": pa.int32(), "part": pa.int32(), "counts": pa.binary()}
 TABLES = 64
 BATCH_ROWS = 250
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """A row for each document (doc_id, n, sig; bits and shingles with the first of equal sets in a task), and CHUNKS rows of
-    counters a task."""
-    types = {"doc_id": pa.int64(), "n": pa.int32(), "sig": pa.int64(), "bits": pa.list_(pa.int64()), "shingles": pa.binary(), "chunk": pa.int32(), "part": pa.int32(), "counts": pa.binary()}
+def describe(texts: Texts, bits: int) -> DataFrame:
+    """A row for each text that has words (own, n, sig; bits with the first of equal sets in a task), and CHUNKS rows of counters a task."""
 
     def made(**columns: list) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * size), type=t) for c, t in types.items()], names=list(types))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, seen = Shingler(), np.zeros(1 << BUCKET_BITS, dtype=np.uint16), set()
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for begin in range(0, len(ids), BATCH_ROWS):
-                n, sig, bits, sets, fresh = [], [], [], [], []
-                for text in batch.column("text").slice(begin, BATCH_ROWS):
-                    s = shingler.of(text.as_py())
-                    f = fingerprint(s)
-                    first = len(s) > 0 and f not in seen
-                    if first:
-                        seen.add(f)
-                        fresh.append(_bucket(s))
-                    n.append(len(s))
-                    sig.append(f)
-                    bits.append(parity(s).tolist() if first else None)
-                    sets.append(to_bytes(s) if first else None)
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * size), type=t) for c, t in DESCRIBED.items()], names=list(DESCRIBED))
+
+    def run(sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        counts, seen, rows, fresh = np.zeros(1 << bits, dtype=np.uint16), set(), [], []
+        for own, s in sets:
+            f = fingerprint(s)
+            if f not in seen:
+                seen.add(f)
+                fresh.append(_bucket(s, bits))
+                rows.append((own, len(s), f, parity(s).tolist()))
+            else:
+                rows.append((own, len(s), f, None))
+            if len(rows) == BATCH_ROWS:
                 _count(counts, fresh)
-                del fresh
-                yield made(doc_id=ids[begin : begin + BATCH_ROWS], n=n, sig=sig, bits=bits, shingles=sets)
+                yield made(**dict(zip(("own", "n", "sig", "bits"), zip(*rows, strict=True), strict=True)))
+                rows, fresh = [], []
+        if rows:
+            _count(counts, fresh)
+            yield made(**dict(zip(("own", "n", "sig", "bits"), zip(*rows, strict=True), strict=True)))
         parts, part = counts.reshape(CHUNKS, -1), TaskContext.get().partitionId() // TABLES
         for k in range(CHUNKS):
             if parts[k].any():
                 yield made(chunk=[k], part=[part], counts=[_pack(parts[k])])
-        del counts, parts, seen, shingler
-        give_back()
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, DESCRIBED), "join-described")
+    return stored(texts.map(run, "own long, n int, sig long, bits array<long>, chunk int, part int, counts binary"), "join-described")
 
 
 def _count(counts: np.ndarray, buckets: list[np.ndarray]) -> None:
@@ -171,36 +243,46 @@ def _count(counts: np.ndarray, buckets: list[np.ndarray]) -> None:
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    return zlib.compress(np.minimum(counts, 60000).astype(np.uint16).tobytes(), 1)
+    """Most counters are 0, and most of the others 1: bits tell where they are, then follows what they are above 1."""
+    at = counts > 0
+    where = zstandard.compress(np.packbits(at).tobytes(), 1)
+    return len(where).to_bytes(4, "little") + where + pack(np.minimum(counts[at], 60000).astype(np.int64) - 1)
 
 
-def _total(tables: pd.Series) -> np.ndarray:
-    total = np.zeros((1 << BUCKET_BITS) // CHUNKS, dtype=np.int64)
+def _total(tables: pd.Series, size: int) -> np.ndarray:
+    total = np.zeros(size, dtype=np.int64)
     for raw in tables:
-        total += np.frombuffer(zlib.decompress(raw), dtype=np.uint16)
+        cut = 4 + int.from_bytes(raw[:4], "little")
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(zstandard.decompress(raw[4:cut]), dtype=np.uint8)))
+        total[at] += unpack(raw[cut:]) + 1
     return total
 
 
-def _sum_some(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "counts": [_pack(_total(pdf["counts"]))]})
-
+def shingle_classes(described: DataFrame, bits: int) -> np.ndarray:
+    """The class of each bucket: ceil(log2(sets in it)), 15 at most, in half a byte: 2 ** (bits - 1) bytes.
 
-def _mark(pdf: pd.DataFrame) -> pd.DataFrame:
-    classes = np.ceil(np.log2(np.maximum(_total(pdf["counts"]), 1))).astype(np.uint8)
-    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "classes": [zlib.compress(classes.tobytes(), 1)]})
+    Tables are packed, summed TABLES at a time, and the sums again, so no group holds the tables of all tasks."""
+    size = (1 << bits) // CHUNKS
 
+    def sum_some(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "counts": [_pack(_total(pdf["counts"], size))]})
 
-def shingle_classes(described: DataFrame) -> np.ndarray:
-    """The class of each bucket: ceil(log2(sets in it)). 2 ** BUCKET_BITS bytes at any input size.
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        classes = np.minimum(np.ceil(np.log2(np.maximum(_total(pdf["counts"], size), 1))), 15).astype(np.uint8)
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "classes": [zlib.compress((classes[::2] | classes[1::2] << 4).tobytes(), 1)]})
 
-    Tables are packed, summed TABLES at a time, and the sums again, so no group holds the tables of all tasks."""
-    some = described.where("chunk IS NOT NULL").select("chunk", "part", "counts").groupBy("chunk", "part").applyInPandas(_sum_some, "chunk int, counts binary")
-    classes = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), dtype=np.uint8)
-    for row in some.groupBy("chunk").applyInPandas(_mark, "chunk int, classes binary").collect():  # CHUNKS rows
+    some = described.where("chunk IS NOT NULL").select("chunk", "part", "counts").groupBy("chunk", "part").applyInPandas(sum_some, "chunk int, counts binary")
+    classes = np.zeros((CHUNKS, size // 2), dtype=np.uint8)
+    for row in some.groupBy("chunk").applyInPandas(mark, "chunk int, classes binary").collect():  # CHUNKS rows
         classes[row["chunk"]] = np.frombuffer(zlib.decompress(row["classes"]), dtype=np.uint8)
     return classes.reshape(-1)
 
 
+def classes_of(s: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = _bucket(s, len(table).bit_length())
+    return table[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15
+
+
 def _prefix(n: int) -> int:
     return n - -(-80 * n // 100) + 1
 
@@ -219,8 +301,9 @@ def index_keys(s: np.ndarray, classes: np.ndarray, rare_class: int = RARE_CLASS)
     """(rare keys, keys of combinations, number of rare shingles) of a set with the classes of its shingles."""
     n, order = len(s), np.lexsort((s, classes))
     s, rare = s[order], int((classes <= rare_class).sum())
+    shared = classes[order[: min(rare, _prefix(n))]] > 0  # the only set in its bucket meets no other there
     if rare >= _prefix(n):
-        return s[: _prefix(n)], s[:0], rare
+        return s[: _prefix(n)][shared], s[:0], rare
     keys = []
     for k in [2] * (n <= PAIRS_UPTO) + [LONG_K] * (n >= LONG_FROM):
         part = s[rare : rare + reach(n, rare, k)]
@@ -228,56 +311,112 @@ def index_keys(s: np.ndarray, classes: np.ndarray, rare_class: int = RARE_CLASS)
         for j in range(k):
             key = key * _STEP + part[j : j + len(key)]
         keys.append(_mix(key))
-    return s[:rare], np.concatenate(keys), rare
-
-
-def index_rows(described: DataFrame, classes: np.ndarray, rare_class: int) -> DataFrame:
-    """(key, frequent, sig, n, rare), each set once a task."""
-    shared = described.sparkSession.sparkContext.broadcast(classes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(begin, BATCH_ROWS)
-                keys, often, sig, size, rare = [], [], [], [], []
-                for f, raw in zip(part.column("sig").to_pylist(), part.column("shingles"), strict=True):
-                    s = from_bytes(raw.as_py())
-                    *found, r = index_keys(s, shared.value[_bucket(s)], rare_class)
-                    for kind, k in enumerate(found):
-                        keys.append(k.astype(np.int64))
-                        often.append(np.full(len(k), bool(kind)))
-                        sig.append(np.full(len(k), f))
-                        size.append(np.full(len(k), len(s), dtype=np.int32))
-                        rare.append(np.full(len(k), r, dtype=np.int32))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, often, sig, size, rare)], names=["key", "frequent", "sig", "n", "rare"])
-            give_back()
-
-    return described.where("shingles IS NOT NULL").select("sig", "shingles").mapInArrow(run, "key long, frequent boolean, sig long, n int, rare int")
+    return s[:rare][shared], np.concatenate(keys), rare
 
 
-def _similar_sizes() -> F.Column:
-    return (F.lit(100) * F.least("na", "nb")) >= (F.lit(80) * F.greatest("na", "nb"))
-
-
-def _all_rare(x: F.Column) -> F.Column:
+def _all_rare(n: np.ndarray, rare: np.ndarray) -> np.ndarray:
     """Whether the prefix of a set is rare shingles alone."""
-    return x["rare"] > x["n"] - F.ceil(x["n"] * 80 / 100)
+    return rare > n - -(-80 * n // 100)
+
+
+INDEXED = {"slot": pa.int32(), "frequent": pa.bool_(), "keys": pa.binary(), "sigs": pa.binary(), "sizes": pa.binary(), "rares": pa.binary()}
+
+
+def _runs(keys: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, rares: np.ndarray, frequent: bool, slots: int) -> Iterator[pa.RecordBatch]:
+    """The keys of a task, a row for each slot. A rare key belongs to a slot by its range, so that sorted ones lie near each other; rows of
+    frequent keys are spread by set, since a key may have very many."""
+    by = _mix(keys ^ sigs.astype(np.uint64)) if frequent else keys
+    slot = ((by >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int32)
+    keys = keys.astype(np.int64)
+    order = np.lexsort((keys, slot))
+    begins = np.flatnonzero(np.diff(slot[order], prepend=-1))
+    rows = []
+    for at in np.split(order, begins[1:]):
+        rows.append((int(slot[at[0]]), frequent, pack_sorted(keys[at]), pack(sigs[at]), pack(sizes[at]), pack(rares[at])))
+    for begin in range(0, len(rows), BATCH_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[begin : begin + BATCH_ROWS], strict=True), INDEXED.values(), strict=True)], names=list(INDEXED))
+
+
+def index_rows(texts: Texts, classes: np.ndarray, rare_class: int, slots: int) -> DataFrame:
+    """The keys of each set, with sig, n and the number of rare shingles (with rare keys: whether the prefix is rare shingles alone), once a
+    task, packed by slot."""
+    shared = texts.rows.sparkSession.sparkContext.broadcast(classes)
+
+    def run(sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[list[tuple]] = [[], []]
+        waiting = [0, 0]
+
+        def flush(kind: int) -> Iterator[pa.RecordBatch]:
+            if held[kind]:
+                keys, *rest = zip(*held[kind], strict=True)
+                often = np.array([len(k) for k in keys])
+                held[kind], waiting[kind] = [], 0
+                yield from _runs(np.concatenate(keys), *[np.repeat(np.array(c, dtype=np.int64), often) for c in rest], bool(kind), slots)
+
+        for _, s in sets:
+            f = fingerprint(s)
+            if f in seen:
+                continue
+            seen.add(f)
+            rare_keys, often, rare = index_keys(s, classes_of(s, shared.value), rare_class)
+            whole = int(_all_rare(np.int64(len(s)), np.int64(rare)))
+            for kind, (keys, told) in enumerate(((rare_keys & ~np.uint64(0xFFFF), whole), (often, rare))):  # 48 bits of a shingle will do to meet
+                if len(keys):
+                    held[kind].append((keys, f, len(s), told))
+                    waiting[kind] += len(keys)
+                    if waiting[kind] >= PACK_KEYS:
+                        yield from flush(kind)
+        for kind in range(2):
+            yield from flush(kind)
+
+    return texts.map(run, "slot int, frequent boolean, keys binary, sigs binary, sizes binary, rares binary")
+
+
+MET = "key long, a long, na int, b long, nb int, whole boolean, shared long"
+
+
+def met(rows: pa.Table) -> pa.Table:
+    """What the keys of a slot tell. Of rare ones the pairs (a, na, b, nb, whole, shared) of sets of a similar size, with the number of keys
+    that they share here; of frequent ones (key, a, na, nb): the key, its set, n and the number of rare shingles."""
+    found = []
+    for frequent in (False, True):
+        part = rows.filter(pc.equal(rows.column("frequent"), frequent))
+        columns = ("keys", unpack_sorted), ("sigs", unpack), ("sizes", unpack), ("rares", unpack)
+        key, sig, n, rare = (np.concatenate([np.zeros(0, dtype=np.int64), *(of(x.as_py()) for x in part.column(c))]) for c, of in columns)
+        order = np.lexsort((sig, key))
+        order = order[(np.diff(key[order], prepend=0) != 0) | (np.diff(sig[order], prepend=0) != 0) | (np.arange(len(order)) == 0)]
+        key, sig, n, rare = key[order], sig[order], n[order], rare[order]
+        if frequent:
+            none = np.zeros(len(key), dtype=np.int64)
+            found.append((key, sig, n, none, rare, none > 0, none))
+            continue
+        pairs, d = [], 1
+        while len(at := np.flatnonzero(key[d:] == key[:-d])):
+            similar = at[100 * np.minimum(n[at], n[at + d]) >= 80 * np.maximum(n[at], n[at + d])]
+            pairs.append(np.stack((similar, similar + d)))
+            d += 1
+        x, y = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
+        order = np.lexsort((sig[y], sig[x]))
+        x, y = x[order], y[order]
+        begins = np.flatnonzero((np.diff(sig[x], prepend=0) != 0) | (np.diff(sig[y], prepend=0) != 0) | (np.arange(len(x)) == 0))
+        shared = np.diff(np.append(begins, len(x)))
+        x, y = x[begins], y[begins]
+        found.append((None, sig[x], n[x], sig[y], n[y], (rare[x] & rare[y]) > 0, shared))
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64())
+    names = ("key", "a", "na", "b", "nb", "whole", "shared")
+    size = [len(f[1]) for f in found]
+    return pa.table({c: pa.chunked_array([pa.nulls(size[i], t) if f[k] is None else pa.array(f[k], t) for i, f in enumerate(found)], t) for k, (c, t) in enumerate(zip(names, types, strict=True))})
 
 
 def rare_pairs(groups: DataFrame) -> DataFrame:
-    """All (a, na, b, nb) of the rare keys that can be similar; a group has at most as many sets as a rare bucket.
+    """All (a, na, b, nb) of the rare keys that can be similar; a key has at most as many sets as a rare bucket.
 
     If both prefixes are rare shingles alone, the keys that two sets share are all that their prefixes share. Of the two,
     the one whose prefix ends earlier shares no other shingle of its prefix, so the shared total is at most that number
     and the larger rest; pairs that can't reach the total they need are dropped here.
     """
-    both = groups.where("NOT frequent").select("sets", F.explode("sets").alias("x"))
-    other = F.filter("sets", lambda y: y["sig"] > F.col("x")["sig"])
-    pairs = both.select("x", F.explode(other).alias("y")).select(
-        F.col("x.sig").alias("a"), F.col("x.n").alias("na"), F.col("y.sig").alias("b"), F.col("y.n").alias("nb"), (_all_rare(F.col("x")) & _all_rare(F.col("y"))).alias("whole")
-    )
-    counted = pairs.where(_similar_sizes()).groupBy("a", "na", "b", "nb", "whole").agg(F.count(F.lit(1)).alias("shared"))
+    counted = groups.where("key IS NULL").groupBy("a", "na", "b", "nb", "whole").agg(F.sum("shared").alias("shared"))
     rest = F.ceil(F.greatest("na", "nb") * 80 / 100) - 1
     return counted.where(~F.col("whole") | (180 * (F.col("shared") + rest) >= 80 * (F.col("na") + F.col("nb")))).select("a", "na", "b", "nb")
 
@@ -306,29 +445,15 @@ def near_parity(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(9 * far <= F.col("na") + F.col("nb")).select("a", "na", "b", "nb")
 
 
-def needed_sets(described: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(sig, shingles) of the given sets, and of the few others that share their bits in a table of fixed size."""
-    spark = described.sparkSession
-    width = (1 << NEED_BITS) // CHUNKS
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        marks = np.zeros(width, dtype=bool)
-        marks[pdf["bucket"].to_numpy() % width] = True
-        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "bits": [np.packbits(marks).tobytes()]})
+def needed_sets(texts: Texts, known: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(sig, shingles) of the given sets, and of the few others whose texts share their marks; known has a text (own) of each set."""
+    wanted = marks(sigs.join(known, "sig").select(F.col("own").alias("v")))
 
-    bucket = F.pmod("sig", F.lit(1 << NEED_BITS))
-    marked = sigs.select(bucket.alias("bucket")).distinct().withColumn("chunk", F.floor(F.col("bucket") / width).cast("int"))
-    table = np.zeros((CHUNKS, width // 8), dtype=np.uint8)
-    for row in marked.groupBy("chunk").applyInPandas(pack, "chunk int, bits binary").collect():  # CHUNKS rows
-        table[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    shared = spark.sparkContext.broadcast(table.reshape(-1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("sig").to_numpy() % (1 << NEED_BITS)
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+    def run(sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for _, s in sets:
+            yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s)], pa.int64()), pa.array([to_bytes(s)], pa.binary())], names=["sig", "shingles"])
 
-    found = described.where("shingles IS NOT NULL").select("sig", "shingles").mapInArrow(run, "sig long, shingles binary")
+    found = texts.map(run, "sig long, shingles binary", wanted)
     return stored(found.groupBy("sig").agg(F.first("shingles").alias("shingles")), "join-sets")
 
 
@@ -455,30 +580,31 @@ def rest_links(often: DataFrame, sets: DataFrame) -> DataFrame:
 
 def join_documents(docs: DataFrame, rare_class: int = RARE_CLASS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of (doc_id, text)."""
-    described = describe(docs)
-    slim = described.where("sig IS NOT NULL").select("doc_id", "n", "sig", "bits")
-    bits = stored(slim.where("bits IS NOT NULL").groupBy("sig").agg(F.first("bits").alias("bits")), "join-bits")
-    rows = index_rows(described, shingle_classes(described), rare_class)
-    one = F.struct("sig", "n", "rare")
-    groups = rows.groupBy("key", F.when(F.col("frequent"), F.col("sig")).otherwise(F.lit(0)).alias("own"), "frequent").agg(F.collect_set(one).alias("sets"))
-    groups = stored(groups.where(F.col("frequent") | (F.size("sets") > 1)), "join-groups")
-    often = groups.where("frequent").select("key", F.explode("sets").alias("x")).select("key", "x.sig", "x.n", "x.rare")
+    texts = Texts(docs)
+    octets = texts.octets()
+    table, rise = table_bits(octets)
+    described = describe(texts, table)
+    slim = described.where("sig IS NOT NULL").select("own", "n", "sig", "bits")
+    known = stored(slim.where("bits IS NOT NULL").groupBy("sig").agg(F.first("bits").alias("bits"), F.min("own").alias("own")), "join-bits")
+    bits = known.select("sig", "bits")
+    slots = max(8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-octets // (5 * SHINGLE_OCTETS * SLOT_KEYS)))
+    rows = index_rows(texts, shingle_classes(described, table), rare_class + rise, slots)
+    groups = stored(rows.groupBy("slot").applyInArrow(met, MET), "join-groups")
+    often = groups.where("key IS NOT NULL").select("key", F.col("a").alias("sig"), F.col("na").alias("n"), F.col("nb").alias("rare"))
     near = stored(near_parity(rare_pairs(groups).unionByName(pivot_pairs(often)).distinct(), bits), "join-near")
-    sets = needed_sets(described, near.select(F.col("a").alias("sig")).unionByName(near.select(F.col("b").alias("sig"))).distinct())
+    sets = needed_sets(texts, known, near.select(F.col("a").alias("sig")).unionByName(near.select(F.col("b").alias("sig"))).distinct())
     links = stored(verify(near, sets), "join-links")
     labelled = often.join(components(links), "sig", "left").select("key", "sig", "n", "rare", F.coalesce("label", "sig").alias("label"))
     labelled = stored(labelled, "join-often")
     possible = stored(possible_rest(labelled, bits), "join-possible")
-    sets = needed_sets(described, possible.select("sig").distinct())
+    sets = needed_sets(texts, known, possible.select("sig").distinct())
     links = stored(links.unionByName(rest_links(labelled.join(possible, ["key", "sig"], "left_semi"), sets)), "join-links")
     labels = components(links)
-    sigs = slim.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first")).join(labels, "sig", "left").select("sig", "first", F.coalesce("label", "sig").alias("label"))
-    sigs = stored(sigs, "join-sigs")
-    smallest = sigs.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = sigs.join(smallest, "label").select("sig", "component_id")
-    full = slim.where("n > 0").join(named, "sig").select("doc_id", "n", "component_id")
-    empty = slim.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    own = slim.groupBy("own").agg(F.first("n").alias("n"), F.first("sig").alias("sig")).join(texts.each.select("own", "first"), "own")
+    own = stored(own.join(labels, "sig", "left").select("own", "n", "first", F.coalesce("label", "sig").alias("label")), "join-sigs")
+    named = own.join(own.groupBy("label").agg(F.min("first").alias("component_id")), "label").select("own", "n", "component_id")
+    n, component_id = F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return texts.rows.join(named, "own", "left").select("doc_id", n, component_id)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

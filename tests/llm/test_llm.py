@@ -6,6 +6,7 @@ import collections
 import hashlib
 import io
 import math
+import pathlib
 import random
 import struct
 import zipfile
@@ -807,6 +808,38 @@ def test_join_keeps_the_same_of_each_group_in_any_partitions(spark):
     assert collections.Counter(i for i, _ in one) == collections.Counter(min(g, key=lambda i: (i is None, i or 0)) for g in groups.values())
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """The tables that the join stores, by tag."""
+    found, keep = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, tag: found.setdefault(tag, []).append(keep(df, tag)) or found[tag][-1])
+    return found
+
+
+def test_join_stores_less_than_its_texts(spark, written):
+    rng = random.Random(5)
+    texts = {i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(600)) for i in range(60)}
+    assert joined(spark, texts) == {i: (596, i) for i in texts}
+    size = sum(f.stat().st_size for tag in written for df in written[tag] for name in df.inputFiles() for f in [pathlib.Path(name.removeprefix("file://"))])
+    assert size < sum(map(len, texts.values())) / 2
+
+
+def test_rare_keys_stay_rare_in_a_table_that_grows(spark, written, monkeypatch):
+    """More shingles than buckets of the least table, and copies in all partitions: neither makes shingles frequent."""
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 6, raising=False)
+    texts = near_copies(6, 40, 2, 2)
+    frame = spark.createDataFrame([(100 * i + k, x) for i, x in texts.items() for k in range(40)], "doc_id long, text string").repartition(40)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_documents(frame).collect()}
+    wanted = brute_components(texts)
+    assert found == {100 * i + k: (n, 100 * c) for i, (n, c) in wanted.items() for k in range(40)}
+    (groups,) = written["join-groups"]
+    assert groups.where("key IS NULL").count() > 0 == groups.where("key IS NOT NULL").count()
+    octets = 9 * 10**9
+    bits, rise = ngram_join.table_bits(octets)
+    assert octets / ngram_join.SHINGLE_OCTETS <= ngram_join.LOAD * 2**bits and rise == 0
+    assert ngram_join.table_bits(8 * octets)[1] == 3
+
+
 # -- the pipeline --------------------------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf_dir, docs):
     import corpus_pipeline
