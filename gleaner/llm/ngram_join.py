@@ -151,9 +151,9 @@ def marks(values: DataFrame):
     return values.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
 
-def _marked(table: np.ndarray, values: pa.Array) -> pa.Array:
-    at = values.to_numpy() % (1 << MARK_BITS)
-    return pa.array((table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+def _marked(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % (1 << MARK_BITS)
+    return (table[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
 
 
 def _own() -> F.Column:
@@ -182,9 +182,9 @@ class Texts:
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
             shingler, seen = Shingler(), set()
             for batch in batches:
-                batch = batch.filter(_marked(first.value, batch.column("mark")))
+                batch = batch.filter(pa.array(_marked(first.value, batch.column("mark").to_numpy())))
                 if among:
-                    batch = batch.filter(_marked(among.value, batch.column("own")))
+                    batch = batch.filter(pa.array(_marked(among.value, batch.column("own").to_numpy())))
                 for own, text in zip(batch.column("own").to_pylist(), batch.column("text"), strict=True):
                     if own not in seen:
                         seen.add(own)
@@ -615,5 +615,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = join_documents(kept.select(F.col("_uid").alias("doc_id"), F.col("_row.text").alias("text"))).select(F.col("doc_id").alias("_uid"), "component_id")
     doc_id = F.col("_row.doc_id") if "doc_id" in docs.columns else F.lit(0)
     places = kept.select("_uid", F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), "_hash", "_uid").alias("_place"))
-    ids = found.join(places, "_uid").groupBy("component_id").agg(F.min("_place").alias("_place")).select("_place._uid")
-    return kept.join(ids, "_uid", "left_semi").select("_row.*")
+    ids = stored(found.join(places, "_uid").groupBy("component_id").agg(F.min("_place").alias("_place")).select("_place._uid"), "join-kept")
+    gone = marks(places.join(ids, "_uid", "left_anti").select(F.xxhash64("_uid").alias("v")))
+
+    @F.pandas_udf("boolean")
+    def doubtful(uid: pd.Series) -> pd.Series:
+        return pd.Series(_marked(gone.value, uid.to_numpy()))
+
+    # what isn't marked as gone stays, without a shuffle; what is, or is taken for it, is looked up
+    told = kept.withColumn("_doubtful", doubtful(F.xxhash64("_uid")))
+    return told.where("NOT _doubtful").select("_row.*").unionByName(told.where("_doubtful").join(ids, "_uid", "left_semi").select("_row.*"))

@@ -808,6 +808,15 @@ def test_join_keeps_the_same_of_each_group_in_any_partitions(spark):
     assert collections.Counter(i for i, _ in one) == collections.Counter(min(g, key=lambda i: (i is None, i or 0)) for g in groups.values())
 
 
+def test_keep_one_shuffles_only_rows_that_may_go(spark):
+    texts = near_copies(8, 30, 3, 1) | {900: None, 901: ""}
+    frame = spark.createDataFrame([(i, x, x) for i, x in texts.items()], "doc_id long, text string, other string")
+    kept = ngram_join.keep_one(frame)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in brute_components(texts).values()})
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1 and plan.startswith("Union")
+
+
 @pytest.fixture
 def written(monkeypatch):
     """The tables that the join stores, by tag."""
