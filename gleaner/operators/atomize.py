@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionaries
 from ..functions.normal_forms import exact_label_key, normal_text
-from ..functions.text import fold, json_digest, label_key, lookup_map
+from ..functions.text import fold, json_digest, label_key, lookup_map, packed_digest
 from ..storage import stored
 from . import contract
 
@@ -244,9 +244,10 @@ def atomize_records(records: DataFrame, catalogue: dict[str, list[tuple]] = dict
 
 def observations(records: DataFrame, values: DataFrame) -> DataFrame:
     """The scalar row of each atomized record, with foreign_language_status."""
-    spoken = values.where(F.col("group") == "foreign_language").select("observation_key").distinct().withColumn("_spoken", F.lit(True))
-    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).withColumn("observation_key", observation_key()).join(spoken, "observation_key", "left")
-    return rows.select("observation_key", *SCALARS, F.when(F.col("_spoken"), "known").otherwise("unknown").alias("foreign_language_status"))
+    own = lambda key: packed_digest(key).alias("_own")
+    spoken = values.where(F.col("group") == "foreign_language").select(own("observation_key")).distinct().withColumn("_spoken", F.lit(True))
+    rows = records.where(contract.first_violation(RECORD_RULES).isNull()).select(own(observation_key()), *SCALARS).join(spoken, "_own", "left")
+    return rows.select(F.lower(F.hex("_own")).alias("observation_key"), *SCALARS, F.when(F.col("_spoken"), "known").otherwise("unknown").alias("foreign_language_status"))
 
 
 SCALARS = ("job_id", "source", "source_job_id", "job_url", "crawl_run_id", "observed_at", "title", "company_name", "description", "location_text", "work_mode")

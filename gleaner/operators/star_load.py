@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import dictionaries
-from ..functions.text import lookup_map, natural_key, observation_id
+from ..functions.text import lookup_map, natural_key, observation_id, packed_digest
 from . import atomize, quality
 from .latest import context_numbers
 from .star import UNKNOWN_KEY, stable_key
@@ -118,7 +118,7 @@ def new_dimensions(observed: DataFrame, values: DataFrame) -> dict[str, DataFram
 
 
 def new_facts(observed: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
-    """The fact rows of some observations."""
+    """The fact rows of some observations. What belongs to an observation is dealt out once, by its key; digests travel as bytes."""
     company = F.when(F.coalesce(F.trim("company_name"), F.lit("")) != "", stable_key(natural_key("company_name"))).otherwise(F.lit(UNKNOWN_KEY).cast("long"))
     base = observed.select(
         "observation_key",
@@ -133,15 +133,17 @@ def new_facts(observed: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
         "work_mode",
         F.lit(1).alias("job_posting_count"),
     )
-    child = base.select("observation_key", "observation_id", "job_key", "date_key", "source_key", "crawl_run_key")
-    skills = skill_rows(values).where(F.col("skill_type").isin(*NECESSARY)).select("observation_key", stable_key("skill_type", "normalized_name", "category").alias("skill_key"), "level_text")
-    skills = context_numbers(skills, ["observation_key", "skill_key"], "level_text")
+    own, names = packed_digest("observation_key").alias("_own"), ["job_key", "date_key", "source_key", "crawl_run_key"]
+    child = base.select(own, F.unhex("observation_id").alias("_id"), *names)
+    told = [F.hex("_id").alias("observation_id"), *names]
+    skills = skill_rows(values).where(F.col("skill_type").isin(*NECESSARY)).select(own, stable_key("skill_type", "normalized_name", "category").alias("skill_key"), "level_text")
+    skills = context_numbers(skills.repartition("_own"), ["_own", "skill_key"], "level_text")
     level = F.when(F.col("level_text").isNotNull(), stable_key(natural_key("level_text"))).otherwise(F.lit(UNKNOWN_KEY).cast("long"))
-    skills = child.join(skills, "observation_key").select(*child.columns[1:], "skill_key", level.alias("proficiency_level_key"), "context_no", F.col("level_text").alias("level_text_snapshot"), F.lit(1).alias("skill_mention_count"))
-    roles = role_rows(values).select("observation_key", stable_key("normalized_name", "role_category").alias("role_key")).distinct()
-    cities = values.where(F.col("group") == "city").select("observation_key", stable_key(natural_key("name")).alias("city_key")).distinct()
+    skills = child.join(skills, "_own").select(*told, "skill_key", level.alias("proficiency_level_key"), "context_no", F.col("level_text").alias("level_text_snapshot"), F.lit(1).alias("skill_mention_count"))
+    roles = role_rows(values).select(own, stable_key("normalized_name", "role_category").alias("role_key")).repartition("_own").distinct()
+    cities = values.where(F.col("group") == "city").select(own, stable_key(natural_key("name")).alias("city_key")).repartition("_own").distinct()
     unknown = lambda c: F.coalesce(c, F.lit(UNKNOWN_KEY).cast("long")).alias(c)
-    placed = child.join(roles, "observation_key", "left").join(cities, "observation_key", "left").select(*child.columns[1:], unknown("role_key"), unknown("city_key"), F.lit(1).alias("combination_count"))
+    placed = child.join(roles, "_own", "left").join(cities, "_own", "left").select(*told, unknown("role_key"), unknown("city_key"), F.lit(1).alias("combination_count"))
     return {"fact_job_observation": base.drop("observation_key"), "fact_job_necessary_skill": skills, "fact_job_role_city": placed}
 
 
@@ -164,13 +166,16 @@ def exact(facts: DataFrame, wanted: DataFrame, lineage: DataFrame, grain: list[s
     other observations stay. A stored row that says the same as a wanted one stays, a wanted one whose grain is then taken doesn't come in.
 
     Everything that decides about a row belongs to its observation, so all meets in one shuffle by job and run; wanted rows travel without
-    the observation_id, which their lineage has."""
+    the observation_id, which their lineage has, and the others with its bytes where it is a digest."""
     names, kind = facts.columns, F.col("_kind")
-    told = lineage.select("job_key", "crawl_run_key", "observation_id", F.lit("lineage").alias("_kind"))
-    given = wanted.select(*[c for c in names if c != "observation_id"], F.lit("wanted").alias("_kind"))
-    both = facts.withColumn("_kind", F.lit("stored")).unionByName(given, allowMissingColumns=True).unionByName(told, allowMissingColumns=True)
+    rest, digest = [c for c in names if c != "observation_id"], F.col("observation_id").rlike("^[0-9A-F]{64}$")
+    ids = [F.when(digest, F.unhex("observation_id")).alias("_bytes"), F.when(~digest, F.col("observation_id")).alias("_text")]
+    told = lineage.select("job_key", "crawl_run_key", *ids, F.lit("lineage").alias("_kind"))
+    given = wanted.select(*rest, F.lit("wanted").alias("_kind"))
+    both = facts.select(*rest, *ids, F.lit("stored").alias("_kind")).unionByName(given, allowMissingColumns=True).unionByName(told, allowMissingColumns=True)
     within = lambda *keys: Window.partitionBy("job_key", "crawl_run_key", *[k for k in keys if k not in ("job_key", "crawl_run_key")])
-    met = both.repartition("job_key", "crawl_run_key").withColumn("_id", F.max(F.when(kind == "lineage", F.col("observation_id"))).over(within())).where(kind != "lineage")
+    met = both.repartition("job_key", "crawl_run_key").withColumn("observation_id", F.coalesce(F.hex("_bytes"), "_text"))
+    met = met.withColumn("_id", F.max(F.when(kind == "lineage", F.col("observation_id"))).over(within())).where(kind != "lineage")
     met = met.withColumn("_said", F.max(kind == "wanted").over(within(*grain, *carried)))
     met = met.withColumn("_stays", (kind == "stored") & (F.col("_id").isNull() | F.col("_said"))).withColumn("_taken", F.max("_stays").over(within(*grain)))
     return met.where(F.col("_stays") | ((kind == "wanted") & ~F.col("_taken"))).withColumn("observation_id", F.coalesce("_id", "observation_id")).select(*names)

@@ -335,3 +335,29 @@ def test_retraction_of_facts(spark):
     assert [r["job_key"] for r in two["fact_job_necessary_skill"].join(sql, "skill_key").collect()] == [r["job_key"] for r in two["dim_job"].where("job_id = 'topdev:2'").collect()]
     assert quality.all_pass(star_load.gates(two.__getitem__))
     assert star_load.fact_changes(two, again(two, second, retract=True)).count() == 0
+
+
+def test_rows_of_an_observation_are_dealt_out_once(spark):
+    frame = spark.createDataFrame([record(skills=[("SQL", "x"), ("Git", "x")], foreign_languages=[("English", None)], cities=["HCMC", "Ha Noi"])], SCHEMA)
+    values = stored(atomize.atomize_records(frame)[0], "t")
+    observed = stored(atomize.observations(frame, values), "t")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = star_load.new_facts(observed, values)
+        plans = {n: facts[n]._jdf.queryExecution().executedPlan().toString() for n in star_load.CARRIED}
+        rows = {n: facts[n].count() for n in star_load.CARRIED}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {n: p.count("Exchange hashpartitioning(") for n, p in plans.items()} == {"fact_job_necessary_skill": 2, "fact_job_role_city": 3}
+    assert rows == {"fact_job_necessary_skill": 3, "fact_job_role_city": 2}
+
+
+def test_retraction_keeps_any_observation_id(spark):
+    ids = ["legacy", "", None, "ab" * 32, "AB" * 32, "AB" * 31, "text:x"]
+    ddl, grain = star_load.TABLES["fact_job_role_city"]
+    facts = spark.createDataFrame([(x, n, 1, 1, 1, 1, 1, 1) for n, x in enumerate(ids)], ddl)
+    lineage = spark.createDataFrame([("New", 1, 1), ("CD" * 32, 3, 1), ("Unseen", 99, 1)], "observation_id string, job_key long, crawl_run_key long")
+    wanted = facts.where("job_key IN (1, 3)").withColumn("observation_id", F.lit("not carried"))
+    after = star_load.exact(facts, wanted, lineage, grain, [])
+    assert {r["job_key"]: r["observation_id"] for r in after.collect()} == dict(enumerate(ids)) | {1: "New", 3: "CD" * 32}
